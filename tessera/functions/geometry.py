@@ -147,18 +147,20 @@ def is_lineal_or_areal(g) -> Column:
 def is_rectangle(g) -> Column:
     """True for a one-ring Polygon that is an axis-aligned rectangle of positive area."""
     g = _c(g)
-    ring = g["parts"][0]
+    ring = F.get(g["parts"], 0)
     bb = bbox(g)
     edges = part_segments(ring)
     corner_ok = F.forall(ring, lambda p: ((p["x"] == bb["xmin"]) | (p["x"] == bb["xmax"]))
                          & ((p["y"] == bb["ymin"]) | (p["y"] == bb["ymax"])))
     horiz = F.transform(edges, lambda e: (e["y1"] == e["y2"]) & (e["x1"] != e["x2"]))
     vert = F.transform(edges, lambda e: (e["x1"] == e["x2"]) & (e["y1"] != e["y2"]))
-    alternating = ((horiz[0] & vert[1] & horiz[2] & vert[3])
-                   | (vert[0] & horiz[1] & vert[2] & horiz[3]))
+    h = [F.get(horiz, i) for i in range(4)]
+    v = [F.get(vert, i) for i in range(4)]
+    alternating = (h[0] & v[1] & h[2] & v[3]) | (v[0] & h[1] & v[2] & h[3])
+    first, last = F.get(ring, 0), F.get(ring, 4)
     return F.coalesce(
         (g["kind"] == "Polygon") & (F.size(g["parts"]) == 1) & (F.size(ring) == 5)
-        & (ring[0]["x"] == ring[4]["x"]) & (ring[0]["y"] == ring[4]["y"])
+        & (first["x"] == last["x"]) & (first["y"] == last["y"])
         & (bb["xmax"] > bb["xmin"]) & (bb["ymax"] > bb["ymin"])
         & corner_ok & alternating,
         F.lit(False))
