@@ -144,11 +144,14 @@ def is_lineal_or_areal(g) -> Column:
     return _c(g)["kind"].isin("LineString", "MultiLineString", "Polygon", "MultiPolygon")
 
 
-def is_rectangle(g) -> Column:
-    """True for a one-ring Polygon that is an axis-aligned rectangle of positive area."""
+def is_rectangle(g, bb: Column | None = None) -> Column:
+    """True for a one-ring Polygon that is an axis-aligned rectangle of positive area.
+
+    ``bb`` may pass an already computed :func:`bbox` column.
+    """
     g = _c(g)
     ring = F.get(g["parts"], 0)
-    bb = bbox(g)
+    bb = bb if bb is not None else bbox(g)
     edges = part_segments(ring)
     corner_ok = F.forall(ring, lambda p: ((p["x"] == bb["xmin"]) | (p["x"] == bb["xmax"]))
                          & ((p["y"] == bb["ymin"]) | (p["y"] == bb["ymax"])))
@@ -290,3 +293,77 @@ def clipped_fraction_polygon(edges: Column, x1: Column, y1: Column, x2: Column,
         return acc + F.when(covers_point(edges, mx, my), r["v"] - r["u"]).otherwise(F.lit(0.0))
 
     return F.when(t1 > t0, F.aggregate(runs, F.lit(0.0), add)).otherwise(F.lit(0.0))
+
+
+# --------------------------------------------------------------------------
+# convex polygons: half-plane intersection (Cyrus-Beck)
+# --------------------------------------------------------------------------
+
+def _edge_cross(e: Column, px: Column, py: Column) -> Column:
+    """Cross product of the edge direction with (p - edge start); > 0 left of the edge."""
+    return (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
+
+
+def _edge_tol(e: Column, px: Column, py: Column) -> Column:
+    return F.lit(EPS) * (F.abs(e["x2"] - e["x1"]) + F.abs(e["y2"] - e["y1"])) \
+        * (F.lit(1.0) + F.abs(px) + F.abs(py))
+
+
+def signed_area2(edges: Column) -> Column:
+    """Twice the signed area of the rings whose edges these are (> 0: counter-clockwise)."""
+    return F.aggregate(edges, F.lit(0.0), lambda acc, e: acc + e["x1"] * e["y2"] - e["x2"] * e["y1"])
+
+
+def ccw_edges(g) -> Column:
+    """Non-degenerate edges of a one-ring polygon, oriented counter-clockwise."""
+    es = F.filter(segments(g), lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
+    flipped = F.transform(es, lambda e: F.struct(e["x2"].alias("x1"), e["y2"].alias("y1"),
+                                                 e["x1"].alias("x2"), e["y1"].alias("y2")))
+    return F.when(signed_area2(es) < 0, flipped).otherwise(es)
+
+
+def is_convex(g, edges: Column) -> Column:
+    """One-ring polygon of positive area whose CCW ``edges`` only turn left, winding once."""
+    g = _c(g)
+    n = F.size(edges)
+    nxt = F.concat(F.slice(edges, 2, F.greatest(n - 1, F.lit(0))), F.slice(edges, 1, 1))
+    turns = F.zip_with(edges, nxt, lambda a, b: (a["x2"] - a["x1"]) * (b["y2"] - b["y1"])
+                       - (a["y2"] - a["y1"]) * (b["x2"] - b["x1"]))
+
+    def changes(sel):
+        s = F.filter(F.transform(edges, lambda e: F.signum(sel(e))), lambda v: v != 0)
+        m = F.size(s)
+        s_next = F.concat(F.slice(s, 2, F.greatest(m - 1, F.lit(0))), F.slice(s, 1, 1))
+        return F.size(F.filter(F.zip_with(s, s_next, lambda a, b: a != b), lambda c: c))
+
+    return F.coalesce(
+        (g["kind"] == "Polygon") & (F.size(g["parts"]) == 1) & (n >= 3)
+        & (signed_area2(edges) > 0) & F.forall(turns, lambda t: t >= 0)
+        & (changes(lambda e: e["x2"] - e["x1"]) <= 2) & (changes(lambda e: e["y2"] - e["y1"]) <= 2),
+        F.lit(False))
+
+
+def convex_contains_point(edges: Column, px, py) -> Column:
+    """Strictly inside a convex polygon given by CCW edges."""
+    px, py = _d(px), _d(py)
+    return F.forall(edges, lambda e: _edge_cross(e, px, py) > _edge_tol(e, px, py))
+
+
+def convex_clip_fraction(edges: Column, x1: Column, y1: Column, x2: Column, y2: Column,
+                         t0: Column, t1: Column) -> Column:
+    """Measure of ``{t in [t0, t1]}`` inside the closed convex polygon (CCW edges)."""
+    dx = x2 - x1
+    dy = y2 - y1
+
+    def step(acc, e):
+        a = _edge_cross(e, x1, y1)
+        b = (e["x2"] - e["x1"]) * dy - (e["y2"] - e["y1"]) * dx
+        keep = a >= -_edge_tol(e, x1, y1)
+        lo = F.when(b > 0, -a / nonzero(b)).when(b == 0, F.when(keep, F.lit(-INF)).otherwise(F.lit(INF))) \
+            .otherwise(F.lit(-INF))
+        hi = F.when(b < 0, -a / nonzero(b)).when(b == 0, F.when(keep, F.lit(INF)).otherwise(F.lit(-INF))) \
+            .otherwise(F.lit(INF))
+        return F.struct(F.greatest(acc["lo"], lo).alias("lo"), F.least(acc["hi"], hi).alias("hi"))
+
+    r = F.aggregate(edges, F.struct(t0.alias("lo"), t1.alias("hi")), step)
+    return F.greatest(r["hi"] - r["lo"], F.lit(0.0))

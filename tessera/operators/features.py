@@ -93,7 +93,14 @@ def pivot_values(long: DataFrame, category: str = "category") -> list:
 
 def pivot_wide(long: DataFrame, value: str, category: str = "category",
                values: list | None = None, fill=0) -> DataFrame:
-    """One row per ``grid_id``, one column per category (sum), nulls filled."""
+    """One row per ``grid_id``, one column per category (sum), nulls filled.
+
+    Without ``values`` the long table is first written to the checkpoint
+    directory, so that finding the values and pivoting read it instead of
+    running the spatial join twice.
+    """
+    if values is None:
+        long = materialize(long)
     vals = values if values is not None else pivot_values(long, category)
     wide = long.groupBy("grid_id").pivot(category, vals).agg(F.sum(value))
     return wide.na.fill(fill)

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
+from tessera.session import checkpoint_dir
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_HOT_TILE_ROWS = 2_000_000
@@ -47,7 +48,7 @@ EDGE_BYTES = 40
 # zero-length candidates).
 COVER_SLACK = 1e-9
 
-CELL_COLS = ["grid_id", "cxmin", "cymin", "cxmax", "cymax", "is_box", "edges"]
+CELL_COLS = ["grid_id", "cxmin", "cymin", "cxmax", "cymax", "is_box", "is_convex", "edges"]
 
 
 @dataclass
@@ -55,8 +56,10 @@ class CellIndex:
     """Grid cells prepared for tile joins.
 
     ``cells`` has one row per input cell: ``grid_id``, its box, ``is_box``
-    (axis-aligned rectangle: fast path) and ``edges`` (ring edges, only for
-    other polygons). ``point_bytes`` / ``line_bytes`` estimate the size of
+    (axis-aligned rectangle: box arithmetic only), ``is_convex`` (one convex
+    ring: half-plane intersection over its counter-clockwise edges) and
+    ``edges`` (null for boxes; otherwise ring edges, for the even-odd method
+    on other polygons). ``point_bytes`` / ``line_bytes`` estimate the size of
     the two tile covers and decide the join strategy.
     """
 
@@ -91,23 +94,35 @@ class CellIndex:
 def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
                 tile: float | None = None,
                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                hot_tile_rows: int = DEFAULT_HOT_TILE_ROWS) -> CellIndex:
+                hot_tile_rows: int = DEFAULT_HOT_TILE_ROWS,
+                materialize: bool = True) -> CellIndex:
     """Prepare the grid: boxes, rectangle flag, edges, tile side, size estimate.
 
-    The tile side defaults to the median cell extent, so that a cell touches
+    The prepared cells are written once to the checkpoint directory (every
+    spatial operator reads them again) unless ``materialize=False``. The
+    tile side defaults to the median cell extent, so that a cell touches
     about four tiles and a tile about four cells. Two small aggregate jobs
-    run over the grid (tile side, then the cover sizes).
+    run over the prepared cells (tile side, then the cover sizes).
     """
     g = F.col(geom_col)
-    bb = G.bbox(g)
-    rect = G.is_rectangle(g)
-    cells = (grid.where(g.isNotNull())
-             .select(F.col(id_col).alias("grid_id"),
-                     bb["xmin"].alias("cxmin"), bb["ymin"].alias("cymin"),
-                     bb["xmax"].alias("cxmax"), bb["ymax"].alias("cymax"),
-                     rect.alias("is_box"),
-                     F.when(rect, F.lit(None)).otherwise(G.polygon_edges(g)).alias("edges"))
+    boxed = (grid.where(g.isNotNull())
+             .select(F.col(id_col).alias("grid_id"), g.alias("_g"), G.bbox(g).alias("_bb")))
+    bb = F.col("_bb")
+    rect = G.is_rectangle(F.col("_g"), bb)
+    ccw = G.ccw_edges(F.col("_g"))
+    cells = (boxed.select("grid_id", "_g",
+                          bb["xmin"].alias("cxmin"), bb["ymin"].alias("cymin"),
+                          bb["xmax"].alias("cxmax"), bb["ymax"].alias("cymax"),
+                          rect.alias("is_box"))
+             .withColumn("is_convex", ~F.col("is_box") & G.is_convex(F.col("_g"), ccw))
+             .select(*CELL_COLS[:-1],
+                     F.when(F.col("is_box"), F.lit(None))
+                      .when(F.col("is_convex"), ccw)
+                      .otherwise(G.polygon_edges(F.col("_g"))).alias("edges"))
              .where(F.col("cxmin").isNotNull()))
+    if materialize:
+        checkpoint_dir(cells.sparkSession)
+        cells = cells.checkpoint(eager=True)
     if tile is None:
         ext = F.greatest(F.col("cxmax") - F.col("cxmin"), F.col("cymax") - F.col("cymin"))
         row = cells.agg(F.percentile_approx(ext, 0.5).alias("s")).first()
@@ -176,7 +191,9 @@ def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
     j = _tile_join(pts, idx.point_tiles(), idx.point_bytes, idx)
     px, py = F.col("px"), F.col("py")
     in_box = (px > F.col("cxmin")) & (px < F.col("cxmax")) & (py > F.col("cymin")) & (py < F.col("cymax"))
-    inside = F.when(F.col("is_box"), in_box).otherwise(in_box & G.contains_point(F.col("edges"), px, py))
+    inside = in_box & (F.when(F.col("is_box"), F.lit(True))
+                       .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py))
+                       .otherwise(G.contains_point(F.col("edges"), px, py)))
     return j.where(inside).select("grid_id", *keep, "px", "py")
 
 
@@ -186,10 +203,19 @@ def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
 
 def explode_segments(lines: DataFrame, geom_col: str = "geom",
                      keep: list[str] | None = None) -> DataFrame:
-    """One row per segment (x1, y1, x2, y2) of every line part or polygon ring."""
+    """One row per segment (x1, y1, x2, y2) of every line part or polygon ring.
+
+    Parts are exploded first, then consecutive vertices are paired with
+    ``arrays_zip`` of two offset slices (no lambda functions, so the step
+    stays in generated code).
+    """
     keep = keep if keep is not None else [c for c in lines.columns if c != geom_col]
-    return (lines.select(*keep, F.explode(G.segments(F.col(geom_col))).alias("_s"))
-                 .select(*keep, "_s.x1", "_s.y1", "_s.x2", "_s.y2"))
+    parts = lines.select(*keep, F.explode(F.col(geom_col)["parts"]).alias("_p"))
+    m = F.greatest(F.size("_p") - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice("_p", 1, m).alias("a"), F.slice("_p", 2, m).alias("b"))
+    return (parts.select(*keep, F.explode(pairs).alias("_z"))
+                 .select(*keep, F.col("_z.a.x").alias("x1"), F.col("_z.a.y").alias("y1"),
+                         F.col("_z.b.x").alias("x2"), F.col("_z.b.y").alias("y2")))
 
 
 def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
@@ -236,11 +262,18 @@ def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str]) -> DataFrame:
     ky_lo, ky_hi = G.tile_axis_range(y1, dy, F.col("ty"), s)
     t0 = F.greatest(F.lit(0.0), cx_lo, cy_lo, kx_lo, ky_lo)
     t1 = F.least(F.lit(1.0), cx_hi, cy_hi, kx_hi, ky_hi)
-    frac = F.when(F.col("is_box"), F.greatest(t1 - t0, F.lit(0.0))) \
-        .otherwise(G.clipped_fraction_polygon(F.col("edges"), x1, y1, x2, y2, t0, t1))
+    # Parameter range inside the cell's box and the tile, computed once per
+    # pair; general polygons then measure the inside runs within it.
+    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
+                      t0.alias("_t0"), t1.alias("_t1"))
+    r0, r1 = F.col("_t0"), F.col("_t1")
+    frac = (F.when(r1 <= r0, F.lit(0.0))
+            .when(F.col("is_box"), r1 - r0)
+            .when(F.col("is_convex"), G.convex_clip_fraction(F.col("edges"), x1, y1, x2, y2, r0, r1))
+            .otherwise(G.clipped_fraction_polygon(F.col("edges"), x1, y1, x2, y2, r0, r1)))
     piece = frac * G.seg_len(x1, y1, x2, y2)
-    return (j.select("grid_id", *keep, piece.alias("piece_len"))
-             .where(F.col("piece_len") > 0))
+    return (ranged.select("grid_id", *keep, piece.alias("piece_len"))
+                  .where(F.col("piece_len") > 0))
 
 
 def clip_lines_to_cells(idx: CellIndex, lines: DataFrame, geom_col: str = "geom",

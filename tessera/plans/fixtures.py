@@ -17,13 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
+from tessera.sources.layers import spread
 
 GRID_SIDE = 20      # cells per row and column
 CELL = 50.0         # cell side
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _m(c: Column, k: int) -> Column:
@@ -59,6 +60,16 @@ def triangle_grid(spark: SparkSession) -> DataFrame:
     return low.unionByName(up)
 
 
+def l_grid(spark: SparkSession) -> DataFrame:
+    """Each square cell minus its upper-right quarter: concave L-shaped cells, same ids."""
+    sq = grid(spark)
+    xm = (F.col("xmin") + F.col("xmax")) / 2
+    ym = (F.col("ymin") + F.col("ymax")) / 2
+    ring = F.array(G.xy("xmin", "ymin"), G.xy("xmax", "ymin"), G.xy("xmax", ym), G.xy(xm, ym),
+                   G.xy(xm, "ymax"), G.xy("xmin", "ymax"), G.xy("xmin", "ymin"))
+    return sq.select("id", G.polygon_from(F.array(ring)).alias("geom"))
+
+
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """road_id, speed (int, null or 0 for some), two-vertex line from ``orders``."""
     o = table(spark, sf_dir, "orders")

@@ -121,6 +121,24 @@ def _axis(p1: str, d: str, lo: str, hi: str) -> tuple[str, str]:
     return t_lo, t_hi
 
 
+def _axis_open_low(p1: str, d: str, lo: str, hi: str) -> tuple[str, str]:
+    """As :func:`_axis` for the half-open range ``lo < p <= hi`` (differs only when d = 0)."""
+    t_lo, t_hi = _axis(p1, d, lo, hi)
+    inside = f"{p1} > {lo} and {p1} <= {hi}"
+    return (t_lo.replace(f"{p1} between {lo} and {hi}", inside),
+            t_hi.replace(f"{p1} between {lo} and {hi}", inside))
+
+
+def clip_len_quarter(c: str = "g", s: str = "s") -> str:
+    """Length of segment ``s`` in the upper-right quarter ``(xmid, xmax] x (ymid, ymax]`` of box ``c``."""
+    x1, y1, x2, y2 = (f"{s}.{n}" for n in ("x1", "y1", "x2", "y2"))
+    dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
+    xl, xh = _axis_open_low(x1, dx, f"(({c}.xmin + {c}.xmax) / 2)", f"{c}.xmax")
+    yl, yh = _axis_open_low(y1, dy, f"(({c}.ymin + {c}.ymax) / 2)", f"{c}.ymax")
+    return (f"greatest(least(1e0, {xh}, {yh}) - greatest(0e0, {xl}, {yl}), 0e0) "
+            f"* sqrt({dx} * {dx} + {dy} * {dy})")
+
+
 def _half_plane(a: str, b: str) -> tuple[str, str]:
     """Parameter range of a + t*b >= 0."""
     t_lo = f"case when {b} > 0 then -({a}) / {b} when {b} = 0 then (case when {a} >= 0 then -{BIG} else {BIG} end) else -{BIG} end"
@@ -290,6 +308,16 @@ def _polygon_cells() -> str:
               "from p where speed is not null and speed > 0 and seg_len > 0 group by 1, 2")
 
 
+def _concave_cells() -> str:
+    # Square minus quarter: the difference of two lengths leaves float residue
+    # (~1e-13) where the true length is 0, hence the small positive threshold.
+    pairs = (f"p as (select g.id as grid_id, s.*, {clip_len('g', 's')} - {clip_len_quarter('g', 's')} "
+             f"as seg_len from grid g join roads s on {_overlap('g', 's')})")
+    return (_with("grid", "roads", extra=[pairs])
+            + "select grid_id, cast(speed as varchar) as speed_str, round(sum(seg_len), 6) as total_length "
+              "from p where speed is not null and speed > 0 and seg_len > 1e-9 group by 1, 2")
+
+
 def _profile() -> str:
     def line(name, src, where=""):
         return (f"select '{name}' as layer, count(*) as rows, cast(0 as bigint) as null_geom, "
@@ -409,6 +437,7 @@ SQL: dict[str, str] = {
     "split_assignment": _features_with(
         f"select grid_id, crash_count, {_split_fraction('grid_id')} < 0.8 as is_train from ft"),
     "polygon_cells": _polygon_cells(),
+    "concave_cells": _concave_cells(),
     "geojson_parse": _variants(),
     "wkb_roundtrip": _variants(),
     "geojson_convert": (_with("guardrails")

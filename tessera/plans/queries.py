@@ -83,11 +83,17 @@ def clip_segments(spark, sf_dir):
 
 
 def polygon_cells(spark, sf_dir):
-    """Road length per triangular cell and speed: the general-polygon path."""
+    """Road length per triangular cell and speed: the convex-polygon path."""
     idx = sj.index_cells(fx.triangle_grid(spark), "id", "geom")
     return rounded(ft.road_speed_long(idx, fx.roads(spark, sf_dir), "speed"))
 
 
+def concave_cells(spark, sf_dir):
+    """Road length per L-shaped cell and speed: the even-odd path for non-convex cells."""
+    idx = sj.index_cells(fx.l_grid(spark), "id", "geom")
+    return rounded(ft.road_speed_long(idx, fx.roads(spark, sf_dir), "speed"))
+
+
 # --------------------------------------------------------------------------
 # point features
 # --------------------------------------------------------------------------
@@ -256,6 +262,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_audit": label_audit,
     "split_assignment": split_assignment,
     "polygon_cells": polygon_cells,
+    "concave_cells": concave_cells,
     "geojson_parse": geojson_parse,
     "geojson_convert": geojson_convert,
     "wkb_roundtrip": wkb_roundtrip,

@@ -38,6 +38,22 @@ class MissingGeometryError(ValueError):
     pass
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    Parquet splits by row group, so a small file with one row group is read
+    by one task and everything downstream (segment explode, clipping) would
+    run on one core. Only then are rows dealt round-robin over
+    ``defaultParallelism`` partitions; a large input already has more splits
+    than cores and is left alone (no shuffle). Call it on scans (plans
+    without an exchange), where counting partitions runs nothing.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def resolve_geometry(df: DataFrame, path: str = "<dataframe>") -> DataFrame:
     """Ensure a GEOMETRY ``geom`` column: keep ``geom``, else decode WKB ``geometry``."""
     cols = df.columns
@@ -51,7 +67,7 @@ def resolve_geometry(df: DataFrame, path: str = "<dataframe>") -> DataFrame:
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return resolve_geometry(spark.read.parquet(path), path)
+    return resolve_geometry(spread(spark.read.parquet(path)), path)
 
 
 def load_layers(spark: SparkSession, base: str,
