@@ -23,6 +23,9 @@ Semantics follow the usual planar predicates:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +48,24 @@ INF = float("inf")
 EPS = 1e-9
 
 
+_MEMO: dict = {}
+
+
+def memo(key: tuple, build: Callable[[], object]):
+    """Build a (tuple of) Column expression(s) once per SparkContext.
+
+    Columns are immutable expression trees, reusable in any DataFrame of the
+    same JVM. The large clipping and cell-shape expressions take thousands
+    of Py4J calls to build, so the operators build them once per parameter
+    set (column names, tile side) instead of once per query.
+    """
+    sc = SparkContext._active_spark_context
+    k = (id(sc._jsc) if sc is not None else None,) + tuple(key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
 def _c(v) -> Column:
     if isinstance(v, Column):
         return v

@@ -91,6 +91,18 @@ class CellIndex:
                                                         F.floor(F.col("cymax") / s)))))
 
 
+def _cell_shape_columns():
+    """(is_box, is_convex, edges, bbox) over the columns ``_g``, ``_bb``, ``is_box``, ``is_convex``."""
+    g = F.col("_g")
+    rect = G.is_rectangle(g, F.col("_bb"))
+    ccw = G.ccw_edges(g)
+    convex = ~F.col("is_box") & G.is_convex(g, ccw)
+    edges = (F.when(F.col("is_box"), F.lit(None))
+             .when(F.col("is_convex"), ccw)
+             .otherwise(G.polygon_edges(g)))
+    return rect, convex, edges, G.bbox(g)
+
+
 def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
                 tile: float | None = None,
                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
@@ -105,21 +117,18 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
     run over the prepared cells (tile side, then the cover sizes).
     """
     g = F.col(geom_col)
-    boxed = (grid.where(g.isNotNull())
-             .select(F.col(id_col).alias("grid_id"), g.alias("_g"), G.bbox(g).alias("_bb")))
-    bb = F.col("_bb")
-    rect = G.is_rectangle(F.col("_g"), bb)
-    ccw = G.ccw_edges(F.col("_g"))
-    cells = (boxed.select("grid_id", "_g",
-                          bb["xmin"].alias("cxmin"), bb["ymin"].alias("cymin"),
-                          bb["xmax"].alias("cxmax"), bb["ymax"].alias("cymax"),
-                          rect.alias("is_box"))
-             .withColumn("is_convex", ~F.col("is_box") & G.is_convex(F.col("_g"), ccw))
-             .select(*CELL_COLS[:-1],
-                     F.when(F.col("is_box"), F.lit(None))
-                      .when(F.col("is_convex"), ccw)
-                      .otherwise(G.polygon_edges(F.col("_g"))).alias("edges"))
-             .where(F.col("cxmin").isNotNull()))
+    shape_box, shape_convex, shape_edges, bbox_col = G.memo(("cell_shape",), _cell_shape_columns)
+    box_cols = ["cxmin", "cymin", "cxmax", "cymax"]
+    cells = (grid.where(g.isNotNull())
+             .select(F.col(id_col).alias("grid_id"), g.alias("_g"))
+             .select("grid_id", "_g", bbox_col.alias("_bb"))
+             .select("grid_id", "_g",
+                     F.col("_bb.xmin").alias("cxmin"), F.col("_bb.ymin").alias("cymin"),
+                     F.col("_bb.xmax").alias("cxmax"), F.col("_bb.ymax").alias("cymax"),
+                     shape_box.alias("is_box"))
+             .where(F.col("cxmin").isNotNull())
+             .select("grid_id", "_g", *box_cols, "is_box", shape_convex.alias("is_convex"))
+             .select("grid_id", *box_cols, "is_box", "is_convex", shape_edges.alias("edges")))
     if materialize:
         checkpoint_dir(cells.sparkSession)
         cells = cells.checkpoint(eager=True)
@@ -172,6 +181,16 @@ def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
 # points
 # --------------------------------------------------------------------------
 
+def _point_columns(s: float):
+    """(tx, ty, inside) for columns px, py and the cell columns."""
+    px, py = F.col("px"), F.col("py")
+    in_box = (px > F.col("cxmin")) & (px < F.col("cxmax")) & (py > F.col("cymin")) & (py < F.col("cymax"))
+    inside = in_box & (F.when(F.col("is_box"), F.lit(True))
+                       .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py))
+                       .otherwise(G.contains_point(F.col("edges"), px, py)))
+    return F.floor(px / s), F.floor(py / s), inside
+
+
 def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
                     keep: list[str] | None = None) -> DataFrame:
     """Pairs (cell, point) with the point strictly inside the cell.
@@ -181,19 +200,13 @@ def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
     is in no cell; a point in overlapping cells is in each. Multi-points
     count once per member point.
     """
-    s = idx.tile
+    tx, ty, inside = G.memo(("points", idx.tile), lambda: _point_columns(idx.tile))
     keep = keep if keep is not None else [c for c in points.columns if c != geom_col]
     pts = (points.select(*keep, F.explode(G.vertices(F.col(geom_col))).alias("_p"))
                  .select(*keep, F.col("_p.x").alias("px"), F.col("_p.y").alias("py"))
                  .where(F.col("px").isNotNull() & F.col("py").isNotNull())
-                 .withColumn("tx", F.floor(F.col("px") / s))
-                 .withColumn("ty", F.floor(F.col("py") / s)))
+                 .select(*keep, "px", "py", tx.alias("tx"), ty.alias("ty")))
     j = _tile_join(pts, idx.point_tiles(), idx.point_bytes, idx)
-    px, py = F.col("px"), F.col("py")
-    in_box = (px > F.col("cxmin")) & (px < F.col("cxmax")) & (py > F.col("cymin")) & (py < F.col("cymax"))
-    inside = in_box & (F.when(F.col("is_box"), F.lit(True))
-                       .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py))
-                       .otherwise(G.contains_point(F.col("edges"), px, py)))
     return j.where(inside).select("grid_id", *keep, "px", "py")
 
 
@@ -218,18 +231,12 @@ def explode_segments(lines: DataFrame, geom_col: str = "geom",
                          F.col("_z.b.x").alias("x2"), F.col("_z.b.y").alias("y2")))
 
 
-def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
-    """Add (tx, ty) for every half-open tile a segment passes through.
-
-    Column walk: for each tile column in the segment's x range, the y range
-    of the segment inside that column gives its tile rows.
-    """
-    s = tile
+def _segment_tile_columns(s: float):
+    """(column range, row range for column tx) of the tiles a segment passes through."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx = x2 - x1
     dy = y2 - y1
     seq_x = F.sequence(F.floor(F.least(x1, x2) / s), F.floor(F.greatest(x1, x2) / s))
-    out = segs.withColumn("tx", F.explode(seq_x))
     tx = F.col("tx")
     ta = (tx * s - x1) / G.nonzero(dx)
     tb = ((tx + 1) * s - x1) / G.nonzero(dx)
@@ -238,21 +245,24 @@ def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
     ya = F.when(dx == 0, F.least(y1, y2)).otherwise(y1 + t_lo * dy)
     yb = F.when(dx == 0, F.greatest(y1, y2)).otherwise(y1 + t_hi * dy)
     slack = COVER_SLACK * s
-    ylo = F.least(ya, yb) - slack
-    yhi = F.greatest(ya, yb) + slack
-    ty0 = F.floor(ylo / s)
-    ty1 = F.greatest(F.floor(yhi / s), ty0)
-    return out.withColumn("ty", F.explode(F.sequence(ty0, ty1)))
+    ty0 = F.floor((F.least(ya, yb) - slack) / s)
+    ty1 = F.greatest(F.floor((F.greatest(ya, yb) + slack) / s), ty0)
+    return seq_x, F.sequence(ty0, ty1)
 
 
-def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str]) -> DataFrame:
-    """Join segments with cells and measure each piece ``segment AND cell AND tile``.
+def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
+    """Add (tx, ty) for every half-open tile a segment passes through.
 
-    Returns ``grid_id``, the ``keep`` columns and ``piece_len`` (> 0 only).
+    Column walk: for each tile column in the segment's x range, the y range
+    of the segment inside that column gives its tile rows.
     """
-    s = idx.tile
-    tiled = segment_tiles(segs, s)
-    j = _tile_join(tiled, idx.line_tiles(), idx.line_bytes, idx)
+    seq_x, seq_y = G.memo(("segment_tiles", tile), lambda: _segment_tile_columns(tile))
+    return (segs.withColumn("tx", F.explode(seq_x))
+                .withColumn("ty", F.explode(seq_y)))
+
+
+def _clip_columns(s: float):
+    """(t0, t1, piece length) for a joined (segment, cell, tile) row."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx = x2 - x1
     dy = y2 - y1
@@ -262,16 +272,26 @@ def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str]) -> DataFrame:
     ky_lo, ky_hi = G.tile_axis_range(y1, dy, F.col("ty"), s)
     t0 = F.greatest(F.lit(0.0), cx_lo, cy_lo, kx_lo, ky_lo)
     t1 = F.least(F.lit(1.0), cx_hi, cy_hi, kx_hi, ky_hi)
-    # Parameter range inside the cell's box and the tile, computed once per
-    # pair; general polygons then measure the inside runs within it.
-    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
-                      t0.alias("_t0"), t1.alias("_t1"))
     r0, r1 = F.col("_t0"), F.col("_t1")
     frac = (F.when(r1 <= r0, F.lit(0.0))
             .when(F.col("is_box"), r1 - r0)
             .when(F.col("is_convex"), G.convex_clip_fraction(F.col("edges"), x1, y1, x2, y2, r0, r1))
             .otherwise(G.clipped_fraction_polygon(F.col("edges"), x1, y1, x2, y2, r0, r1)))
-    piece = frac * G.seg_len(x1, y1, x2, y2)
+    return t0, t1, frac * G.seg_len(x1, y1, x2, y2)
+
+
+def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str]) -> DataFrame:
+    """Join segments with cells and measure each piece ``segment AND cell AND tile``.
+
+    Returns ``grid_id``, the ``keep`` columns and ``piece_len`` (> 0 only).
+    The parameter range inside the cell's box and the tile is computed once
+    per pair; convex and general polygons then measure within it.
+    """
+    t0, t1, piece = G.memo(("clip", idx.tile), lambda: _clip_columns(idx.tile))
+    tiled = segment_tiles(segs, idx.tile)
+    j = _tile_join(tiled, idx.line_tiles(), idx.line_bytes, idx)
+    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
+                      t0.alias("_t0"), t1.alias("_t1"))
     return (ranged.select("grid_id", *keep, piece.alias("piece_len"))
                   .where(F.col("piece_len") > 0))
 

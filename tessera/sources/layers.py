@@ -50,7 +50,10 @@ def spread(df: DataFrame) -> DataFrame:
     """
     par = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
+        # Hash on a row number: balanced even for many identical rows, and,
+        # unlike round-robin, needs no sort to stay deterministic on retry.
+        return (df.withColumn("_spread", F.monotonically_increasing_id())
+                  .repartition(par, "_spread").drop("_spread"))
     return df
 
 
