@@ -161,6 +161,10 @@ def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
     """Equi-join items and cells on (tx, ty): broadcast if checked small, else salted shuffle."""
     if est_bytes <= idx.broadcast_bytes:
         return items.join(F.broadcast(cell_tiles), ["tx", "ty"])
+    if items.isStreaming:
+        # Stream-static join: the per-tile count that finds hot tiles would be
+        # a streaming aggregation, so streams use the plain shuffled join.
+        return items.join(cell_tiles, ["tx", "ty"])
     hot_rows = idx.hot_tile_rows
     # Per-tile item counts: partial aggregation before the shuffle, one row per tile.
     hot = (items.groupBy("tx", "ty").count()

@@ -1 +1,5 @@
-"""streaming."""
+"""Streaming: the point-count operator over a stream of point files."""
+
+from tessera.streaming.counts import point_count_stream, start_point_counts
+
+__all__ = ["point_count_stream", "start_point_counts"]

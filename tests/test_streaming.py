@@ -1,0 +1,34 @@
+"""Running point counts over a stream of files equal the batch counts."""
+
+import os
+
+from conftest import boxes, points
+from pyspark.sql import functions as F
+
+from tessera.operators import features as ft
+from tessera.operators import spatial_join as sj
+from tessera.sources import layers as ly
+from tessera.streaming import start_point_counts
+
+
+def test_stream_counts_match_batch(spark, tmp_dir):
+    grid = boxes(spark, [(1, 0.0, 0.0, 10.0, 10.0), (2, 10.0, 0.0, 20.0, 10.0)])
+    idx = sj.index_cells(grid)
+    src = os.path.join(tmp_dir, "incoming")
+    first = points(spark, [(1, 5.0, 5.0, "a"), (2, 15.0, 5.0, "a"), (3, 10.0, 5.0, "b")], "kind string")
+    second = points(spark, [(4, 6.0, 6.0, "b"), (5, 7.0, 7.0, "a")], "kind string")
+    ly.write_layer(first, os.path.join(src, "batch1"))
+    schema = spark.read.parquet(os.path.join(src, "batch1")).schema
+    q = start_point_counts(spark, idx, os.path.join(src, "*"), schema, category=F.col("kind"),
+                           query_name="test_cell_counts")
+    try:
+        q.processAllAvailable()
+        ly.write_layer(second, os.path.join(src, "batch2"))
+        q.processAllAvailable()
+        got = spark.sql("select grid_id, category, max(count) as n from test_cell_counts "
+                        "group by grid_id, category").collect()
+    finally:
+        q.stop()
+    batch = ft.count_by_category(idx, first.unionByName(second), F.col("kind")).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in batch)
+    assert sorted(tuple(r) for r in got) == [(1, "a", 2), (1, "b", 1), (2, "a", 1)]
