@@ -55,8 +55,37 @@ def normalize_code(raw: Column) -> Column:
     return F.translate(raw, "-", "_")
 
 
+def _rule_pattern() -> tuple[str, dict[str, str]]:
+    """One anchored alternation in rule order, and matched text -> group.
+
+    Java regex alternation tries alternatives left to right, so the first
+    rule (in table order) that matches at the start of the code wins, as in
+    an ordered chain of tests. Prefix rules match their literal prefix;
+    "equals" rules must match the whole code.
+    """
+    alts: list[str] = []
+    lookup: dict[str, str] = {}
+    for group, kind, values in SIGN_GROUP_RULES:
+        for v in values:
+            alts.append(r"\Q" + v + r"\E" + ("$" if kind == "equals" else ""))
+            lookup.setdefault(v, group)
+    return "^(?:" + "|".join(alts) + ")", lookup
+
+
 def sign_group(code: Column) -> Column:
-    """Ordered rule chain; null when no rule matches."""
+    """First matching rule's group; null when no rule matches.
+
+    One regular-expression match and one map lookup per row: compact enough
+    to stay compiled when the optimizer pushes ``sign_group IS NOT NULL``
+    into the scan.
+    """
+    pattern, lookup = _rule_pattern()
+    table = F.create_map(*[F.lit(x) for kv in lookup.items() for x in kv])
+    return F.when(code.isNotNull(), F.try_element_at(table, F.regexp_extract(code, pattern, 0)))
+
+
+def sign_group_chain(code: Column) -> Column:
+    """The same rules as an explicit ``CASE WHEN`` chain (reference for tests)."""
     expr = None
     for group, kind, values in SIGN_GROUP_RULES:
         if kind == "prefix":

@@ -18,7 +18,7 @@ loop, and the join partitions by tile.
   both cells) - again without a de-duplication shuffle.
 
 Join strategy. The cell side is broadcast only after a measured size check
-(row count and vertex count of its tile cover against
+(an upper bound of the rows and edges of its tile cover against
 ``broadcast_bytes``). Above the limit the join is a shuffled equi-join in
 which *hot tiles* - tiles holding more than ``hot_tile_rows`` items - are
 salted: their items are spread round-robin over ``ceil(count / hot_tile_rows)``
@@ -32,11 +32,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
-from tessera.session import checkpoint_dir
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_HOT_TILE_ROWS = 2_000_000
@@ -110,11 +110,12 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
                 materialize: bool = True) -> CellIndex:
     """Prepare the grid: boxes, rectangle flag, edges, tile side, size estimate.
 
-    The prepared cells are written once to the checkpoint directory (every
-    spatial operator reads them again) unless ``materialize=False``. The
-    tile side defaults to the median cell extent, so that a cell touches
-    about four tiles and a tile about four cells. Two small aggregate jobs
-    run over the prepared cells (tile side, then the cover sizes).
+    The prepared cells are persisted (every spatial operator reads them
+    again) unless ``materialize=False``. The tile side defaults to the median
+    cell extent, so that a cell touches about four tiles and a tile about
+    four cells. One aggregate job over the cells gives the tile side and an
+    upper bound of the size of both tile covers, which decides broadcast
+    versus shuffled join.
     """
     g = F.col(geom_col)
     shape_box, shape_convex, shape_edges, bbox_col = G.memo(("cell_shape",), _cell_shape_columns)
@@ -130,30 +131,30 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
              .select("grid_id", "_g", *box_cols, "is_box", shape_convex.alias("is_convex"))
              .select("grid_id", *box_cols, "is_box", "is_convex", shape_edges.alias("edges")))
     if materialize:
-        checkpoint_dir(cells.sparkSession)
-        cells = cells.checkpoint(eager=True)
+        # Kept for every later join; recomputed from the grid if an executor is lost.
+        cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    # One job: tile side and the moments that bound both tile covers for any
+    # side s, since a cell of size w x h touches at most (w/s + 2)(h/s + 2) tiles.
+    w = F.col("cxmax") - F.col("cxmin")
+    h = F.col("cymax") - F.col("cymin")
+    e = F.coalesce(F.size("edges"), F.lit(0)).cast("double")
+    st = cells.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("s"),
+                   F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("wh"), F.sum(w + h).alias("wph"),
+                   F.sum(e).alias("e"), F.sum(e * w * h).alias("ewh"), F.sum(e * (w + h)).alias("ewph")).first()
     if tile is None:
-        ext = F.greatest(F.col("cxmax") - F.col("cxmin"), F.col("cymax") - F.col("cymin"))
-        row = cells.agg(F.percentile_approx(ext, 0.5).alias("s")).first()
-        tile = float(row["s"]) if row and row["s"] else 1.0
+        tile = float(st["s"]) if st["s"] else 1.0
         if not math.isfinite(tile) or tile <= 0:
             tile = 1.0
-    idx = CellIndex(cells, float(tile), 0, 0, broadcast_bytes, hot_tile_rows)
-    s = idx.tile
-    n_edges = F.coalesce(F.size("edges"), F.lit(0))
-    pt_tiles = ((F.greatest(F.ceil(F.col("cxmax") / s) - 1, F.floor(F.col("cxmin") / s))
-                 - F.floor(F.col("cxmin") / s) + 1)
-                * (F.greatest(F.ceil(F.col("cymax") / s) - 1, F.floor(F.col("cymin") / s))
-                   - F.floor(F.col("cymin") / s) + 1))
-    ln_tiles = ((F.floor(F.col("cxmax") / s) - F.floor(F.col("cxmin") / s) + 1)
-                * (F.floor(F.col("cymax") / s) - F.floor(F.col("cymin") / s) + 1))
-    st = cells.agg(
-        F.sum(pt_tiles * (F.lit(ROW_BYTES) + n_edges * EDGE_BYTES)).alias("pb"),
-        F.sum(ln_tiles * (F.lit(ROW_BYTES) + n_edges * EDGE_BYTES)).alias("lb"),
-    ).first()
-    idx.point_bytes = int(st["pb"] or 0)
-    idx.line_bytes = int(st["lb"] or 0)
-    return idx
+    s = float(tile)
+    n = st["n"] or 0
+
+    def bound(scale_rows, scale_edges):
+        tiles = (st["wh"] or 0) / s ** 2 + 2 * (st["wph"] or 0) / s + 4 * n
+        edge_tiles = (st["ewh"] or 0) / s ** 2 + 2 * (st["ewph"] or 0) / s + 4 * (st["e"] or 0)
+        return int(scale_rows * tiles + scale_edges * edge_tiles)
+
+    est = bound(ROW_BYTES, EDGE_BYTES)
+    return CellIndex(cells, s, est, est, broadcast_bytes, hot_tile_rows)
 
 
 def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,

@@ -155,3 +155,14 @@ def test_registered_query_matches_oracle_at_sf0001(spark, name):
     idx = [o.columns.index(c) for c in cols]
     theirs = sorted(tuple(r[i] for i in idx) for r in o.fetchall())
     assert mine == theirs
+
+
+def test_sign_group_regex_equals_rule_chain(spark):
+    from tessera.plans.fixtures import SIGN_TEXTS
+    extra = ["W1_8___CHEVRON_ALIGNMENT", "W13_", "W1", "R15_1", "R15_1_", "OM", "O", "S5_", "R9_5_", "W11_X",
+             "w1_2", "R2_*", "R1.1", "\\Q", "W1_8___CHEVRON_ALIGNMENTX"]
+    df = spark.createDataFrame([(c,) for c in SIGN_TEXTS + extra], "c string")
+    code = signs.normalize_code(F.col("c"))
+    rows = df.select(signs.sign_group(code).alias("a"), signs.sign_group_chain(code).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows)
+    assert sum(r["a"] is not None for r in rows) > 20
