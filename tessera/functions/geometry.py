@@ -388,3 +388,42 @@ def convex_clip_fraction(edges: Column, x1: Column, y1: Column, x2: Column, y2:
 
     r = F.aggregate(edges, F.struct(t0.alias("lo"), t1.alias("hi")), step)
     return F.greatest(r["hi"] - r["lo"], F.lit(0.0))
+
+
+# Convex cells with at most this many edges use the unrolled forms below,
+# which stay in generated code (lambda functions are interpreted).
+UNROLL_EDGES = 8
+
+
+def _half_plane_range(e: Column, x1: Column, y1: Column, dx: Column, dy: Column) -> tuple[Column, Column]:
+    """Parameter range of the segment left of (or on) edge ``e``; nulls for a missing edge."""
+    a = _edge_cross(e, x1, y1)
+    b = (e["x2"] - e["x1"]) * dy - (e["y2"] - e["y1"]) * dx
+    keep = a >= -_edge_tol(e, x1, y1)
+    lo = F.when(b > 0, -a / nonzero(b)).when(b == 0, F.when(keep, F.lit(-INF)).otherwise(F.lit(INF)))
+    hi = F.when(b < 0, -a / nonzero(b)).when(b == 0, F.when(keep, F.lit(INF)).otherwise(F.lit(-INF)))
+    return lo, hi
+
+
+def convex_clip_fraction_unrolled(edges: Column, x1: Column, y1: Column, x2: Column, y2: Column,
+                                  t0: Column, t1: Column, k: int = UNROLL_EDGES) -> Column:
+    """:func:`convex_clip_fraction` for polygons of at most ``k`` edges, without lambdas."""
+    dx = x2 - x1
+    dy = y2 - y1
+    los, his = [t0], [t1]
+    for i in range(k):
+        lo, hi = _half_plane_range(F.get(edges, i), x1, y1, dx, dy)
+        los.append(lo)
+        his.append(hi)
+    return F.greatest(F.least(*his) - F.greatest(*los), F.lit(0.0))
+
+
+def convex_contains_point_unrolled(edges: Column, px, py, k: int = UNROLL_EDGES) -> Column:
+    """:func:`convex_contains_point` for polygons of at most ``k`` edges, without lambdas."""
+    px, py = _d(px), _d(py)
+    cond = None
+    for i in range(k):
+        e = F.get(edges, i)
+        c = e.isNull() | (_edge_cross(e, px, py) > _edge_tol(e, px, py))
+        cond = c if cond is None else cond & c
+    return cond

@@ -48,7 +48,8 @@ EDGE_BYTES = 40
 # zero-length candidates).
 COVER_SLACK = 1e-9
 
-CELL_COLS = ["grid_id", "cxmin", "cymin", "cxmax", "cymax", "is_box", "is_convex", "edges"]
+CELL_COLS = ["grid_id", "cxmin", "cymin", "cxmax", "cymax", "is_box", "is_convex", "edges",
+             "gx1", "gy1", "gx2", "gy2"]
 
 
 @dataclass
@@ -69,6 +70,7 @@ class CellIndex:
     line_bytes: int
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     hot_tile_rows: int = DEFAULT_HOT_TILE_ROWS
+    has_general: bool = True
 
     def point_tiles(self) -> DataFrame:
         """Cells exploded over the tiles their interior touches."""
@@ -91,6 +93,10 @@ class CellIndex:
                                                         F.floor(F.col("cymax") / s)))))
 
 
+def _field(name: str):
+    return lambda e: e[name]
+
+
 def _cell_shape_columns():
     """(is_box, is_convex, edges, bbox) over the columns ``_g``, ``_bb``, ``is_box``, ``is_convex``."""
     g = F.col("_g")
@@ -129,7 +135,10 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
                      shape_box.alias("is_box"))
              .where(F.col("cxmin").isNotNull())
              .select("grid_id", "_g", *box_cols, "is_box", shape_convex.alias("is_convex"))
-             .select("grid_id", *box_cols, "is_box", "is_convex", shape_edges.alias("edges")))
+             .select("grid_id", *box_cols, "is_box", "is_convex", shape_edges.alias("edges"))
+             .select("*", *[F.when(~F.col("is_box") & ~F.col("is_convex"),
+                                   F.transform("edges", _field(f))).alias(name)
+                            for name, f in (("gx1", "x1"), ("gy1", "y1"), ("gx2", "x2"), ("gy2", "y2"))]))
     if materialize:
         # Kept for every later join; recomputed from the grid if an executor is lost.
         cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
@@ -140,7 +149,8 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
     e = F.coalesce(F.size("edges"), F.lit(0)).cast("double")
     st = cells.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("s"),
                    F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("wh"), F.sum(w + h).alias("wph"),
-                   F.sum(e).alias("e"), F.sum(e * w * h).alias("ewh"), F.sum(e * (w + h)).alias("ewph")).first()
+                   F.sum(e).alias("e"), F.sum(e * w * h).alias("ewh"), F.sum(e * (w + h)).alias("ewph"),
+                   F.sum((~F.col("is_box") & ~F.col("is_convex")).cast("long")).alias("general")).first()
     if tile is None:
         tile = float(st["s"]) if st["s"] else 1.0
         if not math.isfinite(tile) or tile <= 0:
@@ -153,8 +163,9 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
         edge_tiles = (st["ewh"] or 0) / s ** 2 + 2 * (st["ewph"] or 0) / s + 4 * (st["e"] or 0)
         return int(scale_rows * tiles + scale_edges * edge_tiles)
 
-    est = bound(ROW_BYTES, EDGE_BYTES)
-    return CellIndex(cells, s, est, est, broadcast_bytes, hot_tile_rows)
+    # General cells also carry their edges as four coordinate arrays.
+    est = bound(ROW_BYTES, EDGE_BYTES * (2 if st["general"] else 1))
+    return CellIndex(cells, s, est, est, broadcast_bytes, hot_tile_rows, bool(st["general"]))
 
 
 def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
@@ -190,7 +201,10 @@ def _point_columns(s: float):
     """(tx, ty, inside) for columns px, py and the cell columns."""
     px, py = F.col("px"), F.col("py")
     in_box = (px > F.col("cxmin")) & (px < F.col("cxmax")) & (py > F.col("cymin")) & (py < F.col("cymax"))
+    small = F.size("edges") <= G.UNROLL_EDGES
     inside = in_box & (F.when(F.col("is_box"), F.lit(True))
+                       .when(F.col("is_convex") & small,
+                             G.convex_contains_point_unrolled(F.col("edges"), px, py))
                        .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py))
                        .otherwise(G.contains_point(F.col("edges"), px, py)))
     return F.floor(px / s), F.floor(py / s), inside
@@ -267,7 +281,7 @@ def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
 
 
 def _clip_columns(s: float):
-    """(t0, t1, piece length) for a joined (segment, cell, tile) row."""
+    """(t0, t1, fraction for boxes and convex cells, segment length) of a joined row."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx = x2 - x1
     dy = y2 - y1
@@ -278,11 +292,11 @@ def _clip_columns(s: float):
     t0 = F.greatest(F.lit(0.0), cx_lo, cy_lo, kx_lo, ky_lo)
     t1 = F.least(F.lit(1.0), cx_hi, cy_hi, kx_hi, ky_hi)
     r0, r1 = F.col("_t0"), F.col("_t1")
-    frac = (F.when(r1 <= r0, F.lit(0.0))
-            .when(F.col("is_box"), r1 - r0)
-            .when(F.col("is_convex"), G.convex_clip_fraction(F.col("edges"), x1, y1, x2, y2, r0, r1))
-            .otherwise(G.clipped_fraction_polygon(F.col("edges"), x1, y1, x2, y2, r0, r1)))
-    return t0, t1, frac * G.seg_len(x1, y1, x2, y2)
+    frac = (F.when(F.col("is_box"), r1 - r0)
+            .when(F.col("is_convex") & (F.size("edges") <= G.UNROLL_EDGES),
+                  G.convex_clip_fraction_unrolled(F.col("edges"), x1, y1, x2, y2, r0, r1))
+            .when(F.col("is_convex"), G.convex_clip_fraction(F.col("edges"), x1, y1, x2, y2, r0, r1)))
+    return t0, t1, frac, G.seg_len(x1, y1, x2, y2)
 
 
 def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str]) -> DataFrame:
@@ -290,14 +304,21 @@ def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str]) -> DataFrame:
 
     Returns ``grid_id``, the ``keep`` columns and ``piece_len`` (> 0 only).
     The parameter range inside the cell's box and the tile is computed once
-    per pair; convex and general polygons then measure within it.
+    per pair and pairs with an empty range are dropped; boxes and convex
+    cells are measured with column arithmetic, other polygons by the
+    Arrow-batched even-odd UDF (planned only when the grid has such cells).
     """
-    t0, t1, piece = G.memo(("clip", idx.tile), lambda: _clip_columns(idx.tile))
+    t0, t1, frac, length = G.memo(("clip", idx.tile), lambda: _clip_columns(idx.tile))
     tiled = segment_tiles(segs, idx.tile)
     j = _tile_join(tiled, idx.line_tiles(), idx.line_bytes, idx)
-    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
-                      t0.alias("_t0"), t1.alias("_t1"))
-    return (ranged.select("grid_id", *keep, piece.alias("piece_len"))
+    ranged = (j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
+                       "gx1", "gy1", "gx2", "gy2", t0.alias("_t0"), t1.alias("_t1"))
+               .where(F.col("_t1") > F.col("_t0")))
+    if idx.has_general:
+        from tessera.functions.polygon_udf import general_fraction
+        frac = F.coalesce(frac, general_fraction(*[F.col(c) for c in (
+            "x1", "y1", "x2", "y2", "_t0", "_t1", "gx1", "gy1", "gx2", "gy2")]))
+    return (ranged.select("grid_id", *keep, (frac * length).alias("piece_len"))
                   .where(F.col("piece_len") > 0))
 
 
