@@ -11,11 +11,15 @@ loop, and the join partitions by tile.
   no pair repeats and no de-duplication is needed.
 * **Lines** are cut into segments; each segment lists the tiles it crosses,
   walking column by column (cost grows with length, not with the area of
-  its box). A cell lists every tile its closed extent touches. The piece of
-  a segment counted in a tile is its part inside ``cell AND tile``; the
-  half-open tiles partition the segment, so summing pieces gives the exact
-  clipped length, including lines lying on a shared cell border (counted in
-  both cells) - again without a de-duplication shuffle.
+  its box). The piece of a segment counted in a tile is its part inside
+  ``cell AND tile``; the half-open tiles partition the segment, so summing
+  pieces gives the exact clipped length without a de-duplication shuffle.
+  Cells list only the tiles their interior touches (one tile per cell when
+  cells and tiles align). The one piece this misses - a vertical or
+  horizontal segment lying on a tile boundary that is also a cell's right
+  or top border - is caught by a flagged copy of the segment in the tile
+  to the left or below, counted only for cells whose border it lies on; so
+  a line on a shared border counts in both cells.
 
 Join strategy. The cell side is broadcast only after a measured size check
 (an upper bound of the rows and edges of its tile cover against
@@ -72,8 +76,13 @@ class CellIndex:
     hot_tile_rows: int = DEFAULT_HOT_TILE_ROWS
     has_general: bool = True
 
-    def point_tiles(self) -> DataFrame:
-        """Cells exploded over the tiles their interior touches."""
+    def tiles(self) -> DataFrame:
+        """Cells exploded over the tiles their interior touches.
+
+        Used for points and lines alike; lines lying exactly on a tile
+        boundary that is also a cell's right or top border get an extra row
+        in the neighbouring tile (see :func:`segment_tiles`).
+        """
         s = self.tile
         c = self.cells
         tx0 = F.floor(F.col("cxmin") / s)
@@ -83,14 +92,8 @@ class CellIndex:
         return (c.withColumn("tx", F.explode(F.sequence(tx0, tx1)))
                  .withColumn("ty", F.explode(F.sequence(ty0, ty1))))
 
-    def line_tiles(self) -> DataFrame:
-        """Cells exploded over every tile their closed extent touches."""
-        s = self.tile
-        c = self.cells
-        return (c.withColumn("tx", F.explode(F.sequence(F.floor(F.col("cxmin") / s),
-                                                        F.floor(F.col("cxmax") / s))))
-                 .withColumn("ty", F.explode(F.sequence(F.floor(F.col("cymin") / s),
-                                                        F.floor(F.col("cymax") / s)))))
+    point_tiles = tiles
+    line_tiles = tiles
 
 
 def _field(name: str):
@@ -251,7 +254,7 @@ def explode_segments(lines: DataFrame, geom_col: str = "geom",
 
 
 def _segment_tile_columns(s: float):
-    """(column range, row range for column tx) of the tiles a segment passes through."""
+    """(tile columns, tile rows of column tx, border copies) of a segment."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx = x2 - x1
     dy = y2 - y1
@@ -266,18 +269,33 @@ def _segment_tile_columns(s: float):
     slack = COVER_SLACK * s
     ty0 = F.floor((F.least(ya, yb) - slack) / s)
     ty1 = F.greatest(F.floor((F.greatest(ya, yb) + slack) / s), ty0)
-    return seq_x, F.sequence(ty0, ty1)
+    # A vertical (horizontal) segment on a tile boundary also lies on the
+    # right (top) border of the cells just left of (below) that boundary,
+    # whose interior covers stop one tile short: copy it there, flagged.
+    # Only the row of the tile that holds the coordinate is copied (the
+    # cover slack may add a neighbouring row that must not be copied too).
+    on_x = (dx == 0) & (dy != 0) & (x1 / s == F.floor(x1 / s)) & (tx == F.floor(x1 / s))
+    on_y = (dy == 0) & (dx != 0) & (y1 / s == F.floor(y1 / s)) & (F.col("ty") == F.floor(y1 / s))
+    border = (F.when(on_x, F.array(F.lit(0), F.lit(1)))
+              .when(on_y, F.array(F.lit(0), F.lit(2)))
+              .otherwise(F.array(F.lit(0))))
+    return seq_x, F.sequence(ty0, ty1), border
 
 
 def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
-    """Add (tx, ty) for every half-open tile a segment passes through.
+    """Add (tx, ty, border) for every half-open tile a segment passes through.
 
     Column walk: for each tile column in the segment's x range, the y range
-    of the segment inside that column gives its tile rows.
+    of the segment inside that column gives its tile rows. ``border`` is 0
+    for ordinary rows; 1 (2) marks the copy of a vertical (horizontal)
+    segment on a tile boundary, placed one tile to the left (below).
     """
-    seq_x, seq_y = G.memo(("segment_tiles", tile), lambda: _segment_tile_columns(tile))
+    seq_x, seq_y, border = G.memo(("segment_tiles", tile), lambda: _segment_tile_columns(tile))
     return (segs.withColumn("tx", F.explode(seq_x))
-                .withColumn("ty", F.explode(seq_y)))
+                .withColumn("ty", F.explode(seq_y))
+                .withColumn("border", F.explode(border))
+                .withColumn("tx", F.col("tx") - (F.col("border") == 1).cast("long"))
+                .withColumn("ty", F.col("ty") - (F.col("border") == 2).cast("long")))
 
 
 def _clip_columns(s: float):
@@ -289,6 +307,14 @@ def _clip_columns(s: float):
     cy_lo, cy_hi = G.axis_range(y1, dy, F.col("cymin"), F.col("cymax"))
     kx_lo, kx_hi = G.tile_axis_range(x1, dx, F.col("tx"), s)
     ky_lo, ky_hi = G.tile_axis_range(y1, dy, F.col("ty"), s)
+    border = F.col("border")
+    on_right = F.col("cxmax") == x1
+    on_top = F.col("cymax") == y1
+    inf, ninf = F.lit(G.INF), F.lit(-G.INF)
+    kx_lo = F.when(border == 1, F.when(on_right, ninf).otherwise(inf)).otherwise(kx_lo)
+    kx_hi = F.when(border == 1, F.when(on_right, inf).otherwise(ninf)).otherwise(kx_hi)
+    ky_lo = F.when(border == 2, F.when(on_top, ninf).otherwise(inf)).otherwise(ky_lo)
+    ky_hi = F.when(border == 2, F.when(on_top, inf).otherwise(ninf)).otherwise(ky_hi)
     t0 = F.greatest(F.lit(0.0), cx_lo, cy_lo, kx_lo, ky_lo)
     t1 = F.least(F.lit(1.0), cx_hi, cy_hi, kx_hi, ky_hi)
     r0, r1 = F.col("_t0"), F.col("_t1")

@@ -132,3 +132,22 @@ def test_null_geometry_rows_are_ignored(spark):
         spark.createDataFrame([(2,)], "id long").withColumn("geom", F.lit(None).cast(
             "struct<kind:string,parts:array<array<struct<x:double,y:double>>>,poly_rings:array<int>>")))
     assert _counts(spark, grid, pts) == [(1, 1)]
+
+
+def test_border_lines_with_cell_aligned_tiles(spark):
+    cells = [(1, 0.0, 0.0, 10.0, 10.0), (2, 10.0, 0.0, 20.0, 10.0),
+             (3, 0.0, 10.0, 10.0, 20.0), (4, 10.0, 10.0, 20.0, 20.0)]
+    grid = boxes(spark, cells)
+    ln = lines(spark, [(1, [(10, 5), (10, 15)]),      # vertical on the inner border
+                       (2, [(5, 10), (15, 10)]),      # horizontal on the inner border
+                       (3, [(20, 2), (20, 8)]),       # on the outer right border
+                       (4, [(2, 20), (4, 20)]),       # on the outer top border
+                       (5, [(0, 3), (0, 4)])])        # on the outer left border
+    for tile in (10.0, 5.0, 20.0, 3.0):
+        got = _lengths(spark, grid, ln, tile=tile)
+        want = {(1, 1): 5.0, (2, 1): 5.0, (3, 1): 5.0, (4, 1): 5.0,
+                (1, 2): 5.0, (3, 2): 5.0, (2, 2): 5.0, (4, 2): 5.0,
+                (2, 3): 6.0, (3, 4): 2.0, (1, 5): 1.0}
+        assert got.keys() == want.keys(), tile
+        for k, v in want.items():
+            assert got[k] == pytest.approx(v), (tile, k)
