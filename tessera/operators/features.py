@@ -71,9 +71,9 @@ def length_by_category(idx: CellIndex, lines: DataFrame, category: Column | None
     if category is not None:
         ln = ln.where(F.col("category").isNotNull())
     keep = ["category"] if category is not None else []
-    pieces = clip_lines_to_cells(idx, ln, "geom", keep)
+    pieces = clip_lines_to_cells(idx, ln, "geom", keep, positive_only=False)
     keys = ["grid_id", "category"] if category is not None else ["grid_id"]
-    return pieces.groupBy(*keys).agg(F.sum("piece_len").alias(name))
+    return pieces.groupBy(*keys).agg(F.sum("piece_len").alias(name)).where(F.col(name) > 0)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -234,9 +234,10 @@ def feature_long(idx: CellIndex, roads: DataFrame, signs_df: DataFrame, guardrai
         .unionByName(sidewalks.select(F.lit("sidewalk").alias("layer"),
                                       F.lit("sidewalk_len").alias("feature"), g.alias("geom")))
     )
-    lengths = (clip_lines_to_cells(idx, lines, "geom", ["layer", "feature"])
+    lengths = (clip_lines_to_cells(idx, lines, "geom", ["layer", "feature"], positive_only=False)
                .groupBy("grid_id", "layer", "feature")
-               .agg(F.sum("piece_len").alias("value")))
+               .agg(F.sum("piece_len").alias("value"))
+               .where(F.col("value") > 0))
     raw = F.col(desc_col)
     pts = (
         signs_df.where(signs.is_usable_code(raw))

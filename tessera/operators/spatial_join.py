@@ -318,38 +318,45 @@ def _clip_columns(s: float):
     t0 = F.greatest(F.lit(0.0), cx_lo, cy_lo, kx_lo, ky_lo)
     t1 = F.least(F.lit(1.0), cx_hi, cy_hi, kx_hi, ky_hi)
     r0, r1 = F.col("_t0"), F.col("_t1")
-    frac = (F.when(F.col("is_box"), r1 - r0)
+    frac = (F.when(r1 <= r0, F.lit(0.0))
+            .when(F.col("is_box"), r1 - r0)
             .when(F.col("is_convex") & (F.size("edges") <= G.UNROLL_EDGES),
                   G.convex_clip_fraction_unrolled(F.col("edges"), x1, y1, x2, y2, r0, r1))
             .when(F.col("is_convex"), G.convex_clip_fraction(F.col("edges"), x1, y1, x2, y2, r0, r1)))
     return t0, t1, frac, G.seg_len(x1, y1, x2, y2)
 
 
-def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str]) -> DataFrame:
+def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str],
+                positive_only: bool = True) -> DataFrame:
     """Join segments with cells and measure each piece ``segment AND cell AND tile``.
 
-    Returns ``grid_id``, the ``keep`` columns and ``piece_len`` (> 0 only).
-    The parameter range inside the cell's box and the tile is computed once
-    per pair and pairs with an empty range are dropped; boxes and convex
-    cells are measured with column arithmetic, other polygons by the
-    Arrow-batched even-odd UDF (planned only when the grid has such cells).
+    Returns ``grid_id``, the ``keep`` columns and ``piece_len``. With
+    ``positive_only`` only pieces of positive length are kept; callers that
+    aggregate pass False and filter the sums instead (a sum of non-negative
+    pieces is positive exactly when one piece is), because a row filter on
+    ``piece_len`` would be pushed below the projection and recompute the
+    clipping expressions. The parameter range inside the cell's box and the
+    tile is computed once per pair; boxes and convex cells are measured with
+    column arithmetic, other polygons by the Arrow-batched even-odd UDF
+    (planned only when the grid has such cells, on pairs with a non-empty
+    range).
     """
     t0, t1, frac, length = G.memo(("clip", idx.tile), lambda: _clip_columns(idx.tile))
     tiled = segment_tiles(segs, idx.tile)
     j = _tile_join(tiled, idx.line_tiles(), idx.line_bytes, idx)
-    ranged = (j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
-                       "gx1", "gy1", "gx2", "gy2", t0.alias("_t0"), t1.alias("_t1"))
-               .where(F.col("_t1") > F.col("_t0")))
+    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
+                      "gx1", "gy1", "gx2", "gy2", t0.alias("_t0"), t1.alias("_t1"))
     if idx.has_general:
         from tessera.functions.polygon_udf import general_fraction
+        ranged = ranged.where(F.col("_t1") > F.col("_t0"))
         frac = F.coalesce(frac, general_fraction(*[F.col(c) for c in (
             "x1", "y1", "x2", "y2", "_t0", "_t1", "gx1", "gy1", "gx2", "gy2")]))
-    return (ranged.select("grid_id", *keep, (frac * length).alias("piece_len"))
-                  .where(F.col("piece_len") > 0))
+    out = ranged.select("grid_id", *keep, (frac * length).alias("piece_len"))
+    return out.where(F.col("piece_len") > 0) if positive_only else out
 
 
 def clip_lines_to_cells(idx: CellIndex, lines: DataFrame, geom_col: str = "geom",
-                        keep: list[str] | None = None) -> DataFrame:
+                        keep: list[str] | None = None, positive_only: bool = True) -> DataFrame:
     """Pieces of every line (or area boundary) inside every cell it meets.
 
     Rows are pieces, not pairs: sum ``piece_len`` per cell (and category) for
@@ -358,9 +365,10 @@ def clip_lines_to_cells(idx: CellIndex, lines: DataFrame, geom_col: str = "geom"
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != geom_col]
     segs = explode_segments(lines, geom_col, keep)
-    return clip_pieces(idx, segs, keep)
+    return clip_pieces(idx, segs, keep, positive_only)
 
 
 def pair_lengths(pieces: DataFrame, pair_keys: list[str]) -> DataFrame:
     """Clipped length per (grid_id, *pair_keys); pairs of positive length only."""
-    return pieces.groupBy("grid_id", *pair_keys).agg(F.sum("piece_len").alias("seg_len"))
+    return (pieces.groupBy("grid_id", *pair_keys).agg(F.sum("piece_len").alias("seg_len"))
+                  .where(F.col("seg_len") > 0))

@@ -78,7 +78,8 @@ def sidewalk_length(spark, sf_dir):
 
 def clip_segments(spark, sf_dir):
     """Raw (cell, road) pairs with their clipped length (> 0), every road."""
-    pieces = sj.clip_lines_to_cells(_idx(spark), fx.roads(spark, sf_dir), "geom", ["road_id"])
+    pieces = sj.clip_lines_to_cells(_idx(spark), fx.roads(spark, sf_dir), "geom", ["road_id"],
+                                    positive_only=False)
     return rounded(sj.pair_lengths(pieces, ["road_id"]))
 
 
