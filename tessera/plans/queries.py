@@ -34,8 +34,23 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
                        for f in df.schema.fields])
 
 
+_INDEXES: dict = {}
+
+
+def _index(spark: SparkSession, name: str, build_grid) -> sj.CellIndex:
+    """One prepared cell index per session and grid, shared by the queries.
+
+    A job over one grid prepares its cells once (as ``grid_model.build``
+    does); the registered queries share the fixture grids the same way.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _INDEXES:
+        _INDEXES[key] = sj.index_cells(build_grid(spark), "id", "geom")
+    return _INDEXES[key]
+
+
 def _idx(spark: SparkSession) -> sj.CellIndex:
-    return sj.index_cells(fx.grid(spark), "id", "geom")
+    return _index(spark, "grid", fx.grid)
 
 
 # --------------------------------------------------------------------------
@@ -85,13 +100,13 @@ def clip_segments(spark, sf_dir):
 
 def polygon_cells(spark, sf_dir):
     """Road length per triangular cell and speed: the convex-polygon path."""
-    idx = sj.index_cells(fx.triangle_grid(spark), "id", "geom")
+    idx = _index(spark, "triangles", fx.triangle_grid)
     return rounded(ft.road_speed_long(idx, fx.roads(spark, sf_dir), "speed"))
 
 
 def concave_cells(spark, sf_dir):
     """Road length per L-shaped cell and speed: the even-odd path for non-convex cells."""
-    idx = sj.index_cells(fx.l_grid(spark), "id", "geom")
+    idx = _index(spark, "l_shapes", fx.l_grid)
     return rounded(ft.road_speed_long(idx, fx.roads(spark, sf_dir), "speed"))
 
 

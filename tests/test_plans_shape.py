@@ -22,8 +22,10 @@ def test_line_job_is_broadcast_equi_join_with_pruned_scan(spark):
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     # only the two columns the job needs are read from the orders table
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
-    # attribute filter (speed not null and > 0) runs before the join
-    assert plan.index("Filter") > plan.index("BroadcastHashJoin")
+    # attribute filter (speed not null and > 0) runs below (before) the join;
+    # the only filter above it is the one on the summed lengths
+    assert plan.rindex("Filter") > plan.index("BroadcastHashJoin")
+    assert plan.count("Filter") >= 2
     # two-phase aggregation: partial aggregate below the exchange
     assert plan.count("HashAggregate") >= 2
 
