@@ -95,6 +95,10 @@ class CellIndex:
     point_tiles = tiles
     line_tiles = tiles
 
+    def release(self) -> None:
+        """Drop the persisted cells (after the last job that uses this index)."""
+        self.cells.unpersist()
+
 
 def _field(name: str):
     return lambda e: e[name]

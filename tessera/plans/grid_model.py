@@ -44,6 +44,7 @@ class Result:
     audit: DataFrame
     rmse: DataFrame
     scored_grid: DataFrame
+    index: sj.CellIndex | None = None
 
 
 def build(spark: SparkSession, lay: dict[str, DataFrame], cols: Columns | None = None,
@@ -58,7 +59,8 @@ def build(spark: SparkSession, lay: dict[str, DataFrame], cols: Columns | None =
                             material_col=c.material, type_col=c.median_type, objectid_col=c.object_id)
     fit = ml.fit_forest(wide, num_trees=num_trees, seed=seed)
     scored = ml.scored_grid(lay["grid"], ml.score_all(fit), c.grid_id)
-    return Result(ly.profile_layers(lay), wide, ft.label_audit(wide), ml.rmse(fit.test_predictions), scored)
+    return Result(ly.profile_layers(lay), wide, ft.label_audit(wide), ml.rmse(fit.test_predictions), scored,
+                  idx)
 
 
 def run(spark: SparkSession, base: str, out: str, cols: Columns | None = None,
@@ -71,6 +73,8 @@ def run(spark: SparkSession, base: str, out: str, cols: Columns | None = None,
     res.rmse.show(truncate=False)
     ly.write_layer(res.scored_grid, out)
     spark.read.parquet(out).select((cols or Columns()).grid_id, "prediction").show(preview, truncate=False)
+    if res.index is not None:
+        res.index.release()
     return res
 
 
