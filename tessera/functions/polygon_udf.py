@@ -95,3 +95,35 @@ def fraction(x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series, t0: pd.
 
 
 general_fraction = F.pandas_udf(fraction, T.DoubleType())
+
+
+def strictly_inside(px: pd.Series, py: pd.Series, ex1: pd.Series, ey1: pd.Series,
+                    ex2: pd.Series, ey2: pd.Series) -> pd.Series:
+    """Point strictly inside the polygon (even-odd, not on an edge); null without edges."""
+    n = len(px)
+    has = ex1.notna().to_numpy() if n else np.zeros(0, bool)
+    res = pd.Series([None] * n, dtype=object)
+    if not has.any():
+        return res
+    idx = np.flatnonzero(has)
+    m = len(idx)
+    X = px.to_numpy(dtype=float)[idx][:, None]
+    Y = py.to_numpy(dtype=float)[idx][:, None]
+    a1, ok = _pad(ex1.iloc[idx], m)
+    b1, _ = _pad(ey1.iloc[idx], m)
+    a2, _ = _pad(ex2.iloc[idx], m)
+    b2, _ = _pad(ey2.iloc[idx], m)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        straddle = (b1 > Y) != (b2 > Y)
+        x_at = (a2 - a1) * (Y - b1) / (b2 - b1) + a1
+        inside = ((straddle & (X < x_at) & ok).sum(axis=1) % 2) == 1
+        ddx, ddy = a2 - a1, b2 - b1
+        cr = ddx * (Y - b1) - ddy * (X - a1)
+        tol = EPS * (np.abs(ddx) + np.abs(ddy)) * (1 + np.abs(X) + np.abs(Y))
+        on = ((np.abs(cr) <= tol) & (X >= np.minimum(a1, a2)) & (X <= np.maximum(a1, a2))
+              & (Y >= np.minimum(b1, b2)) & (Y <= np.maximum(b1, b2)) & ok).any(axis=1)
+    res.iloc[idx] = list(inside & ~on)
+    return res
+
+
+general_contains = F.pandas_udf(strictly_inside, T.BooleanType())

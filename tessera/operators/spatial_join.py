@@ -212,8 +212,7 @@ def _point_columns(s: float):
     inside = in_box & (F.when(F.col("is_box"), F.lit(True))
                        .when(F.col("is_convex") & small,
                              G.convex_contains_point_unrolled(F.col("edges"), px, py))
-                       .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py))
-                       .otherwise(G.contains_point(F.col("edges"), px, py)))
+                       .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py)))
     return F.floor(px / s), F.floor(py / s), inside
 
 
@@ -233,6 +232,14 @@ def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
                  .where(F.col("px").isNotNull() & F.col("py").isNotNull())
                  .select(*keep, "px", "py", tx.alias("tx"), ty.alias("ty")))
     j = _tile_join(pts, idx.point_tiles(), idx.point_bytes, idx)
+    if idx.has_general:
+        # Non-convex cells: the box test first, then the Arrow-batched
+        # even-odd test (the shape expression is null for those cells).
+        from tessera.functions.polygon_udf import general_contains
+        j = j.where((F.col("px") > F.col("cxmin")) & (F.col("px") < F.col("cxmax"))
+                    & (F.col("py") > F.col("cymin")) & (F.col("py") < F.col("cymax")))
+        inside = F.coalesce(inside, general_contains(*[F.col(c) for c in (
+            "px", "py", "gx1", "gy1", "gx2", "gy2")]))
     return j.where(inside).select("grid_id", *keep, "px", "py")
 
 

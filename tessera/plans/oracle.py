@@ -272,6 +272,14 @@ def _crash() -> str:
               f"from grid g left join crashes p on {_inside('g', 'p')} group by g.id")
 
 
+def _concave_crash() -> str:
+    # strictly inside the square and not in the closed removed quarter
+    cond = (f"{_inside('g', 'p')} and not (p.x >= (g.xmin + g.xmax) / 2 and p.y >= (g.ymin + g.ymax) / 2)")
+    return (_with("grid", "crashes")
+            + f"select g.id as grid_id, count(p.objectid) as crash_count "
+              f"from grid g left join crashes p on {cond} group by g.id")
+
+
 def _sign_long() -> str:
     return (_with("grid", "signs", extra=[_sign_ctes()])
             + f"select g.id as grid_id, p.sign_group, count(*) as count from grid g "
@@ -423,6 +431,7 @@ SQL: dict[str, str] = {
     "median_length_by_type_wide": _cat_wide("medians", "typed", "median_len_", {v: v for v in SEGMENTS}),
     "sidewalk_length": _sidewalk(),
     "crash_count": _crash(),
+    "concave_crash_count": _concave_crash(),
     "sign_count_by_group": _sign_long(),
     "sign_count_by_group_wide": _sign_wide(),
     "sign_classify": _sign_classify(),

@@ -119,6 +119,12 @@ def crash_count(spark, sf_dir):
     return ft.crash_counts(_idx(spark), fx.grid(spark), fx.crashes(spark, sf_dir), "id", "objectid")
 
 
+def concave_crash_count(spark, sf_dir):
+    """Identified crashes strictly inside each L-shaped cell (non-convex point path)."""
+    return ft.crash_counts(_index(spark, "l_shapes", fx.l_grid), fx.l_grid(spark),
+                           fx.crashes(spark, sf_dir), "id", "objectid")
+
+
 def _all_signs(spark, sf_dir) -> DataFrame:
     """Panels and mounts united (duplicates kept), as the feature job does."""
     cols = ["objectid", "mutcddescd", "geom"]
@@ -268,6 +274,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "median_length_by_type_wide": median_length_by_type_wide,
     "sidewalk_length": sidewalk_length,
     "crash_count": crash_count,
+    "concave_crash_count": concave_crash_count,
     "sign_count_by_group": sign_count_by_group,
     "sign_count_by_group_wide": sign_count_by_group_wide,
     "sign_classify": sign_classify,
