@@ -133,7 +133,7 @@ def test_model_scores_every_cell_and_nulls_cells_without_roads(spark):
     assert got[4] is None and all(got[i] is not None for i in (1, 2, 3))
 
 
-ORACLE_QUERIES = ["road_length_by_speed", "crash_count", "sign_count_by_group_wide", "sidewalk_length",
+ORACLE_QUERIES = ["road_length_by_speed", "crash_count", "concave_crash_count", "sign_count_by_group_wide", "sidewalk_length",
                   "polygon_cells", "concave_cells", "feature_table", "wkb_roundtrip", "geojson_parse"]
 
 
