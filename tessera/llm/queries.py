@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import jaccard_join
+from tessera.llm import decontamination, jaccard_join
 
 
 def _table(spark, sf_dir, name):
@@ -16,8 +16,15 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_decontamination(spark, sf_dir):
+    """Words of all documents inside any occurrence of a ten-word window of a benchmark item."""
+    hits = decontamination.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontamination.hits_digest(hits)
+
+
 QUERIES = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {}
