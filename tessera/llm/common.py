@@ -140,3 +140,23 @@ def byte_class(*ranges: tuple[int, int], invert: bool = False) -> np.ndarray:
     for a, b in ranges:
         table[a:b + 1] = True
     return ~table if invert else table
+
+
+def ranked(df: DataFrame, keys: list, name: str) -> DataFrame:
+    """``df`` as a table with ``rank``, its place (from 0) in the order of ``keys``.
+
+    A range partitioning and a sort of each partition fix the order; the
+    partitions' sizes, one row for each, give the offsets. Equal rows may
+    swap places. ``keys`` should end with columns that tell rows apart, so
+    that no key's rows fall into one partition.
+    """
+    place = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+    place = materialize(place, name).withColumn("_part", F.shiftright("_place", 33))
+    sizes = place.groupBy("_part").count().collect()  # one row per partition
+    total, offsets = 0, []
+    for r in sorted(sizes, key=lambda r: r["_part"]):
+        offsets.append((r["_part"], total))
+        total += r["count"]
+    offsets = df.sparkSession.createDataFrame(offsets, "_part long, _offset long")
+    place = place.join(F.broadcast(offsets), "_part")
+    return place.withColumn("rank", F.col("_offset") + F.col("_place") - F.shiftleft("_part", 33)).drop("_place", "_part", "_offset")

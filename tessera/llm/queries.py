@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join
+from tessera.llm import decontamination, jaccard_join, packing
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed public tokenizer files lie."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark, sf_dir):
+    """All documents, tokenised and cut, packed into sequences of at most 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_ngram_jaccard_join(spark, sf_dir):
     """Near duplicates of all documents at a Jaccard similarity of 0.75 on five-word shingles."""
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -23,6 +34,7 @@ def op9_benchmark_decontamination(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
