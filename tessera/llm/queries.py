@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, packing
+from tessera.llm import decontamination, jaccard_join, language_id, packing
 
 
 def _table(spark, sf_dir, name):
@@ -27,6 +27,14 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark, sf_dir):
+    """The language of all documents; learned from those that are not held out."""
+    documents = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text", "lang")
+    found = language_id.identify(documents, language_id.train(documents), ["doc_id"])
+    held_out = F.coalesce(language_id.held_out_remainder() == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     """Words of all documents inside any occurrence of a ten-word window of a benchmark item."""
     hits = decontamination.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -36,6 +44,7 @@ def op9_benchmark_decontamination(spark, sf_dir):
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_language_id": op6_language_id,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
