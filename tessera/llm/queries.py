@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, packing
+from tessera.llm import decontamination, jaccard_join, language_id, packing, pii
 
 
 def _table(spark, sf_dir, name):
@@ -35,6 +35,12 @@ def op6_language_id(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_pii(spark, sf_dir):
+    """Personal data in all documents: the base patterns' spans and those of the random field."""
+    documents = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return pii.digest(pii.find(documents, ["doc_id"]))
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     """Words of all documents inside any occurrence of a ten-word window of a benchmark item."""
     hits = decontamination.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -45,6 +51,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_language_id": op6_language_id,
+    "op7_pii": op7_pii,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
