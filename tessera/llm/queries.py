@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, packing, pii
+from tessera.llm import decontamination, jaccard_join, language_id, lsh_forest, packing, pii, secret_scan, sharding, token_counts, warc
 
 
 def _table(spark, sf_dir, name):
@@ -17,6 +17,17 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark, sf_dir):
+    """Secrets in all documents: assignments, access keys and hex strings."""
+    found = secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op2_token_counts(spark, sf_dir):
+    """Greedy longest-match word-piece counts of all documents."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_best_fit_packing(spark, sf_dir):
     """All documents, tokenised and cut, packed into sequences of at most 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
@@ -27,6 +38,13 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark, sf_dir):
+    """All pages written to WARC archives, and what reading the archives gives."""
+    archives = warc.write_archives(_table(spark, sf_dir, "pages"))
+    found = warc.read_archives(spark, archives, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_language_id(spark, sf_dir):
     """The language of all documents; learned from those that are not held out."""
     documents = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text", "lang")
@@ -41,18 +59,65 @@ def op7_pii(spark, sf_dir):
     return pii.digest(pii.find(documents, ["doc_id"]))
 
 
+def op8_sharding(spark, sf_dir):
+    """All documents in 24 shards along a Hilbert curve, row counts at most one apart."""
+    placed = sharding.shard(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     """Words of all documents inside any occurrence of a ten-word window of a benchmark item."""
     hits = decontamination.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontamination.hits_digest(hits)
 
 
-QUERIES = {
-    "op3_best_fit_packing": op3_best_fit_packing,
-    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
-    "op6_language_id": op6_language_id,
-    "op7_pii": op7_pii,
-    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+def op10_lsh_forest(spark, sf_dir):
+    """The ten nearest neighbours found of every vector whose id is divisible by 100."""
+    return lsh_forest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_token_counts, op3_best_fit_packing, op4_ngram_jaccard_join, op5_warc, op6_language_id,
+    op7_pii, op8_sharding, op9_benchmark_decontamination, op10_lsh_forest)}
+
+#: DuckDB SQL for the queries that SQL can express.
+SQL = {
+    "op1_secret_scan": r"""
+with docs as (select doc_id, coalesce(text, '') as text from documents),
+rules(rule, kind, pattern, val_group, least) as (values
+  (0, 'assign', '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  (1, 'access', '(AKIA[A-Z0-9]+)', 1, 20),
+  (2, 'hex', '([0-9a-f]+)', 1, 24)),
+parts as (
+  select doc_id, text, 0 as rule, string_split_regex(text, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+') as gaps,
+         regexp_extract_all(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) as found,
+         regexp_extract_all(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) as vals from docs
+  union all
+  select doc_id, text, 1, string_split_regex(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+') from docs
+  union all
+  select doc_id, text, 2, string_split_regex(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+') from docs),
+each as (select doc_id, rule, unnest(range(1, len(found) + 1)) as i, gaps, found, vals from parts),
+lens as (
+  select doc_id, rule, i, length(vals[i]) as n, length(found[i]) as m,
+         cast(sum(length(gaps[i])) over w as bigint) as gap, cast(sum(length(found[i])) over w as bigint) as upto
+  from each window w as (partition by doc_id, rule order by i)),
+spans as (
+  select l.doc_id, l.rule, r.kind, gap + upto - m as s, gap + upto as e
+  from lens l join rules r using (rule) where n >= least),
+texts as (
+  select doc_id, count(*) filter (rule = 0) as n_assign, count(*) filter (rule = 1) as n_access, count(*) filter (rule = 2) as n_hex,
+         string_agg(kind || ':' || s || ':' || e, ',' order by s, rule) as spans
+  from spans group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from docs d left join texts using (doc_id)""",
+    "op5_warc": """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html) as payload_bytes, sha256(html) as payload_digest from p),
+f as (select payload_digest, min(page_id) as first_page from d where payload_bytes >= 100 group by payload_digest)
+select page_id, payload_bytes, payload_digest,
+       case when first_page < page_id then 'revisit' else 'response' end as record_type,
+       case when first_page < page_id then first_page end as refers_to
+from d left join f using (payload_digest)""",
 }
-
-SQL: dict[str, str] = {}
