@@ -10,9 +10,12 @@ Two documents link when ``100 * |A & B| >= 75 * |A | B|``. The join is exact:
 2. Documents with equal sets collapse into one set; sets with equal prefix
    and size collapse into one *group*, and only one prefix per group is
    posted. Postings travel as binary blobs by hash range.
-3. Each range emits pairs of groups that share a posting and whose sizes
-   allow a link. A posting list over ``LIST_PAIRS`` groups emits a star per
-   size band instead of all pairs, and itself.
+3. Each range emits pairs of groups that share a posting. With r shingles
+   from the posting on to the end of a set, a link needs ``min(r) >= 3/7`` of
+   both sizes' sum, which also bounds the sizes; and a pair is left to an
+   earlier posting if the one before is shared, too. A list of over
+   ``LIST_PAIRS`` groups emits stars around ``HUBS`` of them (the same ones in
+   lists of the same groups) instead of all pairs, and itself.
 4. Group pairs expand to members, candidates are verified on the whole sets
    and the links' connected components computed.
 5. What the stars left out (long lists, groups of several members) is
@@ -40,6 +43,7 @@ SHINGLE = 5
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
 LIST_PAIRS = 32
+HUBS = 16
 RANGE_ENTRIES = 1_000_000
 FLUSH_ENTRIES = 3_000_000
 #: Words are runs of anything but the ASCII white space.
@@ -147,41 +151,40 @@ def _prefix_task(shared):
     return run
 
 
-BLOBS = "part int, ids binary, sizes binary, hashes binary, refs binary"
+BLOBS = "part int, ids binary, sizes binary, hashes binary, refs binary, places binary, before binary"
 
 
 def _post_task(bits: int):
-    """Rows (rid, n, prefix) to posting blobs by hash range; the top bit of a ref marks the index prefix."""
+    """Rows (rid, n, prefix) to posting blobs by hash range: for each posting its document, place and predecessor."""
     def flush(rids, sizes, prefixes):
         lengths = np.array([len(p) // 8 for p in prefixes])
-        size = np.array(sizes, np.int64)
+        size = np.array(sizes, np.int32)
         rid = np.array(rids, np.int64)
         ids = mix(np.frombuffer(b"".join(prefixes), np.uint64))
         doc = np.repeat(np.arange(len(rid), dtype=np.uint32), lengths)
         place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        short = place < np.repeat(size - (6 * size + 6) // 7 + 1, lengths)
+        low = ids.astype(np.uint32)
+        before = np.concatenate((np.zeros(1, np.uint32), low[:-1]))
+        place = np.minimum(place, 0xFFFF).astype(np.uint16)  # a smaller place only weakens the filter
         part = (ids >> np.uint64(64 - bits)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange((1 << bits) + 1))
-        low = ids.astype(np.uint32)
-        out = {k: [] for k in ("part", "ids", "sizes", "hashes", "refs")}
+        out = {k.split()[0]: [] for k in BLOBS.split(", ")}
         for k in np.flatnonzero(np.diff(cuts)):
             pick = order[cuts[k]:cuts[k + 1]]
             used, ref = np.unique(doc[pick], return_inverse=True)
             out["part"].append(int(k))
-            out["ids"].append(rid[used].tobytes())
-            out["sizes"].append(size[used].astype(np.int32).tobytes())
-            out["hashes"].append(low[pick].tobytes())
-            out["refs"].append((ref.astype(np.uint32) | short[pick].astype(np.uint32) << np.uint32(31)).tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(out["part"], pa.int32()), *[pa.array(out[k], pa.binary()) for k in ("ids", "sizes", "hashes", "refs")]], names=list(out))
+            for name, x in (("ids", rid[used]), ("sizes", size[used]), ("hashes", low[pick]), ("refs", ref.astype(np.uint32)),
+                            ("places", place[pick]), ("before", before[pick])):
+                out[name].append(x.tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if k == "part" else pa.binary()) for k, x in out.items()], names=list(out))
 
     def run(batches):
         rids, sizes, prefixes, total = [], [], [], 0
         for batch in batches:
-            for r, n, p in zip(batch.column("rid").to_pylist(), batch.column("n").to_pylist(), batch.column("prefix")):
-                data = p.as_py()
-                rids.append(r), sizes.append(n), prefixes.append(data)
-                total += len(data) // 8
+            for r, n, p in zip(batch.column("rid").to_pylist(), batch.column("n").to_pylist(), batch.column("prefix").to_pylist()):
+                rids.append(r), sizes.append(n), prefixes.append(p)
+                total += len(p) // 8
                 if total >= FLUSH_ENTRIES:
                     yield flush(rids, sizes, prefixes)
                     rids, sizes, prefixes, total = [], [], [], 0
@@ -190,63 +193,66 @@ def _post_task(bits: int):
     return run
 
 
-PAIRS = "kind int, a long, b long"
+#: Kind 0: a candidate pair of groups (a, b); kind 1: group b of the long list a, with its size, r and predecessor.
+PAIRS = "kind int, a long, b long, n int, r int, before long"
 
 
 def _list_pairs(table: pa.Table) -> pa.Table:
-    """All posting lists of a hash range: candidate pairs (kind 0), long lists (kind 1: list, group)."""
-    rid, size, hashes, refs, base = [], [], [], [], 0
+    """All posting lists of a hash range: candidate pairs, and the entries of long lists."""
+    rid, columns, base = [], {k: [] for k in ("sizes", "hashes", "refs", "places", "before")}, 0
+    kinds = {"sizes": np.int32, "hashes": np.uint32, "refs": np.uint32, "places": np.uint16, "before": np.uint32}
     for i in range(table.num_rows):
-        row = {k: table.column(k)[i].as_buffer() for k in ("ids", "sizes", "hashes", "refs")}
-        rid.append(np.frombuffer(row["ids"], np.int64))
-        size.append(np.frombuffer(row["sizes"], np.int32))
-        hashes.append(np.frombuffer(row["hashes"], np.uint32))
-        ref = np.frombuffer(row["refs"], np.uint32).astype(np.int64)
-        refs.append(((ref & 0x7FFFFFFF) + base) << 1 | ref >> 31)
-        base += len(rid[-1])
+        ids = np.frombuffer(table.column("ids")[i].as_buffer(), np.int64)
+        for k, kind in kinds.items():
+            x = np.frombuffer(table.column(k)[i].as_buffer(), kind)
+            columns[k].append(x + np.int64(base) if k == "refs" else x)
+        rid.append(ids)
+        base += len(ids)
     part = table.column("part")[0].as_py()
-    rid, size, hashes, refs = map(np.concatenate, (rid, size, hashes, refs))
+    rid = np.concatenate(rid)
+    size, hashes, refs, places, before = (np.concatenate(columns[k]) for k in kinds)
     order = np.argsort(hashes, kind="stable")
-    hashes, refs = hashes[order], refs[order]
+    hashes, refs, before = hashes[order], refs[order], before[order]
+    n = size[refs]
+    rest = n - places[order]
+    first = places[order] == 0
     edge = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1], [True])))
     start, length = edge[:-1], np.diff(edge)
-    left, right, hot_list, hot_group = [], [], [], []
+    left, right, hot = [], [], []
 
     def emit(x, y):
-        i, j = refs[x] >> 1, refs[y] >> 1
-        a, b, flag_a, flag_b = size[i], size[j], refs[x] & 1, refs[y] & 1
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        ok = 4 * low.astype(np.int64) >= 3 * high.astype(np.int64)
-        ok &= np.where(a < b, flag_a, np.where(b < a, flag_b, flag_a & flag_b)).astype(bool)
-        r, s = rid[i[ok]], rid[j[ok]]
+        ok = 7 * np.minimum(rest[x], rest[y]).astype(np.int64) >= 3 * (n[x].astype(np.int64) + n[y])
+        ok &= (before[x] != before[y]) | first[x] | first[y]
+        r, s = rid[refs[x[ok]]], rid[refs[y[ok]]]
         left.append(np.minimum(r, s)), right.append(np.maximum(r, s))
 
     for m in np.unique(length[(length > 1) & (length <= LIST_PAIRS)]):
         rows = start[length == m]
         i, j = np.triu_indices(m, 1)
-        for k in range(0, len(rows), max(1, (1 << 21) // len(i))):
-            block = rows[k:k + max(1, (1 << 21) // len(i))][:, None]
+        step = max(1, (1 << 21) // len(i))
+        for k in range(0, len(rows), step):
+            block = rows[k:k + step][:, None]
             emit((block + i).ravel(), (block + j).ravel())
     for a, m in zip(start[length > LIST_PAIRS], length[length > LIST_PAIRS]):
         at = np.arange(a, a + m)
-        group = rid[refs[at] >> 1]
-        at = at[np.argsort(group, kind="stable")]
-        band = np.floor(np.log(size[refs[at] >> 1]) / np.log(4 / 3)).astype(np.int64)
-        for x in np.unique(band):
-            own = at[band == x]
-            emit(np.full(len(own) - 1, own[0]), own[1:])
-        hot_list.append(np.full(m, part << 32 | int(hashes[a]), np.int64))
-        hot_group.append(group)
+        hubs = at[np.argsort(mix(rid[refs[at]].astype(np.uint64)), kind="stable")[:HUBS]]
+        for hub in hubs:
+            emit(np.full(m, hub), at)
+        hot.append(at)
     cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    left, right = cat(left), cat(right)
+    left, right, hot = cat(left), cat(right), cat(hot)
     if len(left):
         order = np.lexsort((right, left))
         left, right = left[order], right[order]
         new = np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1]))) & (left != right)
         left, right = left[new], right[new]
-    a, b = np.concatenate((left, cat(hot_list))), np.concatenate((right, cat(hot_group)))
-    kind = np.repeat(np.array([0, 1], np.int32), [len(left), len(b) - len(left)])
-    return pa.table({"kind": kind, "a": a, "b": b})
+    none = np.zeros(len(left), np.int64)
+    no_before = np.where(first[hot], -1 - refs[hot], before[hot].astype(np.int64))  # a first posting equals no other's
+    return pa.table({
+        "kind": np.repeat(np.array([0, 1], np.int32), [len(left), len(hot)]),
+        "a": np.concatenate((left, np.int64(part) << np.int64(32) | hashes[hot].astype(np.int64))),
+        "b": np.concatenate((right, rid[refs[hot]])), "n": np.concatenate((none, n[hot])).astype(np.int32),
+        "r": np.concatenate((none, rest[hot])).astype(np.int32), "before": np.concatenate((none, no_before))})
 
 
 def _set_task(shared):
@@ -313,7 +319,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     entries = groups.agg(F.sum(F.col("n") * 0.25 + 1)).first()[0] or 0
     bits = max(6, int(np.ceil(np.log2(max(1, entries / RANGE_ENTRIES)))))
-    posted = real.join(groups.select(F.col("gid").alias("rid")), "rid").select("rid", "n", "prefix")
+    # a set's and a group's first row is posted; the others' ids are few unless most rows are copies
+    copies = materialize(real.select("rid").join(groups.select(F.col("gid").alias("rid")), "rid", "left_anti"), "copies")
+    posted = real.select("rid", "n", "prefix").join(broadcast_if_small(copies, 64), "rid", "left_anti")
     found = posted.mapInArrow(_post_task(bits), BLOBS).groupBy("part").applyInArrow(_list_pairs, PAIRS)
     found = materialize(found, "candidates")
     group_pairs = found.where("kind = 0").select("a", "b").distinct()
@@ -326,10 +334,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         need = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct().join(sid_text, "rid")
         need = materialize(need.select(F.col("rid").alias("sid"), F.col("doc_id").alias("d"), F.col("t1").alias("u1"), F.col("t2").alias("u2")), name + "_need")
         same = F.expr("t1 = u1 and t2 = u2 and doc_id <=> d")
-        text = texts.join(broadcast_if_small(need, 200), same).select("sid", "text")
+        text = texts.join(broadcast_if_small(need, 200), same).select("sid", "text").dropDuplicates(["sid"])
         known = materialize(text.mapInArrow(_set_task(classes), "sid long, ids binary"), name + "_sets")
-        known = known.dropDuplicates(["sid"])
-        known = materialize(known, name + "_known")
         x, y = known.select(F.col("sid").alias("a"), F.col("ids").alias("x")), known.select(F.col("sid").alias("b"), F.col("ids").alias("y"))
         both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
         rows = arrow_rows(spark, 200)  # two whole sets a row
@@ -341,25 +347,30 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     root = connected_components(links)
 
     # what the stars left open, between sets that are not connected yet
-    entry = found.where("kind = 1").select(F.col("a").cast("string").alias("block"), F.col("b").alias("gid"))
+    entry = found.where("kind = 1").select(F.col("a").cast("string").alias("block"), F.col("b").alias("gid"), "r", "before")
     big = member.select("gid").distinct()
     wide = group_pairs.join(big.select(F.col("gid").alias("a")), "a", "left_semi").union(
         group_pairs.join(big.select(F.col("gid").alias("b")), "b", "left_semi").select("a", "b")).distinct()
     wide = wide.select(F.concat_ws("-", F.lit("p"), "a", "b").alias("block"), F.explode(F.array("a", "b")).alias("gid"))
     own = big.select(F.concat(F.lit("g"), "gid").alias("block"), "gid")
-    entry = entry.union(wide).union(own).join(member, "gid", "left").select("block", F.coalesce("sid", "gid").alias("sid"))
+    none = [F.lit(None).cast("int").alias("r"), F.lit(None).cast("long").alias("before")]
+    entry = entry.union(wide.union(own).select("block", "gid", *none)).join(member, "gid", "left")
+    entry = entry.select("block", F.coalesce("sid", "gid").alias("sid"), "r", "before")
     entry = entry.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    entry = materialize(entry.join(sets.select("sid", "n"), "sid"), "open")
+    entry = entry.join(sets.select("sid", "n"), "sid").select(
+        "block", "sid", "root", "n", F.coalesce("r", "n").alias("r"), F.coalesce("before", -1 - F.col("sid")).alias("before"))
+    entry = materialize(entry, "open")
     open_ = entry.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_ = materialize(open_.select("block"), "open_blocks")
     if open_.limit(1).count():
         entry = entry.join(open_, "block")
-        roots = entry.groupBy("block", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        r, s = roots.toDF("block", "r", "r0", "r1"), roots.toDF("block", "s", "s0", "s1")
-        apart = r.join(s, "block").where("r < s and 4 * r1 >= 3 * s0 and 4 * s1 >= 3 * r0").select("block", "r", "s")
-        x = entry.select("block", F.col("root").alias("r"), F.col("sid").alias("x"), F.col("n").alias("nx"))
-        y = entry.select("block", F.col("root").alias("s"), F.col("sid").alias("y"), F.col("n").alias("ny"))
-        rest = apart.join(x, ["block", "r"]).join(y, ["block", "s"]).where("4 * least(nx, ny) >= 3 * greatest(nx, ny)")
+        roots = entry.groupBy("block", "root").agg(F.min("n").alias("n"), F.max("r").alias("r"), F.count("*").alias("k"))
+        one, two = (roots.select("block", *[F.col(c).alias(c + i) for c in ("root", "n", "r", "k")]) for i in "12")
+        # the smaller side of two roots of a block finds the larger side's members
+        apart = one.join(two, "block").where("(k1 < k2 or k1 = k2 and root1 < root2) and 7 * least(r1, r2) >= 3 * (n1 + n2)")
+        x, y = (entry.select("block", *[F.col(c).alias(c + i) for c in ("root", "sid", "n", "r", "before")]) for i in "12")
+        rest = apart.select("block", "root1", "root2").join(x, ["block", "root1"]).join(y, ["block", "root2"])
+        rest = rest.where("7 * least(r1, r2) >= 3 * (n1 + n2) and before1 != before2").select(F.col("sid1").alias("x"), F.col("sid2").alias("y"))
         rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         more = verified(rest.join(first, ["a", "b"], "left_anti"), "rest")
         if more.limit(1).count():
