@@ -16,8 +16,10 @@ Two documents link when ``100 * |A & B| >= 75 * |A | B|``. The join is exact:
    earlier posting if the one before is shared, too. A list of over
    ``LIST_PAIRS`` groups emits stars around ``HUBS`` of them (the same ones in
    lists of the same groups) instead of all pairs, and itself.
-4. Group pairs expand to members, candidates are verified on the whole sets
-   and the links' connected components computed.
+4. Group pairs expand to members. A count of each set's shingles in small bins
+   bounds what two sets can share and removes most candidates that don't link;
+   the others are verified on the whole sets. Then the links' connected
+   components are computed.
 5. What the stars left out (long lists, groups of several members) is
    compared next, but only between sets that are not connected yet. So copies
    in thousands cost a star, and no link is lost.
@@ -255,26 +257,47 @@ def _list_pairs(table: pa.Table) -> pa.Table:
         "r": np.concatenate((none, rest[hot])).astype(np.int32), "before": np.concatenate((none, no_before))})
 
 
+def _outline(ids: np.ndarray) -> bytes:
+    """How many ids of a set fall into each of about half as many bins; empty if a count needs over a byte."""
+    bits = max(5, (len(ids) - 1).bit_length() - 1)
+    counts = np.bincount((mix(ids) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
 def _set_task(shared):
     def run(batches):
         scanner, classes = WordScanner(WORD_BYTES), np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for part in _batches(batch):
-                sets = [s.tobytes() for s in _sets(scanner, classes, part.column("text"))]
-                yield pa.RecordBatch.from_arrays([part.column("sid"), pa.array(sets, pa.binary())], names=["sid", "ids"])
+                sets = list(_sets(scanner, classes, part.column("text")))
+                columns = [pa.array(x, pa.binary()) for x in ([s.tobytes() for s in sets], [_outline(s) for s in sets])]
+                yield pa.RecordBatch.from_arrays([part.column("sid"), *columns], names=["sid", "ids", "outline"])
     return run
 
 
-def _verify_task(batches):
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("x"), batch.column("y")):
-            u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.concatenate((u, v))
-            both.sort(kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            keep.append(7 * shared >= 3 * (len(u) + len(v)))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _possible(x: bytes, y: bytes) -> bool:
+    """Whether sets with these outlines can link: they share at most the sum of the smaller counts."""
+    if not x or not y:
+        return True
+    u, v = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    n = min(len(u), len(v))
+    u, v = u.reshape(n, -1).sum(1), v.reshape(n, -1).sum(1)
+    return 7 * np.minimum(u, v).sum() >= 3 * (u.sum() + v.sum())
+
+
+def _linked(x: bytes, y: bytes) -> bool:
+    both = np.concatenate((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
+    both.sort(kind="stable")
+    return 7 * int((both[1:] == both[:-1]).sum()) >= 3 * len(both)
+
+
+def _keep_task(test):
+    """Pairs (a, b) whose x and y pass ``test``."""
+    def run(batches):
+        for batch in batches:
+            keep = [test(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -335,13 +358,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         need = materialize(need.select(F.col("rid").alias("sid"), F.col("doc_id").alias("d"), F.col("t1").alias("u1"), F.col("t2").alias("u2")), name + "_need")
         same = F.expr("t1 = u1 and t2 = u2 and doc_id <=> d")
         text = texts.join(broadcast_if_small(need, 200), same).select("sid", "text").dropDuplicates(["sid"])
-        known = materialize(text.mapInArrow(_set_task(classes), "sid long, ids binary"), name + "_sets")
-        x, y = known.select(F.col("sid").alias("a"), F.col("ids").alias("x")), known.select(F.col("sid").alias("b"), F.col("ids").alias("y"))
-        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+        known = materialize(text.mapInArrow(_set_task(classes), "sid long, ids binary, outline binary"), name + "_sets")
         rows = arrow_rows(spark, 200)  # two whole sets a row
-        links = materialize(both.mapInArrow(_verify_task, "a long, b long"), name + "_links")
+        for column, test in (("outline", _possible), ("ids", _linked)):
+            x, y = (known.select(F.col("sid").alias(i), F.col(column).alias(j)) for i, j in (("a", "x"), ("b", "y")))
+            both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+            pairs = materialize(both.mapInArrow(_keep_task(test), "a long, b long"), f"{name}_{column}")
         spark.conf.set(ARROW_ROWS, rows)
-        return links
+        return pairs
 
     links = verified(first, "first")
     root = connected_components(links)
