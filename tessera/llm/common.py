@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import WordScanner, arrow_rows, byte_class, materialize, text_buffer
 
 WINDOW = 10
-SHARD_WORDS = 1_200_000
+SHARD_WORDS = 500_000
 BLOCK_BYTES = 8 << 20
 SAMPLE = 8
 WORD_BYTES = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -172,8 +172,9 @@ def occurrences(windows: TestWindows, symbols: np.ndarray, first: np.ndarray):
     return np.concatenate(starts), np.concatenate(ends), which
 
 
-FOUND = ("rid long, doc_id long, n_words long, n_hit long, items array<string>, "
-         "spans array<struct<first_word:long,end_word:long,start:long,end:long>>")
+HITS = ("n_words long, n_hit long, items array<string>, "
+        "spans array<struct<first_word:long,end_word:long,start:long,end:long>>")
+FOUND = f"rid long, doc_id long, {HITS}"
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,10 +185,10 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.concatenate((new[1:], [True]))]
 
 
-def _search_task(shared):
+def _search_task(shared, keep: list[str]):
     def run(batches):
         windows, scanner = shared.value, WordScanner(WORD_BYTES)
-        rids, docs, symbols, firsts, bounds, total = [], [], [], [], [], 0
+        kept, symbols, firsts, bounds, total = [], [], [], [], 0
 
         def flush():
             first = np.concatenate([*firsts, [total]])
@@ -213,23 +214,23 @@ def _search_task(shared):
                     a, b = merged(starts[own], ends[own])
                     spans[d] = _spans(a, b, first[d], byte_at, byte_end)
             return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(rids), pa.concat_arrays(docs), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+                [*[pa.concat_arrays([b.column(c) for b in kept]) for c in keep], pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                  pa.array([sorted(windows.items[k] for k in items.get(d, ())) for d in range(len(n_words))], pa.list_(pa.string())),
                  pa.array(spans, pa.list_(pa.struct([(k, pa.int64()) for k in ("first_word", "end_word", "start", "end")])))],
-                names=["rid", "doc_id", "n_words", "n_hit", "items", "spans"])
+                names=[*keep, "n_words", "n_hit", "items", "spans"])
 
         for batch in batches:
             offsets, data = text_buffer(batch.column("text"))
             begin, end, hashes, first = scanner.scan(offsets, data)
             origin = np.repeat(offsets[:-1], np.diff(first))
-            rids.append(batch.column("rid")), docs.append(batch.column("doc_id"))
+            kept.append(batch)
             symbols.append(windows.symbols(hashes)), firsts.append(first[:-1] + total)
             bounds.append(((begin - origin), (end - origin)))
             total += len(hashes)
             if total >= SHARD_WORDS:
                 yield flush()
-                rids, docs, symbols, firsts, bounds, total = [], [], [], [], [], 0
-        if rids:
+                kept, symbols, firsts, bounds, total = [], [], [], [], 0
+        if kept:
             yield flush()
     return run
 
@@ -258,27 +259,44 @@ def _unite_task(batches):
              pa.array(items, pa.list_(pa.string())), pa.array(spans, batch.schema.field("spans").type)], names=["rid", "doc_id", "n_words", "n_hit", "items", "spans"])
 
 
-def benchmark_hits(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, items (ids as strings) and merged spans (words and UTF-8 bytes)."""
-    spark = documents.sparkSession
-    arrow_rows(spark)
+def _windows(benchmark: DataFrame, block_bytes: int):
+    """The blocks of a benchmark's windows, each as a broadcast."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     blocks = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
-    docs = documents.select(F.col("doc_id").cast("long"), "text")
-    rows = docs.withColumn("rid", F.monotonically_increasing_id() if blocks == 1 else F.xxhash64("doc_id", "text"))
-    found = []
     for k in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        windows = TestWindows(sorted({(r["item"], r["text"]) for r in own.collect()}, key=str))
-        found.append(rows.mapInArrow(_search_task(spark.sparkContext.broadcast(windows)), FOUND))
-    if blocks == 1:
-        return found[0].drop("rid")
+        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        yield benchmark.sparkSession.sparkContext.broadcast(TestWindows(sorted({(r["item"], r["text"]) for r in own.collect()}, key=str)))
+
+
+def remove_contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``documents`` without a window of any item; one pass for each block, no shuffle."""
+    arrow_rows(documents.sparkSession)
+    names = documents.columns
+    plain = [f"_{k}" for k in range(len(names))]  # extra columns may have any name
+    at = names.index("text")
+    rows = documents.toDF(*plain).withColumnRenamed(plain[at], "text")
+    plain[at] = "text"
+    typed = ", ".join(f"`{c}` {f.dataType.simpleString()}" for c, f in zip(plain, documents.schema))
+    for windows in _windows(benchmark, block_bytes):
+        rows = rows.mapInArrow(_search_task(windows, plain), f"{typed}, {HITS}").where("n_hit = 0").select(*plain)
+    return rows.toDF(*names)
+
+
+def benchmark_hits(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, items (ids as strings) and merged spans (words and UTF-8 bytes)."""
+    arrow_rows(documents.sparkSession)
+    blocks = list(_windows(benchmark, block_bytes))
+    docs = documents.select(F.col("doc_id").cast("long"), "text")
+    if len(blocks) == 1:
+        return docs.mapInArrow(_search_task(blocks[0], ["doc_id"]), f"doc_id long, {HITS}")
+    rows = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
+    found = [rows.mapInArrow(_search_task(windows, ["rid", "doc_id"]), FOUND) for windows in blocks]
     hits = found[0]
     for f in found[1:]:
         hits = hits.union(f)
     # equal rows share a rid; each is counted once per block and multiplied back
     parts = hits.groupBy("rid", "doc_id", "n_words").agg(
-        F.flatten(F.collect_set("items")).alias("items"), F.flatten(F.collect_set("spans")).alias("spans"), (F.count("*") / blocks).cast("int").alias("copies"))
+        F.flatten(F.collect_set("items")).alias("items"), F.flatten(F.collect_set("spans")).alias("spans"), (F.count("*") / len(blocks)).cast("int").alias("copies"))
     parts = materialize(parts, "block_hits")
     united = parts.select("rid", "doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), "items", "spans").mapInArrow(_unite_task, FOUND)
     copies = parts.where("copies > 1").select(F.col("rid").alias("r"), F.explode(F.sequence(F.lit(2), "copies")).alias("i"))

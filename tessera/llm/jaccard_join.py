@@ -47,7 +47,7 @@ SKETCH_PARTS = 64
 LIST_PAIRS = 32
 HUBS = 16
 RANGE_ENTRIES = 1_000_000
-FLUSH_ENTRIES = 3_000_000
+FLUSH_ENTRIES = 1_000_000
 #: Words are runs of anything but the ASCII white space.
 WORD_BYTES = byte_class((0x20, 0x20), (0x09, 0x0D), invert=True)
 _FACTORS = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -78,7 +78,7 @@ def _shingles(scanner: WordScanner, column: pa.Array):
     return mix(total[keep]), np.concatenate(([0], np.cumsum(size)))
 
 
-def _batches(batch: pa.RecordBatch, limit: int = 16 << 20):
+def _batches(batch: pa.RecordBatch, limit: int = 4 << 20):
     """Row slices of a batch with at most ``limit`` text bytes, one row at least."""
     offsets, _ = text_buffer(batch.column("text"))
     at = 0
