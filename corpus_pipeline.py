@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontamination, jaccard_join, language_id, packing, pii
-from tessera.llm.common import materialize
+from tessera.llm.common import broadcast_if_small, materialize
 from tessera.llm.queries import tokenizer_path
 
 
@@ -25,8 +25,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one with the smallest id."""
     classes = jaccard_join.near_duplicates(docs)
-    others = classes.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    others = materialize(classes.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "others")
+    kept = docs.join(broadcast_if_small(others, 64), "doc_id", "left_anti").select(*docs.columns)
     # rows that repeat an id: one of them stays; rows without an id are all kept
     again = materialize(kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated_ids")
     if not again.limit(1).count():
@@ -37,9 +37,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a ten-word window of a benchmark item."""
-    hits = decontamination.benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = hits.where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    return decontamination.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
