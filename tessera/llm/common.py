@@ -15,13 +15,20 @@ from pyspark.sql import functions as F
 from tessera.session import scratch_path
 
 SLICE_BYTES = 1 << 19
+ROW_GROUP_BYTES = 32 << 20
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def arrow_rows(spark: SparkSession, rows: int = 2000) -> str:
-    """Bound the rows of an Arrow batch, so that whole texts fit in a Python worker; returns the old bound."""
+def arrow_rows(spark: SparkSession, rows: int = 500) -> str:
+    """Bound what a task holds at once, as rows carry whole texts; returns the old bound of an Arrow batch.
+
+    Arrow batches get ``rows`` rows, and Parquet writers buffer row groups of
+    ``ROW_GROUP_BYTES`` unless the session has a size of its own.
+    """
     old = spark.conf.get(ARROW_ROWS)
     spark.conf.set(ARROW_ROWS, str(rows))
+    if spark.conf.get("parquet.block.size", None) is None:
+        spark.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))
     return old
 
 

@@ -38,6 +38,7 @@ _MASKS = [np.uint64((1 << 8 * k) - 1) for k in range(ORDER + 2)]
 _SPACES = np.uint64(int.from_bytes(b" " * (ORDER + 1), "big"))
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
+_LETTER = (_FOLD >= 97) & (_FOLD <= 122)
 
 
 def grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -199,9 +200,9 @@ def _predict_task(shared, keep: list[str]):
             offsets, data = text_buffer(column)
             n = batch.num_rows
             names, scores = np.full(n, UNDETERMINED, object), np.zeros(n)
-            letter = np.zeros(n, bool)
-            ascii_letter = np.concatenate(([0], np.cumsum(((data | 32) >= 97) & ((data | 32) <= 122))))
-            letter = ascii_letter[offsets[1:]] > ascii_letter[offsets[:-1]]
+            letter, some = np.zeros(n, bool), np.flatnonzero(offsets[1:] > offsets[:-1])
+            if len(some):
+                letter[some] = np.logical_or.reduceat(_LETTER[data], offsets[some])
             for k in np.flatnonzero(~letter & (offsets[1:] > offsets[:-1])):
                 letter[k] = _has_letter(column[int(k)].as_py())
             if trees.languages and n:

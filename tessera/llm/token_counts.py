@@ -119,7 +119,7 @@ def _count_task(shared):
 def count_tokens(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     """Per document (doc_id, text): numbers of words, tokens and unknown words."""
     spark = documents.sparkSession
-    arrow_rows(spark, 500)
+    arrow_rows(spark)
     pieces = spark.sparkContext.broadcast(vocabulary(tokenizer_path))
     rows = documents.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(_count_task(pieces), "doc_id long, n_words long, n_tokens long, n_unknown long")

@@ -192,7 +192,7 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the records of ``pages``; the finished archives (archive, records, bytes)."""
     spark = pages.sparkSession
-    arrow_rows(spark, 500)
+    arrow_rows(spark)
     folder = folder or scratch_path(spark, "warc")
     make_folder(folder)
     written = mark_revisits(pages).mapInArrow(_write_task(folder, archive_bytes), "archive string, records long, bytes long")
