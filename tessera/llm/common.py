@@ -16,19 +16,22 @@ from tessera.session import scratch_path
 
 SLICE_BYTES = 1 << 19
 ROW_GROUP_BYTES = 32 << 20
+READER_ROWS = 256
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def arrow_rows(spark: SparkSession, rows: int = 500) -> str:
     """Bound what a task holds at once, as rows carry whole texts; returns the old bound of an Arrow batch.
 
-    Arrow batches get ``rows`` rows, and Parquet writers buffer row groups of
-    ``ROW_GROUP_BYTES`` unless the session has a size of its own.
+    Arrow batches get ``rows`` rows. Unless the session has sizes of its own,
+    Parquet readers make batches of ``READER_ROWS`` rows and writers buffer row
+    groups of ``ROW_GROUP_BYTES``; the defaults need hundreds of MB a task.
     """
     old = spark.conf.get(ARROW_ROWS)
     spark.conf.set(ARROW_ROWS, str(rows))
-    if spark.conf.get("parquet.block.size", None) is None:
-        spark.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))
+    for key, value in (("spark.sql.parquet.columnarReaderBatchSize", READER_ROWS), ("parquet.block.size", ROW_GROUP_BYTES)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(value))
     return old
 
 
