@@ -303,23 +303,30 @@ def _keep_task(test):
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of undirected ``edges`` (a, b); root is the smallest node reachable.
 
-    Labels move to neighbours and to the holders' roots, then jump to their own
-    label; the rounds grow with the logarithm of a component's width.
+    In a round every node joins its smallest neighbour if that is smaller,
+    chains are shortened, and the edges between what is left go to the next
+    round; each round at least halves the nodes of a component of any width.
     """
-    both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    label = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root"))
-    label = materialize(label, "labels")
+    def between(rows: DataFrame, u, v) -> DataFrame:
+        return rows.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).where("u < v").distinct()
+    left = materialize(between(edges, "a", "b"), "edges")
+    label = None
     while True:
-        near = both.join(label.select(F.col("node").alias("b"), "root"), "b").select(F.col("a").alias("node"), "root")
-        near = near.groupBy("node").agg(F.min("root").alias("near"))
-        low = label.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
-        low = low.select(F.explode(F.array(F.struct("node", "low"), F.struct(F.col("root").alias("node"), "low"))).alias("x"))
-        low = materialize(low.groupBy("x.node").agg(F.min("x.low").alias("low")), "hooked")
-        jump = low.select(F.col("node").alias("low"), F.col("low").alias("top"))
-        new = materialize(low.join(jump, "low").select("node", F.col("top").alias("root")), "labels")
-        changed = new.agg(F.sum("root").cast("decimal(38,0)")).first() != label.agg(F.sum("root").cast("decimal(38,0)")).first()
-        label = new
-        if not changed:
+        both = left.union(left.select("v", "u"))
+        step = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("near")).select("node", F.least("node", "near").alias("root"))
+        for _ in range(2):
+            step = materialize(step, "steps")
+            jump = step.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            step = step.join(jump, "root").select("node", F.col("top").alias("root"))
+        step = materialize(step, "steps")
+        if label is None:
+            label = step
+        else:
+            top = step.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            label = materialize(label.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "labels")
+        x, y = (step.select(F.col("node").alias(i), F.col("root").alias(j)) for i, j in (("u", "x"), ("v", "y")))
+        left = materialize(between(left.join(x, "u").join(y, "v"), "x", "y"), "edges")
+        if not left.limit(1).count():
             return label
 
 
@@ -352,7 +359,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     sid_text = sets.select(F.col("sid").alias("rid")).join(real.select("rid", "doc_id", "t1", "t2"), "rid")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def verified(pairs: DataFrame, name: str, outline: bool = True) -> DataFrame:
         pairs = materialize(pairs, name)
         need = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct().join(sid_text, "rid")
         need = materialize(need.select(F.col("rid").alias("sid"), F.col("doc_id").alias("d"), F.col("t1").alias("u1"), F.col("t2").alias("u2")), name + "_need")
@@ -360,7 +367,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         text = texts.join(broadcast_if_small(need, 200), same).select("sid", "text").dropDuplicates(["sid"])
         known = materialize(text.mapInArrow(_set_task(classes), "sid long, ids binary, outline binary"), name + "_sets")
         rows = arrow_rows(spark, 200)  # two whole sets a row
-        for column, test in (("outline", _possible), ("ids", _linked)):
+        for column, test in (("outline", _possible), ("ids", _linked))[not outline:]:
             x, y = (known.select(F.col("sid").alias(i), F.col(column).alias(j)) for i, j in (("a", "x"), ("b", "y")))
             both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
             pairs = materialize(both.mapInArrow(_keep_task(test), "a long, b long"), f"{name}_{column}")
@@ -368,7 +375,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         return pairs
 
     links = verified(first, "first")
-    root = connected_components(links)
+    root, merged = connected_components(links), None
 
     # what the stars left open, between sets that are not connected yet
     entry = found.where("kind = 1").select(F.col("a").cast("string").alias("block"), F.col("b").alias("gid"), "r", "before")
@@ -396,11 +403,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         rest = apart.select("block", "root1", "root2").join(x, ["block", "root1"]).join(y, ["block", "root2"])
         rest = rest.where("7 * least(r1, r2) >= 3 * (n1 + n2) and before1 != before2").select(F.col("sid1").alias("x"), F.col("sid2").alias("y"))
         rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        more = verified(rest.join(first, ["a", "b"], "left_anti"), "rest")
+        # mostly within groups of near copies, where outlines tell nothing
+        more = verified(rest.join(first, ["a", "b"], "left_anti"), "rest", outline=False)
+        u, v = (root.select(F.col("node").alias(i), F.col("root").alias(j)) for i, j in (("a", "u"), ("b", "v")))
+        more = more.join(u, "a", "left").join(v, "b", "left").select(F.coalesce("u", "a").alias("a"), F.coalesce("v", "b").alias("b"))
+        more = materialize(more.where("a <> b"), "more")
         if more.limit(1).count():
-            root = connected_components(links.union(more))
+            merged = connected_components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
 
     sets = sets.join(root.withColumnRenamed("node", "sid"), "sid", "left").select("d1", "d2", F.coalesce("root", "sid").alias("root"))
+    if merged is not None:
+        sets = sets.join(merged, "root", "left").select("d1", "d2", F.coalesce("top", "root").alias("root"))
     of_set = real.groupBy("d1", "d2").agg(F.min("doc_id").alias("low")).join(sets, ["d1", "d2"])
     of_set = materialize(of_set, "set_roots")
     least = of_set.groupBy("root").agg(F.min("low").alias("component_id"))
