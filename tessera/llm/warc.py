@@ -85,14 +85,15 @@ def _page(value: str | None) -> int | None:
 
 def read_records(stream, name: str, payloads: bool = True) -> Iterator[dict]:
     """The records of an open archive, one after another."""
-    inflate, data, raw = zlib.decompressobj(31), bytearray(), b""
+    inflate, data, raw, begun = zlib.decompressobj(31), bytearray(), b"", False
     head = None  # of the record that is being read
     while True:
         raw = raw or stream.read(READ_BYTES)
         if not raw:
-            if data or head is not None or inflate.unconsumed_tail:
+            if begun:
                 raise ValueError(f"{name}: the archive ends within a record")
             return
+        begun = True
         try:
             data += inflate.decompress(raw, READ_BYTES * 4)
         except zlib.error as e:
@@ -122,7 +123,7 @@ def read_records(stream, name: str, payloads: bool = True) -> Iterator[dict]:
         yield {"page_id": _page(head.get("warc-record-id")), "url": head.get("warc-target-uri"), "payload_bytes": length,
                "payload_digest": digest, "record_type": head["warc-type"], "refers_to": _page(head.get("warc-refers-to")),
                "payload": payload if payloads and not revisit else None}
-        inflate, head = zlib.decompressobj(31), None
+        inflate, head, begun = zlib.decompressobj(31), None, False
         data.clear()
 
 
