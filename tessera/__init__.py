@@ -11,7 +11,6 @@ Sub-packages:
 * ``sources``   - layer loading, profiling, WKB and GeoJSON ingest.
 * ``operators`` - tile-cover spatial joins, feature aggregation, model.
 * ``plans``     - end-to-end jobs and the registered queries.
-* ``streaming`` - the point-count operator on a stream of points.
 """
 
 from tessera.session import build_session, checkpoint_dir, scratch_path

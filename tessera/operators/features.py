@@ -25,10 +25,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import names, signs
 from tessera.operators.spatial_join import CellIndex, clip_lines_to_cells, points_in_cells
-from tessera.session import checkpoint_dir
-
-# Spark's own limit on pivot values.
-MAX_PIVOT_VALUES = 10_000
+from tessera.session import persist_shared
 
 
 # --------------------------------------------------------------------------
@@ -76,33 +73,18 @@ def length_by_category(idx: CellIndex, lines: DataFrame, category: Column | None
     return pieces.groupBy(*keys).agg(F.sum("piece_len").alias(name)).where(F.col(name) > 0)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint directory and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def pivot_values(long: DataFrame, category: str = "category") -> list:
-    """Distinct category values in sorted order (one small job)."""
-    vals = [r[0] for r in long.select(category).distinct().orderBy(category)
-            .limit(MAX_PIVOT_VALUES + 1).collect()]
-    if len(vals) > MAX_PIVOT_VALUES:
-        raise ValueError(f"more than {MAX_PIVOT_VALUES} pivot values in {category!r}")
-    return vals
-
-
 def pivot_wide(long: DataFrame, value: str, category: str = "category",
                values: list | None = None, fill=0) -> DataFrame:
     """One row per ``grid_id``, one column per category (sum), nulls filled.
 
     Without ``values`` the long table is first written to the checkpoint
     directory, so that finding the values and pivoting read it instead of
-    running the spatial join twice.
+    running the spatial join twice. Spark's own setting
+    (``spark.sql.pivotMaxValues``) says how many columns are too many.
     """
     if values is None:
-        long = materialize(long)
-    vals = values if values is not None else pivot_values(long, category)
-    wide = long.groupBy("grid_id").pivot(category, vals).agg(F.sum(value))
+        long = persist_shared(long)
+    wide = long.groupBy("grid_id").pivot(category, values).agg(F.sum(value))
     return wide.na.fill(fill)
 
 
@@ -257,10 +239,11 @@ def feature_long(idx: CellIndex, roads: DataFrame, signs_df: DataFrame, guardrai
 
 def feature_columns_from(long: DataFrame) -> list[tuple[str, str]]:
     """(layer, feature) pairs present, in layer order then name order."""
-    pairs = [(r["layer"], r["feature"]) for r in
-             long.select("layer", "feature").distinct().limit(MAX_PIVOT_VALUES + 1).collect()]
-    if len(pairs) > MAX_PIVOT_VALUES:
-        raise ValueError("too many feature columns")
+    # one row per column of the wide table; as many as Spark's own pivot allows
+    most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    pairs = [(r["layer"], r["feature"]) for r in long.select("layer", "feature").distinct().limit(most + 1).collect()]
+    if len(pairs) > most:
+        raise ValueError(f"more than {most} feature columns (spark.sql.pivotMaxValues)")
     return sorted(pairs, key=lambda p: (LAYER_ORDER.index(p[0]), p[1]))
 
 
@@ -274,10 +257,9 @@ def feature_table(idx: CellIndex, roads: DataFrame, signs_df: DataFrame, guardra
     directory), keeping only cells that have a road feature. Counts are
     bigint, lengths double; ``crash_count`` is the label.
     """
-    long = materialize(feature_long(idx, roads, signs_df, guardrails, medians, sidewalks,
-                                    crashes, **cols))
+    long = persist_shared(feature_long(idx, roads, signs_df, guardrails, medians, sidewalks,
+                                       crashes, **cols))
     feats = feature_columns_from(long)
-    # Every column that can appear, so that absent layers still give their fixed columns.
     aggs = []
     for layer, feat in feats:
         v = F.sum(F.when(F.col("feature") == feat, F.col("value")))
@@ -288,6 +270,9 @@ def feature_table(idx: CellIndex, roads: DataFrame, signs_df: DataFrame, guardra
     has_road = F.max((F.col("layer") == "road").cast("int")).alias("_has_road")
     wide = long.groupBy("grid_id").agg(*aggs, has_road)
     wide = wide.where(F.col("_has_road") == 1).drop("_has_road")
+    # two columns are always there, whatever the layers hold
+    if "sidewalk_len" not in [f for _, f in feats]:
+        wide = wide.withColumn("sidewalk_len", F.lit(0.0))
     if "crash_count" not in [f for _, f in feats]:
         wide = wide.withColumn("crash_count", F.lit(0).cast("long"))
     return wide

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 KEY = "grid_id"
 LABEL = "crash_count"
 TRAIN_FRACTION = 0.8
+#: Partitions of the training rows; a parameter of the result, so it does not follow the cluster's size.
+TRAIN_PARTITIONS = 32
 NUM_TREES = 100
 SEED = 42
 
@@ -68,7 +70,9 @@ def fit_forest(features: DataFrame, key: str = KEY, label: str = LABEL,
                num_trees: int = NUM_TREES, seed: int = SEED,
                train_fraction: float = TRAIN_FRACTION) -> FitResult:
     assembled = assign_split(assemble(features, key, label), key, train_fraction)
-    train = assembled.where("is_train")
+    # Trees draw their samples by partition and row: a fixed number of hash partitions,
+    # sorted by key, makes the forest the same whatever the input's partitioning.
+    train = assembled.where("is_train").repartition(TRAIN_PARTITIONS, key).sortWithinPartitions(key)
     test = assembled.where(~F.col("is_train"))
     rf = RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed)
     model = rf.fit(train)

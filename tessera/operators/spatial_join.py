@@ -41,12 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
+from tessera.session import persist_shared
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_HOT_TILE_ROWS = 2_000_000
-# Bytes per broadcast cell-tile row and per general-polygon edge, for the size check.
-ROW_BYTES = 72
-EDGE_BYTES = 40
+# Upper bounds of the bytes of a broadcast cell-tile row (14 fields, their hash
+# table entry) without its key's text, and of a polygon edge, for the size check.
+ROW_BYTES = 320
+EDGE_BYTES = 64
 # Widening of a segment's per-column y range, relative to the tile side, so
 # that rounding never drops a tile the segment touches (extra tiles only add
 # zero-length candidates).
@@ -157,6 +159,7 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
     st = cells.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("s"),
                    F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("wh"), F.sum(w + h).alias("wph"),
                    F.sum(e).alias("e"), F.sum(e * w * h).alias("ewh"), F.sum(e * (w + h)).alias("ewph"),
+                   F.max(F.octet_length(F.col("grid_id").cast("string"))).alias("key"),
                    F.sum((~F.col("is_box") & ~F.col("is_convex")).cast("long")).alias("general")).first()
     if tile is None:
         tile = float(st["s"]) if st["s"] else 1.0
@@ -171,7 +174,7 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
         return int(scale_rows * tiles + scale_edges * edge_tiles)
 
     # General cells also carry their edges as four coordinate arrays.
-    est = bound(ROW_BYTES, EDGE_BYTES * (2 if st["general"] else 1))
+    est = bound(ROW_BYTES + (st["key"] or 0), EDGE_BYTES * (2 if st["general"] else 1))
     return CellIndex(cells, s, est, est, broadcast_bytes, hot_tile_rows, bool(st["general"]))
 
 
@@ -180,24 +183,23 @@ def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
     """Equi-join items and cells on (tx, ty): broadcast if checked small, else salted shuffle."""
     if est_bytes <= idx.broadcast_bytes:
         return items.join(F.broadcast(cell_tiles), ["tx", "ty"])
-    if items.isStreaming:
-        # Stream-static join: the per-tile count that finds hot tiles would be
-        # a streaming aggregation, so streams use the plain shuffled join.
-        return items.join(cell_tiles, ["tx", "ty"])
     hot_rows = idx.hot_tile_rows
     # Per-tile item counts: partial aggregation before the shuffle, one row per tile.
     hot = (items.groupBy("tx", "ty").count()
                 .where(F.col("count") > hot_rows)
                 .select("tx", "ty", F.ceil(F.col("count") / hot_rows).cast("int").alias("n_salt")))
-    # Bounded by total_items / hot_tile_rows rows.
+    # Counted once, bounded by total_items / hot_tile_rows rows. The salt below is a
+    # hash of the row, so a task that runs again salts as before.
+    hot = persist_shared(hot)
     salted_items = (items.join(F.broadcast(hot), ["tx", "ty"], "left")
                     .withColumn("salt", F.when(F.col("n_salt").isNull(), F.lit(0))
-                                .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("n_salt"))))
+                                .otherwise(F.pmod(F.xxhash64(*items.columns), F.col("n_salt")).cast("int")))
                     .drop("n_salt"))
     salted_cells = (cell_tiles.join(F.broadcast(hot), ["tx", "ty"], "left")
                     .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)))
                     .drop("n_salt"))
-    return salted_items.join(salted_cells, ["tx", "ty", "salt"]).drop("salt")
+    # The hint keeps Spark from broadcasting the cover, whose size its statistics miss.
+    return salted_items.join(salted_cells.hint("merge"), ["tx", "ty", "salt"]).drop("salt")
 
 
 # --------------------------------------------------------------------------

@@ -43,6 +43,14 @@ def grid(spark: SparkSession) -> DataFrame:
             .withColumn("geom", G.box("xmin", "ymin", "xmax", "ymax")))
 
 
+def customer_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One small cell per customer (overlapping, off the tile lattice): a grid that grows with the tables."""
+    k = F.col("c_custkey")
+    xmin, ymin = _m(k * 7919, 990).cast("double"), _m(k * 104729, 990).cast("double")
+    return (table(spark, sf_dir, "customer").select(k.cast("long").alias("id"), xmin.alias("xmin"), ymin.alias("ymin"))
+            .withColumn("geom", G.box("xmin", "ymin", F.col("xmin") + 7, F.col("ymin") + 5)).select("id", "geom"))
+
+
 def triangle_grid(spark: SparkSession) -> DataFrame:
     """Each square cell cut along its rising diagonal into two triangles.
 

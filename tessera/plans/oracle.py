@@ -24,6 +24,10 @@ CTE = {
          50e0 * cast(floor((id - 1) / 20e0) as bigint) as ymin,
          50e0 * cast(floor((id - 1) / 20e0) as bigint) + 50e0 as ymax
   from range(1, 401) as t(id))""",
+    "customer_grid": """customer_grid as (
+  select c_custkey as id, cast((c_custkey * 7919) % 990 as double) as xmin, cast((c_custkey * 7919) % 990 + 7 as double) as xmax,
+         cast((c_custkey * 104729) % 990 as double) as ymin, cast((c_custkey * 104729) % 990 + 5 as double) as ymax
+  from customer)""",
     "tri": """tri as (
   select 2 * id - 1 as id, xmin, ymin, xmax, ymax, 1 as lower_half from grid
   union all
@@ -272,6 +276,18 @@ def _crash() -> str:
               f"from grid g left join crashes p on {_inside('g', 'p')} group by g.id")
 
 
+def _crash_large_grid() -> str:
+    return (_with("customer_grid", "crashes")
+            + f"select g.id as grid_id, count(p.objectid) as crash_count "
+              f"from customer_grid g left join crashes p on {_inside('g', 'p')} group by g.id")
+
+
+def _road_large_grid() -> str:
+    return (_with("customer_grid", "roads", extra=[_pairs("p", "roads", "customer_grid")])
+            + "select grid_id, cast(speed as varchar) as speed_str, round(sum(seg_len), 6) as total_length "
+              "from p where speed is not null and speed > 0 and seg_len > 0 group by 1, 2")
+
+
 def _concave_crash() -> str:
     # strictly inside the square and not in the closed removed quarter
     cond = (f"{_inside('g', 'p')} and not (p.x >= (g.xmin + g.xmax) / 2 and p.y >= (g.ymin + g.ymax) / 2)")
@@ -432,6 +448,8 @@ SQL: dict[str, str] = {
     "sidewalk_length": _sidewalk(),
     "crash_count": _crash(),
     "concave_crash_count": _concave_crash(),
+    "crash_count_large_grid": _crash_large_grid(),
+    "road_length_large_grid": _road_large_grid(),
     "sign_count_by_group": _sign_long(),
     "sign_count_by_group_wide": _sign_wide(),
     "sign_classify": _sign_classify(),

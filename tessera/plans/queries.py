@@ -125,6 +125,24 @@ def concave_crash_count(spark, sf_dir):
                            fx.crashes(spark, sf_dir), "id", "objectid")
 
 
+def _large(spark, sf_dir):
+    """A grid that grows with the tables, indexed so that the salted shuffle join runs."""
+    grid = fx.customer_grid(spark, sf_dir)
+    return grid, sj.index_cells(grid, broadcast_bytes=0, hot_tile_rows=50, materialize=False)
+
+
+def crash_count_large_grid(spark, sf_dir):
+    """Identified crashes in each of the customers' cells, by the shuffled join with salted hot tiles."""
+    grid, idx = _large(spark, sf_dir)
+    return ft.crash_counts(idx, grid, fx.crashes(spark, sf_dir), "id", "objectid")
+
+
+def road_length_large_grid(spark, sf_dir):
+    """Road length per customer's cell and speed, by the shuffled join with salted hot tiles."""
+    _, idx = _large(spark, sf_dir)
+    return rounded(ft.road_speed_long(idx, fx.roads(spark, sf_dir), "speed"))
+
+
 def _all_signs(spark, sf_dir) -> DataFrame:
     """Panels and mounts united (duplicates kept), as the feature job does."""
     cols = ["objectid", "mutcddescd", "geom"]
@@ -267,6 +285,8 @@ def geojson_convert(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "road_length_by_speed": road_length_by_speed,
+    "crash_count_large_grid": crash_count_large_grid,
+    "road_length_large_grid": road_length_large_grid,
     "road_length_by_speed_wide": road_length_by_speed_wide,
     "guardrail_length_by_material": guardrail_length_by_material,
     "guardrail_length_by_material_wide": guardrail_length_by_material_wide,

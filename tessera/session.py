@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "tessera",
@@ -40,7 +40,7 @@ def build_session(master: str | None = None, app: str = "tessera",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint directory; set a local one only when unset."""
+    """The shared checkpoint directory; set a local one only when unset on a local master."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -49,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return local
@@ -57,3 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory."""
     return f"{checkpoint_dir(spark)}/tessera/{uuid.uuid4().hex}/{name}"
+
+
+def persist_shared(df: DataFrame) -> DataFrame:
+    """Write ``df`` to Parquet under the shared checkpoint directory and read it back."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -98,7 +98,7 @@ def to_geojson(g: Column | str) -> Column:
 
 def properties_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
     """Inferred type of ``features[].properties`` (empty struct if there is none)."""
-    raw = spark.read.option("multiLine", multi_line).json(path)
+    raw = spark.read.option("multiLine", multi_line).json(path)  # bad files fail in the read itself, by name
     if "features" not in raw.columns:
         return T.StructType([])
     ft = raw.schema["features"].dataType
@@ -112,15 +112,20 @@ def properties_schema(spark: SparkSession, path: str, multi_line: bool = True) -
 
 def read_feature_collections(spark: SparkSession, path: str, multi_line: bool = True,
                              properties: T.StructType | None = None) -> DataFrame:
-    """One row per feature: every property as a column, plus ``geom``."""
+    """One row per feature: every property as a column, plus ``geom``.
+
+    A file that is no valid JSON, or has no ``features``, fails the read and
+    is named; an empty list of features gives no rows.
+    """
     props = properties if properties is not None else properties_schema(spark, path, multi_line)
     feature = T.StructType([T.StructField("type", T.StringType()),
                             T.StructField("properties", props),
                             T.StructField("geometry", T.StringType())])
     schema = T.StructType([T.StructField("type", T.StringType()),
                            T.StructField("features", T.ArrayType(feature))])
-    raw = spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    feats = raw.select(F.explode("features").alias("f"))
+    raw = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    missing = F.raise_error(F.concat(F.input_file_name(), F.lit(": not a feature collection"))).cast(schema["features"].dataType)
+    feats = raw.select(F.explode(F.coalesce("features", missing)).alias("f"))
     par = spark.sparkContext.defaultParallelism
     if feats.rdd.getNumPartitions() < par:
         feats = feats.repartition(par)

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tessera.functions import geometry as G
 from tessera.sources import wkb
 
-# File names of the nine layers under one base directory.
+# The file names of the nine layers under one base directory.
 LAYER_FILES = {
     "grid": "Grid.parquet",
     "roads": "RoadCenterLines.parquet",
@@ -66,7 +66,7 @@ def resolve_geometry(df: DataFrame, path: str = "<dataframe>") -> DataFrame:
         return df
     if "geometry" in cols:
         return df.withColumn("geom", wkb.from_wkb("geometry"))
-    raise MissingGeometryError(f"Parquet file {path} has no `geom` or `geometry` column.")
+    raise MissingGeometryError(f"{path}: a layer needs a geometry in column `geom`, or as WKB in `geometry`")
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:

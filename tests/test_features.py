@@ -8,6 +8,7 @@ import pytest
 from conftest import boxes, lines, points
 from pyspark.sql import functions as F
 
+from tessera.functions import geometry as G
 from tessera.functions import signs
 from tessera.operators import features as ft
 from tessera.operators import model as ml
@@ -166,3 +167,20 @@ def test_sign_group_regex_equals_rule_chain(spark):
     rows = df.select(signs.sign_group(code).alias("a"), signs.sign_group_chain(code).alias("b")).collect()
     assert all(r["a"] == r["b"] for r in rows)
     assert sum(r["a"] is not None for r in rows) > 20
+
+
+def test_sidewalk_column_without_sidewalks(spark):
+    grid = boxes(spark, [(1, 0.0, 0.0, 10.0, 10.0)])
+    road = lines(spark, [(1, [(1, 1), (5, 1)], 30)], "SPEED int")
+    none = lines(spark, [], "MATERIALD string, TYPED string")
+    signs = points(spark, [], "MUTCDDESCD string")
+    crash = points(spark, [], "OBJECTID long")
+    out = ft.feature_table(sj.index_cells(grid), road, signs, none, none, none, crash).first().asDict()
+    assert out["sidewalk_len"] == 0.0 and out["crash_count"] == 0 and out["road_len_mph_30"] == 4.0
+
+
+def test_long_form_has_no_limit_of_categories(spark):
+    grid = boxes(spark, [(1, 0.0, 0.0, 10.0, 10.0)])
+    many = spark.range(10_001).select(F.col("id").cast("string").alias("kind"), G.point(F.lit(5.0), F.lit(5.0)).alias("geom"))
+    long = ft.count_by_category(sj.index_cells(grid), many, F.col("kind"))
+    assert long.count() == 10_001

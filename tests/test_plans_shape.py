@@ -45,3 +45,16 @@ def test_large_grid_switches_to_salted_shuffle_join(spark):
     idx = sj.index_cells(grid, broadcast_bytes=0, hot_tile_rows=1)
     plan = _plan(sj.points_in_cells(idx, points(spark, [(1, 5.0, 5.0), (2, 6.0, 6.0)]), "geom", ["id"]))
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+def test_large_cover_is_never_broadcast(spark):
+    from conftest import points
+    from pyspark.sql import functions as F
+
+    from tessera.functions import geometry as G
+    grid = spark.range(50).select("id", G.box(F.lit(0.0), F.lit(0.0), F.lit(30.0), F.lit(30.0)).alias("geom"))
+    idx = sj.index_cells(grid, tile=1.0, broadcast_bytes=1_000_000)
+    assert idx.point_bytes > 1_000_000  # the cover's rows count, not the cells
+    pairs = sj.points_in_cells(idx, points(spark, [(k, 0.5 + k, 0.5) for k in range(20)]), "geom", ["id"])
+    plan = _plan(pairs)
+    assert "SortMergeJoin" in plan and pairs.count() == 50 * 20

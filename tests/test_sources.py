@@ -140,3 +140,21 @@ def test_write_and_load_layers_and_profile(spark, tmp_dir):
     prof = layers.profile_layers(loaded).first()
     assert (prof["layer"], prof["rows"], prof["null_geom"]) == ("roads", 2, 0)
     assert (prof["xmin"], prof["ymin"], prof["xmax"], prof["ymax"]) == (-3.0, 0.0, 1.0, 9.0)
+
+
+@pytest.mark.parametrize("text", ['{"type": "FeatureCollection", "features": [{"type": ', '{"type": "Feature", "properties": {}, "geometry": null}',
+                                  '{"type": "FeatureCollection"}', '{"type": "FeatureCollection", "features": null}'])
+def test_bad_geojson_fails_and_leaves_the_target(spark, tmp_dir, text):
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/bad.geojson", "w") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="bad.geojson"):
+        geojson.convert(spark, f"{tmp_dir}/in", f"{tmp_dir}/out.parquet")
+    assert not [f for f in (os.listdir(f"{tmp_dir}/out.parquet") if os.path.isdir(f"{tmp_dir}/out.parquet") else []) if f.endswith(".parquet")]
+
+
+def test_geojson_without_features_has_no_rows(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/none.geojson", "w") as f:
+        f.write('{"type": "FeatureCollection", "features": []}')
+    assert geojson.read_feature_collections(spark, f"{tmp_dir}/in").count() == 0
