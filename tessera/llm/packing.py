@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -85,7 +86,7 @@ class WordEncoder:
             split.append(self.words.findall(text.lower()) if plain else None)
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        new = list(set().union(*(w for w in split if w)) - self.cache.keys())
+        new = list(filterfalse(self.cache.__contains__, set().union(*(w for w in split if w))))
         for k in range(0, len(new), 5000):
             self._learn(new[k:k + 5000])
         get = self.cache.__getitem__
@@ -110,8 +111,8 @@ def _pieces_task(shared, capacity: int):
         words = encoder(shared.value)
         close = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 250):
-                part = batch.slice(lo, 250)
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
                 out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 for doc, ids in zip(part.column("doc_id").to_pylist(), words.encode(texts)):
