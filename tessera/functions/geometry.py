@@ -37,11 +37,7 @@ GEOMETRY = T.StructType([
     T.StructField("parts", T.ArrayType(T.ArrayType(POINT))),
     T.StructField("poly_rings", T.ArrayType(T.IntegerType())),
 ])
-SEGMENT = T.StructType([T.StructField(n, T.DoubleType())
-                        for n in ("x1", "y1", "x2", "y2")])
-
-KINDS = ("Point", "LineString", "Polygon",
-         "MultiPoint", "MultiLineString", "MultiPolygon")
+PARTS = GEOMETRY["parts"].dataType
 
 INF = float("inf")
 # Relative tolerance of the on-border test for sloped edges.
@@ -161,10 +157,6 @@ def segments(g) -> Column:
     return F.flatten(F.transform(_c(g)["parts"], part_segments))
 
 
-def is_lineal_or_areal(g) -> Column:
-    return _c(g)["kind"].isin("LineString", "MultiLineString", "Polygon", "MultiPolygon")
-
-
 def is_rectangle(g, bb: Column | None = None) -> Column:
     """True for a one-ring Polygon that is an axis-aligned rectangle of positive area.
 
@@ -278,44 +270,6 @@ def covers_point(edges: Column, px, py) -> Column:
     return inside_even_odd(edges, px, py) | on_boundary(edges, px, py)
 
 
-def clipped_fraction_polygon(edges: Column, x1: Column, y1: Column, x2: Column, y2: Column,
-                             t0: Column, t1: Column) -> Column:
-    """Measure of ``{t in [t0, t1]}`` whose point lies in the closed polygon.
-
-    Breakpoints are every parameter where the segment's line meets an edge's
-    line (or, for parallel edges, the projections of the edge's ends); within
-    two consecutive breakpoints the inside/outside state is constant, so the
-    midpoint decides each run.
-    """
-    dx = x2 - x1
-    dy = y2 - y1
-    dd = dx * dx + dy * dy
-
-    def edge_ts(e):
-        ex = e["x2"] - e["x1"]
-        ey = e["y2"] - e["y1"]
-        den = dx * ey - dy * ex
-        t_cross = ((e["x1"] - x1) * ey - (e["y1"] - y1) * ex) / nonzero(den)
-        tp1 = ((e["x1"] - x1) * dx + (e["y1"] - y1) * dy) / nonzero(dd)
-        tp2 = ((e["x2"] - x1) * dx + (e["y2"] - y1) * dy) / nonzero(dd)
-        return F.when(den != 0, F.array(t_cross)).otherwise(F.array(tp1, tp2))
-
-    raw = F.flatten(F.transform(edges, edge_ts))
-    inner = F.filter(raw, lambda t: (t > t0) & (t < t1))
-    cuts = F.array_sort(F.concat(F.array(t0, t1), inner))
-    n = F.size(cuts) - 1
-    runs = F.zip_with(F.slice(cuts, 1, n), F.slice(cuts, 2, n),
-                      lambda u, v: F.struct(u.alias("u"), v.alias("v")))
-
-    def add(acc, r):
-        m = (r["u"] + r["v"]) / 2
-        mx = x1 + m * dx
-        my = y1 + m * dy
-        return acc + F.when(covers_point(edges, mx, my), r["v"] - r["u"]).otherwise(F.lit(0.0))
-
-    return F.when(t1 > t0, F.aggregate(runs, F.lit(0.0), add)).otherwise(F.lit(0.0))
-
-
 # --------------------------------------------------------------------------
 # convex polygons: half-plane intersection (Cyrus-Beck)
 # --------------------------------------------------------------------------
@@ -370,6 +324,17 @@ def convex_contains_point(edges: Column, px, py) -> Column:
     return F.forall(edges, lambda e: _edge_cross(e, px, py) > _edge_tol(e, px, py))
 
 
+def convex_covers_point(edges: Column, px, py) -> Column:
+    """Inside a convex polygon given by CCW edges, or on its border."""
+    px, py = _d(px), _d(py)
+    return F.forall(edges, lambda e: _edge_cross(e, px, py) >= -_edge_tol(e, px, py))
+
+
+def on_edge_line(e: Column, px: Column, py: Column) -> Column:
+    """(px, py) lies on the line through edge ``e``."""
+    return F.abs(_edge_cross(e, px, py)) <= _edge_tol(e, px, py)
+
+
 def convex_clip_fraction(edges: Column, x1: Column, y1: Column, x2: Column, y2: Column,
                          t0: Column, t1: Column) -> Column:
     """Measure of ``{t in [t0, t1]}`` inside the closed convex polygon (CCW edges)."""

@@ -55,8 +55,8 @@ def count_by_category(idx: CellIndex, points: DataFrame, category: Column | None
 
 
 def length_by_category(idx: CellIndex, lines: DataFrame, category: Column | None = None,
-                       geom_col: str = "geom", name: str = "total_length") -> DataFrame:
-    """``(grid_id, category, <name>)``: summed clipped length per cell.
+                       geom_col: str = "geom", name: str = "total_length", areas: bool = False) -> DataFrame:
+    """``(grid_id, category, <name>)``: summed clipped length per cell (of areas, with ``areas``: perimeter).
 
     Only cells where the clipped length is positive appear. Rows with a null
     category are dropped before the join.
@@ -68,7 +68,7 @@ def length_by_category(idx: CellIndex, lines: DataFrame, category: Column | None
     if category is not None:
         ln = ln.where(F.col("category").isNotNull())
     keep = ["category"] if category is not None else []
-    pieces = clip_lines_to_cells(idx, ln, "geom", keep, positive_only=False)
+    pieces = clip_lines_to_cells(idx, ln, "geom", keep, positive_only=False, areas=areas)
     keys = ["grid_id", "category"] if category is not None else ["grid_id"]
     return pieces.groupBy(*keys).agg(F.sum("piece_len").alias(name)).where(F.col(name) > 0)
 
@@ -138,18 +138,18 @@ def road_speed_wide(idx: CellIndex, roads: DataFrame, speed_col: str = "SPEED",
 
 
 def category_length_long(idx: CellIndex, lines: DataFrame, category_col: str,
-                         out_name: str, geom_col: str = "geom") -> DataFrame:
+                         out_name: str, geom_col: str = "geom", areas: bool = False) -> DataFrame:
     """``(grid_id, <out_name>, total_length)`` for non-null, non-empty categories."""
     c = F.col(category_col)
     usable = lines.where(c.isNotNull() & (c != ""))
-    return (length_by_category(idx, usable, c, geom_col)
+    return (length_by_category(idx, usable, c, geom_col, areas=areas)
             .withColumnRenamed("category", out_name))
 
 
 def category_length_wide(idx: CellIndex, grid: DataFrame, lines: DataFrame, category_col: str,
-                         prefix: str, id_col: str = "id", geom_col: str = "geom") -> DataFrame:
+                         prefix: str, id_col: str = "id", geom_col: str = "geom", areas: bool = False) -> DataFrame:
     """All grid ids + ``<prefix><clean category>`` doubles, 0.0 where absent."""
-    long = category_length_long(idx, lines, category_col, "category", geom_col)
+    long = category_length_long(idx, lines, category_col, "category", geom_col, areas)
     named = long.select("grid_id", names.feature_name(prefix, F.col("category")).alias("feature"),
                         "total_length")
     wide = pivot_wide(named, "total_length", "feature", fill=0.0)
@@ -160,17 +160,17 @@ def guardrail_wide(idx, grid, guardrails, material_col="MATERIALD", id_col="id",
     return category_length_wide(idx, grid, guardrails, material_col, "guardrail_len_", id_col, geom_col)
 
 
-def median_wide(idx, grid, medians, type_col="TYPED", id_col="id", geom_col="geom"):
-    return category_length_wide(idx, grid, medians, type_col, "median_len_", id_col, geom_col)
+def median_wide(idx, grid, medians, type_col="TYPED", id_col="id", geom_col="geom", areas=False):
+    return category_length_wide(idx, grid, medians, type_col, "median_len_", id_col, geom_col, areas)
 
 
-def sidewalk_lengths(idx: CellIndex, sidewalks: DataFrame, geom_col: str = "geom") -> DataFrame:
+def sidewalk_lengths(idx: CellIndex, sidewalks: DataFrame, geom_col: str = "geom", areas: bool = False) -> DataFrame:
     """``(grid_id, sidewalk_len)`` for cells with a sidewalk piece of positive length.
 
     The grid ids of the result already come from the grid, so the inner
     join with the distinct grid ids adds nothing and is left out.
     """
-    return length_by_category(idx, sidewalks, None, geom_col, "sidewalk_len")
+    return length_by_category(idx, sidewalks, None, geom_col, "sidewalk_len", areas)
 
 
 def crash_counts(idx: CellIndex, grid: DataFrame, crashes: DataFrame, id_col: str = "id",
@@ -185,6 +185,7 @@ def crash_counts(idx: CellIndex, grid: DataFrame, crashes: DataFrame, id_col: st
 # the combined wide table
 # --------------------------------------------------------------------------
 
+ROAD_MARK = "_has_road"
 LAYER_ORDER = ["road", "sign", "guardrail", "median", "sidewalk", "crash"]
 
 
@@ -192,10 +193,10 @@ def feature_long(idx: CellIndex, roads: DataFrame, signs_df: DataFrame, guardrai
                  medians: DataFrame, sidewalks: DataFrame, crashes: DataFrame, *,
                  speed_col: str = "SPEED", desc_col: str = "MUTCDDESCD",
                  material_col: str = "MATERIALD", type_col: str = "TYPED",
-                 objectid_col: str = "OBJECTID", geom_col: str = "geom") -> DataFrame:
+                 objectid_col: str = "OBJECTID", geom_col: str = "geom", areas: bool = False) -> DataFrame:
     """``(grid_id, layer, feature, value)`` for all six feature layers.
 
-    The four line layers go through one tile join and the two point layers
+    ``areas`` says that a line layer holds polygons (measured by perimeter). The four line layers go through one tile join and the two point layers
     through another; one two-phase aggregation per kind.
     """
     g = F.col(geom_col)
@@ -216,7 +217,7 @@ def feature_long(idx: CellIndex, roads: DataFrame, signs_df: DataFrame, guardrai
         .unionByName(sidewalks.select(F.lit("sidewalk").alias("layer"),
                                       F.lit("sidewalk_len").alias("feature"), g.alias("geom")))
     )
-    lengths = (clip_lines_to_cells(idx, lines, "geom", ["layer", "feature"], positive_only=False)
+    lengths = (clip_lines_to_cells(idx, lines, "geom", ["layer", "feature"], positive_only=False, areas=areas)
                .groupBy("grid_id", "layer", "feature")
                .agg(F.sum("piece_len").alias("value"))
                .where(F.col("value") > 0))
@@ -259,21 +260,20 @@ def feature_table(idx: CellIndex, roads: DataFrame, signs_df: DataFrame, guardra
     """
     long = persist_shared(feature_long(idx, roads, signs_df, guardrails, medians, sidewalks,
                                        crashes, **cols))
-    feats = feature_columns_from(long)
-    aggs = []
-    for layer, feat in feats:
-        v = F.sum(F.when(F.col("feature") == feat, F.col("value")))
-        if layer in ("sign", "crash"):
-            v = v.cast("long")
-        aggs.append(F.coalesce(v, F.lit(0).cast("long" if layer in ("sign", "crash") else "double"))
-                    .alias(feat))
-    has_road = F.max((F.col("layer") == "road").cast("int")).alias("_has_road")
-    wide = long.groupBy("grid_id").agg(*aggs, has_road)
-    wide = wide.where(F.col("_has_road") == 1).drop("_has_road")
+    pairs = feature_columns_from(long)
+    feats = [f for _, f in pairs]
+    # one pivot over the values found; the mark of a road is a column of the same pivot
+    with_road = F.when(F.col("layer") == "road", F.lit(ROAD_MARK))
+    marked = long.select("grid_id", F.explode(F.filter(F.array(F.struct(F.col("feature").alias("f"), F.col("value").alias("v")),
+                                                               F.struct(with_road.alias("f"), F.lit(1.0).alias("v"))),
+                                                       lambda r: r["f"].isNotNull())).alias("_r")).select("grid_id", "_r.*")
+    wide = marked.groupBy("grid_id").pivot("f", [*feats, ROAD_MARK]).agg(F.sum("v")).where(F.col(ROAD_MARK).isNotNull())
+    kinds = {f: "long" if layer in ("sign", "crash") else "double" for layer, f in pairs}
+    wide = wide.select("grid_id", *[F.coalesce(F.col(f"`{f}`"), F.lit(0.0)).cast(kinds[f]).alias(f) for f in feats])
     # two columns are always there, whatever the layers hold
-    if "sidewalk_len" not in [f for _, f in feats]:
+    if "sidewalk_len" not in feats:
         wide = wide.withColumn("sidewalk_len", F.lit(0.0))
-    if "crash_count" not in [f for _, f in feats]:
+    if "crash_count" not in feats:
         wide = wide.withColumn("crash_count", F.lit(0).cast("long"))
     return wide
 

@@ -206,6 +206,39 @@ def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
 # points
 # --------------------------------------------------------------------------
 
+def _in_closed_cell(px, py):
+    """(px, py) inside the joined cell or on its border."""
+    in_box = (px >= F.col("cxmin")) & (px <= F.col("cxmax")) & (py >= F.col("cymin")) & (py <= F.col("cymax"))
+    return in_box & (F.when(F.col("is_box"), F.lit(True))
+                     .when(F.col("is_convex"), G.convex_covers_point(F.col("edges"), px, py))
+                     .otherwise(G.covers_point(F.col("edges"), px, py)))
+
+
+def _in_open_cell(px, py):
+    """(px, py) strictly inside the joined cell."""
+    in_box = (px > F.col("cxmin")) & (px < F.col("cxmax")) & (py > F.col("cymin")) & (py < F.col("cymax"))
+    return in_box & (F.when(F.col("is_box"), F.lit(True))
+                     .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py))
+                     .otherwise(G.contains_point(F.col("edges"), px, py)))
+
+
+def _members_columns():
+    """(members of a point geometry, whether member ``_i`` stands for them all in the joined cell).
+
+    A multi-point lies in a cell when no member is outside the closed cell
+    and one is strictly inside; its first such member makes the pair, so a
+    pair shows once however many tiles the members fall in.
+    """
+    g = F.col("_g")
+    members = F.when(g["kind"].isin("Point", "MultiPoint"), G.vertices(g)).when(g.isNotNull(), F.raise_error(
+        F.concat(F.lit("points_in_cells takes points, not "), g["kind"])).cast("array<struct<x:double,y:double>>"))
+    members = F.filter(members, lambda p: p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"]))
+    earlier = F.slice(F.col("_m"), 1, F.col("_i"))
+    first = F.col("_m").isNull() | (F.forall("_m", lambda p: _in_closed_cell(p["x"], p["y"]))
+                                    & ~F.exists(earlier, lambda p: _in_open_cell(p["x"], p["y"])))
+    return members, first
+
+
 def _point_columns(s: float):
     """(tx, ty, inside) for columns px, py and the cell columns."""
     px, py = F.col("px"), F.col("py")
@@ -224,15 +257,19 @@ def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
 
     Returns ``grid_id`` plus the ``keep`` columns of the point layer (all
     non-geometry columns by default) and ``px``, ``py``. A point on a border
-    is in no cell; a point in overlapping cells is in each. Multi-points
-    count once per member point.
+    is in no cell; a point in overlapping cells is in each. A multi-point is
+    contained as a whole: no member outside the closed cell, at least one
+    strictly inside; ``px``, ``py`` are then its first member strictly
+    inside. Other kinds than points raise; null and empty ones are in no cell.
     """
     tx, ty, inside = G.memo(("points", idx.tile), lambda: _point_columns(idx.tile))
+    members, first = G.memo(("members",), _members_columns)
     keep = keep if keep is not None else [c for c in points.columns if c != geom_col]
-    pts = (points.select(*keep, F.explode(G.vertices(F.col(geom_col))).alias("_p"))
-                 .select(*keep, F.col("_p.x").alias("px"), F.col("_p.y").alias("py"))
-                 .where(F.col("px").isNotNull() & F.col("py").isNotNull())
-                 .select(*keep, "px", "py", tx.alias("tx"), ty.alias("ty")))
+    many = F.when(F.size("_all") > 1, F.col("_all")).alias("_m")
+    pts = (points.select(*keep, F.col(geom_col).alias("_g")).select(*keep, members.alias("_all"))
+                 .select(*keep, many, F.posexplode("_all").alias("_i", "_p"))
+                 .select(*keep, "_m", "_i", F.col("_p.x").alias("px"), F.col("_p.y").alias("py"))
+                 .select(*keep, "_m", "_i", "px", "py", tx.alias("tx"), ty.alias("ty")))
     j = _tile_join(pts, idx.point_tiles(), idx.point_bytes, idx)
     if idx.has_general:
         # Non-convex cells: the box test first, then the Arrow-batched
@@ -242,23 +279,31 @@ def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
                     & (F.col("py") > F.col("cymin")) & (F.col("py") < F.col("cymax")))
         inside = F.coalesce(inside, general_contains(*[F.col(c) for c in (
             "px", "py", "gx1", "gy1", "gx2", "gy2")]))
-    return j.where(inside).select("grid_id", *keep, "px", "py")
+    return j.where(inside).where(first).select("grid_id", *keep, "px", "py")
 
 
 # --------------------------------------------------------------------------
 # lines
 # --------------------------------------------------------------------------
 
+AREAL = ("Polygon", "MultiPolygon")
+
+
 def explode_segments(lines: DataFrame, geom_col: str = "geom",
-                     keep: list[str] | None = None) -> DataFrame:
+                     keep: list[str] | None = None, areas: bool = True) -> DataFrame:
     """One row per segment (x1, y1, x2, y2) of every line part or polygon ring.
 
-    Parts are exploded first, then consecutive vertices are paired with
+    Without ``areas`` a polygon raises. Parts are exploded first, then consecutive vertices are paired with
     ``arrays_zip`` of two offset slices (no lambda functions, so the step
     stays in generated code).
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != geom_col]
-    parts = lines.select(*keep, F.explode(F.col(geom_col)["parts"]).alias("_p"))
+    g = F.col(geom_col)
+    parts = g["parts"]
+    if not areas:
+        parts = F.when(g["kind"].isin(*AREAL), F.raise_error(
+            F.lit("this layer holds areas: pass areas=True to measure them")).cast(G.PARTS)).otherwise(parts)
+    parts = lines.select(*keep, F.explode(parts).alias("_p"))
     m = F.greatest(F.size("_p") - 1, F.lit(0))
     pairs = F.arrays_zip(F.slice("_p", 1, m).alias("a"), F.slice("_p", 2, m).alias("b"))
     return (parts.select(*keep, F.explode(pairs).alias("_z"))
@@ -311,7 +356,16 @@ def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
                 .withColumn("ty", F.col("ty") - (F.col("border") == 2).cast("long")))
 
 
-def _clip_columns(s: float):
+def _on_border():
+    """The joined segment runs along an edge of the box or convex cell, so no part of it is strictly inside."""
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    box = (((x1 == x2) & ((x1 == F.col("cxmin")) | (x1 == F.col("cxmax"))))
+           | ((y1 == y2) & ((y1 == F.col("cymin")) | (y1 == F.col("cymax")))))
+    return (F.col("is_box") & box) | (F.col("is_convex") & F.coalesce(
+        F.exists("edges", lambda e: G.on_edge_line(e, x1, y1) & G.on_edge_line(e, x2, y2)), F.lit(False)))
+
+
+def _clip_columns(s: float, closed: bool = True):
     """(t0, t1, fraction for boxes and convex cells, segment length) of a joined row."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx = x2 - x1
@@ -331,7 +385,8 @@ def _clip_columns(s: float):
     t0 = F.greatest(F.lit(0.0), cx_lo, cy_lo, kx_lo, ky_lo)
     t1 = F.least(F.lit(1.0), cx_hi, cy_hi, kx_hi, ky_hi)
     r0, r1 = F.col("_t0"), F.col("_t1")
-    frac = (F.when(r1 <= r0, F.lit(0.0))
+    empty = r1 <= r0 if closed else (r1 <= r0) | _on_border()
+    frac = (F.when(empty, F.lit(0.0))
             .when(F.col("is_box"), r1 - r0)
             .when(F.col("is_convex") & (F.size("edges") <= G.UNROLL_EDGES),
                   G.convex_clip_fraction_unrolled(F.col("edges"), x1, y1, x2, y2, r0, r1))
@@ -346,10 +401,10 @@ def _clip_columns(s: float):
 # too large for the JIT and the line jobs twice as slow; as its own operator
 # it is compiled per expression, with common subexpressions shared.
 def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str],
-                positive_only: bool = True) -> DataFrame:
+                positive_only: bool = True, closed: bool = True) -> DataFrame:
     """Join segments with cells and measure each piece ``segment AND cell AND tile``.
 
-    Returns ``grid_id``, the ``keep`` columns and ``piece_len``. With
+    Without ``closed`` only what lies strictly inside a cell counts. Returns ``grid_id``, the ``keep`` columns and ``piece_len``. With
     ``positive_only`` only pieces of positive length are kept; callers that
     aggregate pass False and filter the sums instead (a sum of non-negative
     pieces is positive exactly when one piece is), because a row filter on
@@ -360,31 +415,71 @@ def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str],
     (planned only when the grid has such cells, on pairs with a non-empty
     range).
     """
-    t0, t1, frac, length = G.memo(("clip", idx.tile), lambda: _clip_columns(idx.tile))
+    t0, t1, frac, length = G.memo(("clip", idx.tile, closed), lambda: _clip_columns(idx.tile, closed))
     tiled = segment_tiles(segs, idx.tile)
+    if not closed:
+        tiled = tiled.where(F.col("border") == 0)
     j = _tile_join(tiled, idx.line_tiles(), idx.line_bytes, idx)
-    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", "is_box", "is_convex", "edges",
+    box = [] if closed else ["cxmin", "cymin", "cxmax", "cymax"]
+    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", *box, "is_box", "is_convex", "edges",
                       "gx1", "gy1", "gx2", "gy2", t0.alias("_t0"), t1.alias("_t1"))
     if idx.has_general:
-        from tessera.functions.polygon_udf import general_fraction
+        from tessera.functions.polygon_udf import general_fraction, general_open_fraction
         ranged = ranged.where(F.col("_t1") > F.col("_t0"))
-        frac = F.coalesce(frac, general_fraction(*[F.col(c) for c in (
+        general = general_fraction if closed else general_open_fraction
+        frac = F.coalesce(frac, general(*[F.col(c) for c in (
             "x1", "y1", "x2", "y2", "_t0", "_t1", "gx1", "gy1", "gx2", "gy2")]))
     out = ranged.select("grid_id", *keep, (frac * length).alias("piece_len"))
     return out.where(F.col("piece_len") > 0) if positive_only else out
 
 
+def cell_borders(idx: CellIndex) -> DataFrame:
+    """One row per edge (grid_id, x1, y1, x2, y2) of every cell."""
+    def edge(x1, y1, x2, y2):
+        return F.struct(*[F.col(c).alias(n) for c, n in ((x1, "x1"), (y1, "y1"), (x2, "x2"), (y2, "y2"))])
+    box = F.array(edge("cxmin", "cymin", "cxmax", "cymin"), edge("cxmax", "cymin", "cxmax", "cymax"),
+                  edge("cxmax", "cymax", "cxmin", "cymax"), edge("cxmin", "cymax", "cxmin", "cymin"))
+    return (idx.cells.select("grid_id", F.explode(F.when(F.col("is_box"), box).otherwise(F.col("edges"))).alias("_e"))
+            .select("grid_id", "_e.*"))
+
+
+def borders_in_areas(idx: CellIndex, areas: DataFrame, geom_col: str, keep: list[str],
+                     positive_only: bool = True) -> DataFrame:
+    """Pieces of every cell's border strictly inside every area, with the area's ``keep`` columns.
+
+    The join of the lines the other way round: the areas are indexed like
+    cells and the cells' edges are the segments.
+    """
+    named = areas.select(F.struct(F.lit(0).alias("_row"), *keep).alias("_area"), F.col(geom_col).alias("_g_area"))
+    of_areas = index_cells(named, "_area", "_g_area", broadcast_bytes=idx.broadcast_bytes,
+                           hot_tile_rows=idx.hot_tile_rows, materialize=False)
+    pieces = clip_pieces(of_areas, cell_borders(idx).withColumnRenamed("grid_id", "_cell"), ["_cell"],
+                         positive_only, closed=False)
+    return pieces.select(F.col("_cell").alias("grid_id"), *[F.col("grid_id")[c].alias(c) for c in keep], "piece_len")
+
+
 def clip_lines_to_cells(idx: CellIndex, lines: DataFrame, geom_col: str = "geom",
-                        keep: list[str] | None = None, positive_only: bool = True) -> DataFrame:
-    """Pieces of every line (or area boundary) inside every cell it meets.
+                        keep: list[str] | None = None, positive_only: bool = True,
+                        areas: bool = False) -> DataFrame:
+    """Pieces of every line, or outline pieces of every area, inside every cell it meets.
 
     Rows are pieces, not pairs: sum ``piece_len`` per cell (and category) for
     the clipped length ``ST_Length(ST_Intersection(cell, line))`` summed over
     lines, or per ``(cell, line id)`` for the length of one pair.
+
+    A layer that holds polygons needs ``areas=True`` and raises otherwise.
+    The length of a clipped area is its perimeter: the area's boundary in the
+    closed cell and the cell's border strictly inside the area, so stretches
+    that both share count once. An area that only touches a cell along a
+    line counts that line.
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != geom_col]
-    segs = explode_segments(lines, geom_col, keep)
-    return clip_pieces(idx, segs, keep, positive_only)
+    segs = explode_segments(lines, geom_col, keep, areas)
+    pieces = clip_pieces(idx, segs, keep, positive_only)
+    if areas:
+        polygons = lines.where(F.col(geom_col)["kind"].isin(*AREAL))
+        pieces = pieces.unionByName(borders_in_areas(idx, polygons, geom_col, keep, positive_only))
+    return pieces
 
 
 def pair_lengths(pieces: DataFrame, pair_keys: list[str]) -> DataFrame:

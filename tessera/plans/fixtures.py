@@ -92,7 +92,7 @@ def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SIGN_TEXTS = [
-    # index = l_partkey mod 28; None is a null code
+    # index = l_partkey mod 32; None is a null code
     None, "", "   ", "_", "null", "999___MISC._OTHER_SIGN",
     "R_999___MISC._REGULATORY_SIGNS", "R2-1___SPEED_LIMIT", "R2_1___SPEED_LIMIT",
     "S4_3___SCHOOL", "S5-1___SCHOOL_SPEED", "R1_1___STOP", "R1-2___YIELD",
@@ -100,6 +100,8 @@ SIGN_TEXTS = [
     "W13_1___ADVISORY_SPEED", "W2_1___CROSS_ROAD", "W3_1___STOP_AHEAD", "W7_1___HILL",
     "W8_1___BUMP", "W11-2___PEDESTRIAN", "R9_50_1___BIKE", "S1_1___SCHOOL",
     "OM3_L___OBJECT_MARKER", "W10_1___RAILROAD", "R15_1___CROSSBUCK",
+    "W_999___MISC._WARNING_SIGNS", "INFO___GENERAL_INFORMATION_SIGNS",
+    "REC___RECREATIONAL_AND_CULTURAL_INTEREST_AREA_SIGNS", "SERVICES___GENERAL_SERVICE_SIGNS",
 ]
 
 
@@ -107,7 +109,7 @@ def signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """objectid, source ('panel' | 'mount'), mutcddescd, point geom from ``lineitem``."""
     li = table(spark, sf_dir, "lineitem")
     code = F.element_at(F.array(*[F.lit(t).cast("string") for t in SIGN_TEXTS]),
-                        (_m(F.col("l_partkey"), 28) + 1).cast("int"))
+                        (_m(F.col("l_partkey"), 32) + 1).cast("int"))
     x = _m(F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 31, 1000)
     y = _m(F.col("l_partkey") * 104729 + F.col("l_suppkey") * 17, 1000)
     return li.select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("objectid"),
@@ -181,6 +183,27 @@ def curbs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(k.alias("curb_id"), G.linestring((x1, y1), (x1 + 25, y1)).alias("geom"))
 
 
+def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """area_id, material and an axis-parallel rectangle from ``part``; many share edges with the cells."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    x, y = _m(k * 49979687, 1000), _m(k * 86028121, 1000)
+    snapped = _m(k, 4) == 0
+    x, y = F.when(snapped, x - _m(x, 50)).otherwise(x), F.when(snapped, y - _m(y, 50)).otherwise(y)
+    w, h = F.when(snapped, 50).otherwise(_m(k, 83) + 10), _m(k, 47) + 10
+    return p.select(k.alias("area_id"), F.concat(F.lit("A"), _m(k, 3).cast("string")).alias("material"),
+                    G.box(x, y, x + w, y + h).alias("geom"))
+
+
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """group_id and a multi-point of one to three members from ``events``."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    x, y = _m(k * 7919 + F.col("user_id"), 1000), _m(k * 104729 + F.col("user_id") * 13, 1000)
+    members = F.array(F.array(G.xy(x, y)), F.array(G.xy(x + _m(k, 7) * 4, y)), F.array(G.xy(x, y + _m(k, 5) * 6)))
+    return e.select(k.alias("group_id"), G.make_geometry("MultiPoint", F.slice(members, 1, (_m(k, 3) + 1).cast("int"))).alias("geom"))
+
+
 def layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The nine layers of the feature job, keyed like :func:`tessera.sources.layers.load_layers`."""
     return {

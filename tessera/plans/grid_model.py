@@ -16,6 +16,7 @@ later step (value discovery, pivot, training, scoring) reads it.
 from __future__ import annotations
 
 import argparse
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,10 @@ class Columns:
     object_id: str = "OBJECTID"
     material: str = "MATERIALD"
     median_type: str = "TYPED"
+    areas: bool = False  # a line layer holds polygons: measure their perimeters
+
+
+SIGN_PREVIEW = 10
 
 
 @dataclass
@@ -45,6 +50,8 @@ class Result:
     rmse: DataFrame
     scored_grid: DataFrame
     index: sj.CellIndex | None = None
+    signs: DataFrame | None = None
+    held_out: DataFrame | None = None
 
 
 def build(spark: SparkSession, lay: dict[str, DataFrame], cols: Columns | None = None,
@@ -56,11 +63,12 @@ def build(spark: SparkSession, lay: dict[str, DataFrame], cols: Columns | None =
     signs_all = lay["sign_panels"].select(*sel).unionByName(lay["sign_mounts"].select(*sel))
     wide = ft.feature_table(idx, lay["roads"], signs_all, lay["guardrails"], lay["medians"],
                             lay["sidewalks"], lay["crashes"], speed_col=c.speed, desc_col=c.sign_code,
-                            material_col=c.material, type_col=c.median_type, objectid_col=c.object_id)
+                            material_col=c.material, type_col=c.median_type, objectid_col=c.object_id,
+                            areas=c.areas)
     fit = ml.fit_forest(wide, num_trees=num_trees, seed=seed)
     scored = ml.scored_grid(lay["grid"], ml.score_all(fit), c.grid_id)
     return Result(ly.profile_layers(lay), wide, ft.label_audit(wide), ml.rmse(fit.test_predictions), scored,
-                  idx)
+                  idx, signs_all.select(c.object_id, c.sign_code), fit.test_predictions)
 
 
 def run(spark: SparkSession, base: str, out: str, cols: Columns | None = None,
@@ -68,8 +76,12 @@ def run(spark: SparkSession, base: str, out: str, cols: Columns | None = None,
     """Load, build, write the scored grid; print the small reports."""
     lay = ly.load_layers(spark, base, files)
     res = build(spark, lay, cols)
+    for name, df in lay.items():
+        print(name, df.schema.simpleString())
     res.profile.show(truncate=False)
+    res.signs.show(SIGN_PREVIEW, truncate=False)
     res.audit.show(truncate=False)
+    res.held_out.select(ml.KEY, ml.LABEL, "prediction").show(preview, truncate=False)
     res.rmse.show(truncate=False)
     ly.write_layer(res.scored_grid, out)
     spark.read.parquet(out).select((cols or Columns()).grid_id, "prediction").show(preview, truncate=False)
@@ -90,9 +102,11 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="per-cell features, random forest, scored grid")
     ap.add_argument("base", help="directory holding the nine layer Parquet files")
     ap.add_argument("out", help="output Parquet path for the scored grid")
+    ap.add_argument("--files", type=json.loads, default={}, help="JSON: layer name to file name")
+    ap.add_argument("--columns", type=json.loads, default={}, help="JSON: field of Columns to column name")
     args = ap.parse_args(argv)
     spark = build_session(app="tessera-grid-model")
-    run(spark, args.base, args.out)
+    run(spark, args.base, args.out, Columns(**args.columns), {**ly.LAYER_FILES, **args.files})
 
 
 if __name__ == "__main__":

@@ -9,8 +9,6 @@ agreement checks the tile logic, not just the arithmetic.
 
 from __future__ import annotations
 
-from tessera.functions.signs import DENY_LIST, SIGN_GROUP_RULES
-
 BIG = "1e300"
 
 # --------------------------------------------------------------------------
@@ -43,7 +41,7 @@ CTE = {
     "signs": """signs as (
   select l_orderkey * 100 + l_linenumber as objectid,
          case when l_linestatus = 'O' then 'panel' else 'mount' end as source,
-         case l_partkey % 28
+         case l_partkey % 32
            when 0 then null when 1 then '' when 2 then '   ' when 3 then '_'
            when 4 then 'null' when 5 then '999___MISC._OTHER_SIGN'
            when 6 then 'R_999___MISC._REGULATORY_SIGNS'
@@ -57,7 +55,10 @@ CTE = {
            when 21 then 'W8_1___BUMP' when 22 then 'W11-2___PEDESTRIAN'
            when 23 then 'R9_50_1___BIKE' when 24 then 'S1_1___SCHOOL'
            when 25 then 'OM3_L___OBJECT_MARKER' when 26 then 'W10_1___RAILROAD'
-           else 'R15_1___CROSSBUCK' end as mutcddescd,
+           when 27 then 'R15_1___CROSSBUCK' when 28 then 'W_999___MISC._WARNING_SIGNS'
+           when 29 then 'INFO___GENERAL_INFORMATION_SIGNS'
+           when 30 then 'REC___RECREATIONAL_AND_CULTURAL_INTEREST_AREA_SIGNS'
+           else 'SERVICES___GENERAL_SERVICE_SIGNS' end as mutcddescd,
          cast((l_orderkey * 7919 + l_linenumber * 31) % 1000 as double) as x,
          cast((l_partkey * 104729 + l_suppkey * 17) % 1000 as double) as y
   from lineitem)""",
@@ -98,6 +99,22 @@ CTE = {
          cast((event_id * 7919 + user_id) % 1000 as double) as x,
          cast((event_id * 104729 + user_id * 13) % 1000 as double) as y
   from events)""",
+    "areas": """areas as (
+  select area_id, material, cast(x as double) as xmin, cast(y as double) as ymin,
+         cast(x + w as double) as xmax, cast(y + h as double) as ymax
+  from (select p_partkey as area_id, 'A' || (p_partkey % 3) as material,
+               case when p_partkey % 4 = 0 then (p_partkey * 49979687) % 1000 - (p_partkey * 49979687) % 1000 % 50
+                    else (p_partkey * 49979687) % 1000 end as x,
+               case when p_partkey % 4 = 0 then (p_partkey * 86028121) % 1000 - (p_partkey * 86028121) % 1000 % 50
+                    else (p_partkey * 86028121) % 1000 end as y,
+               case when p_partkey % 4 = 0 then 50 else p_partkey % 83 + 10 end as w,
+               p_partkey % 47 + 10 as h
+        from part))""",
+    "members": """members as (
+  select event_id as group_id, m, cast(x + case when m = 1 then event_id % 7 * 4 else 0 end as double) as x,
+         cast(y + case when m = 2 then event_id % 5 * 6 else 0 end as double) as y
+  from (select event_id, (event_id * 7919 + user_id) % 1000 as x, (event_id * 104729 + user_id * 13) % 1000 as y from events),
+       range(3) as t(m) where m <= event_id % 3)""",
     "curbs": """curbs as (
   select s_suppkey as curb_id,
          cast((s_suppkey * 7919) % 1000 as double) as x1,
@@ -193,20 +210,28 @@ def _sql_str(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-def _usable(col: str) -> str:
-    deny = ", ".join(_sql_str(v) for v in DENY_LIST)
-    return f"{col} is not null and trim({col}) <> '' and {col} not in ({deny})"
-
-
-def _group_case(code: str) -> str:
-    whens = []
-    for group, kind, values in SIGN_GROUP_RULES:
-        if kind == "prefix":
-            cond = " or ".join(f"starts_with({code}, {_sql_str(v)})" for v in values)
-        else:
-            cond = " or ".join(f"{code} = {_sql_str(v)}" for v in values)
-        whens.append(f"when {cond} then {_sql_str(group)}")
-    return "case " + " ".join(whens) + " end"
+# ---- Fixed values: the cleaning and grouping rules, spelled out apart from the Spark side. ----
+_USABLE = """mutcddescd is not null and trim(mutcddescd) <> '' and mutcddescd not in (
+  '_', 'null', '999___MISC._OTHER_SIGN', 'R_999___MISC._REGULATORY_SIGNS', 'W_999___MISC._WARNING_SIGNS',
+  'INFO___GENERAL_INFORMATION_SIGNS', 'REC___RECREATIONAL_AND_CULTURAL_INTEREST_AREA_SIGNS',
+  'SERVICES___GENERAL_SERVICE_SIGNS')"""
+_GROUP = """case
+  when starts_with(sign_code, 'R2_') then 'speed_limit'
+  when starts_with(sign_code, 'S4_') or starts_with(sign_code, 'S5_') then 'school_speed'
+  when starts_with(sign_code, 'R1_') then 'stop_yield'
+  when starts_with(sign_code, 'R3_') or starts_with(sign_code, 'R4_') then 'lane_row_control'
+  when starts_with(sign_code, 'W1_') or starts_with(sign_code, 'W13_') then 'curve_turn'
+  when starts_with(sign_code, 'W2_') then 'intersection_warning'
+  when starts_with(sign_code, 'W3_') then 'advance_condition'
+  when starts_with(sign_code, 'W7_') or starts_with(sign_code, 'W8_') then 'grade_surface'
+  when starts_with(sign_code, 'W11_') or starts_with(sign_code, 'R9_50_') then 'ped_bike_animal'
+  when starts_with(sign_code, 'S1_1_') then 'school_zone'
+  when starts_with(sign_code, 'OM') then 'object_marker'
+  when starts_with(sign_code, 'W10_') or starts_with(sign_code, 'R15_1_') then 'railroad'
+end"""
+GROUPS = ["advance_condition", "curve_turn", "grade_surface", "intersection_warning", "lane_row_control", "object_marker",
+          "ped_bike_animal", "railroad", "school_speed", "school_zone", "speed_limit", "stop_yield"]
+# ---- end of fixed values ----
 
 
 SIGN_CLASSES = """sclass as (
@@ -216,14 +241,13 @@ sgroup as (select *, {group} as sign_group from sclass)"""
 
 
 def _sign_ctes() -> str:
-    return SIGN_CLASSES.format(usable=_usable("mutcddescd"), group=_group_case("sign_code"))
+    return SIGN_CLASSES.format(usable=_USABLE, group=_GROUP)
 
 
 SPEEDS = [str(5 * k) for k in range(1, 13)]
 MATERIALS = {"STEEL BEAM": "STEEL_BEAM", "W-BEAM/CABLE": "W_BEAM_CABLE", "CONCRETE": "CONCRETE",
              "TIMBER.2": "TIMBER_2"}
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-GROUPS = sorted({g for g, _, _ in SIGN_GROUP_RULES})
 
 
 def _r(expr: str) -> str:
@@ -320,6 +344,41 @@ def _points_in_cells() -> str:
               f"from grid g join signs p on {_inside('g', 'p')}")
 
 
+def _multipoint() -> str:
+    return (_with("grid", "members")
+            + f"select g.id as grid_id, p.group_id from grid g join members p "
+              "on p.x >= g.xmin and p.x <= g.xmax and p.y >= g.ymin and p.y <= g.ymax "
+              f"group by 1, 2 having bool_or({_inside('g', 'p')}) and count(*) = any_value(p.group_id) % 3 + 1")
+
+
+def _area_length() -> str:
+    # perimeter of the intersection of two boxes; a line where they only touch
+    w = "(least(g.xmax, a.xmax) - greatest(g.xmin, a.xmin))"
+    h = "(least(g.ymax, a.ymax) - greatest(g.ymin, a.ymin))"
+    return (_with("grid", "areas", extra=[
+        f"p as (select g.id as grid_id, a.material, case when {w} > 0 and {h} > 0 then 2 * ({w} + {h}) else {w} + {h} end as len "
+        f"from grid g join areas a on {w} >= 0 and {h} >= 0)"])
+        + "select grid_id, material, round(sum(len), 6) as total_length from p where len > 0 group by 1, 2")
+
+
+def _area_length_triangles() -> str:
+    # outline of the box in the closed triangle + edges of the triangle in the open box
+    sides = ("outline as (select area_id, xmin as x1, ymin as y1, xmax as x2, ymin as y2 from areas union all "
+             "select area_id, xmin, ymax, xmax, ymax from areas union all "
+             "select area_id, xmin, ymin, xmin, ymax from areas union all select area_id, xmax, ymin, xmax, ymax from areas)")
+    edges = ("edges as (select id, xmin as x1, ymin as y1, xmax as x2, ymax as y2 from tri union all "
+             "select id, xmin, case when lower_half = 1 then ymin else ymax end, xmax, "
+             "case when lower_half = 1 then ymin else ymax end from tri union all "
+             "select id, case when lower_half = 1 then xmax else xmin end, ymin, "
+             "case when lower_half = 1 then xmax else xmin end, ymax from tri)")
+    open_box = "not (s.x1 = s.x2 and s.x1 in (g.xmin, g.xmax)) and not (s.y1 = s.y2 and s.y1 in (g.ymin, g.ymax))"
+    return (_with("grid", "tri", "areas", extra=[
+        sides, edges,
+        f"p as (select g.id as grid_id, s.area_id, {clip_len('g', 's', True)} as len from tri g join outline s on {_overlap('g', 's')} "
+        f"union all select s.id, g.area_id, {clip_len('g', 's')} from areas g join edges s on {_overlap('g', 's')} where {open_box})"])
+        + "select grid_id, area_id, round(sum(len), 6) as seg_len from p group by 1, 2 having sum(len) > 0")
+
+
 def _clip_segments() -> str:
     return (_with("grid", "roads", extra=[_pairs("p", "roads")])
             + "select grid_id, road_id, round(sum(seg_len), 6) as seg_len from p "
@@ -421,6 +480,7 @@ def _split_fraction(col: str) -> str:
 def _variants() -> str:
     """Summary of the mixed-kind geometries built from roads (k = road_id mod 5)."""
     L = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
+    a, b, c, d = (f"({x}::bigint || ' ' || {y}::bigint)" for x, y in (("x1", "y1"), ("x2", "y2"), ("x2", "y1"), ("x1", "y2")))
     P = f"(abs(x2 - x1) + abs(y2 - y1) + {L})"
     return (_with("roads")
             + "select road_id, "
@@ -433,6 +493,10 @@ def _variants() -> str:
               "case when road_id % 5 = 2 then y1 else least(y1, y2) end as ymin, "
               "case when road_id % 5 = 2 then x1 else greatest(x1, x2) end as xmax, "
               "case when road_id % 5 = 2 then y1 else greatest(y1, y2) end as ymax, "
+              f"case road_id % 5 when 0 then {a} || ',' || {b} when 1 then {a} || ',' || {b} || ',' || {b} || ',' || {a} "
+              f"when 2 then {a} when 3 then {a} || ',' || {c} || ',' || {b} || ',' || {a} "
+              f"else {a} || ',' || {c} || ',' || {b} || ',' || {a} || ',' || {b} || ',' || {a} || ',' || {d} || ',' || {b} "
+              "end as coords, "
               f"round(case road_id % 5 when 0 then {L} when 1 then 2 * {L} when 2 then 0e0 "
               f"when 3 then {P} else 2 * {P} end, 6) as length "
               "from roads")
@@ -454,6 +518,15 @@ SQL: dict[str, str] = {
     "sign_count_by_group_wide": _sign_wide(),
     "sign_classify": _sign_classify(),
     "points_in_cells": _points_in_cells(),
+    "multipoint_in_cells": _multipoint(),
+    "area_length": _area_length(),
+    "area_length_triangles": _area_length_triangles(),
+    # what the forest must satisfy whatever its trees: rows held out, rows scored, predictions between labels
+    "model_rmse": _features_with(
+        f"select count(*) as n, true as rmse_is_formula, true as rmse_below_range from ft where not ({_split_fraction('grid_id')} < 0.8)"),
+    "scored_grid": _features_with(
+        "select g.id, ft.grid_id is not null as has_prediction, case when ft.grid_id is not null then true end as in_label_range "
+        "from grid g left join ft on g.id = ft.grid_id"),
     "clip_segments": _clip_segments(),
     "layer_profile": _profile(),
     "feature_table": _features_with("select * from ft"),

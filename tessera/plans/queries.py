@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,8 @@ from tessera.operators import features as ft
 from tessera.operators import model as ml
 from tessera.operators import spatial_join as sj
 from tessera.plans import fixtures as fx
-from tessera.session import scratch_path
+from tessera.plans import grid_model
+from tessera.session import persist_shared, scratch_path
 from tessera.sources import geojson, layers, wkb
 
 DIGITS = 6
@@ -175,6 +177,27 @@ def points_in_cells(spark, sf_dir):
     return rounded(pairs)
 
 
+def multipoint_in_cells(spark, sf_dir):
+    """(cell, multi-point) pairs: every member in the closed cell, one strictly inside."""
+    return sj.points_in_cells(_idx(spark), fx.groups(spark, sf_dir), "geom", ["group_id"]).select("grid_id", "group_id")
+
+
+# --------------------------------------------------------------------------
+# areas
+# --------------------------------------------------------------------------
+
+def area_length(spark, sf_dir):
+    """Perimeter of the clipped areas per cell and material."""
+    return rounded(ft.category_length_long(_idx(spark), fx.areas(spark, sf_dir), "material", "material", areas=True))
+
+
+def area_length_triangles(spark, sf_dir):
+    """Perimeter of the clipped areas per (triangular cell, area)."""
+    idx = _index(spark, "triangles", fx.triangle_grid)
+    pieces = sj.clip_lines_to_cells(idx, fx.areas(spark, sf_dir), "geom", ["area_id"], positive_only=False, areas=True)
+    return rounded(sj.pair_lengths(pieces, ["area_id"]))
+
+
 # --------------------------------------------------------------------------
 # whole-job tables
 # --------------------------------------------------------------------------
@@ -208,16 +231,39 @@ def split_assignment(spark, sf_dir):
     return ml.assign_split(f.select("grid_id", "crash_count"))
 
 
+def _grid_job(spark, sf_dir) -> grid_model.Result:
+    """The whole job over layers written as WKB under the default file names and loaded from there."""
+    base = scratch_path(spark, "layers")
+    for name, df in fx.layers(spark, sf_dir).items():
+        layers.write_layer(df, f"{base}/{layers.LAYER_FILES[name]}")
+    cols = grid_model.Columns(speed="speed", sign_code="mutcddescd", object_id="objectid",
+                              material="materiald", median_type="typed")
+    return grid_model.build(spark, layers.load_layers(spark, base), cols)
+
+
 def model_rmse(spark, sf_dir):
-    """Held-out RMSE of the 100-tree forest (rows-only check)."""
-    fit = ml.fit_forest(_features(spark, sf_dir))
-    return rounded(ml.rmse(fit.test_predictions), 4)
+    """Held-out rows of the 100-tree forest; whether the RMSE equals Spark's evaluator and is below the label's range.
+
+    The forest itself has no SQL form: the error's value is not part of the result.
+    """
+    res = _grid_job(spark, sf_dir)
+    held_out = persist_shared(res.held_out.select("grid_id", ml.LABEL, "prediction"))
+    again = RegressionEvaluator(labelCol=ml.LABEL, metricName="rmse").evaluate(held_out)
+    spread = held_out.agg((F.max(ml.LABEL) - F.min(ml.LABEL)).alias("label_range"))
+    return ml.rmse(held_out).crossJoin(spread).select(
+        "n", (F.abs(F.col("rmse") - again) <= 1e-9 * (again + 1)).alias("rmse_is_formula"),
+        (F.col("rmse") < F.col("label_range")).alias("rmse_below_range"))
 
 
 def scored_grid(spark, sf_dir):
-    """Every grid cell with its predicted crash count (null without roads)."""
-    fit = ml.fit_forest(_features(spark, sf_dir))
-    return ml.scored_grid(fx.grid(spark), ml.score_all(fit)).select("id", "prediction")
+    """The scored grid as written to Parquet: which cells have a prediction, and whether it lies in the labels' range."""
+    res = _grid_job(spark, sf_dir)
+    out = scratch_path(spark, "scored.parquet")
+    layers.write_layer(res.scored_grid, out)
+    labels = res.features.agg(F.min(ml.LABEL).alias("lo"), F.max(ml.LABEL).alias("hi"))  # one row
+    return layers.read_layer(spark, out).crossJoin(F.broadcast(labels)).select(
+        "id", F.col("prediction").isNotNull().alias("has_prediction"),
+        F.col("prediction").between(F.col("lo"), F.col("hi")).alias("in_label_range"))
 
 
 # --------------------------------------------------------------------------
@@ -249,6 +295,8 @@ def _geom_summary(df: DataFrame, key: str) -> DataFrame:
                              F.coalesce(F.size(g["poly_rings"]), F.lit(0)).alias("n_polys"),
                              bb["xmin"].alias("xmin"), bb["ymin"].alias("ymin"),
                              bb["xmax"].alias("xmax"), bb["ymax"].alias("ymax"),
+                             F.array_join(F.transform(G.vertices(g), lambda p: F.concat_ws(
+                                 " ", p["x"].cast("long"), p["y"].cast("long"))), ",").alias("coords"),
                              G.length(g).alias("length")))
 
 
@@ -299,6 +347,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sign_count_by_group_wide": sign_count_by_group_wide,
     "sign_classify": sign_classify,
     "points_in_cells": points_in_cells,
+    "multipoint_in_cells": multipoint_in_cells,
+    "area_length": area_length,
+    "area_length_triangles": area_length_triangles,
     "clip_segments": clip_segments,
     "layer_profile": layer_profile,
     "feature_table": feature_table,

@@ -6,6 +6,7 @@ import pytest
 from conftest import boxes, lines, points, polygons
 from pyspark.sql import functions as F
 
+from tessera.functions import geometry as G
 from tessera.operators import spatial_join as sj
 
 
@@ -151,3 +152,108 @@ def test_border_lines_with_cell_aligned_tiles(spark):
         assert got.keys() == want.keys(), tile
         for k, v in want.items():
             assert got[k] == pytest.approx(v), (tile, k)
+
+
+def _perimeters(spark, grid, areas, **kw):
+    idx = sj.index_cells(grid, **kw)
+    pieces = sj.clip_lines_to_cells(idx, areas, "geom", ["area"], areas=True)
+    return {(r["grid_id"], r["area"]): r["seg_len"] for r in sj.pair_lengths(pieces, ["area"]).collect()}
+
+
+def _box_ring(x1, y1, x2, y2):
+    return [(x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1)]
+
+
+@pytest.mark.parametrize("kw", [{}, {"broadcast_bytes": 0, "hot_tile_rows": 1}])
+def test_area_counts_the_cell_border_inside_it(spark, kw):
+    rows = [(1, [_box_ring(5, 2, 15, 6)]),       # over both cells
+            (2, [_box_ring(0, 0, 10, 10)]),      # equal to the first cell, touches the second
+            (3, [_box_ring(-5, -5, 25, 15)]),    # covers both
+            (4, [_box_ring(2, 2, 4, 4)]),        # inside the first
+            (5, [_box_ring(10, 10, 12, 12)]),    # touches the second from above
+            (6, [_box_ring(-5, -5, 25, 15), _box_ring(2, 2, 4, 4)])]  # a hole in the first
+    areas = polygons(spark, rows).withColumnRenamed("id", "area")
+    got = _perimeters(spark, boxes(spark, TWO), areas, **kw)
+    want = {(1, 1): 18.0, (2, 1): 18.0, (1, 2): 40.0, (2, 2): 10.0, (1, 3): 40.0, (2, 3): 40.0, (1, 4): 8.0,
+            (2, 5): 2.0, (1, 6): 48.0, (2, 6): 40.0}
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_areas_in_a_concave_cell_and_concave_areas(spark):
+    ell = [(0, 0), (10, 0), (10, 5), (5, 5), (5, 10), (0, 10), (0, 0)]
+    areas = polygons(spark, [(1, [_box_ring(3, 3, 8, 8)]), (2, [ell])]).withColumnRenamed("id", "area")
+    got = _perimeters(spark, polygons(spark, [(1, [ell])]), areas)
+    assert got == {(1, 1): pytest.approx(20.0), (1, 2): pytest.approx(40.0)}
+    got = _perimeters(spark, boxes(spark, [(1, 3.0, 3.0, 8.0, 8.0)]), areas)
+    assert got == {(1, 1): pytest.approx(20.0), (1, 2): pytest.approx(20.0)}
+
+
+def test_areas_need_the_flag(spark):
+    areas = polygons(spark, [(1, [_box_ring(5, 2, 15, 6)])])
+    with pytest.raises(Exception, match="areas=True"):
+        _lengths(spark, boxes(spark, TWO), areas)
+
+
+def test_a_line_layer_with_areas_keeps_its_lines(spark):
+    both = lines(spark, [(7, [(2, 2), (5, 2)])]).unionByName(polygons(spark, [(8, [_box_ring(2, 2, 4, 4)])]))
+    got = _perimeters(spark, boxes(spark, TWO), both.withColumnRenamed("id", "area"))
+    assert got == {(1, 7): pytest.approx(3.0), (1, 8): pytest.approx(8.0)}
+
+
+def _multipoints(spark, rows):
+    df = spark.createDataFrame([(i, [[{"x": float(x), "y": float(y)}] for x, y in pts]) for i, pts in rows],
+                               "id long, parts array<array<struct<x:double,y:double>>>")
+    return df.select("id", G.make_geometry("MultiPoint", F.col("parts")).alias("geom"))
+
+
+@pytest.mark.parametrize("shape", ["box", "triangles", "ell"])
+def test_multipoints_are_contained_as_a_whole(spark, shape):
+    if shape == "box":
+        grid = boxes(spark, TWO)
+    elif shape == "triangles":
+        grid = polygons(spark, [(1, [[(0, 0), (10, 0), (0, 20), (0, 0)]])])
+    else:
+        grid = polygons(spark, [(1, [[(0, 0), (10, 0), (10, 5), (5, 5), (5, 10), (0, 10), (0, 0)]])])
+    pts = _multipoints(spark, [(1, [(1, 1), (2, 2), (15, 5)]),    # a member outside
+                               (2, [(1, 1), (2, 2), (2, 2)]),      # all inside, one twice
+                               (3, [(0, 1), (2, 2)]),              # a member on the border
+                               (4, [(0, 1), (0, 2)]),              # only on the border
+                               (5, [(3, 1)]), (6, [])])
+    assert _counts(spark, grid, pts, tile=1.5) == [(1, 2), (1, 3), (1, 5)]
+
+
+def test_points_in_cells_takes_points_only(spark):
+    with pytest.raises(Exception, match="takes points, not LineString"):
+        _counts(spark, boxes(spark, TWO), lines(spark, [(1, [(1, 1), (2, 2), (3, 3)])]))
+
+
+def test_polygon_udf_stays_within_its_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from tessera.functions import polygon_udf as P
+    n, k = 3000, 500
+    turn = np.linspace(0, 2 * np.pi, k + 1)
+    r = np.where(np.arange(k + 1) % 2 == 0, 10.0, 6.0)
+    r[-1] = r[0]
+    x, y = r * np.cos(turn), r * np.sin(turn)
+    edges = [pd.Series([a] * n) for a in (x[:-1], y[:-1], x[1:], y[1:])]
+    rng = np.random.default_rng(1)
+    ends = [pd.Series(rng.uniform(-12, 12, n)) for _ in range(4)]
+    zero, one = pd.Series(np.zeros(n)), pd.Series(np.ones(n))
+    tracemalloc.start()
+    got = P.fraction(*ends, zero, one, *edges).to_numpy()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 30
+    some = np.arange(0, n, 100)
+    alone = np.concatenate([P.fraction(*[s.iloc[[i]] for s in (*ends, zero, one, *edges)]).to_numpy() for i in some])
+    assert np.allclose(got[some], alone)
+    t = (np.arange(2000) + 0.5) / 2000  # sampled measure
+    for i in some[:5]:
+        x1, y1, x2, y2 = (s[i] for s in ends)
+        px, py = x1 + t * (x2 - x1), y1 + t * (y2 - y1)
+        inside = np.array([P.strictly_inside(pd.Series([a]), pd.Series([b]), *[s.iloc[[0]] for s in edges])[0] for a, b in zip(px, py)])
+        assert abs(inside.mean() - got[i]) < 0.02
