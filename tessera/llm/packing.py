@@ -24,6 +24,7 @@ capacity is cut; repeated rows are packed each; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 import zlib
@@ -41,6 +42,7 @@ END_ID = 0
 GROUPS = 512
 SMALL_PART = 10
 CACHE_WORDS = 500_000
+LEARN_WORDS = 500
 
 
 class WordEncoder:
@@ -53,6 +55,7 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a process on each core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         chars = [chr(c) for c in [9, 10, 13, *range(0x20, 0x7F), *range(0xA0, 0x130), *range(0x131, 0x180)]]
@@ -66,8 +69,12 @@ class WordEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
 
+    def _ids(self, text: str) -> np.ndarray:
+        # the form that keeps no character offsets
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def _learn(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ids = self._ids(" ".join(words))
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) == len(words):
             data, at = ids.tobytes(), 0
@@ -76,7 +83,7 @@ class WordEncoder:
                 at = end
         else:  # a word that is not one run of pieces
             for word in words:
-                self.cache[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+                self.cache[word] = self._ids(word).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -87,11 +94,10 @@ class WordEncoder:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         new = list(filterfalse(self.cache.__contains__, set().union(*(w for w in split if w))))
-        for k in range(0, len(new), 5000):
-            self._learn(new[k:k + 5000])
+        for k in range(0, len(new), LEARN_WORDS):
+            self._learn(new[k:k + LEARN_WORDS])
         get = self.cache.__getitem__
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None
-                else b"".join(map(get, w)) for t, w in zip(texts, split)]
+        return [self._ids(t).tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, split)]
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
