@@ -41,7 +41,7 @@ CAPACITY = 2048
 END_ID = 0
 GROUPS = 512
 SMALL_PART = 10
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 LEARN_WORDS = 500
 
 
@@ -67,7 +67,8 @@ class WordEncoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # two generations of at most CACHE_WORDS words and a batch's new ones
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         # the form that keeps no character offsets
@@ -92,8 +93,12 @@ class WordEncoder:
             plain = self.plain.fullmatch(text) and not any(s in text for s in self.special)
             split.append(self.words.findall(text.lower()) if plain else None)
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         new = list(filterfalse(self.cache.__contains__, set().union(*(w for w in split if w))))
+        if self.older:
+            again = list(filter(self.older.__contains__, new))
+            self.cache.update(zip(again, map(self.older.__getitem__, again)))
+            new = list(filterfalse(self.cache.__contains__, new))
         for k in range(0, len(new), LEARN_WORDS):
             self._learn(new[k:k + LEARN_WORDS])
         get = self.cache.__getitem__

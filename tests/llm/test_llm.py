@@ -195,6 +195,18 @@ def test_packing_is_gapless_and_keeps_every_token(spark, corpus):
     assert own == want
 
 
+def test_word_cache_generations_change_nothing(monkeypatch):
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        data = f.read()
+    batches = [["alpha beta gamma", "delta alpha"], ["beta epsilon", "zeta"], ["alpha zeta eta theta"], ["gamma alpha beta"]]
+    want = [packing.WordEncoder(data).encode(b) for b in batches]
+    monkeypatch.setattr(packing, "CACHE_WORDS", 2)
+    encoder = packing.WordEncoder(data)
+    for _ in range(2):
+        assert [encoder.encode(b) for b in batches] == want
+        assert len(encoder.cache) + len(encoder.older) <= 12
+
+
 def test_word_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
     with open(tokenizer_path(), encoding="utf-8") as f:
