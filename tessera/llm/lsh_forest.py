@@ -33,8 +33,11 @@ BITS = 32
 BLOCK_ROWS = 4096
 QUERY_ROWS = 20_000
 NEAREST = 10
-#: Entries to gather in a block over all trees, as a share of the block's entries times the trees, and at least.
-SHARE = 0.03
+#: Entries to gather in a block over all trees, as a share of the block's entries times the trees; the ascent goes by
+#: halves, so a share over 1/32 takes about 1/16. Vectors of over ``WIDE`` numbers get more in proportion.
+SHARE = 0.045
+WIDE = 128
+#: At least as many entries; this decides only in blocks of under ``LEAST / (SHARE * TREES)`` = 1852 distinct vectors.
 LEAST = 2000
 SEED = 7
 
@@ -99,7 +102,7 @@ def _search_block(nearest: int, share: float, least: int):
         start = np.searchsorted(entry[members], np.arange(len(first) + 1))
         forest = Forest(vectors[first])
         query_ids, query_vectors = queries.column("vec_id").to_numpy(), _vectors(queries.column("vector"))
-        enough = max(least, int(share * TREES * len(first)))
+        enough = max(least, int(share * max(1, vectors.shape[1] / WIDE) * TREES * len(first)))
         out_query, out_id, out_score = [], [], []
         for base in range(0, len(query_ids), 512):
             part = query_vectors[base:base + 512]

@@ -485,6 +485,22 @@ def test_recall_on_the_given_embeddings(spark):
     assert sum(len({j for _, j in w} & got[q]) for q, w in want.items()) >= 0.9 * sum(map(len, want.values()))
 
 
+@pytest.mark.parametrize("rows, size, least", [(2800, 64, 0.95), (4096, 64, 0.95), (9000, 64, 0.95), (4096, 128, 0.93), (4096, 256, 0.95)])
+def test_recall_on_full_blocks(spark, rows, size, least):
+    vectors = np.random.default_rng(rows + size).standard_normal((rows, size))
+    vectors /= np.sqrt((vectors ** 2).sum(1))[:, None]
+    table = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    got = {}
+    for r in lsh_forest.search(table, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    found = 0
+    for q in range(0, rows, 100):
+        distance = ((vectors - vectors[q]) ** 2).sum(1)
+        distance[q] = np.inf
+        found += len(set(np.argsort(distance)[:10].tolist()) & got[q])
+    assert found >= least * 10 * len(range(0, rows, 100))
+
+
 def test_pipeline_stages_against_brute_force(spark):
     import corpus_pipeline as pipeline
     item = "one plain sentence with more than ten words in a row to be found"
