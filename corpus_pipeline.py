@@ -17,8 +17,11 @@ from tessera.llm.queries import tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language is undetermined (no text or no letter); keep all others."""
-    found = language_id.identify(docs, language_id.train(docs), docs.columns)
+    """Drop documents whose language is undetermined (no text or no letter); keep all others, also when no language can be learned."""
+    trees = language_id.train(docs)
+    if not trees.languages:
+        return language_id.with_letters(docs)
+    found = language_id.identify(docs, trees, docs.columns)
     return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 
 

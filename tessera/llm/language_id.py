@@ -192,6 +192,28 @@ def _has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def _letters(column: pa.Array, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Whether each text has a letter."""
+    letter, some = np.zeros(len(column), bool), np.flatnonzero(offsets[1:] > offsets[:-1])
+    if len(some):
+        letter[some] = np.logical_or.reduceat(_LETTER[data], offsets[some])
+    for k in np.flatnonzero(~letter & (offsets[1:] > offsets[:-1])):
+        letter[k] = _has_letter(column[int(k)].as_py())
+    return letter
+
+
+def _letters_task(batches):
+    for batch in batches:
+        column = batch.column("text")
+        yield batch.filter(pa.array(_letters(column, *text_buffer(column)), pa.bool_()))
+
+
+def with_letters(documents: DataFrame) -> DataFrame:
+    """The documents whose text has a letter; needs no learned language."""
+    arrow_rows(documents.sparkSession)
+    return documents.mapInArrow(_letters_task, documents.schema)
+
+
 def _predict_task(shared, keep: list[str]):
     def run(batches):
         trees = shared.value
@@ -200,11 +222,7 @@ def _predict_task(shared, keep: list[str]):
             offsets, data = text_buffer(column)
             n = batch.num_rows
             names, scores = np.full(n, UNDETERMINED, object), np.zeros(n)
-            letter, some = np.zeros(n, bool), np.flatnonzero(offsets[1:] > offsets[:-1])
-            if len(some):
-                letter[some] = np.logical_or.reduceat(_LETTER[data], offsets[some])
-            for k in np.flatnonzero(~letter & (offsets[1:] > offsets[:-1])):
-                letter[k] = _has_letter(column[int(k)].as_py())
+            letter = _letters(column, offsets, data)
             if trees.languages and n:
                 bits = trees.score(offsets, data) / UNIT
                 best = bits.argmin(1)

@@ -524,6 +524,14 @@ def test_pipeline_stages_against_brute_force(spark):
     assert {r["doc_id"] for r in table.collect()} == {1, 6, 7, None}
 
 
+def test_unlabelled_documents_stay_in_the_pipeline(spark):
+    import corpus_pipeline as pipeline
+    rows = [(1, "a clean text", None), (2, None, None), (3, "12 !", None), (4, "été", None), (5, "漢字", None), (6, "", None), (None, "x", None)]
+    kept = pipeline.identify_language(spark, docs(spark, rows), "")
+    assert kept.columns == DOCS.replace(" long", "").replace(" string", "").replace(" int", "").split(", ")
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {i: t for i, t, _ in rows if i not in (2, 3, 6)}
+
+
 def test_queries_equal_their_sql(spark):
     import duckdb
 
