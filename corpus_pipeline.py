@@ -26,16 +26,31 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: the one with the smallest id."""
-    classes = jaccard_join.near_duplicates(docs)
-    others = materialize(classes.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "others")
-    kept = docs.join(broadcast_if_small(others, 64), "doc_id", "left_anti").select(*docs.columns)
-    # rows that repeat an id: one of them stays; rows without an id are all kept
-    again = materialize(kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated_ids")
-    if not again.limit(1).count():
+    """Keep one row of each group of near duplicates: the smallest id's (null after all others), of these the smallest text hash's."""
+    found = materialize(jaccard_join.near_duplicates(docs, rows=True).where("n_shingles > 0"), "classes")
+    row, is_first = ["doc_id", "t1", "t2"], F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = found.where(~is_first).select(row).distinct()
+    # groups in which several rows have the smallest id, or none has one
+    first = found.where(is_first)
+    several = materialize(first.groupBy("root").count().where("count > 1").select("root"), "several")
+    again = None
+    if several.limit(1).count():
+        tied = materialize(first.join(broadcast_if_small(several, 64), "root").groupBy("root", *row).agg(F.count("*").alias("k")), "tied")
+        least = materialize(tied.groupBy("root").agg(F.min(F.struct("t1", "t2")).alias("least")), "least")
+        tied = tied.join(broadcast_if_small(least, 96), "root")
+        gone = gone.union(tied.where("struct(t1, t2) <> least").select(row))
+        again = materialize(tied.where("struct(t1, t2) = least and k > 1").select(row), "repeated_rows")
+
+    def among(left: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        some = broadcast_if_small(some.select(*[F.col(c).alias(f"_{c}") for c in row]), 96)
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_t1"))
+        return left.join(some, same & (F.xxhash64(F.lit(1), "text") == F.col("_t2")), how).select(*docs.columns)
+
+    kept = among(docs, materialize(gone, "gone"), "left_anti")
+    if again is None or not again.limit(1).count():
         return kept
-    repeated = kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).union(repeated)
+    # rows that repeat an id and a text: one of them stays
+    return among(kept, again, "left_anti").union(among(kept, again, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -330,8 +330,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id."""
+def near_duplicates(documents: DataFrame, rows: bool = False) -> DataFrame:
+    """Per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    With ``rows`` also t1 and t2 (two hashes of the text) and root, which only the rows of one component share.
+    """
     spark = documents.sparkSession
     arrow_rows(spark)
     texts = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("t1"),
@@ -417,7 +420,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     of_set = real.groupBy("d1", "d2").agg(F.min("doc_id").alias("low")).join(sets, ["d1", "d2"])
     of_set = materialize(of_set, "set_roots")
     least = of_set.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_set = materialize(of_set.join(least, "root").select("d1", "d2", "component_id"), "set_components")
-    out = docs.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "d1", "d2")
+    of_set = materialize(of_set.join(least, "root").select("d1", "d2", "component_id", "root"), "set_components")
+    more = ["t1", "t2", "root"] if rows else []
+    out = docs.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "d1", "d2", *more[:2])
     out = out.join(of_set, ["d1", "d2"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return out.select("doc_id", "n_shingles", component, *more)

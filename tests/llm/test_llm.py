@@ -532,6 +532,22 @@ def test_unlabelled_documents_stay_in_the_pipeline(spark):
     assert {r["doc_id"]: r["text"] for r in kept.collect()} == {i: t for i, t, _ in rows if i not in (2, 3, 6)}
 
 
+def test_near_duplicates_go_by_row(spark):
+    import corpus_pipeline as pipeline
+    text = {k: " ".join(f"{k}{j}" for j in range(40)) for k in "abcdefgh"}
+    near = text["d"] + " tail"
+    rows = [(1, text["a"], None), (5, text["a"], None), (5, text["b"], None), (7, text["b"] + " x", None),  # 5 repeats with texts of two groups
+            (8, text["c"], None), (8, text["e"], None),  # one id, two texts that nothing links
+            (9, text["d"], None), (9, near, None), (9, near, None),  # one id, linked texts
+            (None, text["f"], None), (None, text["f"], None), (None, text["f"] + " y", None),  # a group without ids
+            (None, text["g"], None), (3, text["g"], None), (4, text["h"], None), (4, text["h"], None)]
+    kept = sorted(((r["doc_id"], r["text"]) for r in pipeline.remove_near_duplicates(spark, docs(spark, rows), "").collect()), key=str)
+    assert [(i, t[0]) for i, t in kept] == [(1, "a"), (3, "g"), (4, "h"), (5, "b"), (8, "c"), (8, "e"), (9, "d"), (None, "f")]
+    assert set(kept) <= {(i, t) for i, t, _ in rows}
+    again = sorted(((r["doc_id"], r["text"]) for r in pipeline.remove_near_duplicates(spark, docs(spark, rows[::-1]), "").collect()), key=str)
+    assert again == kept
+
+
 def test_queries_equal_their_sql(spark):
     import duckdb
 
