@@ -12,7 +12,8 @@ the texts are batched. The language with the shortest code wins (ties: the
 first in name order); the score is its posterior under equal priors.
 
 Training takes a bounded sample of labelled rows: about ``TRAIN_ROWS`` rows of
-each language, chosen by hash, of at most ``TRAIN_BYTES`` bytes each.
+each language, chosen by hash whatever their length, the first ``TRAIN_BYTES``
+bytes of each.
 
 Bytes A-Z count as a-z, and spaces stand before a text. A null text or one
 without a letter is ``und`` with score 0, as is everything when no labelled row
@@ -171,17 +172,17 @@ def held_out_remainder(doc_id="doc_id"):
 
 def train(documents: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> ContextTrees:
     """Context trees from labelled rows whose id's remainder is not 1."""
-    fit = documents.where(F.col("lang").isNotNull() & (held_out_remainder() != 1) & F.octet_length("text").between(1, most_bytes))
+    fit = documents.where(F.col("lang").isNotNull() & (held_out_remainder() != 1) & (F.octet_length("text") > 0))
     counts = fit.groupBy("lang").count()
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     # twice the rows by hash first, so that the window below never sees a whole language
-    near = fit.select("lang", "text", "doc_id", place.alias("place")).join(F.broadcast(counts), "lang")
+    near = fit.select("lang", F.substring("text", 1, most_bytes).alias("text"), "doc_id", place.alias("place")).join(F.broadcast(counts), "lang")
     near = near.where(F.col("place") * F.col("count") < 2 * rows)
     best = Window.partitionBy("lang").orderBy("place", "doc_id", "text")
     sample = near.withColumn("k", F.row_number().over(best)).where(F.col("k") <= rows)
     texts: dict[str, list[bytes]] = {}
     for r in sorted(sample.select("lang", "k", "text").collect(), key=lambda r: (r["lang"], r["k"])):
-        texts.setdefault(r["lang"], []).append(r["text"].encode())
+        texts.setdefault(r["lang"], []).append(r["text"].encode()[:most_bytes].decode(errors="ignore").encode())
     return ContextTrees(texts)
 
 

@@ -384,6 +384,17 @@ def test_language_id_on_held_out_rows(spark):
     assert und == {1, 2, 3, 9} and len(odd) == len(awkward())
 
 
+def test_languages_of_long_texts_are_learned(spark):
+    rng = random.Random(6)
+    words = {"xx": ["kala", "mibo", "tuno", "sera"], "yy": ["été", "öffr", "ñandu", "çeşt"]}
+    rows = [(k, " ".join(rng.choices(words["xx" if k % 2 else "yy"], k=6000 if k % 2 == 0 else 30)), "xx" if k % 2 else "yy") for k in range(24)]
+    table = docs(spark, rows)
+    assert min(len(t.encode()) for _, t, lang in rows if lang == "yy") > language_id.TRAIN_BYTES
+    trees = language_id.train(table)
+    assert trees.languages == ["xx", "yy"]
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.identify(table, trees, ["doc_id"]).collect()} == {i: lang for i, _, lang in rows}
+
+
 def test_hilbert_curve_visits_neighbours():
     side = np.arange(8)
     cells = [c.ravel() for c in np.meshgrid(side, side, side)]
