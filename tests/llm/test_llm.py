@@ -324,6 +324,12 @@ def test_random_field_learns_its_table_and_adds_spans(spark):
     assert out[1]["text"] == "please call <PHONE> or mail <EMAIL> in 2024" and out[4]["text"] == LONG
 
 
+def test_shape_of_a_long_token_is_whole():
+    assert pii.shape("a" * 60 + "@localhost") == "xxx+@xxx+" and pii.shape("-" * 50 + "7") == "-" * 50 + "d"
+    text = "mail me at " + "a" * 60 + "@localhost please"
+    assert pii.Field().spans([text], [pii.base_spans(text)]) == [[(0, 11, 81)]]
+
+
 def test_viterbi_equals_brute_force():
     from itertools import product
     rng = np.random.default_rng(0)
