@@ -55,7 +55,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (n + 1) and bytes of a string column; null is empty."""
     if column.null_count:
         column = column.fill_null("")
-    wide = pa.types.is_large_string(column.type)
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     if len(column) == 0 or offsets is None:
         return np.zeros(len(column) + 1, np.int64), np.zeros(0, np.uint8)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, jaccard_join, language_id, lsh_forest, packing, pii, secret_scan, sharding, token_counts, warc
+from tessera.llm import (collocations, decontamination, jaccard_join, language_id, lsh_forest, packing, pii, secret_scan, sharding,
+                         token_counts, warc)
 
 
 def _table(spark, sf_dir, name):
@@ -77,9 +78,15 @@ def op10_lsh_forest(spark, sf_dir):
     return lsh_forest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    """The first 2000 phrases of two or three words of each language by the lowest score of their cuts."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_counts, op3_best_fit_packing, op4_ngram_jaccard_join, op5_warc, op6_language_id,
-    op7_pii, op8_sharding, op9_benchmark_decontamination, op10_lsh_forest)}
+    op7_pii, op8_sharding, op9_benchmark_decontamination, op10_lsh_forest,
+    op11_phrase_collocations)}
 
 #: DuckDB SQL for the queries that SQL can express.
 SQL = {
@@ -112,6 +119,32 @@ texts as (
 select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
        sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
 from docs d left join texts using (doc_id)""",
+    "op11_phrase_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+phrases as (
+  select lang, k, w[i:i + k - 1] as p from (
+    select lang, k, w, unnest(range(1, len(w) - k + 2)) as i from words, (values (1), (2), (3)) ks(k) where len(w) >= k)),
+f as (select lang, k, p, count(*) as f from phrases group by all),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
+cand as (select * from f where k > 1 and f >= 10),
+cuts as (
+  select c.lang, c.p, c.k, c.f as a, cut, l.f as l, r.f as r,
+         cast((1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f) as bigint) as score
+  from cand c, (values (1), (2)) cs(cut), f l, f r
+  where cut < c.k and l.lang = c.lang and l.p = c.p[1:cut] and r.lang = c.lang and r.p = c.p[cut + 1:c.k]),
+best as (select * from cuts qualify row_number() over (partition by lang, p order by score, cut) = 1),
+gone as (
+  select s.lang, s.p from cand s join cand g on g.lang = s.lang and g.k = 3 and s.k = 2 and s.p = g.p[1:2] and 100 * g.f >= 50 * s.f
+  union
+  select s.lang, s.p from cand s join cand g on g.lang = s.lang and g.k = 3 and s.k = 2 and s.p = g.p[2:3] and 100 * g.f >= 50 * s.f),
+kept as (select b.*, array_to_string(b.p, ' ') as phrase from best b anti join gone g on b.lang = g.lang and b.p = g.p)
+select lang, rank, phrase, a, l, r, n, score from (
+  select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as int) as rank, phrase, a, l, r, n, score
+  from kept join n using (lang)) where rank <= 2000""",
     "op5_warc": """
 with p as (select page_id, coalesce(html, '') as html from pages),
 d as (select page_id, strlen(html) as payload_bytes, sha256(html) as payload_digest from p),
