@@ -126,22 +126,29 @@ with pieces as (
   from documents),
 words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
 phrases as (
-  select lang, k, w[i:i + k - 1] as p from (
-    select lang, k, w, unnest(range(1, len(w) - k + 2)) as i from words, (values (1), (2), (3)) ks(k) where len(w) >= k)),
-f as (select lang, k, p, count(*) as f from phrases group by all),
-n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
-cand as (select * from f where k > 1 and f >= 10),
+  select lang, 1 as k, unnest(w) as p from words
+  union all
+  select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words where len(w) > 1
+  union all
+  select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) from words where len(w) > 2),
+f as materialized (select lang, k, p, count(*) as f from phrases group by all having count(*) >= 10),
+n as (select lang, count(*) as n from phrases where k = 1 group by lang),
+cand as materialized (select lang, k, p, f, string_split(p, ' ') as w from f where k > 1),
+parts as (
+  select lang, p, k, f as a, 1 as cut, w[1] as lp, array_to_string(w[2:], ' ') as rp from cand
+  union all
+  select lang, p, k, f, 2, w[1] || ' ' || w[2], w[3] from cand where k = 3),
 cuts as (
-  select c.lang, c.p, c.k, c.f as a, cut, l.f as l, r.f as r,
-         cast((1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f) as bigint) as score
-  from cand c, (values (1), (2)) cs(cut), f l, f r
-  where cut < c.k and l.lang = c.lang and l.p = c.p[1:cut] and r.lang = c.lang and r.p = c.p[cut + 1:c.k]),
+  select c.lang, c.p, c.a, c.cut, l.f as l, r.f as r,
+         cast((1000000::hugeint * c.a * c.a) // (l.f::hugeint * r.f) as bigint) as score
+  from parts c join f l on l.lang = c.lang and l.p = c.lp join f r on r.lang = c.lang and r.p = c.rp),
 best as (select * from cuts qualify row_number() over (partition by lang, p order by score, cut) = 1),
-gone as (
-  select s.lang, s.p from cand s join cand g on g.lang = s.lang and g.k = 3 and s.k = 2 and s.p = g.p[1:2] and 100 * g.f >= 50 * s.f
-  union
-  select s.lang, s.p from cand s join cand g on g.lang = s.lang and g.k = 3 and s.k = 2 and s.p = g.p[2:3] and 100 * g.f >= 50 * s.f),
-kept as (select b.*, array_to_string(b.p, ' ') as phrase from best b anti join gone g on b.lang = g.lang and b.p = g.p)
+inside as (
+  select lang, w[1] || ' ' || w[2] as p, f from cand where k = 3
+  union all
+  select lang, w[2] || ' ' || w[3], f from cand where k = 3),
+gone as (select distinct s.lang, s.p from cand s join inside g on g.lang = s.lang and g.p = s.p and s.k = 2 and 100 * g.f >= 50 * s.f),
+kept as (select b.*, b.p as phrase from best b anti join gone g on b.lang = g.lang and b.p = g.p)
 select lang, rank, phrase, a, l, r, n, score from (
   select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as int) as rank, phrase, a, l, r, n, score
   from kept join n using (lang)) where rank <= 2000""",
