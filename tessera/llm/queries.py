@@ -132,6 +132,7 @@ phrases as (
   union all
   select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) from words where len(w) > 2),
 f as materialized (select lang, k, p, count(*) as f from phrases group by all having count(*) >= 10),
+fs as materialized (select struct_pack(lang := lang, p := p) as s, f from f),
 n as (select lang, count(*) as n from phrases where k = 1 group by lang),
 cand as materialized (select lang, k, p, f, string_split(p, ' ') as w from f where k > 1),
 parts as (
@@ -141,14 +142,14 @@ parts as (
 cuts as (
   select c.lang, c.p, c.a, c.cut, l.f as l, r.f as r,
          cast((1000000::hugeint * c.a * c.a) // (l.f::hugeint * r.f) as bigint) as score
-  from parts c join f l on l.lang = c.lang and l.p = c.lp join f r on r.lang = c.lang and r.p = c.rp),
+  from parts c join fs l on l.s = struct_pack(lang := c.lang, p := c.lp) join fs r on r.s = struct_pack(lang := c.lang, p := c.rp)),
 best as (select * from cuts qualify row_number() over (partition by lang, p order by score, cut) = 1),
 inside as (
   select lang, w[1] || ' ' || w[2] as p, f from cand where k = 3
   union all
   select lang, w[2] || ' ' || w[3], f from cand where k = 3),
 gone as (select distinct s.lang, s.p from cand s join inside g on g.lang = s.lang and g.p = s.p and s.k = 2 and 100 * g.f >= 50 * s.f),
-kept as (select b.*, b.p as phrase from best b anti join gone g on b.lang = g.lang and b.p = g.p)
+kept as (select *, p as phrase from best where (lang, p) not in (select (lang, p) from gone))
 select lang, rank, phrase, a, l, r, n, score from (
   select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as int) as rank, phrase, a, l, r, n, score
   from kept join n using (lang)) where rank <= 2000""",
