@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import (collocations, decontamination, jaccard_join, language_id, lsh_forest, packing, pii, secret_scan, sharding,
-                         token_counts, warc)
+from tessera.llm import (collocations, decontamination, hard_negatives, jaccard_join, language_id, lsh_forest, packing, pii, secret_scan,
+                         sharding, token_counts, warc)
 
 
 def _table(spark, sf_dir, name):
@@ -83,10 +83,16 @@ def op11_phrase_collocations(spark, sf_dir):
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """The first five rows of other labels in the score window of each of the first five rows of an anchor's label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_counts, op3_best_fit_packing, op4_ngram_jaccard_join, op5_warc, op6_language_id,
     op7_pii, op8_sharding, op9_benchmark_decontamination, op10_lsh_forest,
-    op11_phrase_collocations)}
+    op11_phrase_collocations, op12_hard_negatives)}
 
 #: DuckDB SQL for the queries that SQL can express.
 SQL = {
@@ -153,6 +159,23 @@ kept as (select *, p as phrase from best where (lang, p) not in (select (lang, p
 select lang, rank, phrase, a, l, r, n, score from (
   select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as int) as rank, phrase, a, l, r, n, score
   from kept join n using (lang)) where rank <= 2000""",
+    "op12_hard_negatives": """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, a.label as anchor_label, r.vec_id, r.label, cast(list_dot_product(a.q, r.q) as bigint) as score
+  from e a join e r on a.vec_id % 100 = 0 and r.vec_id <> a.vec_id and len(a.q) = len(r.q)),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as int) as rank, s.vec_id as negative_id, positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and s.label <> s.anchor_label
+ and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score
+window w as (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)
+qualify row_number() over w <= 5""",
     "op5_warc": """
 with p as (select page_id, coalesce(html, '') as html from pages),
 d as (select page_id, strlen(html) as payload_bytes, sha256(html) as payload_digest from p),
