@@ -50,7 +50,7 @@ SCALE = 1_000_000
 COVERED = 50
 UNKNOWN = "und"
 #: Words of a run; the runs' distinct phrases are what is shuffled.
-RUN_WORDS = 4 << 20
+RUN_WORDS = 2 << 20
 #: The bit table of pairs: chunks of bits, each filled by one task; 16 MB in all at any input size.
 CHUNKS = 256
 CHUNK_BITS = 1 << 19

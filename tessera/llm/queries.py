@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import (collocations, decontamination, hard_negatives, jaccard_join, language_id, lsh_forest, packing, pii, secret_scan,
+from tessera.llm import (attention_lm, collocations, decontamination, hard_negatives, jaccard_join, language_id, lsh_forest, packing, pii, secret_scan,
                          sharding, token_counts, warc)
 
 
@@ -89,10 +89,15 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op13_lm_scores(spark, sf_dir):
+    """The log10 probability of all documents by a unigram base and by a self-attention model on subword ids."""
+    return attention_lm.score_texts(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_counts, op3_best_fit_packing, op4_ngram_jaccard_join, op5_warc, op6_language_id,
     op7_pii, op8_sharding, op9_benchmark_decontamination, op10_lsh_forest,
-    op11_phrase_collocations, op12_hard_negatives)}
+    op11_phrase_collocations, op12_hard_negatives, op13_lm_scores)}
 
 #: DuckDB SQL for the queries that SQL can express.
 SQL = {
