@@ -392,3 +392,126 @@ def convex_contains_point_unrolled(edges: Column, px, py, k: int = UNROLL_EDGES)
         c = e.isNull() | (_edge_cross(e, px, py) > _edge_tol(e, px, py))
         cond = c if cond is None else cond & c
     return cond
+
+
+# --------------------------------------------------------------------------
+# lines that pass a stretch more than once
+# --------------------------------------------------------------------------
+
+def supporting_segments(parts: Column) -> Column:
+    """The segments of positive length, each as (k1, k2, lo, hi, a, b), sorted.
+
+    ``k1, k2`` name the supporting line (slope and intercept; for a vertical
+    one infinity and x), ``lo, hi`` the interval on it, ``a, b`` its ends. Segments
+    on one line have equal keys when their coordinate differences and
+    products are exact, as on any integer lattice; a stretch passed again
+    between the same two vertices always has.
+    """
+    def keyed(s):
+        flip = (s["x1"] > s["x2"]) | ((s["x1"] == s["x2"]) & (s["y1"] > s["y2"]))
+        a, b = xy(s["x1"], s["y1"]), xy(s["x2"], s["y2"])
+        a, b = F.when(flip, b).otherwise(a), F.when(flip, a).otherwise(b)
+        # differences of the ordered ends: dx is not negative
+        dx, dy = F.abs(s["x2"] - s["x1"]), F.when(flip, s["y1"] - s["y2"]).otherwise(s["y2"] - s["y1"])
+        upright = dx == 0
+        return F.struct(F.when(upright, F.lit(INF)).otherwise(dy / nonzero(dx) + 0.0).alias("k1"),
+                        F.when(upright, s["x1"]).otherwise((s["x1"] * dy - s["y1"] * dx) / nonzero(dx) + 0.0).alias("k2"),
+                        F.when(upright, a["y"]).otherwise(a["x"]).alias("lo"), F.when(upright, b["y"]).otherwise(b["x"]).alias("hi"),
+                        a.alias("a"), b.alias("b"))
+    whole = F.filter(F.flatten(F.transform(parts, part_segments)), lambda s: (s["x1"] != s["x2"]) | (s["y1"] != s["y2"]))
+    return F.array_sort(F.transform(whole, keyed))
+
+
+def _one_line(p: Column, q: Column) -> Column:
+    return (p["k1"] == q["k1"]) & (p["k2"] == q["k2"])
+
+
+def is_retraced(segs: Column) -> Column:
+    """Some two of the sorted supporting segments share a stretch; then two neighbours do."""
+    m = F.greatest(F.size(segs) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(segs, 1, m), F.slice(segs, 2, m), lambda p, q: _one_line(p, q) & (q["lo"] < p["hi"]))
+    return F.exists(pairs, lambda c: c)
+
+
+def merged_segments(segs: Column) -> Column:
+    """Parts of two vertices each that cover what the sorted supporting segments cover, every stretch once."""
+    kind = "struct<k1:double,k2:double,lo:double,hi:double,a:struct<x:double,y:double>,b:struct<x:double,y:double>>"
+
+    def step(acc, s):
+        now = acc["now"]
+        joins = F.coalesce(_one_line(now, s) & (s["lo"] <= now["hi"]), F.lit(False))
+        longer = F.struct(now["k1"].alias("k1"), now["k2"].alias("k2"), now["lo"].alias("lo"), F.greatest(now["hi"], s["hi"]).alias("hi"),
+                          now["a"].alias("a"), F.when(s["hi"] > now["hi"], s["b"]).otherwise(now["b"]).alias("b"))
+        return F.struct(F.when(joins | now.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(now))).alias("done"),
+                        F.when(joins, longer).otherwise(s).cast(kind).alias("now"))
+    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("now"))
+    merged = F.aggregate(segs, start, step, lambda acc: F.concat(acc["done"], F.array(acc["now"])))
+    return F.transform(merged, lambda s: F.array(s["a"], s["b"]))
+
+
+# --------------------------------------------------------------------------
+# polygons that are not convex: trapezoids between two edges
+# --------------------------------------------------------------------------
+
+EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
+
+
+def x_at(e: Column, y: Column) -> Column:
+    """Where an upward edge is at height ``y``; exact at its ends and on upright edges."""
+    return (F.when((y == e["y1"]) | (e["x1"] == e["x2"]), e["x1"]).when(y == e["y2"], e["x2"])
+            .otherwise(e["x1"] + (y - e["y1"]) * ((e["x2"] - e["x1"]) / nonzero(e["y2"] - e["y1"]))))
+
+
+def slab_trapezoids(edges: Column) -> Column:
+    """The polygon of these edges (rings of any nesting) as (l, r, lo, hi): between upward edges l and r from height lo to hi.
+
+    Heights are cut at every vertex; between two of them the edges that cross
+    the slab, sorted by place, bound the inside by even-odd pairs. Sorted so
+    that trapezoids between the same two edges follow one another upward.
+    """
+    up = F.transform(F.filter(edges, lambda e: e["y1"] != e["y2"]), lambda e: F.when(e["y1"] < e["y2"], e).otherwise(F.struct(
+        e["x2"].alias("x1"), e["y2"].alias("y1"), e["x1"].alias("x2"), e["y1"].alias("y2"))).cast(EDGE))
+    heights = F.array_sort(F.array_distinct(F.concat(F.transform(up, lambda e: e["y1"]), F.transform(up, lambda e: e["y2"]))))
+    m = F.greatest(F.size(heights) - 1, F.lit(0))
+
+    def slab(lo, hi):
+        crossing = F.filter(up, lambda e: (e["y1"] <= lo) & (e["y2"] >= hi))
+        placed = F.array_sort(F.transform(crossing, lambda e: F.struct(x_at(e, (lo + hi) / 2).alias("x"), e.alias("e"))))
+        pairs = F.filter(F.transform(placed, lambda p, k: F.struct(p["e"].alias("l"), F.get(placed, k + 1)["e"].alias("r"), k.alias("k"))),
+                         lambda p: (p["k"] % 2 == 0) & p["r"].isNotNull() & (p["l"] != p["r"]))
+        return F.transform(pairs, lambda p: F.struct(p["l"].alias("l"), p["r"].alias("r"), lo.alias("lo"), hi.alias("hi")))
+    return F.array_sort(F.flatten(F.zip_with(F.slice(heights, 1, m), F.slice(heights, 2, m), slab)))
+
+
+def merged_trapezoids(slabs: Column) -> Column:
+    """Trapezoids between the same two edges, one on top of the other, as one."""
+    kind = f"struct<l:{EDGE},r:{EDGE},lo:double,hi:double>"
+
+    def step(acc, t):
+        now = acc["now"]
+        joins = F.coalesce((now["l"] == t["l"]) & (now["r"] == t["r"]) & (now["hi"] == t["lo"]), F.lit(False))
+        taller = F.struct(now["l"].alias("l"), now["r"].alias("r"), now["lo"].alias("lo"), t["hi"].alias("hi"))
+        return F.struct(F.when(joins | now.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(now))).alias("done"),
+                        F.when(joins, taller).otherwise(t).cast(kind).alias("now"))
+    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("now"))
+    return F.aggregate(slabs, start, step, lambda acc: F.when(acc["now"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"]))))
+
+
+def trapezoids_below(t: Column, all_of_them: Column) -> Column:
+    """The side edges (l, r) of the trapezoids on which ``t`` stands along a stretch."""
+    under = F.filter(all_of_them, lambda b: (b["hi"] == t["lo"]) & (x_at(b["l"], t["lo"]) < x_at(t["r"], t["lo"]))
+                     & (x_at(b["r"], t["lo"]) > x_at(t["l"], t["lo"])))
+    return F.transform(under, lambda b: F.struct(b["l"].alias("l"), b["r"].alias("r")))
+
+
+def between(l: Column, r: Column, px: Column, py: Column) -> Column:
+    """(px, py) lies strictly between two upward edges (right of ``l``, left of ``r``)."""
+    return (_edge_cross(l, px, py) < -_edge_tol(l, px, py)) & (_edge_cross(r, px, py) > _edge_tol(r, px, py))
+
+
+def between_range(l: Column, r: Column, x1: Column, y1: Column, x2: Column, y2: Column, t0: Column, t1: Column) -> tuple[Column, Column]:
+    """Parameter range within [t0, t1] of a segment between two upward edges, the edges included."""
+    down = F.struct(l["x2"].alias("x1"), l["y2"].alias("y1"), l["x1"].alias("x2"), l["y1"].alias("y2"))
+    lo_l, hi_l = _half_plane_range(down, x1, y1, x2 - x1, y2 - y1)
+    lo_r, hi_r = _half_plane_range(r, x1, y1, x2 - x1, y2 - y1)
+    return F.greatest(t0, lo_l, lo_r), F.least(t1, hi_l, hi_r)

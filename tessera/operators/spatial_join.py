@@ -6,7 +6,20 @@ sides are equi-joined on ``(tx, ty)`` and the exact test runs on the joined
 pairs only. Spark therefore plans an ordinary hash join instead of a nested
 loop, and the join partitions by tile.
 
-* **Points** fall in exactly one tile. A cell lists the tiles its interior
+Tiles come in levels, each four times as wide as the one below: a cell is
+listed at the level whose tiles are about its own size (at most nine of
+them), and an item probes each level in use. A grid of like cells has one
+level; a cell a thousand times as wide as the others adds one more level
+and a few rows, not a million.
+
+Cells that are not convex are cut once, when the grid is indexed, into
+trapezoids between two of their edges, holes included. A trapezoid joins
+like a cell of its own and keeps the id of its cell. Trapezoids touch along
+level stretches only: a stretch that a trapezoid shares with one below is
+counted by the lower one, and a point on it is inside when it is strictly
+between the side edges of both.
+
+* **Points** fall in exactly one tile of a level. A cell lists the tiles its interior
   touches, so a point strictly inside a cell meets it in exactly one tile:
   no pair repeats and no de-duplication is needed.
 * **Lines** are cut into segments; each segment lists the tiles it crosses,
@@ -20,6 +33,9 @@ loop, and the join partitions by tile.
   or top border - is caught by a flagged copy of the segment in the tile
   to the left or below, counted only for cells whose border it lies on; so
   a line on a shared border counts in both cells.
+* A **retraced line**, one that passes a stretch more than once, is first
+  replaced by segments that cover each stretch once, so that its length in
+  a cell is that of the points it covers.
 
 Join strategy. The cell side is broadcast only after a measured size check
 (an upper bound of the rows and edges of its tile cover against
@@ -54,20 +70,26 @@ EDGE_BYTES = 64
 # zero-length candidates).
 COVER_SLACK = 1e-9
 
-CELL_COLS = ["grid_id", "cxmin", "cymin", "cxmax", "cymax", "is_box", "is_convex", "edges",
-             "gx1", "gy1", "gx2", "gy2"]
+#: Each level's tiles are so many times as wide as those of the level below.
+LEVEL_STEP = 4
+#: A cell is at the lowest level whose tiles are at least this part of its width and height.
+LEVEL_FIT = 0.5 * (1 - 1e-6)
+#: Tiles that a cell lists at its own level at most, three each way.
+COVER_TILES = 9
 
 
 @dataclass
 class CellIndex:
     """Grid cells prepared for tile joins.
 
-    ``cells`` has one row per input cell: ``grid_id``, its box, ``is_box``
-    (axis-aligned rectangle: box arithmetic only), ``is_convex`` (one convex
-    ring: half-plane intersection over its counter-clockwise edges) and
-    ``edges`` (null for boxes; otherwise ring edges, for the even-odd method
-    on other polygons). ``point_bytes`` / ``line_bytes`` estimate the size of
-    the two tile covers and decide the join strategy.
+    ``cells`` has a row for each cell, or for each trapezoid of a cell that is
+    not convex: ``grid_id``, the box, ``is_box`` (axis-aligned rectangle: box
+    arithmetic only), ``is_convex`` (half-plane intersection over its
+    counter-clockwise edges), ``edges`` (null for boxes) and ``below`` (null
+    but for trapezoids: the side edges of those it stands on). ``levels`` are
+    the tile levels in use. ``point_bytes`` / ``line_bytes`` bound the size of
+    the tile cover and decide the join strategy. ``whole`` indexes the
+    undivided cells where any was cut.
     """
 
     cells: DataFrame
@@ -76,17 +98,40 @@ class CellIndex:
     line_bytes: int
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     hot_tile_rows: int = DEFAULT_HOT_TILE_ROWS
-    has_general: bool = True
+    levels: tuple = (0,)
+    whole: "CellIndex | None" = None
+
+    @property
+    def keys(self) -> list[str]:
+        """The columns of the tile join."""
+        return ["tx", "ty"] if len(self.levels) == 1 else ["level", "tx", "ty"]
+
+    @property
+    def shape(self) -> tuple:
+        """What the join's expressions depend on."""
+        return self.tile, self.levels, self.whole is not None
+
+    def side(self):
+        """The side of the tiles of a row's level."""
+        if len(self.levels) == 1:
+            return F.lit(self.tile * float(LEVEL_STEP) ** self.levels[0])
+        return F.lit(self.tile) * F.pow(F.lit(float(LEVEL_STEP)), F.col("level"))
+
+    def at_each_level(self, items: DataFrame) -> DataFrame:
+        """The items, once for each level in use."""
+        return items if len(self.levels) == 1 else items.withColumn("level", F.explode(F.array(*[F.lit(k) for k in self.levels])))
 
     def tiles(self) -> DataFrame:
-        """Cells exploded over the tiles their interior touches.
+        """Cells exploded over the tiles of their level that their interior touches.
 
         Used for points and lines alike; lines lying exactly on a tile
         boundary that is also a cell's right or top border get an extra row
         in the neighbouring tile (see :func:`segment_tiles`).
         """
-        s = self.tile
         c = self.cells
+        if len(self.levels) > 1:
+            c = c.withColumn("level", _level(self.tile))
+        s = self.side()
         tx0 = F.floor(F.col("cxmin") / s)
         tx1 = F.greatest(F.ceil(F.col("cxmax") / s) - 1, tx0)
         ty0 = F.floor(F.col("cymin") / s)
@@ -100,6 +145,35 @@ class CellIndex:
     def release(self) -> None:
         """Drop the persisted cells (after the last job that uses this index)."""
         self.cells.unpersist()
+        if self.whole is not None:
+            self.whole.release()
+
+
+def _extent():
+    return F.greatest(F.col("cxmax") - F.col("cxmin"), F.col("cymax") - F.col("cymin"))
+
+
+def _level(tile: float):
+    """The level of a cell: the lowest whose tiles are at least ``LEVEL_FIT`` of its extent."""
+    steps = F.ceil(F.log2(_extent() * LEVEL_FIT / F.lit(tile)) / math.log2(LEVEL_STEP))
+    return F.when(_extent() * LEVEL_FIT <= F.lit(tile), F.lit(0)).otherwise(steps.cast("int"))
+
+
+def _trapezoids(cells: DataFrame) -> DataFrame:
+    """The rows of the index, those of cells that are not convex cut into trapezoids."""
+    general = ~F.col("is_box") & ~F.col("is_convex")
+    rest = [c for c in cells.columns if c not in ("edges", "is_convex", "cxmin", "cymin", "cxmax", "cymax")]
+    slabs, merged = G.memo(("trapezoids",), lambda: (G.slab_trapezoids(F.col("edges")), G.merged_trapezoids(F.col("_s"))))
+    cut = cells.where(general).select(*rest, slabs.alias("_s")).select(*rest, merged.alias("_all"))
+    cut = cut.select(*rest, "_all", F.explode("_all").alias("_t"))
+    l, r, lo, hi = (F.col("_t")[k] for k in ("l", "r", "lo", "hi"))
+    cut = cut.select(*rest, lo.alias("cymin"), hi.alias("cymax"),
+                     F.least(G.x_at(l, lo), G.x_at(l, hi)).alias("cxmin"), F.greatest(G.x_at(r, lo), G.x_at(r, hi)).alias("cxmax"),
+                     F.lit(True).alias("is_convex"), F.array(l, r).alias("edges"),
+                     G.trapezoids_below(F.col("_t"), F.col("_all")).alias("below"))
+    below = cut.schema["below"].dataType
+    whole = cells.where(~general).withColumn("below", F.lit(None).cast(below))
+    return whole.unionByName(cut)
 
 
 def _field(name: str):
@@ -128,9 +202,12 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
     The prepared cells are persisted (every spatial operator reads them
     again) unless ``materialize=False``. The tile side defaults to the median
     cell extent, so that a cell touches about four tiles and a tile about
-    four cells. One aggregate job over the cells gives the tile side and an
-    upper bound of the size of both tile covers, which decides broadcast
-    versus shuffled join.
+    four cells; larger cells use the wider tiles of higher levels. One
+    aggregate job over the cells gives the tile side and an upper bound of
+    the size of the tile cover, which decides broadcast versus shuffled join;
+    one more names the levels where cells differ much in size, and one bounds
+    the trapezoids where cells are not convex (valid polygons: their rings
+    do not cross).
     """
     g = F.col(geom_col)
     shape_box, shape_convex, shape_edges, bbox_col = G.memo(("cell_shape",), _cell_shape_columns)
@@ -144,62 +221,68 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
                      shape_box.alias("is_box"))
              .where(F.col("cxmin").isNotNull())
              .select("grid_id", "_g", *box_cols, "is_box", shape_convex.alias("is_convex"))
-             .select("grid_id", *box_cols, "is_box", "is_convex", shape_edges.alias("edges"))
-             .select("*", *[F.when(~F.col("is_box") & ~F.col("is_convex"),
-                                   F.transform("edges", _field(f))).alias(name)
-                            for name, f in (("gx1", "x1"), ("gy1", "y1"), ("gx2", "x2"), ("gy2", "y2"))]))
+             .select("grid_id", *box_cols, "is_box", "is_convex", shape_edges.alias("edges")))
     if materialize:
         # Kept for every later join; recomputed from the grid if an executor is lost.
         cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
-    # One job: tile side and the moments that bound both tile covers for any
-    # side s, since a cell of size w x h touches at most (w/s + 2)(h/s + 2) tiles.
-    w = F.col("cxmax") - F.col("cxmin")
-    h = F.col("cymax") - F.col("cymin")
-    e = F.coalesce(F.size("edges"), F.lit(0)).cast("double")
-    st = cells.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("s"),
-                   F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("wh"), F.sum(w + h).alias("wph"),
-                   F.sum(e).alias("e"), F.sum(e * w * h).alias("ewh"), F.sum(e * (w + h)).alias("ewph"),
-                   F.max(F.octet_length(F.col("grid_id").cast("string"))).alias("key"),
+    st = cells.agg(F.percentile_approx(_extent(), 0.5).alias("s"), *_moments(),
                    F.sum((~F.col("is_box") & ~F.col("is_convex")).cast("long")).alias("general")).first()
     if tile is None:
         tile = float(st["s"]) if st["s"] else 1.0
         if not math.isfinite(tile) or tile <= 0:
             tile = 1.0
-    s = float(tile)
-    n = st["n"] or 0
+    no_part = F.lit(None).cast(f"array<struct<l:{G.EDGE},r:{G.EDGE}>>").alias("below")
+    index = _sized(cells.select("*", no_part), float(tile), st, broadcast_bytes, hot_tile_rows)
+    if not st["general"]:
+        return index
+    # written out if not kept: else the optimizer would repeat the shape expressions inside those of the trapezoids
+    parts = _trapezoids(cells if materialize else persist_shared(cells))
+    if materialize:
+        parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
+    cut = _sized(parts, float(tile), parts.agg(*_moments()).first(), broadcast_bytes, hot_tile_rows)
+    cut.whole = index
+    return cut
 
-    def bound(scale_rows, scale_edges):
-        tiles = (st["wh"] or 0) / s ** 2 + 2 * (st["wph"] or 0) / s + 4 * n
-        edge_tiles = (st["ewh"] or 0) / s ** 2 + 2 * (st["ewph"] or 0) / s + 4 * (st["e"] or 0)
-        return int(scale_rows * tiles + scale_edges * edge_tiles)
 
-    # General cells also carry their edges as four coordinate arrays.
-    est = bound(ROW_BYTES + (st["key"] or 0), EDGE_BYTES * (2 if st["general"] else 1))
-    return CellIndex(cells, s, est, est, broadcast_bytes, hot_tile_rows, bool(st["general"]))
+def _moments() -> list:
+    """What bounds the size of a tile cover: rows, edges, the longest id, the largest extent."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("edges"), F.lit(0)).cast("double")).alias("e"),
+            F.max(F.octet_length(F.col("grid_id").cast("string"))).alias("key"), F.max(_extent()).alias("most")]
+
+
+def _sized(cells: DataFrame, tile: float, st, broadcast_bytes: int, hot_tile_rows: int) -> CellIndex:
+    """An index with its levels and the bound of its cover: a cell lists at most ``COVER_TILES`` tiles at its level."""
+    levels = (0,)
+    if (st["most"] or 0) * LEVEL_FIT > tile:
+        levels = tuple(sorted(r[0] for r in cells.select(_level(tile)).distinct().collect()))  # as many as there are levels
+    e = (st["e"] or 0) * (3 if "below" in cells.columns else 1)  # a trapezoid stands on few others: two side edges each
+    size = int(COVER_TILES * ((st["n"] or 0) * (ROW_BYTES + (st["key"] or 0)) + EDGE_BYTES * e))
+    return CellIndex(cells, tile, size, size, broadcast_bytes, hot_tile_rows, levels)
 
 
 def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
                idx: CellIndex) -> DataFrame:
-    """Equi-join items and cells on (tx, ty): broadcast if checked small, else salted shuffle."""
+    """Equi-join items and cells on their tile: broadcast if checked small, else salted shuffle."""
+    keys = idx.keys
     if est_bytes <= idx.broadcast_bytes:
-        return items.join(F.broadcast(cell_tiles), ["tx", "ty"])
+        return items.join(F.broadcast(cell_tiles), keys)
     hot_rows = idx.hot_tile_rows
     # Per-tile item counts: partial aggregation before the shuffle, one row per tile.
-    hot = (items.groupBy("tx", "ty").count()
+    hot = (items.groupBy(*keys).count()
                 .where(F.col("count") > hot_rows)
-                .select("tx", "ty", F.ceil(F.col("count") / hot_rows).cast("int").alias("n_salt")))
+                .select(*keys, F.ceil(F.col("count") / hot_rows).cast("int").alias("n_salt")))
     # Counted once, bounded by total_items / hot_tile_rows rows. The salt below is a
     # hash of the row, so a task that runs again salts as before.
     hot = persist_shared(hot)
-    salted_items = (items.join(F.broadcast(hot), ["tx", "ty"], "left")
+    salted_items = (items.join(F.broadcast(hot), keys, "left")
                     .withColumn("salt", F.when(F.col("n_salt").isNull(), F.lit(0))
                                 .otherwise(F.pmod(F.xxhash64(*items.columns), F.col("n_salt")).cast("int")))
                     .drop("n_salt"))
-    salted_cells = (cell_tiles.join(F.broadcast(hot), ["tx", "ty"], "left")
+    salted_cells = (cell_tiles.join(F.broadcast(hot), keys, "left")
                     .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)))
                     .drop("n_salt"))
     # The hint keeps Spark from broadcasting the cover, whose size its statistics miss.
-    return salted_items.join(salted_cells.hint("merge"), ["tx", "ty", "salt"]).drop("salt")
+    return salted_items.join(salted_cells.hint("merge"), [*keys, "salt"]).drop("salt")
 
 
 # --------------------------------------------------------------------------
@@ -239,15 +322,20 @@ def _members_columns():
     return members, first
 
 
-def _point_columns(s: float):
+def _point_columns(idx: CellIndex):
     """(tx, ty, inside) for columns px, py and the cell columns."""
-    px, py = F.col("px"), F.col("py")
+    px, py, s = F.col("px"), F.col("py"), idx.side()
     in_box = (px > F.col("cxmin")) & (px < F.col("cxmax")) & (py > F.col("cymin")) & (py < F.col("cymax"))
     small = F.size("edges") <= G.UNROLL_EDGES
-    inside = in_box & (F.when(F.col("is_box"), F.lit(True))
-                       .when(F.col("is_convex") & small,
-                             G.convex_contains_point_unrolled(F.col("edges"), px, py))
-                       .when(F.col("is_convex"), G.convex_contains_point(F.col("edges"), px, py)))
+    inside = (F.when(F.col("is_box"), in_box)
+              .when(F.col("is_convex") & small, in_box & G.convex_contains_point_unrolled(F.col("edges"), px, py))
+              .when(F.col("is_convex"), in_box & G.convex_contains_point(F.col("edges"), px, py))
+              .otherwise(in_box & G.contains_point(F.col("edges"), px, py)))
+    if idx.whole is not None:
+        edges = F.col("edges")
+        part = (py >= F.col("cymin")) & (py < F.col("cymax")) & G.between(edges[0], edges[1], px, py) & (
+            (py > F.col("cymin")) | F.exists("below", lambda b: G.between(b["l"], b["r"], px, py)))
+        inside = F.when(F.col("below").isNotNull(), part).otherwise(inside)
     return F.floor(px / s), F.floor(py / s), inside
 
 
@@ -261,25 +349,31 @@ def points_in_cells(idx: CellIndex, points: DataFrame, geom_col: str = "geom",
     contained as a whole: no member outside the closed cell, at least one
     strictly inside; ``px``, ``py`` are then its first member strictly
     inside. Other kinds than points raise; null and empty ones are in no cell.
+
+    Where cells were cut into trapezoids, points join with those and
+    multi-points, which need their whole cell, with the undivided cells.
     """
-    tx, ty, inside = G.memo(("points", idx.tile), lambda: _point_columns(idx.tile))
-    members, first = G.memo(("members",), _members_columns)
     keep = keep if keep is not None else [c for c in points.columns if c != geom_col]
+    members, first = G.memo(("members",), _members_columns)
+    pts = points.select(*keep, F.col(geom_col).alias("_g")).select(*keep, members.alias("_all"))
+    if idx.whole is None:
+        return _contained(idx, pts, keep, first)
+    single = _contained(idx, pts.where(F.size("_all") == 1), keep, None)
+    return single.unionByName(_contained(idx.whole, pts.where(F.size("_all") > 1), keep, first))
+
+
+def _contained(idx: CellIndex, pts: DataFrame, keep: list[str], first) -> DataFrame:
+    """Pairs of the cells and the members ``_all`` strictly inside for which ``first`` holds."""
+    tx, ty, inside = G.memo(("points", idx.shape), lambda: _point_columns(idx))
     many = F.when(F.size("_all") > 1, F.col("_all")).alias("_m")
-    pts = (points.select(*keep, F.col(geom_col).alias("_g")).select(*keep, members.alias("_all"))
-                 .select(*keep, many, F.posexplode("_all").alias("_i", "_p"))
-                 .select(*keep, "_m", "_i", F.col("_p.x").alias("px"), F.col("_p.y").alias("py"))
-                 .select(*keep, "_m", "_i", "px", "py", tx.alias("tx"), ty.alias("ty")))
-    j = _tile_join(pts, idx.point_tiles(), idx.point_bytes, idx)
-    if idx.has_general:
-        # Non-convex cells: the box test first, then the Arrow-batched
-        # even-odd test (the shape expression is null for those cells).
-        from tessera.functions.polygon_udf import general_contains
-        j = j.where((F.col("px") > F.col("cxmin")) & (F.col("px") < F.col("cxmax"))
-                    & (F.col("py") > F.col("cymin")) & (F.col("py") < F.col("cymax")))
-        inside = F.coalesce(inside, general_contains(*[F.col(c) for c in (
-            "px", "py", "gx1", "gy1", "gx2", "gy2")]))
-    return j.where(inside).where(first).select("grid_id", *keep, "px", "py")
+    level = [] if len(idx.levels) == 1 else ["level"]
+    pts = (pts.select(*keep, many, F.posexplode("_all").alias("_i", "_p"))
+              .select(*keep, "_m", "_i", F.col("_p.x").alias("px"), F.col("_p.y").alias("py")))
+    pts = idx.at_each_level(pts).select(*keep, *level, "_m", "_i", "px", "py", tx.alias("tx"), ty.alias("ty"))
+    pairs = _tile_join(pts, idx.point_tiles(), idx.point_bytes, idx).where(inside)
+    if first is not None:
+        pairs = pairs.where(first)
+    return pairs.select("grid_id", *keep, "px", "py")
 
 
 # --------------------------------------------------------------------------
@@ -293,9 +387,11 @@ def explode_segments(lines: DataFrame, geom_col: str = "geom",
                      keep: list[str] | None = None, areas: bool = True) -> DataFrame:
     """One row per segment (x1, y1, x2, y2) of every line part or polygon ring.
 
-    Without ``areas`` a polygon raises. Parts are exploded first, then consecutive vertices are paired with
-    ``arrays_zip`` of two offset slices (no lambda functions, so the step
-    stays in generated code).
+    Without ``areas`` a polygon raises. A line that passes a stretch more than
+    once gives segments that cover it once; lines of one segment cannot, and
+    are not examined. Parts are exploded first, then consecutive vertices are
+    paired with ``arrays_zip`` of two offset slices (no lambda functions, so
+    the step stays in generated code).
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != geom_col]
     g = F.col(geom_col)
@@ -303,7 +399,12 @@ def explode_segments(lines: DataFrame, geom_col: str = "geom",
     if not areas:
         parts = F.when(g["kind"].isin(*AREAL), F.raise_error(
             F.lit("this layer holds areas: pass areas=True to measure them")).cast(G.PARTS)).otherwise(parts)
-    parts = lines.select(*keep, F.explode(parts).alias("_p"))
+    segs, retraced, merged = G.memo(("retraced",), lambda: (
+        G.supporting_segments(F.col("_parts")), G.is_retraced(F.col("_s")), G.merged_segments(F.col("_s"))))
+    single = (F.size("_parts") == 1) & (F.size(F.get("_parts", F.lit(0))) <= 2)
+    parts = (lines.select(*keep, parts.alias("_parts"), g["kind"].isin(*AREAL).alias("_area"))
+             .select(*keep, "_parts", F.when(~single & ~F.col("_area"), segs).alias("_s"))
+             .select(*keep, F.explode(F.when(F.coalesce(retraced, F.lit(False)), merged).otherwise(F.col("_parts"))).alias("_p")))
     m = F.greatest(F.size("_p") - 1, F.lit(0))
     pairs = F.arrays_zip(F.slice("_p", 1, m).alias("a"), F.slice("_p", 2, m).alias("b"))
     return (parts.select(*keep, F.explode(pairs).alias("_z"))
@@ -311,8 +412,8 @@ def explode_segments(lines: DataFrame, geom_col: str = "geom",
                          F.col("_z.b.x").alias("x2"), F.col("_z.b.y").alias("y2")))
 
 
-def _segment_tile_columns(s: float):
-    """(tile columns, tile rows of column tx, border copies) of a segment."""
+def _segment_tile_columns(s):
+    """(tile columns, tile rows of column tx, border copies) of a segment, for tiles of side ``s``."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx = x2 - x1
     dy = y2 - y1
@@ -340,7 +441,7 @@ def _segment_tile_columns(s: float):
     return seq_x, F.sequence(ty0, ty1), border
 
 
-def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
+def segment_tiles(segs: DataFrame, idx: CellIndex) -> DataFrame:
     """Add (tx, ty, border) for every half-open tile a segment passes through.
 
     Column walk: for each tile column in the segment's x range, the y range
@@ -348,8 +449,8 @@ def segment_tiles(segs: DataFrame, tile: float) -> DataFrame:
     for ordinary rows; 1 (2) marks the copy of a vertical (horizontal)
     segment on a tile boundary, placed one tile to the left (below).
     """
-    seq_x, seq_y, border = G.memo(("segment_tiles", tile), lambda: _segment_tile_columns(tile))
-    return (segs.withColumn("tx", F.explode(seq_x))
+    seq_x, seq_y, border = G.memo(("segment_tiles", idx.tile, idx.levels), lambda: _segment_tile_columns(idx.side()))
+    return (idx.at_each_level(segs).withColumn("tx", F.explode(seq_x))
                 .withColumn("ty", F.explode(seq_y))
                 .withColumn("border", F.explode(border))
                 .withColumn("tx", F.col("tx") - (F.col("border") == 1).cast("long"))
@@ -365,8 +466,27 @@ def _on_border():
         F.exists("edges", lambda e: G.on_edge_line(e, x1, y1) & G.on_edge_line(e, x2, y2)), F.lit(False)))
 
 
-def _clip_columns(s: float, closed: bool = True):
-    """(t0, t1, fraction for boxes and convex cells, segment length) of a joined row."""
+def _part_fraction(closed: bool):
+    """Fraction of a joined row's segment in a trapezoid; what it shares with one below counts there."""
+    x1, y1, x2, y2 = ends = tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    edges, flat = F.col("edges"), F.col("y1") == F.col("y2")
+    lo, hi = G.between_range(edges[0], edges[1], *ends, F.col("_t0"), F.col("_t1"))
+
+    def with_below(acc, b):
+        b_lo, b_hi = G.between_range(b["l"], b["r"], *ends, F.col("_t0"), F.col("_t1"))
+        return acc + F.greatest(F.least(hi, b_hi) - F.greatest(lo, b_lo), F.lit(0.0))
+    own = F.greatest(hi - lo, F.lit(0.0))
+    shared = F.aggregate("below", F.lit(0.0), with_below)
+    at_foot = flat & (y1 == F.col("cymin"))
+    if closed:
+        return F.when(at_foot, F.greatest(own - shared, F.lit(0.0))).otherwise(own)
+    along = F.exists("edges", lambda e: G.on_edge_line(e, x1, y1) & G.on_edge_line(e, x2, y2))
+    return F.when(at_foot, shared).when((flat & (y1 == F.col("cymax"))) | along, F.lit(0.0)).otherwise(own)
+
+
+def _clip_columns(idx: CellIndex, closed: bool = True):
+    """(t0, t1, fraction, segment length) of a joined row."""
+    s = idx.side()
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx = x2 - x1
     dy = y2 - y1
@@ -391,6 +511,8 @@ def _clip_columns(s: float, closed: bool = True):
             .when(F.col("is_convex") & (F.size("edges") <= G.UNROLL_EDGES),
                   G.convex_clip_fraction_unrolled(F.col("edges"), x1, y1, x2, y2, r0, r1))
             .when(F.col("is_convex"), G.convex_clip_fraction(F.col("edges"), x1, y1, x2, y2, r0, r1)))
+    if idx.whole is not None:
+        frac = F.when(F.col("below").isNotNull(), F.when(r1 <= r0, F.lit(0.0)).otherwise(_part_fraction(closed))).otherwise(frac)
     return t0, t1, frac, G.seg_len(x1, y1, x2, y2)
 
 
@@ -410,25 +532,17 @@ def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str],
     pieces is positive exactly when one piece is), because a row filter on
     ``piece_len`` would be pushed below the projection and recompute the
     clipping expressions. The parameter range inside the cell's box and the
-    tile is computed once per pair; boxes and convex cells are measured with
-    column arithmetic, other polygons by the Arrow-batched even-odd UDF
-    (planned only when the grid has such cells, on pairs with a non-empty
-    range).
+    tile is computed once per pair; boxes, convex cells and trapezoids are
+    measured with column arithmetic.
     """
-    t0, t1, frac, length = G.memo(("clip", idx.tile, closed), lambda: _clip_columns(idx.tile, closed))
-    tiled = segment_tiles(segs, idx.tile)
+    t0, t1, frac, length = G.memo(("clip", idx.shape, closed), lambda: _clip_columns(idx, closed))
+    tiled = segment_tiles(segs, idx)
     if not closed:
         tiled = tiled.where(F.col("border") == 0)
     j = _tile_join(tiled, idx.line_tiles(), idx.line_bytes, idx)
-    box = [] if closed else ["cxmin", "cymin", "cxmax", "cymax"]
-    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", *box, "is_box", "is_convex", "edges",
-                      "gx1", "gy1", "gx2", "gy2", t0.alias("_t0"), t1.alias("_t1"))
-    if idx.has_general:
-        from tessera.functions.polygon_udf import general_fraction, general_open_fraction
-        ranged = ranged.where(F.col("_t1") > F.col("_t0"))
-        general = general_fraction if closed else general_open_fraction
-        frac = F.coalesce(frac, general(*[F.col(c) for c in (
-            "x1", "y1", "x2", "y2", "_t0", "_t1", "gx1", "gy1", "gx2", "gy2")]))
+    box = ["cymin"] if idx.whole is not None else []
+    box = box if closed else ["cxmin", "cymin", "cxmax", "cymax"]
+    ranged = j.select("grid_id", *keep, "x1", "y1", "x2", "y2", *box, "is_box", "is_convex", "edges", "below", t0.alias("_t0"), t1.alias("_t1"))
     out = ranged.select("grid_id", *keep, (frac * length).alias("piece_len"))
     return out.where(F.col("piece_len") > 0) if positive_only else out
 
@@ -439,7 +553,8 @@ def cell_borders(idx: CellIndex) -> DataFrame:
         return F.struct(*[F.col(c).alias(n) for c, n in ((x1, "x1"), (y1, "y1"), (x2, "x2"), (y2, "y2"))])
     box = F.array(edge("cxmin", "cymin", "cxmax", "cymin"), edge("cxmax", "cymin", "cxmax", "cymax"),
                   edge("cxmax", "cymax", "cxmin", "cymax"), edge("cxmin", "cymax", "cxmin", "cymin"))
-    return (idx.cells.select("grid_id", F.explode(F.when(F.col("is_box"), box).otherwise(F.col("edges"))).alias("_e"))
+    cells = (idx.whole or idx).cells
+    return (cells.select("grid_id", F.explode(F.when(F.col("is_box"), box).otherwise(F.col("edges"))).alias("_e"))
             .select("grid_id", "_e.*"))
 
 

@@ -78,6 +78,37 @@ def l_grid(spark: SparkSession) -> DataFrame:
     return sq.select("id", G.polygon_from(F.array(ring)).alias("geom"))
 
 
+def frame_grid(spark: SparkSession) -> DataFrame:
+    """Each square cell with a square hole of side 30 in its middle: cells that are not convex, same ids."""
+    sq = grid(spark)
+
+    def ring(inset):
+        x1, y1, x2, y2 = F.col("xmin") + inset, F.col("ymin") + inset, F.col("xmax") - inset, F.col("ymax") - inset
+        return F.array(G.xy(x1, y1), G.xy(x2, y1), G.xy(x2, y2), G.xy(x1, y2), G.xy(x1, y1))
+    return sq.select("id", G.polygon_from(F.array(ring(0), ring(10))).alias("geom"))
+
+
+#: Cells besides the square ones (id, xmin, ymin, side): one a thousand times as wide, one over them all, one between the sizes.
+MIXED = [(1001, -24500.0, -24500.0, 50000.0), (1002, 0.0, 0.0, 1000.0), (1003, 110.0, 130.0, 270.0)]
+
+
+def mixed_grid(spark: SparkSession) -> DataFrame:
+    """The square cells and those of ``MIXED``: sizes from 50 to 50,000, overlapping."""
+    more = spark.createDataFrame(MIXED, "id long, xmin double, ymin double, side double")
+    more = more.select("id", G.box("xmin", "ymin", F.col("xmin") + F.col("side"), F.col("ymin") + F.col("side")).alias("geom"))
+    return grid(spark).select("id", "geom").unionByName(more)
+
+
+def shuttles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """shuttle_id, kind and a line there, half the way back and aside, from ``orders``; retraced on half its first stretch."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    x, y = _m(k * 7919, 1000), _m(k * 104729, 1000)
+    a, b = _m(F.col("o_custkey"), 13) - 6, _m(F.col("o_custkey"), 11) - 5
+    return o.select(k.alias("shuttle_id"), F.concat(F.lit("S"), _m(k, 3).cast("string")).alias("kind"),
+                    G.linestring((x, y), (x + 4 * a, y + 4 * b), (x + 2 * a, y + 2 * b), (x + 2 * a, y + 2 * b + 20)).alias("geom"))
+
+
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """road_id, speed (int, null or 0 for some), two-vertex line from ``orders``."""
     o = table(spark, sf_dir, "orders")

@@ -26,6 +26,22 @@ CTE = {
   select c_custkey as id, cast((c_custkey * 7919) % 990 as double) as xmin, cast((c_custkey * 7919) % 990 + 7 as double) as xmax,
          cast((c_custkey * 104729) % 990 as double) as ymin, cast((c_custkey * 104729) % 990 + 5 as double) as ymax
   from customer)""",
+    "mixed_grid": """mixed_grid as (
+  select id, xmin, xmax, ymin, ymax from grid
+  union all
+  select cast(id as bigint), xmin, xmin + side, ymin, ymin + side
+  from (values (1001, -24500e0, -24500e0, 50000e0), (1002, 0e0, 0e0, 1000e0), (1003, 110e0, 130e0, 270e0)) as t(id, xmin, ymin, side))""",
+    "shuttles": """shuttle_base as (
+  select o_orderkey as shuttle_id, 'S' || (o_orderkey % 3) as kind, (o_orderkey * 7919) % 1000 as x, (o_orderkey * 104729) % 1000 as y,
+         o_custkey % 13 - 6 as a, o_custkey % 11 - 5 as b
+  from orders),
+shuttles as (
+  select shuttle_id, kind, cast(x as double) as x1, cast(y as double) as y1, cast(x + 4 * a as double) as x2, cast(y + 4 * b as double) as y2
+  from shuttle_base where a <> 0
+  union all
+  select shuttle_id, kind, x + 2 * a, y + 2 * b, x + 2 * a, y + 2 * b + 20 from shuttle_base where a <> 0
+  union all
+  select shuttle_id, kind, x, least(y, y + 4 * b), x, greatest(y, y + 4 * b, y + 2 * b + 20) from shuttle_base where a = 0)""",
     "tri": """tri as (
   select 2 * id - 1 as id, xmin, ymin, xmax, ymax, 1 as lower_half from grid
   union all
@@ -320,6 +336,53 @@ def _concave_crash() -> str:
               f"from grid g left join crashes p on {cond} group by g.id")
 
 
+def _mixed_crash() -> str:
+    return (_with("grid", "mixed_grid", "crashes")
+            + f"select g.id as grid_id, count(p.objectid) as crash_count "
+              f"from mixed_grid g left join crashes p on {_inside('g', 'p')} group by g.id")
+
+
+def _mixed_road() -> str:
+    return (_with("grid", "mixed_grid", "roads", extra=[_pairs("p", "roads", "mixed_grid")])
+            + "select grid_id, cast(speed as varchar) as speed_str, round(sum(seg_len), 6) as total_length "
+              "from p where speed is not null and speed > 0 and seg_len > 0 group by 1, 2")
+
+
+def _frame_crash() -> str:
+    # strictly inside the square and not in the closed hole
+    hole = "p.x between g.xmin + 10 and g.xmax - 10 and p.y between g.ymin + 10 and g.ymax - 10"
+    return (_with("grid", "crashes")
+            + f"select g.id as grid_id, count(p.objectid) as crash_count "
+              f"from grid g left join crashes p on {_inside('g', 'p')} and not ({hole}) group by g.id")
+
+
+def _frame_road() -> str:
+    # the square less what runs strictly inside the hole; the difference leaves float residue where it is 0
+    def open_axis(p1: str, d: str, lo: str, hi: str) -> tuple[str, str]:
+        closed, inside = f"{p1} between {lo} and {hi}", f"{p1} > {lo} and {p1} < {hi}"
+        return tuple(t.replace(closed, inside) for t in _axis(p1, d, lo, hi))
+    dx, dy = "(s.x2 - s.x1)", "(s.y2 - s.y1)"
+    xl, xh = open_axis("s.x1", dx, "(g.xmin + 10)", "(g.xmax - 10)")
+    yl, yh = open_axis("s.y1", dy, "(g.ymin + 10)", "(g.ymax - 10)")
+    hole = f"greatest(least(1e0, {xh}, {yh}) - greatest(0e0, {xl}, {yl}), 0e0) * sqrt({dx} * {dx} + {dy} * {dy})"
+    pairs = f"p as (select g.id as grid_id, s.*, {clip_len('g', 's')} - {hole} as seg_len from grid g join roads s on {_overlap('g', 's')})"
+    return (_with("grid", "roads", extra=[pairs])
+            + "select grid_id, cast(speed as varchar) as speed_str, round(sum(seg_len), 6) as total_length "
+              "from p where speed is not null and speed > 0 and seg_len > 1e-9 group by 1, 2")
+
+
+def _forest_against_mean() -> str:
+    return _features_with(
+        f"select count(*) as n, round(sqrt(avg((crash_count - mean) * (crash_count - mean))), 6) as constant_rmse, true as forest_keeps_up "
+        f"from ft, (select avg(crash_count) as mean from ft where {_split_fraction('grid_id')} < 0.8) where not ({_split_fraction('grid_id')} < 0.8)")
+
+
+def _prediction_by_label_group() -> str:
+    return _features_with(
+        "select cast(quarter as int) as quarter, count(*) as n, round(avg(crash_count), 6) as mean_label, cast(quarter as int) as place "
+        "from (select crash_count, ntile(4) over (order by crash_count, grid_id) as quarter from ft) group by quarter")
+
+
 def _sign_long() -> str:
     return (_with("grid", "signs", extra=[_sign_ctes()])
             + f"select g.id as grid_id, p.sign_group, count(*) as count from grid g "
@@ -527,6 +590,13 @@ SQL: dict[str, str] = {
     "scored_grid": _features_with(
         "select g.id, ft.grid_id is not null as has_prediction, case when ft.grid_id is not null then true end as in_label_range "
         "from grid g left join ft on g.id = ft.grid_id"),
+    "frame_road_length": _frame_road(),
+    "frame_crash_count": _frame_crash(),
+    "road_length_mixed_grid": _mixed_road(),
+    "crash_count_mixed_grid": _mixed_crash(),
+    "retraced_lines": _cat_long("shuttles", "kind", "kind"),
+    "forest_against_mean": _forest_against_mean(),
+    "prediction_by_label_group": _prediction_by_label_group(),
     "clip_segments": _clip_segments(),
     "layer_profile": _profile(),
     "feature_table": _features_with("select * from ft"),

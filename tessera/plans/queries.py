@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,6 +112,21 @@ def concave_cells(spark, sf_dir):
     return rounded(ft.road_speed_long(idx, fx.roads(spark, sf_dir), "speed"))
 
 
+def frame_road_length(spark, sf_dir):
+    """Road length per cell with a hole and speed: cells cut into trapezoids."""
+    return rounded(ft.road_speed_long(_index(spark, "frames", fx.frame_grid), fx.roads(spark, sf_dir), "speed"))
+
+
+def road_length_mixed_grid(spark, sf_dir):
+    """Road length per cell and speed where one cell is a thousand times as wide as the median: tiles of several levels."""
+    return rounded(ft.road_speed_long(_index(spark, "mixed", fx.mixed_grid), fx.roads(spark, sf_dir), "speed"))
+
+
+def retraced_lines(spark, sf_dir):
+    """Length per cell and kind of lines that go part of their way back: each stretch counts once."""
+    return rounded(ft.category_length_long(_idx(spark), fx.shuttles(spark, sf_dir), "kind", "kind"))
+
+
 # --------------------------------------------------------------------------
 # point features
 # --------------------------------------------------------------------------
@@ -127,6 +142,16 @@ def concave_crash_count(spark, sf_dir):
                            fx.crashes(spark, sf_dir), "id", "objectid")
 
 
+def frame_crash_count(spark, sf_dir):
+    """Identified crashes strictly inside each cell with a hole."""
+    return ft.crash_counts(_index(spark, "frames", fx.frame_grid), fx.frame_grid(spark), fx.crashes(spark, sf_dir), "id", "objectid")
+
+
+def crash_count_mixed_grid(spark, sf_dir):
+    """Identified crashes strictly inside each cell of a grid of mixed sizes."""
+    return ft.crash_counts(_index(spark, "mixed", fx.mixed_grid), fx.mixed_grid(spark), fx.crashes(spark, sf_dir), "id", "objectid")
+
+
 def _large(spark, sf_dir):
     """A grid that grows with the tables, indexed so that the salted shuffle join runs."""
     grid = fx.customer_grid(spark, sf_dir)
@@ -266,6 +291,27 @@ def scored_grid(spark, sf_dir):
         F.col("prediction").between(F.col("lo"), F.col("hi")).alias("in_label_range"))
 
 
+def forest_against_mean(spark, sf_dir):
+    """Held-out error of the training mean, in value, and whether the forest's is at most a tenth above it."""
+    res = _grid_job(spark, sf_dir)
+    split = ml.assign_split(res.features.select("grid_id", ml.LABEL))
+    mean = split.where("is_train").agg(F.avg(ml.LABEL).alias("mean"))  # one row
+    err = F.col(ml.LABEL) - F.col("mean")
+    constant = split.where("not is_train").crossJoin(F.broadcast(mean)).agg(F.sqrt(F.avg(err * err)).alias("constant_rmse"), F.count("*").alias("n"))
+    return rounded(constant.crossJoin(F.broadcast(res.rmse.select("rmse"))).select(
+        "n", "constant_rmse", (F.col("rmse") <= 1.1 * F.col("constant_rmse")).alias("forest_keeps_up")))
+
+
+def prediction_by_label_group(spark, sf_dir):
+    """Scored cells by quarters of the label: rows, mean label and the place of the group's mean prediction among the four."""
+    res = _grid_job(spark, sf_dir)
+    scored = res.scored_grid.select(F.col("id").alias("grid_id"), "prediction").join(res.features.select("grid_id", ml.LABEL), "grid_id")
+    quarter = Window.orderBy(ml.LABEL, "grid_id")  # one row a cell of the fixture grid
+    groups = scored.withColumn("quarter", F.ntile(4).over(quarter)).groupBy("quarter").agg(
+        F.count("*").alias("n"), F.avg(ml.LABEL).alias("mean_label"), F.avg("prediction").alias("_p"))
+    return rounded(groups.withColumn("place", F.rank().over(Window.orderBy("_p"))).drop("_p"))
+
+
 # --------------------------------------------------------------------------
 # ingest
 # --------------------------------------------------------------------------
@@ -360,6 +406,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geojson_parse": geojson_parse,
     "geojson_convert": geojson_convert,
     "wkb_roundtrip": wkb_roundtrip,
+    "frame_road_length": frame_road_length,
+    "frame_crash_count": frame_crash_count,
+    "road_length_mixed_grid": road_length_mixed_grid,
+    "crash_count_mixed_grid": crash_count_mixed_grid,
+    "retraced_lines": retraced_lines,
+    "forest_against_mean": forest_against_mean,
+    "prediction_by_label_group": prediction_by_label_group,
     "model_rmse": model_rmse,
     "scored_grid": scored_grid,
 }

@@ -1,28 +1,9 @@
-"""Clipped fraction of segments in general polygons, vectorised over Arrow batches.
-
-For cells that are neither boxes nor convex (concave rings, holes,
-multi-polygons) the measure of a segment inside the closed polygon needs the
-sorted breakpoints of the segment against all edges and an even-odd test per
-run - a sort per pair, which plain Column expressions cannot do without
-interpreted lambda functions. This pandas UDF does the same computation for a
-whole Arrow batch at once with padded numpy arrays:
-
-1. breakpoints: parameters where the segment's line meets each edge's line
-   (or, for parallel edges, the projections of the edge's ends), kept inside
-   ``(t0, t1)``, plus ``t0`` and ``t1``; sorted per row;
-2. for each run between consecutive breakpoints, its midpoint is inside or on
-   the border (even-odd rule plus an on-edge test) or not;
-3. the fraction is the summed width of covered runs.
-
-Rows with a null edge list (boxes, convex cells) return null without work.
-"""
+"""Brute force for polygons of any shape: even-odd runs over all crossings with the edges, in numpy."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 EPS = 1e-9
 
@@ -128,10 +109,6 @@ def open_fraction(x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series, t0
     return _fraction(x1, y1, x2, y2, t0, t1, ex1, ey1, ex2, ey2, False)
 
 
-general_fraction = F.pandas_udf(fraction, T.DoubleType())
-general_open_fraction = F.pandas_udf(open_fraction, T.DoubleType())
-
-
 def strictly_inside(px: pd.Series, py: pd.Series, ex1: pd.Series, ey1: pd.Series,
                     ex2: pd.Series, ey2: pd.Series) -> pd.Series:
     """Point strictly inside the polygon (even-odd, not on an edge); null without edges."""
@@ -142,6 +119,3 @@ def strictly_inside(px: pd.Series, py: pd.Series, ex1: pd.Series, ey1: pd.Series
         x, y = (s.to_numpy(dtype=float)[idx][:, None] for s in (px, py))
         res.iloc[idx] = list(_covered(x, y, edges, False)[:, 0])
     return res
-
-
-general_contains = F.pandas_udf(strictly_inside, T.BooleanType())

@@ -53,8 +53,23 @@ def test_large_cover_is_never_broadcast(spark):
 
     from tessera.functions import geometry as G
     grid = spark.range(50).select("id", G.box(F.lit(0.0), F.lit(0.0), F.lit(30.0), F.lit(30.0)).alias("geom"))
-    idx = sj.index_cells(grid, tile=1.0, broadcast_bytes=1_000_000)
-    assert idx.point_bytes > 1_000_000  # the cover's rows count, not the cells
+    idx = sj.index_cells(grid, tile=1.0, broadcast_bytes=100_000)
+    assert idx.point_bytes > 100_000  # the cover's rows count, not the cells
     pairs = sj.points_in_cells(idx, points(spark, [(k, 0.5 + k, 0.5) for k in range(20)]), "geom", ["id"])
     plan = _plan(pairs)
     assert "SortMergeJoin" in plan and pairs.count() == 50 * 20
+
+
+def test_cells_that_are_not_convex_take_no_python_step(spark):
+    idx = sj.index_cells(fx.l_grid(spark))
+    lines = _plan(ft.road_speed_long(idx, fx.roads(spark, SF), "speed"))
+    points = _plan(ft.crash_counts(idx, fx.l_grid(spark), fx.crashes(spark, SF), "id", "objectid"))
+    for plan in (lines, points):
+        assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_one_large_cell_adds_a_handful_of_cover_rows(spark):
+    small, mixed = sj.index_cells(fx.grid(spark)), sj.index_cells(fx.mixed_grid(spark))
+    assert small.levels == (0,) and mixed.tile == small.tile and len(mixed.levels) == 4
+    assert mixed.tiles().count() - small.tiles().count() <= 3 * sj.COVER_TILES
+    assert mixed.point_bytes <= small.point_bytes * 1.05

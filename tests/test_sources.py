@@ -158,3 +158,58 @@ def test_geojson_without_features_has_no_rows(spark, tmp_dir):
     with open(f"{tmp_dir}/in/none.geojson", "w") as f:
         f.write('{"type": "FeatureCollection", "features": []}')
     assert geojson.read_feature_collections(spark, f"{tmp_dir}/in").count() == 0
+
+
+def _awkward_collection():
+    """Strings with braces, quotes and backslashes, nested properties, other objects and arrays before and after the features."""
+    feats = []
+    for k in range(60):
+        note = ["}", "{", "]}", '"', "\\", 'a "quoted" {brace}', "\\\"}", "é}ü", "[[", ""][k % 10] * (1 + k % 3)
+        geometry = [{"type": "Point", "coordinates": [k, -k]}, None, {"type": "LineString", "coordinates": [[k, 0], [k, 5], [0.5, 1e2]]},
+                    {"type": "Polygon", "coordinates": [[[0, 0], [k + 1, 0], [0, 1], [0, 0]]]}][k % 4]
+        feats.append({"type": "Feature", "properties": {"k": k, "note": note, "deep": {"features": [{"a": k}], "b": [1, {"c": "}"}]}},
+                      "geometry": geometry})
+    return {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "x}", "features": [{"k": -1}]}},
+            "more": [{"k": -2, "properties": {"k": -3}}, [[{"k": -4}]]], "features": feats, "after": [{"k": -5}], "end": {"x": {"k": -6}}}
+
+
+@pytest.mark.parametrize("split,indent", [("37b", None), ("300b", 1), ("1g", 2)])
+def test_a_collection_read_in_splits(spark, tmp_dir, split, indent):
+    import json
+    doc = _awkward_collection()
+    os.makedirs(f"{tmp_dir}/in")
+    for name, text in (("a", json.dumps(doc, indent=indent)), ("b", json.dumps(doc, indent=indent, ensure_ascii=False) + "\n\n"),
+                       ("c", json.dumps({"features": [], "type": "FeatureCollection"}))):
+        with open(f"{tmp_dir}/in/{name}.geojson", "w", encoding="utf-8") as f:
+            f.write(text)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], split)
+        spark.conf.set(keys[1], "0")
+        from tessera.sources import feature_splits
+        tasks = feature_splits._records(spark, f"{tmp_dir}/in").rdd.getNumPartitions()
+        assert tasks > 100 if split == "37b" else tasks >= 1
+        rows = geojson.read_feature_collections(spark, f"{tmp_dir}/in").collect()
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
+    want = sorted((f["properties"]["k"], f["properties"]["note"], f["geometry"] and f["geometry"]["type"]) for f in doc["features"] for _ in "ab")
+    assert sorted((r["k"], r["note"], r["geom"] and r["geom"]["kind"]) for r in rows) == want
+    assert json.loads({r["k"]: r["deep"]["b"][1] for r in rows}[7]) == {"c": "}"}
+
+
+def test_line_delimited_collections(spark, tmp_dir):
+    import json
+    with open(f"{tmp_dir}/lines.json", "w") as f:
+        for k in range(3):
+            f.write(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"k": k}, "geometry": None}]}) + "\n")
+    assert sorted(r["k"] for r in geojson.read_feature_collections(spark, f"{tmp_dir}/lines.json", multi_line=False).collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("text", ['{"type": "FeatureCollection", "features": [{"type": "Feature"}]', '{"features": [{"a": "}]}', "[]"])
+def test_a_file_that_ends_early_is_named(spark, tmp_dir, text):
+    with open(f"{tmp_dir}/short.geojson", "w") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="short.geojson"):
+        geojson.read_feature_collections(spark, f"{tmp_dir}/short.geojson").count()

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from conftest import boxes, lines, points, polygons
 from pyspark.sql import functions as F
@@ -230,10 +231,8 @@ def test_points_in_cells_takes_points_only(spark):
 def test_polygon_udf_stays_within_its_memory():
     import tracemalloc
 
-    import numpy as np
+    import even_odd as P
     import pandas as pd
-
-    from tessera.functions import polygon_udf as P
     n, k = 3000, 500
     turn = np.linspace(0, 2 * np.pi, k + 1)
     r = np.where(np.arange(k + 1) % 2 == 0, 10.0, 6.0)
@@ -257,3 +256,94 @@ def test_polygon_udf_stays_within_its_memory():
         px, py = x1 + t * (x2 - x1), y1 + t * (y2 - y1)
         inside = np.array([P.strictly_inside(pd.Series([a]), pd.Series([b]), *[s.iloc[[0]] for s in edges])[0] for a, b in zip(px, py)])
         assert abs(inside.mean() - got[i]) < 0.02
+
+
+def test_retraced_lines_count_each_stretch_once(spark):
+    grid = boxes(spark, TWO)
+    rows = lines(spark, [(1, [(2, 5), (8, 5), (2, 5)]),              # there and back
+                         (2, [(2, 2), (18, 2), (6, 2)]),             # part of the way back, over both cells
+                         (3, [(1, 1), (4, 4), (2, 2), (7, 7)]),      # back and further on
+                         (4, [(3, 3), (3, 3), (3, 7)]),              # a vertex twice
+                         (5, [(1, 8), (5, 8), (5, 9), (1, 9), (1, 8), (5, 8)]),  # a ring that goes on along its first side
+                         (6, [(1, 1), (9, 1), (9, 6), (1, 6)]),      # nothing twice
+                         (7, [(10, 2), (10, 6), (10, 4)])])          # on the shared border
+    got = _lengths(spark, grid, rows)
+    want = {(1, 1): 6.0, (1, 2): 8.0, (2, 2): 8.0, (1, 3): 6 * 2 ** 0.5, (1, 4): 4.0, (1, 5): 10.0, (1, 6): 21.0, (1, 7): 4.0, (2, 7): 4.0}
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+    # two equal lines are two lines
+    idx = sj.index_cells(grid)
+    twice = rows.where("id = 1").unionByName(rows.where("id = 1"))
+    assert sj.clip_lines_to_cells(idx, twice, "geom", ["id"]).groupBy("id").sum("piece_len").first()[1] == pytest.approx(12.0)
+
+
+def test_a_multi_line_that_repeats_a_stretch(spark):
+    parts = [[{"x": 1.0, "y": 1.0}, {"x": 9.0, "y": 1.0}], [{"x": 5.0, "y": 1.0}, {"x": 3.0, "y": 1.0}], [{"x": 8.0, "y": 1.0}, {"x": 8.0, "y": 5.0}]]
+    df = spark.createDataFrame([(1, parts)], "id long, parts array<array<struct<x:double,y:double>>>")
+    got = _lengths(spark, boxes(spark, TWO), df.select("id", G.make_geometry("MultiLineString", F.col("parts")).alias("geom")))
+    assert got == {(1, 1): pytest.approx(12.0)}
+
+
+@pytest.mark.parametrize("kw", [{}, {"tile": 3.0}, {"broadcast_bytes": 0, "hot_tile_rows": 1}])
+def test_cells_of_mixed_sizes(spark, kw):
+    cells = [(i, 10.0 * (i % 3), 10.0 * (i // 3), 10.0 * (i % 3) + 10, 10.0 * (i // 3) + 10) for i in range(9)]
+    cells += [(20, -5000.0, -5000.0, 5000.0, 5000.0), (21, 0.0, 0.0, 30.0, 30.0), (22, 5.0, 5.0, 105.0, 25.0)]
+    rng = np.random.default_rng(3)
+    ends = rng.integers(-10, 40, (60, 4)).astype(float)
+    grid = boxes(spark, cells)
+    pts = points(spark, [(k, x, y) for k, (x, y, _, _) in enumerate(ends.tolist())])
+    rows = lines(spark, [(k, [(a, b), (c, d)]) for k, (a, b, c, d) in enumerate(ends.tolist())])
+    idx = sj.index_cells(grid, **kw)
+    assert len(idx.levels) > 1
+    found = {(r["grid_id"], r["id"]) for r in sj.points_in_cells(idx, pts).collect()}
+    assert found == {(i, k) for i, x1, y1, x2, y2 in cells for k, (x, y, _, _) in enumerate(ends.tolist()) if x1 < x < x2 and y1 < y < y2}
+    got = {(r["grid_id"], r["id"]): r["seg_len"] for r in sj.pair_lengths(sj.clip_lines_to_cells(idx, rows, "geom", ["id"]), ["id"]).collect()}
+    want = {}
+    for i, x1, y1, x2, y2 in cells:
+        for k, (a, b, c, d) in enumerate(ends.tolist()):
+            lo, hi = 0.0, 1.0
+            for p, v, least, most in ((a, c - a, x1, x2), (b, d - b, y1, y2)):
+                if v == 0:
+                    lo, hi = (lo, hi) if least <= p <= most else (1.0, 0.0)
+                else:
+                    lo, hi = max(lo, min((least - p) / v, (most - p) / v)), min(hi, max((least - p) / v, (most - p) / v))
+            if (hi - lo) * np.hypot(c - a, d - b) > 1e-9:
+                want[i, k] = (hi - lo) * np.hypot(c - a, d - b)
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def _star(rng, n, x, y, least, most):
+    turn = np.sort(rng.uniform(0, 2 * np.pi, n))
+    r = rng.uniform(least, most, n)
+    ring = [(float(np.round(x + a * np.cos(t))), float(np.round(y + a * np.sin(t)))) for a, t in zip(r, turn)]
+    return ring + ring[:1]
+
+
+def test_trapezoids_against_even_odd(spark):
+    """Frames, combs and stars with holes on a lattice, so that points and lines meet vertices, edges and the cuts between trapezoids."""
+    import even_odd as P
+    import pandas as pd
+    frame = [_box_ring(0, 0, 12, 12), _box_ring(3, 3, 9, 9)]
+    comb = [[(20, 0), (32, 0), (32, 8), (30, 8), (30, 3), (28, 3), (28, 8), (26, 8), (26, 3), (24, 3), (24, 8), (20, 8), (20, 0)]]
+    arrow = [[(40, 0), (46, 6), (40, 12), (43, 6), (40, 0)]]
+    two_holes = [_box_ring(0, 20, 20, 40), _box_ring(2, 22, 8, 38), [(12, 24), (18, 30), (12, 36), (12, 24)]]
+    rng = np.random.default_rng(8)
+    cells = [(1, frame), (2, comb), (3, arrow), (4, two_holes), (5, [_star(rng, 9, 35, 30, 6, 9)])]
+    grid = polygons(spark, cells)
+    for kw in ({}, {"tile": 4.0}, {"broadcast_bytes": 0, "hot_tile_rows": 1}):
+        idx = sj.index_cells(grid, **kw)
+        lattice = [(k, float(x) / 2, float(y) / 2) for k, (x, y) in enumerate((x, y) for x in range(-2, 96) for y in range(-2, 84))]
+        found = {(r["grid_id"], r["id"]) for r in sj.points_in_cells(idx, points(spark, lattice)).collect()}
+        ends = [tuple(map(float, e)) for e in rng.integers(-2, 48, (150, 4))]
+        ends += [(0.0, y, 50.0, y) for y in map(float, range(0, 40))] + [(x, -1.0, x, 41.0) for x in map(float, range(0, 48))]
+        got = {(r["grid_id"], r["id"]): r["seg_len"] for r in sj.pair_lengths(sj.clip_lines_to_cells(
+            idx, lines(spark, [(k, [(a, b), (c, d)]) for k, (a, b, c, d) in enumerate(ends)]), "geom", ["id"]), ["id"]).collect()}
+        for i, rings in cells:
+            e = np.array([(*p, *q) for r in rings for p, q in zip(r, r[1:]) if p != q], float)
+            same = lambda n: [pd.Series([c] * n) for c in e.T]
+            px, py = (pd.Series([p[k] for p in lattice]) for k in (1, 2))
+            inside = P.strictly_inside(px, py, *same(len(lattice))).to_numpy()
+            assert {k for g, k in found if g == i} == set(np.flatnonzero(inside).tolist()), (i, kw)
+            x = [pd.Series(c) for c in zip(*ends)]
+            part = P.fraction(*x, pd.Series(np.zeros(len(ends))), pd.Series(np.ones(len(ends))), *same(len(ends))).to_numpy()
+            for k, (a, b, c, d) in enumerate(ends):
+                assert got.get((i, k), 0.0) == pytest.approx(part[k] * np.hypot(c - a, d - b), abs=1e-7), (i, k, ends[k], kw)
