@@ -5,12 +5,13 @@ the coordinates with ``from_json`` under the array depth that type needs, so
 mixed geometry types in one file parse without going through an inferred
 schema (inference would turn mixed-depth coordinates into strings).
 
-Reading a collection: the ``properties`` schema is inferred once, then the
-files are read again with ``geometry`` declared as a string, which keeps the
-raw JSON text of each geometry. A multi-line JSON file is one record read by
-one task, so features are spread over the cluster right after the explode
-when there are fewer files than cores. An empty ``features`` array gives no
-rows; a ``null`` geometry gives a row with a null ``geom``.
+Reading a collection: its features are cut out by many tasks, whatever the
+files' sizes (:mod:`tessera.sources.feature_splits`), and laid down one a line.
+The ``properties`` schema is inferred once from those lines, which are then
+read with ``geometry`` declared as a string, so that the raw JSON text of each
+geometry is kept. An empty ``features`` array gives no rows; a ``null``
+geometry gives a row with a null ``geom``. Line-delimited collections (one a
+line, ``multi_line=False``) are exploded line by line.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import geometry as G
+from tessera.sources.feature_splits import feature_lines
 
 _C1 = T.ArrayType(T.DoubleType())
 _C2 = T.ArrayType(_C1)
@@ -96,18 +98,24 @@ def to_geojson(g: Column | str) -> Column:
             .otherwise(F.raise_error(F.concat(F.lit("cannot write geometry kind "), g["kind"])).cast("string")))
 
 
-def properties_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
-    """Inferred type of ``features[].properties`` (empty struct if there is none)."""
-    raw = spark.read.option("multiLine", multi_line).json(path)  # bad files fail in the read itself, by name
-    if "features" not in raw.columns:
-        return T.StructType([])
-    ft = raw.schema["features"].dataType
+def _struct_of(schema: T.StructType, name: str) -> T.StructType:
+    found = schema[name].dataType if name in schema.fieldNames() else None
+    return found if isinstance(found, T.StructType) else T.StructType([])
+
+
+def _properties(raw: DataFrame) -> T.StructType:
+    """Inferred type of ``features[].properties`` of line-delimited collections (empty struct if there is none)."""
+    ft = raw.schema["features"].dataType if "features" in raw.columns else None
     if not isinstance(ft, T.ArrayType) or not isinstance(ft.elementType, T.StructType):
         return T.StructType([])
-    el = ft.elementType
-    if "properties" in el.fieldNames() and isinstance(el["properties"].dataType, T.StructType):
-        return el["properties"].dataType
-    return T.StructType([])
+    return _struct_of(ft.elementType, "properties")
+
+
+def properties_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
+    """Inferred type of ``features[].properties`` (empty struct if there is none)."""
+    if multi_line:
+        return _struct_of(spark.read.json(feature_lines(spark, path)).schema, "properties")
+    return _properties(spark.read.json(path))  # bad files fail in the read itself, by name
 
 
 def read_feature_collections(spark: SparkSession, path: str, multi_line: bool = True,
@@ -117,18 +125,19 @@ def read_feature_collections(spark: SparkSession, path: str, multi_line: bool =
     A file that is no valid JSON, or has no ``features``, fails the read and
     is named; an empty list of features gives no rows.
     """
-    props = properties if properties is not None else properties_schema(spark, path, multi_line)
-    feature = T.StructType([T.StructField("type", T.StringType()),
-                            T.StructField("properties", props),
-                            T.StructField("geometry", T.StringType())])
-    schema = T.StructType([T.StructField("type", T.StringType()),
-                           T.StructField("features", T.ArrayType(feature))])
-    raw = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    def feature(props: T.StructType) -> T.StructType:
+        return T.StructType([T.StructField("type", T.StringType()), T.StructField("properties", props), T.StructField("geometry", T.StringType())])
+    if multi_line:
+        lines = feature_lines(spark, path)
+        props = properties if properties is not None else _struct_of(spark.read.json(lines).schema, "properties")
+        feats = spark.read.schema(feature(props)).option("mode", "FAILFAST").json(lines)
+        prop_cols = [F.col("properties").getField(n).alias(n) for n in props.fieldNames()]
+        return feats.select(*prop_cols, parse_geojson(F.col("geometry")).alias("geom"))
+    props = properties if properties is not None else properties_schema(spark, path, False)
+    schema = T.StructType([T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(feature(props)))])
+    raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     missing = F.raise_error(F.concat(F.input_file_name(), F.lit(": not a feature collection"))).cast(schema["features"].dataType)
     feats = raw.select(F.explode(F.coalesce("features", missing)).alias("f"))
-    par = spark.sparkContext.defaultParallelism
-    if feats.rdd.getNumPartitions() < par:
-        feats = feats.repartition(par)
     prop_cols = [F.col("f.properties").getField(n).alias(n) for n in props.fieldNames()]
     return feats.select(*prop_cols, parse_geojson(F.col("f.geometry")).alias("geom"))
 
