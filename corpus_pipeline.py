@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 it as Parquet under the shared checkpoint folder and reads it back as the next
 stage's ``docs``. All but the last keep the columns of ``documents``. Extra
-columns pass through; null texts are undetermined in the first stage and go.
+columns pass through, whatever their names; null texts are undetermined in the
+first stage and go.
 """
 
 from __future__ import annotations
@@ -16,18 +17,29 @@ from tessera.llm.common import broadcast_if_small, materialize
 from tessera.llm.queries import tokenizer_path
 
 
+def _plain(docs: DataFrame, *known: str) -> DataFrame:
+    """``docs`` with columns named by place, but for the known ones, so that no name clashes with an operator's."""
+    return docs.toDF(*[c if c in known else f"k{i}" for i, c in enumerate(docs.columns)])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language is undetermined (no text or no letter); keep all others, also when no language can be learned."""
-    trees = language_id.train(docs)
+    """Drop documents whose language is undetermined (no text or no letter); the others' null languages become the predicted ones.
+
+    Without a labelled row nothing can be learned: documents with a letter stay as they are.
+    """
+    trees = language_id.train(docs.select("doc_id", "text", "lang"))
     if not trees.languages:
         return language_id.with_letters(docs)
-    found = language_id.identify(docs, trees, docs.columns)
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+    rows = _plain(docs, "text", "lang")
+    found = language_id.identify(rows, trees, rows.columns).where(F.col("lang_pred") != language_id.UNDETERMINED)
+    filled = F.coalesce("lang", F.col("lang_pred").cast(docs.schema["lang"].dataType)).alias("lang")
+    return found.select(*[filled if c == "lang" else c for c in rows.columns]).toDF(*docs.columns)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of near duplicates: the smallest id's (null after all others), of these the smallest text hash's."""
-    found = materialize(jaccard_join.near_duplicates(docs, rows=True).where("n_shingles > 0"), "classes")
+    texts = docs.select("doc_id", "text")
+    found = materialize(jaccard_join.near_duplicates(texts, rows=True).where("n_shingles > 0"), "classes")
     row, is_first = ["doc_id", "t1", "t2"], F.col("doc_id").eqNullSafe(F.col("component_id"))
     gone = found.where(~is_first).select(row).distinct()
     # groups in which several rows have the smallest id, or none has one
@@ -40,17 +52,18 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         tied = tied.join(broadcast_if_small(least, 96), "root")
         gone = gone.union(tied.where("struct(t1, t2) <> least").select(row))
         again = materialize(tied.where("struct(t1, t2) = least and k > 1").select(row), "repeated_rows")
+    rows = _plain(docs, "doc_id", "text")
 
     def among(left: DataFrame, some: DataFrame, how: str) -> DataFrame:
         some = broadcast_if_small(some.select(*[F.col(c).alias(f"_{c}") for c in row]), 96)
         same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_t1"))
-        return left.join(some, same & (F.xxhash64(F.lit(1), "text") == F.col("_t2")), how).select(*docs.columns)
+        return left.join(some, same & (F.xxhash64(F.lit(1), "text") == F.col("_t2")), how).select(*rows.columns)
 
-    kept = among(docs, materialize(gone, "gone"), "left_anti")
-    if again is None or not again.limit(1).count():
-        return kept
-    # rows that repeat an id and a text: one of them stays
-    return among(kept, again, "left_anti").union(among(kept, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    kept = among(rows, materialize(gone, "gone"), "left_anti")
+    if again is not None and again.limit(1).count():
+        # rows that repeat an id and a text: one of them stays
+        kept = among(kept, again, "left_anti").union(among(kept, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept.toDF(*docs.columns)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +73,11 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind and recount the characters."""
-    masked = pii.mask(docs)
+    masked = pii.mask(_plain(docs, "text", "n_chars"))
     if "n_chars" in masked.columns:
         kind = docs.schema["n_chars"].dataType
         masked = masked.withColumn("n_chars", F.coalesce(F.char_length("text"), F.col("n_chars")).cast(kind))
-    return masked.select(*docs.columns)
+    return masked.toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
