@@ -76,24 +76,28 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordScanner:
-    """Words are maximal runs of bytes with ``is_word``; A-Z counts as a-z."""
+    """Words are maximal runs of bytes with ``is_word``; A-Z counts as a-z.
 
-    _BASE = 0x9E3779B97F4A7C15 | 1
+    A word's hash is the sum of one 64-bit number for each of its bytes,
+    drawn for the byte and its place in the word, mixed with the length. For
+    numbers drawn at random any two different words collide with probability
+    2^-64, whatever they are made of; powers of one base do not have that
+    property (long words of two exchanged halves collide for any base).
+    """
+
+    PLACES = 32
 
     def __init__(self, is_word: np.ndarray):
         self.is_word = is_word
-        fold = np.arange(256)
-        fold[65:91] += 32
-        random = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
-        self.byte_hash = random[fold]
-        self._grow(SLICE_BYTES)
-
-    def _grow(self, n: int) -> None:
-        def powers(base: int) -> np.ndarray:
-            out = np.full(n, base, np.uint64)
-            out[0] = 1
-            return np.multiply.accumulate(out)
-        self.power, self.inverse = powers(self._BASE), powers(pow(self._BASE, -1, 1 << 64))
+        self.fold = np.arange(256)
+        self.fold[65:91] += 32
+        # the numbers of the first places, by place and byte
+        self.table = self._draw(np.repeat(np.arange(self.PLACES), 256), np.tile(self.fold, self.PLACES))
+
+    @staticmethod
+    def _draw(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        key = place.astype(np.uint64) * np.uint64(256) + byte.astype(np.uint64) + np.uint64(1)
+        return mix(mix(key * np.uint64(0xD1342543DE82EF95)) + np.uint64(0x9E3779B97F4A7C15))
 
     def _slices(self, offsets: np.ndarray, data: np.ndarray):
         """Cut points that no word crosses, about SLICE_BYTES apart."""
@@ -121,19 +125,21 @@ class WordScanner:
         breaks[offsets] = True
         for lo, hi in self._slices(offsets, data):
             part = data[lo:hi]
-            if hi - lo > len(self.power):
-                self._grow(hi - lo)
             word, cut = self.is_word[part], breaks[lo:hi]
             first = word.copy()
             first[1:] &= ~word[:-1] | cut[1:]
             last = word.copy()
             last[:-1] &= ~word[1:] | cut[1:]
             a, b = np.flatnonzero(first), np.flatnonzero(last)
-            total = self.byte_hash[part]
-            total *= self.power[:hi - lo]
+            place = np.zeros(hi - lo, np.int64)
+            place[a] = a
+            np.subtract(np.arange(hi - lo), np.maximum.accumulate(place), out=place)
+            total = self.table[np.minimum(place, self.PLACES - 1) * 256 + part]
+            late = np.flatnonzero((place >= self.PLACES) & word)
+            total[late] = self._draw(place[late], self.fold[part[late]])
             np.cumsum(total, out=total)
             h = total[b] - np.where(a > 0, total[a - 1], np.uint64(0))
-            h *= self.inverse[a]
+            h ^= (b - a).astype(np.uint64) << np.uint64(40)
             starts.append(a + lo)
             ends.append(b + lo + 1)
             hashes.append(mix(h))
