@@ -181,6 +181,46 @@ from p join s on s.anchor_id = p.anchor_id and s.label <> s.anchor_label
  and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score
 window w as (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)
 qualify row_number() over w <= 5""",
+    "op4_ngram_jaccard_join": r"""
+with w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as materialized (
+  select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as sh from w),
+n as materialized (select doc_id, count(*) as n from s group by doc_id),
+shared as materialized (
+  select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
+links as materialized (
+  select x, y from shared join n p on p.doc_id = x join n q on q.doc_id = y where 100 * k >= 75 * (p.n + q.n - k)),
+edges as materialized (select x, y from links union all select y, x from links),
+reach as (
+  with recursive r(x, y) as (select doc_id, doc_id from n union select r.x, e.y from r join edges e on e.x = r.y)
+  select x, min(y) as least from r group by x)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(least, d.doc_id) as component_id
+from documents d left join n on n.doc_id = d.doc_id left join reach on reach.x = d.doc_id""",
+    "op9_benchmark_decontamination": r"""
+with dw as materialized (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+iw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+items as materialized (
+  select distinct item_id, least(10, len(w)) as n, unnest(list_transform(range(1, greatest(1, len(w) - 9) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) as win
+  from iw where len(w) > 0),
+wins as materialized (select distinct n, win from items),
+places as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, (select distinct n from items) where len(w) >= n)),
+found as materialized (select doc_id, p.n, i, p.win from places p join wins on wins.win = p.win and wins.n = p.n),
+hit as (select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(i, i + n)) as place from found) group by doc_id),
+held as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as id from found join items on items.win = found.win and items.n = found.n) group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from dw d left join hit using (doc_id) left join held using (doc_id)""",
     "op5_warc": """
 with p as (select page_id, coalesce(html, '') as html from pages),
 d as (select page_id, strlen(html) as payload_bytes, sha256(html) as payload_digest from p),
