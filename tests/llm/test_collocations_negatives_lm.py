@@ -343,7 +343,7 @@ def test_a_text_cut_into_slices_scores_as_a_whole(model, monkeypatch):
     """Slices of a few bytes, so that texts run over many of them."""
     with open(tokenizer_path(), encoding="utf-8") as f:
         json = f.read()
-    ids = max(attention_lm._tokenizer(json).get_vocab().values()) + 1
+    ids = max(attention_lm.encoder(json).tokenizer.get_vocab().values()) + 1
     m = attention_lm.Model(np.ones(ids), 5)
     table = attention_lm.Table(pa.array([b"the", b"of"], pa.large_binary()), np.array([7, 0]), json)
     text = ["", None, "the of other words " * 30, "  ", "one", "the", "x " * 200, "", None]
@@ -362,7 +362,7 @@ def test_a_text_cut_into_slices_scores_as_a_whole(model, monkeypatch):
         return dict(out)
     whole = run()
     assert len(whole) == n and whole[2, 2][4] == {b"other": 30, b"words": 30} and whole[2, 2][0] == 121
-    monkeypatch.setattr(attention_lm, "slices", partial(words.slices, size=50))
+    monkeypatch.setattr(attention_lm, "SCORE_BYTES", 50)
     cut = run()
     assert cut.keys() == whole.keys()
     for k in whole:
