@@ -355,6 +355,14 @@ def convex_clip_fraction(edges: Column, x1: Column, y1: Column, x2: Column, y2:
     return F.greatest(r["hi"] - r["lo"], F.lit(0.0))
 
 
+def convex_range(edges: Column, x1: Column, y1: Column, x2: Column, y2: Column, t0: Column, t1: Column) -> Column:
+    """(lo, hi): the parameters in [t0, t1] of the segment inside the closed convex polygon; lo > hi when none is."""
+    def step(acc, e):
+        lo, hi = _half_plane_range(e, x1, y1, x2 - x1, y2 - y1)
+        return F.struct(F.greatest(acc["lo"], lo).alias("lo"), F.least(acc["hi"], hi).alias("hi"))
+    return F.aggregate(edges, F.struct(t0.alias("lo"), t1.alias("hi")), step)
+
+
 # Convex cells with at most this many edges use the unrolled forms below,
 # which stay in generated code (lambda functions are interpreted).
 UNROLL_EDGES = 8

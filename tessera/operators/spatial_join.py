@@ -76,6 +76,9 @@ LEVEL_STEP = 4
 LEVEL_FIT = 0.5 * (1 - 1e-6)
 #: Tiles that a cell lists at its own level at most, three each way.
 COVER_TILES = 9
+#: Convex cells of more edges use the level below, whose tiles are mostly either outside or wholly inside them.
+FINE_EDGES = 16
+FINE_TILES = (2 * LEVEL_STEP + 1) ** 2
 
 
 @dataclass
@@ -100,6 +103,7 @@ class CellIndex:
     hot_tile_rows: int = DEFAULT_HOT_TILE_ROWS
     levels: tuple = (0,)
     whole: "CellIndex | None" = None
+    fine: bool = False
 
     @property
     def keys(self) -> list[str]:
@@ -127,17 +131,32 @@ class CellIndex:
         Used for points and lines alike; lines lying exactly on a tile
         boundary that is also a cell's right or top border get an extra row
         in the neighbouring tile (see :func:`segment_tiles`).
+
+        A tile wholly inside a many-edged cell becomes a box: what is in the
+        tile is in the cell, and only the tiles that its border crosses carry
+        its edges and take the exact test.
         """
-        c = self.cells
-        if len(self.levels) > 1:
-            c = c.withColumn("level", _level(self.tile))
         s = self.side()
         tx0 = F.floor(F.col("cxmin") / s)
         tx1 = F.greatest(F.ceil(F.col("cxmax") / s) - 1, tx0)
         ty0 = F.floor(F.col("cymin") / s)
         ty1 = F.greatest(F.ceil(F.col("cymax") / s) - 1, ty0)
-        return (c.withColumn("tx", F.explode(F.sequence(tx0, tx1)))
-                 .withColumn("ty", F.explode(F.sequence(ty0, ty1))))
+        cover = self._over(tx0, tx1, ty0, ty1)
+        if not self.fine:
+            return cover
+        corners = [G.convex_contains_point(F.col("edges"), (F.col("tx") + i) * s, (F.col("ty") + j) * s) for i in (0, 1) for j in (0, 1)]
+        cover = cover.withColumn("_inside", F.when(_is_fine(), corners[0] & corners[1] & corners[2] & corners[3]).otherwise(False))
+        return (cover.withColumn("is_box", F.col("is_box") | F.col("_inside")).withColumn("is_convex", F.col("is_convex") & ~F.col("_inside"))
+                .withColumn("edges", F.when(~F.col("_inside"), F.col("edges"))).drop("_inside"))
+
+    def touched_tiles(self) -> DataFrame:
+        """Cells exploded over the tiles of their level that they touch, borders included."""
+        s = self.side()
+        return self._over(*[F.floor(F.col(c) / s) for c in ("cxmin", "cxmax", "cymin", "cymax")])
+
+    def _over(self, tx0, tx1, ty0, ty1) -> DataFrame:
+        cells = self.cells if len(self.levels) == 1 else self.cells.withColumn("level", _level(self.tile))
+        return cells.withColumn("tx", F.explode(F.sequence(tx0, tx1))).withColumn("ty", F.explode(F.sequence(ty0, ty1)))
 
     point_tiles = tiles
     line_tiles = tiles
@@ -153,10 +172,16 @@ def _extent():
     return F.greatest(F.col("cxmax") - F.col("cxmin"), F.col("cymax") - F.col("cymin"))
 
 
+def _is_fine():
+    """A convex cell of so many edges that it pays to know which tiles are wholly inside."""
+    return F.col("is_convex") & F.col("below").isNull() & (F.size("edges") > FINE_EDGES)
+
+
 def _level(tile: float):
-    """The level of a cell: the lowest whose tiles are at least ``LEVEL_FIT`` of its extent."""
+    """The level of a cell: the lowest whose tiles are at least ``LEVEL_FIT`` of its extent, one less for many-edged cells."""
     steps = F.ceil(F.log2(_extent() * LEVEL_FIT / F.lit(tile)) / math.log2(LEVEL_STEP))
-    return F.when(_extent() * LEVEL_FIT <= F.lit(tile), F.lit(0)).otherwise(steps.cast("int"))
+    level = F.when(_extent() * LEVEL_FIT <= F.lit(tile), F.lit(0)).otherwise(steps.cast("int"))
+    return level - _is_fine().cast("int")
 
 
 def _trapezoids(cells: DataFrame) -> DataFrame:
@@ -225,13 +250,13 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
     if materialize:
         # Kept for every later join; recomputed from the grid if an executor is lost.
         cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
-    st = cells.agg(F.percentile_approx(_extent(), 0.5).alias("s"), *_moments(),
+    no_part = F.lit(None).cast(f"array<struct<l:{G.EDGE},r:{G.EDGE}>>").alias("below")
+    st = cells.select("*", no_part).agg(F.percentile_approx(_extent(), 0.5).alias("s"), *_moments(),
                    F.sum((~F.col("is_box") & ~F.col("is_convex")).cast("long")).alias("general")).first()
     if tile is None:
         tile = float(st["s"]) if st["s"] else 1.0
         if not math.isfinite(tile) or tile <= 0:
             tile = 1.0
-    no_part = F.lit(None).cast(f"array<struct<l:{G.EDGE},r:{G.EDGE}>>").alias("below")
     index = _sized(cells.select("*", no_part), float(tile), st, broadcast_bytes, hot_tile_rows)
     if not st["general"]:
         return index
@@ -245,19 +270,22 @@ def index_cells(grid: DataFrame, id_col: str = "id", geom_col: str = "geom",
 
 
 def _moments() -> list:
-    """What bounds the size of a tile cover: rows, edges, the longest id, the largest extent."""
-    return [F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("edges"), F.lit(0)).cast("double")).alias("e"),
+    """What bounds the size of a tile cover: rows, edges, the longest id, the largest extent; rows and edges of fine cells."""
+    e = F.coalesce(F.size("edges"), F.lit(0)).cast("double")
+    fine = F.coalesce(_is_fine(), F.lit(False))
+    return [F.count(F.lit(1)).alias("n"), F.sum(e).alias("e"), F.count_if(fine).alias("fine"), F.sum(F.when(fine, e)).alias("fine_e"),
             F.max(F.octet_length(F.col("grid_id").cast("string"))).alias("key"), F.max(_extent()).alias("most")]
 
 
 def _sized(cells: DataFrame, tile: float, st, broadcast_bytes: int, hot_tile_rows: int) -> CellIndex:
-    """An index with its levels and the bound of its cover: a cell lists at most ``COVER_TILES`` tiles at its level."""
+    """An index with its levels and the bound of its cover: a cell lists at most ``COVER_TILES`` tiles at its level, a fine one ``FINE_TILES``."""
     levels = (0,)
-    if (st["most"] or 0) * LEVEL_FIT > tile:
+    if (st["most"] or 0) * LEVEL_FIT > tile or st["fine"]:
         levels = tuple(sorted(r[0] for r in cells.select(_level(tile)).distinct().collect()))  # as many as there are levels
-    e = (st["e"] or 0) * (3 if "below" in cells.columns else 1)  # a trapezoid stands on few others: two side edges each
-    size = int(COVER_TILES * ((st["n"] or 0) * (ROW_BYTES + (st["key"] or 0)) + EDGE_BYTES * e))
-    return CellIndex(cells, tile, size, size, broadcast_bytes, hot_tile_rows, levels)
+    rows = COVER_TILES * (st["n"] or 0) + (FINE_TILES - COVER_TILES) * st["fine"]
+    edges = COVER_TILES * 3 * (st["e"] or 0) + FINE_TILES * (st["fine_e"] or 0)  # a trapezoid stands on few others: two side edges each
+    size = int(rows * (ROW_BYTES + (st["key"] or 0)) + EDGE_BYTES * edges)
+    return CellIndex(cells, tile, size, size, broadcast_bytes, hot_tile_rows, levels, fine=bool(st["fine"]))
 
 
 def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
@@ -597,6 +625,37 @@ def clip_lines_to_cells(idx: CellIndex, lines: DataFrame, geom_col: str = "geom"
     return pieces
 
 
+#: Slack of the parameter along a segment within which its ranges in two half-planes still touch.
+TOUCH = 1e-12
+
+
+def _meets():
+    """The joined segment has a point in the closed cell."""
+    x1, y1, x2, y2 = ends = tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    x_lo, x_hi = G.axis_range(x1, x2 - x1, F.col("cxmin"), F.col("cxmax"))
+    y_lo, y_hi = G.axis_range(y1, y2 - y1, F.col("cymin"), F.col("cymax"))
+    lo, hi = F.greatest(F.lit(0.0), x_lo, y_lo), F.least(F.lit(1.0), x_hi, y_hi)
+    edges = F.col("edges")
+    in_cell = G.convex_range(edges, *ends, lo, hi)
+    in_part = G.between_range(edges[0], edges[1], *ends, lo, hi)
+    wide = F.when(F.col("is_box"), hi - lo).when(F.col("below").isNotNull(), in_part[1] - in_part[0]).otherwise(in_cell["hi"] - in_cell["lo"])
+    return (hi >= lo) & (wide >= -TOUCH)
+
+
+def intersecting_lines(idx: CellIndex, lines: DataFrame, geom_col: str = "geom", keep: list[str] | None = None) -> DataFrame:
+    """Pairs (grid_id, ``keep``) of cells and lines that share a point, be it one on the border.
+
+    ``keep`` should tell the lines apart: a pair shows once, however many
+    segments and tiles it meets in. Cells list all tiles that they touch, so
+    the tile of the shared point lists both. Polygons raise: a line layer's
+    areas meet cells without crossing their border.
+    """
+    keep = keep if keep is not None else [c for c in lines.columns if c != geom_col]
+    segs = segment_tiles(explode_segments(lines, geom_col, keep, areas=False), idx).where(F.col("border") == 0)
+    met = _tile_join(segs, idx.touched_tiles(), idx.line_bytes, idx)
+    return met.where(G.memo(("meets",), _meets)).select("grid_id", *keep).distinct()
+
+
 def pair_lengths(pieces: DataFrame, pair_keys: list[str]) -> DataFrame:
     """Clipped length per (grid_id, *pair_keys); pairs of positive length only."""
     return (pieces.groupBy("grid_id", *pair_keys).agg(F.sum("piece_len").alias("seg_len"))

@@ -88,6 +88,29 @@ def frame_grid(spark: SparkSession) -> DataFrame:
     return sq.select("id", G.polygon_from(F.array(ring(0), ring(10))).alias("geom"))
 
 
+#: Edge steps of a quarter of a round lattice polygon; the other quarters are its turns.
+QUARTER = [(4, 0), (3, 1), (2, 1), (1, 1), (1, 2), (1, 3)]
+
+
+def disc_ring() -> list[tuple[int, int]]:
+    """A convex ring of 24 edges between lattice points, 40 wide, from its lowest left vertex (0, 0) counter-clockwise."""
+    ring, (x, y) = [(0, 0)], (0, 0)
+    for turn in range(4):
+        for dx, dy in QUARTER:
+            for _ in range(turn):
+                dx, dy = -dy, dx
+            x, y = x + 2 * dx, y + 2 * dy
+            ring.append((x, y))
+    return ring
+
+
+def disc_grid(spark: SparkSession) -> DataFrame:
+    """A round cell of 24 edges inside each square cell, same ids; lattice vertices, and twice as fine as other cells."""
+    sq = grid(spark)
+    corners = [G.xy(F.col("xmin") + 21 + x, F.col("ymin") + 5 + y) for x, y in disc_ring()]
+    return sq.select("id", G.polygon_from(F.array(F.array(*corners))).alias("geom"))
+
+
 #: Cells besides the square ones (id, xmin, ymin, side): one a thousand times as wide, one over them all, one between the sizes.
 MIXED = [(1001, -24500.0, -24500.0, 50000.0), (1002, 0.0, 0.0, 1000.0), (1003, 110.0, 130.0, 270.0)]
 

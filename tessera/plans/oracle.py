@@ -371,6 +371,60 @@ def _frame_road() -> str:
               "from p where speed is not null and speed > 0 and seg_len > 1e-9 group by 1, 2")
 
 
+#: The round cell's edge steps, a quarter of them; the other quarters are its turns.
+_STEPS = [(8, 0), (6, 2), (4, 2), (2, 2), (2, 4), (2, 6)]
+
+
+def _disc_edges() -> str:
+    """CTE of the 24 edges (a vertex and the step from it) about a cell's lower left corner."""
+    steps, (x, y) = [], (21, 5)
+    for q in range(4):
+        for dx, dy in _STEPS:
+            dx, dy = ((dx, dy), (-dy, dx), (-dx, -dy), (dy, -dx))[q]
+            steps.append(f"({x}e0, {y}e0, {dx}e0, {dy}e0)")
+            x, y = x + dx, y + dy
+    return "disc as (select * from (values " + ", ".join(steps) + ") as t(vx, vy, ex, ey))"
+
+
+def _disc_road() -> str:
+    # every edge bounds the parameter on its inner side
+    a = "(e.ex * (s.y1 - g.ymin - e.vy) - e.ey * (s.x1 - g.xmin - e.vx))"
+    b = "(e.ex * (s.y2 - s.y1) - e.ey * (s.x2 - s.x1))"
+    lo, hi = _half_plane(a, b)
+    dx, dy = "(s.x2 - s.x1)", "(s.y2 - s.y1)"
+    ranges = (f"p as (select g.id as grid_id, s.road_id, any_value(s.speed) as speed, "
+              f"greatest(least(1e0, min({hi})) - greatest(0e0, max({lo})), 0e0) * any_value(sqrt({dx} * {dx} + {dy} * {dy})) as seg_len "
+              f"from grid g join roads s on {_overlap('g', 's')}, disc e group by 1, 2)")
+    return (_with("grid", "roads", extra=[_disc_edges(), ranges])
+            + "select grid_id, cast(speed as varchar) as speed_str, round(sum(seg_len), 6) as total_length "
+              "from p where speed is not null and speed > 0 and seg_len > 0 group by 1, 2")
+
+
+def _disc_crash() -> str:
+    inner = "e.ex * (p.y - g.ymin - e.vy) - e.ey * (p.x - g.xmin - e.vx) <= 0"
+    return (_with("grid", "crashes", extra=[_disc_edges(),
+            f"near as (select g.id, p.objectid, g.xmin, g.ymin, p.x, p.y from grid g join crashes p on {_inside('g', 'p')} where p.objectid is not null)",
+            f"within as (select g.id, count(*) as n from near g where not exists (select 1 from disc e where "
+            f"{inner.replace('p.', 'g.')}) group by g.id)"])
+            + "select g.id as grid_id, coalesce(n, 0) as crash_count from grid g left join within w on w.id = g.id")
+
+
+def _intersecting() -> str:
+    x1, y1, dx, dy = "s.x1", "s.y1", "(s.x2 - s.x1)", "(s.y2 - s.y1)"
+    xl, xh = _axis(x1, dx, "g.xmin", "g.xmax")
+    yl, yh = _axis(y1, dy, "g.ymin", "g.ymax")
+    side = "(case when g.lower_half = 1 then 1 else -1 end)"
+    hl, hh = _half_plane(f"({side} * ((s.x1 - g.xmin) - (s.y1 - g.ymin)))", f"({side} * ({dx} - {dy}))")
+    return (_with("grid", "tri", "roads")
+            + f"select g.id as grid_id, s.road_id from tri g join roads s on {_overlap('g', 's')} "
+              f"where greatest(0e0, {xl}, {yl}, {hl}) <= least(1e0, {xh}, {yh}, {hh}) + 1e-12")
+
+
+def _layer_window() -> str:
+    return (_with("roads") + "select road_id, speed, round(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 6) as length from roads "
+            "where least(x1, x2) <= 395 and greatest(x1, x2) >= 210 and least(y1, y2) <= 455 and greatest(y1, y2) >= 300")
+
+
 def _forest_against_mean() -> str:
     return _features_with(
         f"select count(*) as n, round(sqrt(avg((crash_count - mean) * (crash_count - mean))), 6) as constant_rmse, true as forest_keeps_up "
@@ -594,6 +648,10 @@ SQL: dict[str, str] = {
     "frame_crash_count": _frame_crash(),
     "road_length_mixed_grid": _mixed_road(),
     "crash_count_mixed_grid": _mixed_crash(),
+    "disc_road_length": _disc_road(),
+    "disc_crash_count": _disc_crash(),
+    "intersecting_roads": _intersecting(),
+    "layer_window": _layer_window(),
     "retraced_lines": _cat_long("shuttles", "kind", "kind"),
     "forest_against_mean": _forest_against_mean(),
     "prediction_by_label_group": _prediction_by_label_group(),

@@ -122,6 +122,16 @@ def road_length_mixed_grid(spark, sf_dir):
     return rounded(ft.road_speed_long(_index(spark, "mixed", fx.mixed_grid), fx.roads(spark, sf_dir), "speed"))
 
 
+def disc_road_length(spark, sf_dir):
+    """Road length per round cell of 24 edges and speed: tiles wholly inside take no exact test."""
+    return rounded(ft.road_speed_long(_index(spark, "discs", fx.disc_grid), fx.roads(spark, sf_dir), "speed"))
+
+
+def intersecting_roads(spark, sf_dir):
+    """(triangular cell, road) pairs that share a point, those that only touch included."""
+    return sj.intersecting_lines(_index(spark, "triangles", fx.triangle_grid), fx.roads(spark, sf_dir), "geom", ["road_id"])
+
+
 def retraced_lines(spark, sf_dir):
     """Length per cell and kind of lines that go part of their way back: each stretch counts once."""
     return rounded(ft.category_length_long(_idx(spark), fx.shuttles(spark, sf_dir), "kind", "kind"))
@@ -147,6 +157,11 @@ def frame_crash_count(spark, sf_dir):
     return ft.crash_counts(_index(spark, "frames", fx.frame_grid), fx.frame_grid(spark), fx.crashes(spark, sf_dir), "id", "objectid")
 
 
+def disc_crash_count(spark, sf_dir):
+    """Identified crashes strictly inside each round cell of 24 edges."""
+    return ft.crash_counts(_index(spark, "discs", fx.disc_grid), fx.disc_grid(spark), fx.crashes(spark, sf_dir), "id", "objectid")
+
+
 def crash_count_mixed_grid(spark, sf_dir):
     """Identified crashes strictly inside each cell of a grid of mixed sizes."""
     return ft.crash_counts(_index(spark, "mixed", fx.mixed_grid), fx.mixed_grid(spark), fx.crashes(spark, sf_dir), "id", "objectid")
@@ -364,6 +379,18 @@ def wkb_roundtrip(spark, sf_dir):
     return _geom_summary(back, "road_id")
 
 
+#: What is read of the layer that is written for pruning.
+WINDOW = (210.0, 300.0, 395.0, 455.0)
+
+
+def layer_window(spark, sf_dir):
+    """Roads written along a curve with their boxes, and those read back whose box meets a window."""
+    path = scratch_path(spark, "roads_by_place.parquet")
+    layers.write_layer(fx.roads(spark, sf_dir), path, pruned=True)
+    back = layers.read_layer(spark, path, WINDOW)
+    return rounded(back.select("road_id", "speed", G.length("geom").alias("length")))
+
+
 def geojson_convert(spark, sf_dir):
     """Guardrails written as multi-line FeatureCollection files, converted to Parquet, read back."""
     src = fx.guardrails(spark, sf_dir)
@@ -411,6 +438,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "road_length_mixed_grid": road_length_mixed_grid,
     "crash_count_mixed_grid": crash_count_mixed_grid,
     "retraced_lines": retraced_lines,
+    "disc_road_length": disc_road_length,
+    "disc_crash_count": disc_crash_count,
+    "intersecting_roads": intersecting_roads,
+    "layer_window": layer_window,
     "forest_against_mean": forest_against_mean,
     "prediction_by_label_group": prediction_by_label_group,
     "model_rmse": model_rmse,

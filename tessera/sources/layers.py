@@ -9,6 +9,12 @@ On disk a layer is Parquet with its geometry in one of two forms:
 A layer with neither fails with an error naming the path. Layers are written
 with their geometry as a WKB ``geometry`` column, so other tools can read
 them.
+
+A layer can be written **for pruning**: its rows ordered along a Z-order curve
+of their boxes' centres, and each row's box beside its geometry as a struct
+column ``bbox``. Row groups then cover small parts of the plane, and reading
+with a box pushes four comparisons to the Parquet reader, which skips the row
+groups that lie elsewhere by their minima and maxima.
 """
 
 from __future__ import annotations
@@ -69,8 +75,34 @@ def resolve_geometry(df: DataFrame, path: str = "<dataframe>") -> DataFrame:
     raise MissingGeometryError(f"{path}: a layer needs a geometry in column `geom`, or as WKB in `geometry`")
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return resolve_geometry(spread(spark.read.parquet(path)), path)
+BBOX = "bbox"
+BOX_TYPE = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
+CURVE_BITS = 16
+
+
+def _has_boxes(df: DataFrame) -> bool:
+    return BBOX in df.columns and df.schema[BBOX].dataType.simpleString() == BOX_TYPE
+
+
+def read_layer(spark: SparkSession, path: str, box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """The layer at ``path``; with ``box`` (xmin, ymin, xmax, ymax) only rows whose box meets it.
+
+    Where the layer was written for pruning the comparison reaches the
+    Parquet reader; elsewhere every row is decoded and compared.
+    """
+    rows = spark.read.parquet(path)
+    boxes = _has_boxes(rows)
+    if boxes and box:
+        rows = rows.where(_meets_box(F.col(BBOX), box))
+    rows = resolve_geometry(spread(rows), path)
+    if boxes:
+        return rows.drop(BBOX)
+    return rows.where(_meets_box(G.bbox("geom"), box)) if box else rows
+
+
+def _meets_box(own, box):
+    x1, y1, x2, y2 = (float(v) for v in box)
+    return (own["xmin"] <= x2) & (own["xmax"] >= x1) & (own["ymin"] <= y2) & (own["ymax"] >= y1)
 
 
 def load_layers(spark: SparkSession, base: str,
@@ -80,12 +112,48 @@ def load_layers(spark: SparkSession, base: str,
     return {name: read_layer(spark, f"{base.rstrip('/')}/{fn}") for name, fn in files.items()}
 
 
-def write_layer(df: DataFrame, path: str, geom_col: str = "geom", mode: str = "overwrite") -> None:
-    """Write a layer as Parquet with its geometry as WKB ``geometry``."""
+def write_layer(df: DataFrame, path: str, geom_col: str = "geom", mode: str = "overwrite",
+                pruned: bool = False, row_group_bytes: int | None = None) -> None:
+    """Write a layer as Parquet with its geometry as WKB ``geometry``.
+
+    ``pruned`` orders the rows along a curve and writes their boxes, for
+    reads limited to a box; ``row_group_bytes`` sets the size of what such a
+    read can skip. The order costs one pass for the layer's extent and a sort
+    by ranges.
+    """
+    if pruned:
+        df = _along_curve(df.drop(BBOX).withColumn(BBOX, G.bbox(geom_col).cast(BOX_TYPE)))
     out = df.withColumn("geometry", wkb.to_wkb(geom_col))
     if geom_col != "geometry":
         out = out.drop(geom_col)
-    out.write.mode(mode).parquet(path)
+    writer = out.write.mode(mode)
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
+
+
+def _spaced(v):
+    """The bits of a number below 2^16, one apart."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask).cast("long"))
+    return v
+
+
+def _along_curve(df: DataFrame) -> DataFrame:
+    """``df`` in ranges of the Z-order of its boxes' centres; rows without a box come first."""
+    x = (F.col(f"{BBOX}.xmin") + F.col(f"{BBOX}.xmax")) / 2
+    y = (F.col(f"{BBOX}.ymin") + F.col(f"{BBOX}.ymax")) / 2
+    r = df.agg(F.min(x).alias("x1"), F.max(x).alias("x2"), F.min(y).alias("y1"), F.max(y).alias("y2")).first()
+    steps = (1 << CURVE_BITS) - 1
+
+    def place(v, lo, hi):
+        return F.floor((v - F.lit(lo)) / F.lit((hi - lo) or 1.0) * steps).cast("long")
+    if r["x1"] is None:
+        return df
+    curve = _spaced(place(x, r["x1"], r["x2"])).bitwiseOR(F.shiftleft(_spaced(place(y, r["y1"], r["y2"])), 1))
+    # the second key spreads rows of one place over ranges
+    keys = ["_curve", F.xxhash64(*[f"{BBOX}.{c}" for c in ("xmin", "ymin", "xmax", "ymax")])]
+    return df.withColumn("_curve", curve).repartitionByRange(*keys).sortWithinPartitions("_curve").drop("_curve")
 
 
 PROFILE_SCHEMA = "layer string, rows bigint, null_geom bigint, xmin double, ymin double, xmax double, ymax double"

@@ -347,3 +347,45 @@ def test_trapezoids_against_even_odd(spark):
             part = P.fraction(*x, pd.Series(np.zeros(len(ends))), pd.Series(np.ones(len(ends))), *same(len(ends))).to_numpy()
             for k, (a, b, c, d) in enumerate(ends):
                 assert got.get((i, k), 0.0) == pytest.approx(part[k] * np.hypot(c - a, d - b), abs=1e-7), (i, k, ends[k], kw)
+
+
+@pytest.mark.parametrize("kw", [{}, {"tile": 3.0}, {"tile": 2.5, "broadcast_bytes": 0, "hot_tile_rows": 1}])
+def test_intersecting_lines_touch_or_cross(spark, kw):
+    ell = [(0, 20), (10, 20), (10, 25), (5, 25), (5, 30), (0, 30), (0, 20)]
+    grid = boxes(spark, TWO).select("id", "geom").unionByName(polygons(spark, [(3, [ell]), (4, [[(20, 20), (30, 20), (20, 30), (20, 20)]])]))
+    rows = lines(spark, [(1, [(10, 10), (20, 20)]),              # a corner of both boxes, a corner of the triangle
+                         (2, [(-5, 5), (0, 5)]),                 # ends on a border
+                         (3, [(12, 3), (14, 4), (16, 3)]),       # inside
+                         (4, [(10, -3), (10, -1)]),              # outside, on the border's line
+                         (5, [(7, 28), (5, 28)]),                # ends on an inner border of the L
+                         (6, [(6, 26), (9, 29)]),                # in the notch of the L
+                         (7, [(5, 25), (8, 28)]),                # from the inner corner of the L
+                         (8, [(25, 25), (30, 30)]),              # from the sloped side
+                         (9, [(26, 25), (30, 30)]),              # beside it
+                         (10, [(20, 10), (20, 10)]),             # a point on a corner
+                         (11, [(-1, 11), (21, 11)]),             # passes above
+                         (12, [(2, 20), (2, 10)])])              # from a box to the L
+    idx = sj.index_cells(grid, **kw)
+    got = sorted((r["grid_id"], r["id"]) for r in sj.intersecting_lines(idx, rows).collect())
+    assert got == [(1, 1), (1, 2), (1, 12), (2, 1), (2, 3), (2, 10), (3, 5), (3, 7), (3, 12), (4, 1), (4, 8)]
+
+
+def test_tiles_inside_a_many_edged_cell_take_no_exact_test(spark):
+    ring = [(60 * math.cos(2 * math.pi * k / 40) + 100, 60 * math.sin(2 * math.pi * k / 40) + 100) for k in range(40)]
+    cells = [(k, 10.0 * k, 0.0, 10.0 * k + 8, 8.0) for k in range(6)]
+    grid = polygons(spark, [(100, [ring + ring[:1]])]).unionByName(boxes(spark, cells).select("id", "geom"))
+    rng = np.random.default_rng(12)
+    ends = rng.uniform(20, 180, (300, 4))
+    idx = sj.index_cells(grid, tile=15.0)
+    cover = {(r["is_box"], r["is_convex"]): r["count"] for r in idx.tiles().where("grid_id = 100").groupBy("is_box", "is_convex").count().collect()}
+    assert cover[True, False] > 20 and idx.tiles().where("grid_id = 100 and is_box and edges is not null").count() == 0
+    plain = sj.index_cells(grid, tile=15.0)
+    plain.fine = False
+    pts = points(spark, [(k, x, y) for k, (x, y, _, _) in enumerate(ends.tolist())])
+    rows = lines(spark, [(k, [(a, b), (c, d)]) for k, (a, b, c, d) in enumerate(ends.tolist())])
+    found, lengths = [], []
+    for i in (idx, plain):
+        found.append(sorted((r["grid_id"], r["id"]) for r in sj.points_in_cells(i, pts).collect()))
+        lengths.append({(r["grid_id"], r["id"]): r["seg_len"] for r in sj.pair_lengths(sj.clip_lines_to_cells(i, rows, "geom", ["id"]), ["id"]).collect()})
+    assert found[0] == found[1] and len(found[0]) > 50
+    assert lengths[0] == {k: pytest.approx(v) for k, v in lengths[1].items()} and len(lengths[0]) > 100
