@@ -33,12 +33,9 @@ BITS = 32
 BLOCK_ROWS = 4096
 QUERY_ROWS = 20_000
 NEAREST = 10
-#: Entries to gather in a block over all trees, as a share of the block's entries times the trees; the ascent goes by
-#: halves, so a share over 1/32 takes about 1/16. Vectors of over ``WIDE`` numbers get more in proportion.
-SHARE = 0.045
-WIDE = 128
-#: At least as many entries; this decides only in blocks of under ``LEAST / (SHARE * TREES)`` = 1852 distinct vectors.
-LEAST = 2000
+#: Entries to gather in a block over all trees, as a share of the block's entries times the trees, for any number of rows
+#: and any length; the ascent goes by halves, so a share over 1/16 takes about 1/8 in the trees that are cut evenly.
+SHARE = 0.064
 SEED = 7
 
 
@@ -88,7 +85,7 @@ def _vectors(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.zeros((0, 0))
 
 
-def _search_block(nearest: int, share: float, least: int):
+def _search_block(nearest: int, share: float):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         none = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not rows.num_rows or not queries.num_rows:
@@ -102,7 +99,7 @@ def _search_block(nearest: int, share: float, least: int):
         start = np.searchsorted(entry[members], np.arange(len(first) + 1))
         forest = Forest(vectors[first])
         query_ids, query_vectors = queries.column("vec_id").to_numpy(), _vectors(queries.column("vector"))
-        enough = max(least, int(share * max(1, vectors.shape[1] / WIDE) * TREES * len(first)))
+        enough = int(share * TREES * len(first))
         out_query, out_id, out_score = [], [], []
         for base in range(0, len(query_ids), 512):
             part = query_vectors[base:base + 512]
@@ -121,7 +118,7 @@ def _search_block(nearest: int, share: float, least: int):
     return run
 
 
-def search(embeddings: DataFrame, is_query, nearest: int = NEAREST, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def search(embeddings: DataFrame, is_query, nearest: int = NEAREST, share: float = SHARE) -> DataFrame:
     """For the rows of ``embeddings`` (vec_id, embedding) where ``is_query``: query_id, rank, vec_id, score."""
     number = F.col("embedding").cast("array<double>")
     sound = F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & ~F.exists(
@@ -138,7 +135,7 @@ def search(embeddings: DataFrame, is_query, nearest: int = NEAREST, share: float
     asks = queries.join(sizes, "d").withColumn("set", F.pmod(place, "sets").cast("int")).withColumn("block", every("blocks"))
     keys = ["d", "block", "set"]
     found = index.select(*keys, "vec_id", "vector").groupBy(*keys).cogroup(asks.select(*keys, "vec_id", "vector").groupBy(*keys)).applyInArrow(
-        _search_block(nearest, share, least), FOUND)
+        _search_block(nearest, share), FOUND)
     found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
