@@ -4,6 +4,8 @@ import json
 import os
 import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import lines
 from pyspark.sql import functions as F
@@ -30,29 +32,76 @@ SAMPLES = [
 ]
 
 
+GEOMETRY = pa.struct([("kind", pa.string()), ("parts", pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))),
+                      ("poly_rings", pa.list_(pa.int32()))])
+
+
+def _encode(g, le=True):
+    return wkb.encode_arrow(pa.array([g], GEOMETRY), np.array([le]))[0].as_py()
+
+
+def _decode(b):
+    return wkb.decode_arrow(pa.array([b], pa.binary()))[0].as_py()
+
+
 @pytest.mark.parametrize("le", [True, False])
 @pytest.mark.parametrize("g", SAMPLES, ids=[s["kind"] for s in SAMPLES])
 def test_wkb_codec_round_trip(g, le):
-    b = wkb.encode(g, le)
+    b = _encode(g, le)
     assert b[0] == (1 if le else 0)
-    assert wkb.decode(b) == g
+    assert _decode(b) == g
 
 
 def test_wkb_extended_headers():
     # EWKB point with SRID and Z, big endian
     b = struct.pack(">BII", 0, 0x80000001 | 0x20000000, 4326) + struct.pack(">ddd", 1.5, 2.5, 9.0)
-    assert wkb.decode(b) == {"kind": "Point", "parts": [[_pt(1.5, 2.5)]], "poly_rings": None}
+    assert _decode(b) == {"kind": "Point", "parts": [[_pt(1.5, 2.5)]], "poly_rings": None}
     # ISO LineString ZM (3002), little endian
     b = struct.pack("<BII", 1, 3002, 2) + struct.pack("<8d", 0, 0, 1, 2, 3, 4, 5, 6)
-    assert wkb.decode(b)["parts"] == [[_pt(0, 0), _pt(3, 4)]]
+    assert _decode(b)["parts"] == [[_pt(0, 0), _pt(3, 4)]]
 
 
 def test_wkb_rejects_unknown_and_truncated():
     with pytest.raises(wkb.WKBError):
-        wkb.decode(struct.pack("<BII", 1, 7, 0))  # GeometryCollection
+        _decode(struct.pack("<BII", 1, 7, 0))  # GeometryCollection
     with pytest.raises(wkb.WKBError):
-        wkb.decode(struct.pack("<BII", 1, 2, 3) + b"\x00" * 10)
-    assert wkb.decode(None) is None
+        _decode(struct.pack("<BII", 1, 2, 3) + b"\x00" * 10)
+    assert _decode(None) is None
+
+
+def _random_geometry(rng):
+    run = lambda: [_pt(*rng.normal(size=2).tolist()) for _ in range(rng.integers(0, 6))]
+    kind = str(rng.choice(["Point", "LineString", "Polygon", "MultiPoint", "MultiLineString", "MultiPolygon"]))
+    rings = [int(rng.integers(0, 4)) for _ in range(rng.integers(0, 5))] if kind == "MultiPolygon" else None
+    parts = {"Point": lambda: [[_pt(1.5, -2)]] if rng.random() < 0.8 else [], "LineString": lambda: [run()],
+             "MultiPoint": lambda: [[_pt(k, 0.5)] for k in range(rng.integers(0, 5))],
+             "MultiPolygon": lambda: [run() for _ in range(sum(rings))]}.get(kind, lambda: [run() for _ in range(rng.integers(0, 5))])()
+    return {"kind": kind, "parts": parts, "poly_rings": rings or ([] if kind == "MultiPolygon" else None)}
+
+
+def test_wkb_batches_of_mixed_values():
+    """Values of any kind, byte order and length side by side, in a slice of a batch with nulls."""
+    rng = np.random.default_rng(11)
+    values = [None if k % 17 == 0 else _random_geometry(rng) for k in range(600)]
+    values = [v if v is None or v["poly_rings"] != [] else {**v, "poly_rings": [1], "parts": [[_pt(0, 0)]]} for v in values]
+    coded = wkb.encode_arrow(pa.array(values, GEOMETRY), rng.random(600) < 0.5)
+    assert wkb.decode_arrow(coded).to_pylist() == values
+    assert wkb.decode_arrow(coded.slice(100, 333)).to_pylist() == values[100:433]
+    assert wkb.decode_arrow(pa.array([], pa.binary())).to_pylist() == []
+    assert wkb.decode_arrow(pa.array([None, None], pa.binary())).to_pylist() == [None, None]
+
+
+def test_wkb_members_of_another_byte_order_and_ordinates():
+    line = struct.pack(">BII", 0, 1002, 1) + struct.pack(">3d", 1, 2, 3) + struct.pack("<BII", 1, 2, 2) + struct.pack("<4d", 4, 5, 6, 7)
+    assert _decode(struct.pack("<BII", 1, 5, 2) + line)["parts"] == [[_pt(1, 2)], [_pt(4, 5), _pt(6, 7)]]
+    empty = struct.pack("<BI", 1, 3001) + struct.pack("<4d", *[float("nan")] * 4)
+    assert _decode(struct.pack("<BII", 1, 4, 2) + empty + struct.pack("<BIdd", 1, 1, 8, 9))["parts"] == [[_pt(8, 9)]]
+    with pytest.raises(wkb.WKBError, match="truncated"):
+        _decode(struct.pack("<BII", 1, 4, 4_000_000_000))
+    with pytest.raises(wkb.WKBError, match="member of type 2 where 1"):
+        _decode(struct.pack("<BII", 1, 4, 1) + struct.pack("<BII", 1, 2, 0))
+    with pytest.raises(wkb.WKBError, match="byte-order"):
+        _decode(b"\x07\x01\x00\x00\x00")
 
 
 def test_wkb_columns_round_trip_with_nulls(spark):
