@@ -657,6 +657,7 @@ SQL: dict[str, str] = {
     "prediction_by_label_group": _prediction_by_label_group(),
     "clip_segments": _clip_segments(),
     "layer_profile": _profile(),
+    "written_layer_profile": _profile(),
     "feature_table": _features_with("select * from ft"),
     "label_audit": _features_with(
         "select count(*) as rows, cast(sum(case when crash_count is null then 1 else 0 end) as bigint) "

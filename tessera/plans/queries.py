@@ -246,6 +246,12 @@ def layer_profile(spark, sf_dir):
     return layers.profile_layers(fx.layers(spark, sf_dir))
 
 
+def written_layer_profile(spark, sf_dir):
+    """Profiles of the nine layers, counted by the passes that write them."""
+    base = scratch_path(spark, "profiled")
+    return layers.profile_rows(spark, [layers.write_layer(df, f"{base}/{name}", name=name) for name, df in fx.layers(spark, sf_dir).items()])
+
+
 def _features(spark, sf_dir) -> DataFrame:
     lay = fx.layers(spark, sf_dir)
     idx = _idx(spark)
@@ -425,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_length_triangles": area_length_triangles,
     "clip_segments": clip_segments,
     "layer_profile": layer_profile,
+    "written_layer_profile": written_layer_profile,
     "feature_table": feature_table,
     "label_audit": label_audit,
     "split_assignment": split_assignment,

@@ -19,7 +19,7 @@ groups that lie elsewhere by their minima and maxima.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,14 +113,23 @@ def load_layers(spark: SparkSession, base: str,
 
 
 def write_layer(df: DataFrame, path: str, geom_col: str = "geom", mode: str = "overwrite",
-                pruned: bool = False, row_group_bytes: int | None = None) -> None:
+                pruned: bool = False, row_group_bytes: int | None = None, name: str | None = None) -> dict | None:
     """Write a layer as Parquet with its geometry as WKB ``geometry``.
 
+    With a ``name`` the pass that writes the layer also counts it: the
+    layer's profile comes back as a dict of the fields of ``PROFILE_SCHEMA``
+    (:func:`profile_rows` makes a table of them), with no scan of its own.
+
     ``pruned`` orders the rows along a curve and writes their boxes, for
     reads limited to a box; ``row_group_bytes`` sets the size of what such a
     read can skip. The order costs one pass for the layer's extent and a sort
     by ranges.
     """
+    seen = None
+    if name is not None:
+        seen = Observation()
+        box = G.bbox(geom_col)
+        df = df.observe(seen, *_profile_columns(box, F.col(geom_col).isNull()))
     if pruned:
         df = _along_curve(df.drop(BBOX).withColumn(BBOX, G.bbox(geom_col).cast(BOX_TYPE)))
     out = df.withColumn("geometry", wkb.to_wkb(geom_col))
@@ -130,6 +139,13 @@ def write_layer(df: DataFrame, path: str, geom_col: str = "geom", mode: str = "o
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
     writer.parquet(path)
+    return {"layer": name, **seen.get} if seen else None
+
+
+def profile_rows(spark: SparkSession, profiles: list[dict]) -> DataFrame:
+    """Profiles of written layers, one row each."""
+    rows = [tuple(p[c.split()[0]] for c in PROFILE_SCHEMA.split(", ")) for p in profiles]
+    return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
 def _spaced(v):
@@ -159,17 +175,17 @@ def _along_curve(df: DataFrame) -> DataFrame:
 PROFILE_SCHEMA = "layer string, rows bigint, null_geom bigint, xmin double, ymin double, xmax double, ymax double"
 
 
+def _profile_columns(box, missing) -> list:
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(missing.cast("long")), F.lit(0)).cast("long").alias("null_geom"),
+            F.min(box["xmin"]).alias("xmin"), F.min(box["ymin"]).alias("ymin"), F.max(box["xmax"]).alias("xmax"), F.max(box["ymax"]).alias("ymax")]
+
+
 def profile(name: str, df: DataFrame, geom_col: str = "geom") -> DataFrame:
     """One row: layer name, row count, null geometries, extent."""
     g = F.col(geom_col)
     bb = G.bbox(g)
-    return df.select(bb.alias("_bb"), g.isNull().alias("_null")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.col("_null").cast("long")).alias("null_geom"),
-        F.min("_bb.xmin").alias("xmin"), F.min("_bb.ymin").alias("ymin"),
-        F.max("_bb.xmax").alias("xmax"), F.max("_bb.ymax").alias("ymax"),
-    ).select(F.lit(name).alias("layer"), "rows", F.coalesce("null_geom", F.lit(0)).cast("long").alias("null_geom"),
-             "xmin", "ymin", "xmax", "ymax")
+    return df.select(bb.alias("_bb"), g.isNull().alias("_null")).agg(*_profile_columns(F.col("_bb"), F.col("_null"))).select(
+        F.lit(name).alias("layer"), "rows", "null_geom", "xmin", "ymin", "xmax", "ymax")
 
 
 def profile_layers(layers: dict[str, DataFrame], geom_col: str = "geom") -> DataFrame:

@@ -292,3 +292,17 @@ def test_a_layer_written_for_pruning_reads_fewer_rows(spark, tmp_dir):
     # a layer without boxes is compared row by row
     layers.write_layer(rows, f"{tmp_dir}/plain.parquet")
     assert {r["id"] for r in layers.read_layer(spark, f"{tmp_dir}/plain.parquet", box).collect()} == got
+
+
+def test_the_pass_that_writes_a_layer_profiles_it(spark, tmp_dir):
+    rows = spark.createDataFrame([(1, 0.0, 5.0), (2, -3.0, 9.0)], "id long, x double, y double").select("id", G.point("x", "y").alias("geom"))
+    rows = rows.unionByName(spark.range(1).select("id", F.lit(None).cast(G.GEOMETRY).alias("geom")))
+    for pruned in (False, True):
+        got = layers.write_layer(rows, f"{tmp_dir}/p{pruned}", pruned=pruned, name="spots")
+        assert got == {"layer": "spots", "rows": 3, "null_geom": 1, "xmin": -3.0, "ymin": 5.0, "xmax": 0.0, "ymax": 9.0}
+    empty = layers.write_layer(rows.where("id > 9"), f"{tmp_dir}/empty", name="none")
+    assert (empty["rows"], empty["null_geom"], empty["xmin"]) == (0, 0, None)
+    found = layers.profile_rows(spark, [got, empty])
+    assert found.schema == layers.profile_layers({"spots": rows}).schema or found.columns == layers.profile_layers({"spots": rows}).columns
+    assert [tuple(r) for r in found.collect()] == [tuple(got.values()), tuple(empty[c] for c in found.columns)]
+    assert layers.write_layer(rows, f"{tmp_dir}/plain") is None
