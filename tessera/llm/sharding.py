@@ -1,6 +1,8 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Language, source and size are quantised to ``BITS`` bits each, a document's
+Language, source and size are quantised to ``BITS`` bits each at approximate
+quantiles (names by their first seven bytes), so that a step of a coordinate
+is a range of values and holds about as many rows as any other; a document's
 cell gets its index on the Hilbert curve, and the documents are sorted by it
 (then by hashes and id, which spreads a cell of any size over partitions). The
 order is cut into runs of equal row counts, one for each shard, so a shard
@@ -58,15 +60,35 @@ def _hilbert(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
     return pd.Series(hilbert_index([a.to_numpy(), b.to_numpy(), c.to_numpy()], BITS))
 
 
+def _by_quantiles(documents: DataFrame, values: dict, steps: int) -> list:
+    """Coordinates 1 to ``steps`` of numbers, 0 for null: how many of the ``steps - 1`` approximate quantiles a value passes.
+
+    A value that is several quantiles passes them all at once, so that the coordinates of few values lie far apart.
+    """
+    at = F.array(*[F.lit(k / steps) for k in range(1, steps)])
+    cuts = documents.agg(*[F.percentile_approx(v, at, 10_000).alias(c) for c, v in values.items()]).first()
+    out = []
+    for c, v in values.items():
+        over = F.lit(1)
+        for cut in cuts[c] or ():
+            over = over + (v > F.lit(cut)).cast("int")
+        out.append(F.when(v.isNull(), 0).otherwise(over).cast("int"))
+    return out
+
+
+def _name_order(c: str):
+    """A string's first seven bytes as a number: in byte order."""
+    return F.conv(F.rpad(F.hex(F.substring(F.col(c).cast("string").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
 def shard(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Per document (doc_id, text, lang, source): size, CRC, curve cell, shard and slot; counts differ by one at most."""
     text = F.coalesce("text", F.lit(""))
     size = F.octet_length(text).cast("long") + 8
     most = (1 << BITS) - 1
-    named = [F.when(F.col(c).isNull(), 0).otherwise(F.pmod(F.xxhash64(c), F.lit(most)) + 1).cast("int") for c in ("lang", "source")]
-    scale = F.least(F.lit(most), F.floor(F.log2(size.cast("double")) * 1.5)).cast("int")
+    cells = _by_quantiles(documents, {"lang": _name_order("lang"), "source": _name_order("source"), "size": size}, most)
     light = documents.select(F.col("doc_id").cast("long"), size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-                             _hilbert(*named, scale).alias("curve"))
+                             _hilbert(*cells).alias("curve"))
     keys = ["curve", F.xxhash64("doc_id", "text_crc32"), "doc_id", "size", "text_crc32"]
     placed = ranked(light, keys, "curve_order")
     total = max(1, placed.count())
