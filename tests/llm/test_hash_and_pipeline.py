@@ -94,3 +94,32 @@ def test_the_language_stage_uses_its_prediction(spark, monkeypatch):
     monkeypatch.setattr(language_id, "train", lambda d: train(d.withColumn("lang", F.col("lang")).replace(swapped, subset="lang")))
     got = stage()
     assert got[100] == "en" and got[101] == "de" and got[104] == "de"
+
+
+def test_a_filter_skips_shards_by_their_minima_and_maxima(spark, tmp_dir):
+    """Shards written along the curve, read back through the statistics that a reader prunes by."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tessera.llm import sharding
+    rng = np.random.default_rng(7)
+    langs, sources = ["de", "en", "es", "fr", "it", "pl"], [f"site{k:02d}.org" for k in range(40)]
+    rows = [(k, "x" * int(2 ** rng.uniform(1, 12)), str(rng.choice(langs)), str(rng.choice(sources))) for k in range(6000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    sharding.write_shards(table, sharding.shard(table), f"{tmp_dir}/shards")
+    ranges = []
+    for shard in range(sharding.SHARDS):
+        groups = [pq.ParquetFile(f).metadata.row_group(g) for f in glob.glob(f"{tmp_dir}/shards/shard={shard}/*.parquet")
+                  for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+        stats = {c: [col.statistics for g in groups for col in (g.column(k) for k in range(g.num_columns)) if col.path_in_schema == c] for c in ("lang", "source")}
+        ranges.append({c: (min(s.min for s in own), max(s.max for s in own)) for c, own in stats.items()})
+
+    def kept(column, value):
+        return sum(r[column][0] <= value <= r[column][1] for r in ranges)
+    assert np.mean([kept("lang", v) for v in langs]) < 0.6 * sharding.SHARDS
+    assert np.mean([kept("source", v) for v in sources]) < 0.6 * sharding.SHARDS
+    for column, value in (("lang", "es"), ("source", "site07.org")):
+        found = spark.read.parquet(f"{tmp_dir}/shards").where(F.col(column) == value)
+        assert found.count() == sum(value in r for r in rows)
+        assert found.select("shard").distinct().count() <= kept(column, value)
