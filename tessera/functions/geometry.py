@@ -2,11 +2,13 @@
 
 A geometry is a struct ``GEOMETRY``::
 
-    kind        string   Point | LineString | Polygon |
-                         MultiPoint | MultiLineString | MultiPolygon
+    kind        string   Point | LineString | Polygon | MultiPoint |
+                         MultiLineString | MultiPolygon | GeometryCollection
     parts       array<array<struct<x double, y double>>>
                          one vertex list per point, line or polygon ring
-    poly_rings  array<int>  rings per polygon (MultiPolygon only, else null)
+    poly_rings  array<int>  MultiPolygon: rings per polygon;
+                         GeometryCollection: three numbers a part (see
+                         collect_members); else null
 
 Every function here returns a ``Column`` built from built-in Spark
 expressions (higher-order functions for vertex and edge lists), so the
@@ -120,6 +122,55 @@ def box(xmin, ymin, xmax, ymax) -> Column:
     return polygon_from(F.array(ring))
 
 
+# The WKB codes of the kinds.
+KIND_CODES = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6}
+COLLECTION = "GeometryCollection"
+
+
+def collect_members(members: Column) -> Column:
+    """A GeometryCollection of an array of geometries that are none themselves.
+
+    Every part keeps its own kind: ``poly_rings`` has for each part its
+    member's number, the code of the member's kind and the number of its
+    polygon, all counted from 0. Members without parts leave no trace.
+    """
+    codes = F.create_map(*[F.lit(v) for k, c in KIND_CODES.items() for v in (k, c)])
+
+    def parts_of(m, i):
+        # the polygon of each ring: rings of a Polygon are of polygon 0
+        rings = F.when(m["kind"] == "MultiPolygon", F.flatten(F.transform(m["poly_rings"], lambda n, k: F.array_repeat(k, n))))
+        n = F.size(m["parts"])
+        polygon = F.coalesce(rings, F.array_repeat(F.lit(0), n))
+        # zipped, so that the inner lambda holds nothing of the outer one
+        three = F.arrays_zip(F.array_repeat(i, n).alias("i"), F.array_repeat(codes[m["kind"]], n).alias("c"), polygon.alias("p"))
+        return F.flatten(F.transform(three, lambda t: F.array(t["i"], t["c"], t["p"])))
+    return make_geometry(COLLECTION, F.flatten(F.transform(members, lambda m: m["parts"])), F.flatten(F.transform(members, parts_of)))
+
+
+def collection_members(g) -> Column:
+    """The geometries of a collection as an array; of any other geometry itself alone."""
+    g = _c(g)
+    three = F.transform(g["parts"], lambda p, i: F.struct(
+        p.alias("part"), F.get(g["poly_rings"], 3 * i).alias("member"), F.get(g["poly_rings"], 3 * i + 1).alias("code"), F.get(g["poly_rings"], 3 * i + 2).alias("polygon")))
+    kinds = F.create_map(*[F.lit(v) for k, c in KIND_CODES.items() for v in (c, k)])
+
+    def member(i):
+        own = F.filter(three, lambda t: t["member"] == i)
+        code = F.get(own, F.lit(0))["code"]
+        polygons = F.array_distinct(F.transform(own, lambda t: t["polygon"]))
+        rings = F.transform(polygons, lambda p: F.size(F.filter(own, lambda t: t["polygon"] == p)))
+        return F.struct(kinds[code].alias("kind"), F.transform(own, lambda t: t["part"]).alias("parts"), F.when(code == 6, rings).alias("poly_rings"))
+    many = F.transform(F.array_distinct(F.transform(three, lambda t: t["member"])), member)
+    return F.when(g["kind"] == COLLECTION, many).when(g.isNotNull(), F.array(g.cast(GEOMETRY)))
+
+
+def holds_areas(g) -> Column:
+    """A (multi-)polygon, or a collection with one among its members."""
+    g = _c(g)
+    codes = F.filter(g["poly_rings"], lambda c, i: (i % 3 == 1) & c.isin(3, 6))
+    return g["kind"].isin("Polygon", "MultiPolygon") | ((g["kind"] == COLLECTION) & F.coalesce(F.size(codes) > 0, F.lit(False)))
+
+
 # --------------------------------------------------------------------------
 # accessors
 # --------------------------------------------------------------------------

@@ -425,8 +425,11 @@ def explode_segments(lines: DataFrame, geom_col: str = "geom",
     g = F.col(geom_col)
     parts = g["parts"]
     if not areas:
-        parts = F.when(g["kind"].isin(*AREAL), F.raise_error(
+        parts = F.when(G.holds_areas(g), F.raise_error(
             F.lit("this layer holds areas: pass areas=True to measure them")).cast(G.PARTS)).otherwise(parts)
+    else:
+        parts = F.when((g["kind"] == G.COLLECTION) & G.holds_areas(g), F.raise_error(
+            F.lit("a collection holds areas: explode its members (geometry.collection_members) to measure them")).cast(G.PARTS)).otherwise(parts)
     segs, retraced, merged = G.memo(("retraced",), lambda: (
         G.supporting_segments(F.col("_parts")), G.is_retraced(F.col("_s")), G.merged_segments(F.col("_s"))))
     single = (F.size("_parts") == 1) & (F.size(F.get("_parts", F.lit(0))) <= 2)

@@ -619,7 +619,21 @@ def _variants() -> str:
               "from roads")
 
 
+def _members() -> str:
+    """The members of the collections built from roads: as many as road_id mod 4, and one."""
+    L = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
+    P = f"(abs(x2 - x1) + abs(y2 - y1) + {L})"
+    return (_with("roads")
+            + "select road_id, 'GeometryCollection' as of, cast(m as int) as member, "
+              "case m when 0 then 'Point' when 1 then 'LineString' when 2 then 'Polygon' else 'MultiPolygon' end as kind, "
+              "case when m = 3 then 2 else 1 end as n_parts, case when m = 3 then 2 else 0 end as n_polys, "
+              f"round(case m when 0 then 0e0 when 1 then {L} when 2 then {P} else 2 * {P} end, 6) as length "
+              "from roads, range(4) t(m) where m <= road_id % 4")
+
+
 SQL: dict[str, str] = {
+    "collection_parse": _members(),
+    "collection_roundtrip": _members(),
     "road_length_by_speed": _road_long(),
     "road_length_by_speed_wide": _road_wide(),
     "guardrail_length_by_material": _cat_long("guardrails", "materiald", "material"),

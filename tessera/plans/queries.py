@@ -354,6 +354,39 @@ def _geom_variants(spark, sf_dir) -> DataFrame:
     return r.select("road_id", "speed", geom.alias("geom"))
 
 
+def _collections(spark, sf_dir) -> DataFrame:
+    """Roads as collections of a point, the road, a triangle and two triangles, some of the members by the road's number."""
+    r = fx.roads(spark, sf_dir)
+    p = r["geom"]["parts"][0]
+    a, b = p[0], p[1]
+    k = F.pmod(F.col("road_id"), F.lit(4))
+    tri, other = F.array(a, G.xy(b["x"], a["y"]), b, a), F.array(b, a, G.xy(a["x"], b["y"]), b)
+    two = G.make_geometry("MultiPolygon", F.array(tri, other), F.array(F.lit(1), F.lit(1)))
+    members = F.array(*[m.cast(G.GEOMETRY) for m in (G.point(a["x"], a["y"]), r["geom"], G.polygon_from(F.array(tri)), two)])
+    return r.select("road_id", G.collect_members(F.slice(members, 1, (k + 1).cast("int"))).alias("geom"))
+
+
+def _member_rows(df: DataFrame) -> DataFrame:
+    """One row a member: its kind, parts, polygons and length."""
+    m = F.col("m")
+    members = df.select("road_id", F.col("geom.kind").alias("of"), F.posexplode(G.collection_members("geom")).alias("member", "m"))
+    return rounded(members.select("road_id", "of", "member", m["kind"].alias("kind"), F.size(m["parts"]).alias("n_parts"),
+                                  F.coalesce(F.size(m["poly_rings"]), F.lit(0)).alias("n_polys"), G.length(m).alias("length")))
+
+
+def collection_parse(spark, sf_dir):
+    """The members of geometry collections written as GeoJSON text and parsed back."""
+    text = _collections(spark, sf_dir).select("road_id", geojson.to_geojson("geom").alias("gj"))
+    return _member_rows(text.select("road_id", geojson.parse_geojson("gj").alias("geom")))
+
+
+def collection_roundtrip(spark, sf_dir):
+    """The members of geometry collections written as WKB (both byte orders) to Parquet and loaded."""
+    path = scratch_path(spark, "collections.parquet")
+    _collections(spark, sf_dir).select("road_id", wkb.to_wkb("geom", F.pmod(F.col("road_id"), F.lit(2)) == 0).alias("geometry")).write.parquet(path)
+    return _member_rows(layers.read_layer(spark, path))
+
+
 def _geom_summary(df: DataFrame, key: str) -> DataFrame:
     g = F.col("geom")
     bb = G.bbox(g)
@@ -439,6 +472,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "concave_cells": concave_cells,
     "geojson_parse": geojson_parse,
     "geojson_convert": geojson_convert,
+    "collection_parse": collection_parse,
+    "collection_roundtrip": collection_roundtrip,
     "wkb_roundtrip": wkb_roundtrip,
     "frame_road_length": frame_road_length,
     "frame_crash_count": frame_crash_count,

@@ -37,12 +37,33 @@ def _run(a: Column) -> Column:
     return F.transform(a, _pt)
 
 
+#: Collections within collections are followed so deep.
+NESTED = 4
+
+
 def parse_geojson(text: Column | str) -> Column:
     """GeoJSON geometry text to the GEOMETRY struct; JSON null or SQL null give null.
 
-    Unknown geometry types (e.g. GeometryCollection) raise an error.
+    The members of a collection that is a member itself become members of
+    the outer one. Unknown geometry types, and collections nested deeper
+    than ``NESTED``, raise an error.
     """
     t = F.col(text) if isinstance(text, str) else text
+
+    def is_collection(x: Column) -> Column:
+        return F.get_json_object(x, "$.type") == G.COLLECTION
+
+    def members(x: Column) -> Column:
+        return F.from_json(F.get_json_object(x, "$.geometries"), T.ArrayType(T.StringType()))
+    texts = members(t)
+    for _ in range(NESTED - 1):
+        texts = F.flatten(F.transform(texts, lambda x: F.when(is_collection(x), members(x)).otherwise(F.array(x))))
+    many = F.filter(F.transform(texts, _parse_one), lambda m: m.isNotNull())
+    return F.when(F.coalesce(is_collection(t), F.lit(False)), G.collect_members(many)).otherwise(_parse_one(t))
+
+
+def _parse_one(t: Column) -> Column:
+    """A geometry that is no collection."""
     kind = F.get_json_object(t, "$.type")
     coords = F.get_json_object(t, "$.coordinates")
     c1 = F.from_json(coords, _C1)
@@ -77,6 +98,12 @@ def _xy_json(p: Column) -> Column:
 def to_geojson(g: Column | str) -> Column:
     """GEOMETRY struct to GeoJSON geometry text (null for null)."""
     g = F.col(g) if isinstance(g, str) else g
+    texts = F.array_join(F.transform(G.collection_members(g), _one_text), ",")
+    return F.when(g["kind"] == G.COLLECTION, F.concat(F.lit('{"type":"GeometryCollection","geometries":['), texts, F.lit("]}"))).otherwise(_one_text(g))
+
+
+def _one_text(g: Column) -> Column:
+    """The text of a geometry that is no collection."""
     parts = g["parts"]
     runs = F.transform(parts, lambda r: F.transform(r, _xy_json))
 

@@ -63,7 +63,7 @@ def test_wkb_extended_headers():
 
 def test_wkb_rejects_unknown_and_truncated():
     with pytest.raises(wkb.WKBError):
-        _decode(struct.pack("<BII", 1, 7, 0))  # GeometryCollection
+        _decode(struct.pack("<BII", 1, 8, 0))  # a curve
     with pytest.raises(wkb.WKBError):
         _decode(struct.pack("<BII", 1, 2, 3) + b"\x00" * 10)
     assert _decode(None) is None
@@ -306,3 +306,57 @@ def test_the_pass_that_writes_a_layer_profiles_it(spark, tmp_dir):
     assert found.schema == layers.profile_layers({"spots": rows}).schema or found.columns == layers.profile_layers({"spots": rows}).columns
     assert [tuple(r) for r in found.collect()] == [tuple(got.values()), tuple(empty[c] for c in found.columns)]
     assert layers.write_layer(rows, f"{tmp_dir}/plain") is None
+
+
+def _simple_wkb(kind, rng):
+    return {"kind": kind, "parts": {"Point": [[_pt(1, 2)]], "LineString": [[_pt(0, 0), _pt(3, 4)]], "Polygon": [[_pt(0, 0), _pt(4, 0), _pt(0, 3), _pt(0, 0)]],
+            "MultiPoint": [[_pt(5, 5)], [_pt(6, 6)]], "MultiLineString": [[_pt(0, 0), _pt(1, 0)], [_pt(2, 0), _pt(2, 2)]],
+            "MultiPolygon": [[_pt(0, 0), _pt(1, 0), _pt(0, 1), _pt(0, 0)], [_pt(0.1, 0.1), _pt(0.2, 0.1), _pt(0.1, 0.2), _pt(0.1, 0.1)],
+                             [_pt(9, 9), _pt(8, 9), _pt(9, 8), _pt(9, 9)]]}[kind], "poly_rings": [2, 1] if kind == "MultiPolygon" else None}
+
+
+def test_collections_through_both_codecs(spark):
+    """Members of every kind, equal kinds side by side, a collection in a collection, an empty one; other rows stay as they are."""
+    kinds = ["Point", "LineString", "Polygon", "MultiPoint", "MultiLineString", "MultiPolygon"]
+    rng = np.random.default_rng(2)
+    rows = [(k, [_simple_wkb(str(x), rng) for x in rng.choice(kinds, rng.integers(0, 6))]) for k in range(60)]
+    kind = "array<struct<kind:string,parts:array<array<struct<x:double,y:double>>>,poly_rings:array<int>>>"
+    df = spark.createDataFrame(rows, f"id long, members {kind}")
+    df = df.select("id", "members", F.when(F.col("id") % 7 != 6, G.collect_members("members")).otherwise(F.get("members", F.lit(0))).alias("geom"))
+    want = {r["id"]: r["members"] if r["id"] % 7 != 6 else r["members"][:1] for r in df.collect()}
+    for codec in (lambda g: wkb.from_wkb(wkb.to_wkb(g, F.col("id") % 2 == 0)), lambda g: geojson.parse_geojson(geojson.to_geojson(g))):
+        back = df.select("id", codec(F.col("geom")).alias("g")).select("id", "g", G.collection_members("g").alias("m")).collect()
+        assert {r["id"]: r["m"] or [] for r in back} == want
+        assert {r["g"]["kind"] for r in back if r["id"] % 7 != 6} == {"GeometryCollection"}
+
+
+def test_nested_collections_become_flat(spark):
+    point, line = struct.pack("<BIdd", 1, 1, 1, 2), struct.pack(">BII4d", 0, 2, 2, 0, 0, 3, 4)
+    inner = struct.pack(">BII", 0, 7, 2) + line + struct.pack("<BII", 1, 7, 1) + point
+    got = _decode(struct.pack("<BII", 1, 7, 3) + point + inner + line)
+    assert got["kind"] == "GeometryCollection" and got["parts"] == [[_pt(1, 2)], [_pt(0, 0), _pt(3, 4)], [_pt(1, 2)], [_pt(0, 0), _pt(3, 4)]]
+    assert got["poly_rings"] == [0, 1, 0, 1, 2, 0, 2, 1, 0, 3, 2, 0]
+    text = json.dumps({"type": "GeometryCollection", "geometries": [
+        {"type": "Point", "coordinates": [1, 2]},
+        {"type": "GeometryCollection", "geometries": [{"type": "LineString", "coordinates": [[0, 0], [3, 4]]},
+                                                      {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1, 2]}]}]},
+        {"type": "LineString", "coordinates": [[0, 0], [3, 4]]}]})
+    rows = spark.createDataFrame([(text,), ('{"type":"GeometryCollection","geometries":[]}',)], "t string").select(geojson.parse_geojson("t").alias("g")).collect()
+    assert rows[0]["g"].asDict(True) == got and rows[1]["g"]["parts"] == []
+    with pytest.raises(wkb.WKBError, match="nested deeper"):
+        _decode(struct.pack("<BII", 1, 7, 1) * 70 + point)
+
+
+def test_collections_in_line_layers(spark):
+    from tessera.operators import spatial_join as sj
+    line, area = _simple_wkb("LineString", None), _simple_wkb("Polygon", None)
+    kind = "array<struct<kind:string,parts:array<array<struct<x:double,y:double>>>,poly_rings:array<int>>>"
+    df = spark.createDataFrame([(1, [_simple_wkb("Point", None), line, line, _simple_wkb("MultiLineString", None)]), (2, [line, area])], f"id long, members {kind}")
+    df = df.select("id", G.collect_members("members").alias("geom"))
+    grid = spark.range(1).select("id", G.box(F.lit(-10.0), F.lit(-10.0), F.lit(10.0), F.lit(10.0)).alias("geom"))
+    idx = sj.index_cells(grid)
+    got = sj.pair_lengths(sj.clip_lines_to_cells(idx, df.where("id = 1"), "geom", ["id"]), ["id"]).collect()
+    assert [(r["id"], r["seg_len"]) for r in got] == [(1, pytest.approx(5 + 1 + 2))]  # the line twice counts once
+    for areas in (False, True):
+        with pytest.raises(Exception, match="holds areas"):
+            sj.clip_lines_to_cells(idx, df, "geom", ["id"], areas=areas).count()
