@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 KEY = "grid_id"
 LABEL = "crash_count"
 TRAIN_FRACTION = 0.8
-#: Partitions of the training rows; a parameter of the result, so it does not follow the cluster's size.
+#: Partitions of the training rows, at least, and rows of a partition. Both are parameters of the result, so the
+#: partitions follow the number of rows and not the cluster's size.
 TRAIN_PARTITIONS = 32
+TRAIN_ROWS = 100_000
 NUM_TREES = 100
 SEED = 42
 
@@ -70,9 +72,11 @@ def fit_forest(features: DataFrame, key: str = KEY, label: str = LABEL,
                num_trees: int = NUM_TREES, seed: int = SEED,
                train_fraction: float = TRAIN_FRACTION) -> FitResult:
     assembled = assign_split(assemble(features, key, label), key, train_fraction)
-    # Trees draw their samples by partition and row: a fixed number of hash partitions,
-    # sorted by key, makes the forest the same whatever the input's partitioning.
-    train = assembled.where("is_train").repartition(TRAIN_PARTITIONS, key).sortWithinPartitions(key)
+    # Trees draw their samples by partition and row: hash partitions whose number follows from
+    # the rows, sorted by key, make the forest the same whatever the input's partitioning.
+    train = assembled.where("is_train")
+    partitions = max(TRAIN_PARTITIONS, -(-train.count() // TRAIN_ROWS))
+    train = train.repartition(partitions, key).sortWithinPartitions(key)
     test = assembled.where(~F.col("is_train"))
     rf = RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=num_trees, seed=seed)
     model = rf.fit(train)
