@@ -56,7 +56,7 @@ def test_exchanged_words_are_no_benchmark_hit(spark):
     assert got == {1: 0, 2: 10}
 
 
-CLASHING = ["score", "lang_pred", "_t1", "_t2", "_doc_id", "t1", "root", "component_id", "n_hit", "items", "base", "added", "k0", "_0", "rid"]
+CLASHING = ["score", "lang_pred", "_t1", "_t2", "_doc_id", "t1", "root", "component_id", "n_hit", "items", "base", "added", "k0", "_0"]
 
 
 def test_stages_pass_columns_of_any_name_through(spark):

@@ -571,7 +571,7 @@ def test_queries_equal_their_sql(spark):
     from tessera.llm import queries
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"create view {name} as select * from '{folder}/{name}.parquet'")
     for name, sql in queries.SQL.items():
         got = queries.QUERIES[name](spark, folder)
