@@ -104,6 +104,7 @@ class CellIndex:
     levels: tuple = (0,)
     whole: "CellIndex | None" = None
     fine: bool = False
+    boxes_only: bool = False
 
     @property
     def keys(self) -> list[str]:
@@ -113,7 +114,7 @@ class CellIndex:
     @property
     def shape(self) -> tuple:
         """What the join's expressions depend on."""
-        return self.tile, self.levels, self.whole is not None
+        return self.tile, self.levels, self.whole is not None, self.boxes_only
 
     def side(self):
         """The side of the tiles of a row's level."""
@@ -273,7 +274,7 @@ def _moments() -> list:
     """What bounds the size of a tile cover: rows, edges, the longest id, the largest extent; rows and edges of fine cells."""
     e = F.coalesce(F.size("edges"), F.lit(0)).cast("double")
     fine = F.coalesce(_is_fine(), F.lit(False))
-    return [F.count(F.lit(1)).alias("n"), F.sum(e).alias("e"), F.count_if(fine).alias("fine"), F.sum(F.when(fine, e)).alias("fine_e"),
+    return [F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_box")).alias("shaped"), F.sum(e).alias("e"), F.count_if(fine).alias("fine"), F.sum(F.when(fine, e)).alias("fine_e"),
             F.max(F.octet_length(F.col("grid_id").cast("string"))).alias("key"), F.max(_extent()).alias("most")]
 
 
@@ -285,7 +286,7 @@ def _sized(cells: DataFrame, tile: float, st, broadcast_bytes: int, hot_tile_row
     rows = COVER_TILES * (st["n"] or 0) + (FINE_TILES - COVER_TILES) * st["fine"]
     edges = COVER_TILES * 3 * (st["e"] or 0) + FINE_TILES * (st["fine_e"] or 0)  # a trapezoid stands on few others: two side edges each
     size = int(rows * (ROW_BYTES + (st["key"] or 0)) + EDGE_BYTES * edges)
-    return CellIndex(cells, tile, size, size, broadcast_bytes, hot_tile_rows, levels, fine=bool(st["fine"]))
+    return CellIndex(cells, tile, size, size, broadcast_bytes, hot_tile_rows, levels, fine=bool(st["fine"]), boxes_only=not st["shaped"])
 
 
 def _tile_join(items: DataFrame, cell_tiles: DataFrame, est_bytes: int,
@@ -354,6 +355,8 @@ def _point_columns(idx: CellIndex):
     """(tx, ty, inside) for columns px, py and the cell columns."""
     px, py, s = F.col("px"), F.col("py"), idx.side()
     in_box = (px > F.col("cxmin")) & (px < F.col("cxmax")) & (py > F.col("cymin")) & (py < F.col("cymax"))
+    if idx.boxes_only:  # a short expression, all of it generated code
+        return F.floor(px / s), F.floor(py / s), in_box
     small = F.size("edges") <= G.UNROLL_EDGES
     inside = (F.when(F.col("is_box"), in_box)
               .when(F.col("is_convex") & small, in_box & G.convex_contains_point_unrolled(F.col("edges"), px, py))
@@ -536,6 +539,8 @@ def _clip_columns(idx: CellIndex, closed: bool = True):
     t0 = F.greatest(F.lit(0.0), cx_lo, cy_lo, kx_lo, ky_lo)
     t1 = F.least(F.lit(1.0), cx_hi, cy_hi, kx_hi, ky_hi)
     r0, r1 = F.col("_t0"), F.col("_t1")
+    if idx.boxes_only and closed:
+        return t0, t1, F.greatest(r1 - r0, F.lit(0.0)), G.seg_len(x1, y1, x2, y2)
     empty = r1 <= r0 if closed else (r1 <= r0) | _on_border()
     frac = (F.when(empty, F.lit(0.0))
             .when(F.col("is_box"), r1 - r0)
