@@ -7,9 +7,12 @@ on the small table ``LABELLED`` by gradient ascent on the conditional
 likelihood and adds spans that the patterns don't know (phone numbers without a
 plus, spelled-out addresses, cards in groups).
 
-Only a token with a digit or an ``@`` can carry a span of the field's, so it
-decodes the stretches within ``CONTEXT`` tokens of such tokens, by Viterbi in
-numpy, stretches of similar length together. Added spans that touch a base span
+The field labels every token of every text. A token's part in the sums depends
+on its own shape and its neighbours', so it is computed once a shape, looked up
+by word and added by columns. Where ``O`` leads by more than all transitions can
+make up for, it is the token's label on every best path; the runs between such
+tokens are decoded by Viterbi in numpy, runs of similar length together, and
+the labels are those of whole texts. Added spans that touch a base span
 are dropped; base spans always stay. Repeated calls train the same weights.
 
 Offsets count code points, ends are exclusive. Null and empty texts have no
@@ -30,9 +33,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import arrow_rows
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 2
 EPOCHS = 300
 BATCH_TOKENS = 20_000
+#: Characters of the words whose parts a task keeps between batches.
+KEPT_CHARS = 32 << 20
 
 #: The labelled table: a line of text, personal data as [kind|...].
 LABELLED = """
@@ -149,34 +153,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 LABELS = ("O", "email", "card", "phone")
 
 
+class _Shapes(dict):
+    """What stands for a character in a shape, by code point."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = "d" if c in "0123456789" else "X" if "A" <= c <= "Z" else "x" if _LETTER.fullmatch(c) else c
+        return self[code]
+
+
+_LETTER = re.compile(r"[^\W\d_]")
+_SHAPES = _Shapes()
+for _code in range(128):
+    _SHAPES[_code]
+
+
 def shape(token: str) -> str:
     """Digits as d, letters as x or X, other characters as they are; runs of letters over three as one."""
-    s = re.sub(r"[0-9]", "d", token)
-    s = re.sub(r"[^\W\d_A-Z]", lambda m: "x" if m.group() != "d" or token[m.start()] not in "0123456789" else "d", s)
-    s = re.sub(r"[A-Z]", "X", s)
-    return re.sub(r"([xX])\1{3,}", r"\1\1\1+", s)
+    return _RUN.sub(r"\1\1\1+", token.translate(_SHAPES))
+
+
+_RUN = re.compile(r"([xX])\1{3,}")
+
+
+def _cue(token: str) -> str:
+    """What the token says about its neighbours: a word before personal data, a spelled-out at, or nothing."""
+    cue = token.lower().strip(_EDGE)
+    return CUES.get(cue) or ("at" if cue in ("(at)", "[at]") else "")
+
+
+def word_features(s: str, cue: str) -> tuple[list[str], list[str], list[str]]:
+    """Feature names that a token of shape ``s`` and a cue give itself, the token behind it and the one before it."""
+    bare, coarse = s.strip(_EDGE), re.sub(r"(.)\1+", r"\1", s.replace("+", ""))
+    own = [f"s={bare}", f"c={coarse.strip(_EDGE)}", f"n={min(s.count('d'), 12)}", "bias"]
+    if cue == "at" or "@" in s:
+        own.append("at")
+    if cue == "at":
+        return own, [f"p={bare}", "atl"], [f"q={bare}", "atr"]
+    return own, [f"p={bare}", *([f"cue={cue}"] if cue else [])], [f"q={bare}"]
 
 
 def features(tokens: list[str]) -> list[list[str]]:
     """Feature names of each token: its shape, coarse shape and class, its neighbours', cue words."""
-    shapes = [shape(t) for t in tokens]
-    coarse = [re.sub(r"(.)\1+", r"\1", s.replace("+", "")) for s in shapes]
-    cues = [t.lower().strip(_EDGE) for t in tokens]
-    out = []
-    for k, s in enumerate(shapes):
-        bare = s.strip(_EDGE)
-        digits = s.count("d")
-        own = [f"s={bare}", f"c={coarse[k].strip(_EDGE)}", f"n={min(digits, 12)}", "bias"]
-        own += [f"p={shapes[k - 1].strip(_EDGE)}" if k else "p=^", f"q={shapes[k + 1].strip(_EDGE)}" if k + 1 < len(shapes) else "q=$"]
-        if k and cues[k - 1] in CUES:
-            own.append(f"cue={CUES[cues[k - 1]]}")
-        if cues[k] in ("(at)", "[at]") or "@" in s:
-            own.append("at")
-        for j, side in ((k - 1, "l"), (k + 1, "r")):
-            if 0 <= j < len(cues) and cues[j] in ("(at)", "[at]"):
-                own.append(f"at{side}")
-        out.append(own)
-    return out
+    parts = [word_features(shape(t), _cue(t)) for t in tokens]
+    behind, before = [["p=^"], *(p[1] for p in parts)], [*(p[2] for p in parts[1:]), ["q=$"]]
+    return [own + left + right for (own, *_), left, right in zip(parts, behind, before)]
 
 
 #: Words before personal data, and what they announce.
@@ -258,48 +279,6 @@ def viterbi(emit: np.ndarray, lengths: np.ndarray, move: np.ndarray) -> np.ndarr
     return out
 
 
-def _before(text: str, at: int) -> tuple[int, int]:
-    """The token that ends before ``at``."""
-    while at and text[at - 1].isspace():
-        at -= 1
-    start = at
-    while start and not text[start - 1].isspace():
-        start -= 1
-    return start, at
-
-
-def stretches(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of tokens within CONTEXT tokens of a token with a digit or an @."""
-    tokens, at = set(), 0
-    while m := _TRIGGER.search(text, at):
-        start = m.start()
-        while start and not text[start - 1].isspace():
-            start -= 1
-        own = _TOKEN.match(text, start).span()
-        tokens.add(own)
-        at = own[1]
-        for _ in range(CONTEXT):
-            left = _before(text, start)
-            if left[0] == left[1] or left in tokens:
-                break
-            tokens.add(left)
-            start = left[0]
-        right = at
-        for _ in range(CONTEXT):
-            m = _TOKEN.search(text, right)
-            if not m:
-                break
-            tokens.add(m.span())
-            right = m.end()
-    out: list[list[tuple[int, int]]] = []
-    for token in sorted(tokens):
-        if out and text[out[-1][-1][1]:token[0]].isspace():
-            out[-1].append(token)
-        else:
-            out.append([token])
-    return out
-
-
 class Field:
     """The trained field with its weights as arrays; ``trained`` is what :func:`train` gives."""
 
@@ -307,54 +286,92 @@ class Field:
         number, weight, self.move = trained or train()
         self.number = number
         self.weight = np.vstack((weight, np.zeros((1, weight.shape[1]))))  # the last row: unknown features
-
-    def label(self, runs: list[list[str]]) -> list[np.ndarray]:
-        """Labels of token runs, decoded in batches of similar length."""
-        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(runs)
-        order = sorted(range(len(runs)), key=lambda k: len(runs[k]))
+        gain = self.move - self.move[:, :1], self.move - self.move[:1]
+        #: what the transitions to and from a label give over those of O at most, also at a text's start and end
+        self.most = np.maximum(gain[0].max(0), 0) + np.maximum(gain[1].max(1), 0) + 1e-9
+        self._forget()
+
+    def _forget(self) -> None:
+        """Word 0 stands between texts: for its neighbours a start and an end."""
+        self.words: dict[str, int] = {}
+        self.shapes: dict[tuple[str, str], int] = {}
+        self.kept, k = 0, len(LABELS)
+        self.parts = np.zeros((1024, 3 * k))  # of each shape and cue: own sums, those of the token behind and before
+        self.parts[0, k:2 * k], self.parts[0, 2 * k:] = self._sum(["p=^"]), self._sum(["q=$"])
+
+    def _sum(self, names: list[str]) -> np.ndarray:
+        return self.weight[[self.number.get(f, -1) for f in names]].sum(0)
+
+    def _learn(self, word: str) -> int:
+        like = shape(word), _cue(word)
+        at = self.shapes.get(like)
+        if at is None:
+            at = self.shapes[like] = len(self.shapes) + 1
+            if at == len(self.parts):
+                self.parts = np.concatenate((self.parts, np.zeros_like(self.parts)))
+            self.parts[at] = np.concatenate([self._sum(f) for f in word_features(*like)])
+            self.kept += len(word) + 300
+        self.words[word] = at
+        self.kept += len(word) + 100
+        return at
+
+    def decode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Labels of the tokens of whole texts, one text after another, and where each text's start (n + 1)."""
+        if self.kept > KEPT_CHARS:
+            self._forget()
+        known, learn, code = self.words.get, self._learn, [0]
+        for words in texts:
+            code += [known(w) or learn(w) for w in words]
+            code.append(0)
+        code, k = np.array(code), len(LABELS)
+        emit = self.parts[code, :k]
+        emit[1:] += self.parts[code[:-1], k:2 * k]
+        emit[:-1] += self.parts[code[1:], 2 * k:]
+        token = code > 0
+        open_ = token & (emit[:, :1] - emit[:, 1:] <= self.most[1:]).any(1)
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], open_, [0]))))
+        # a run with the O before and the one behind it
+        start, end = edge[::2] - token[edge[::2] - 1], edge[1::2] + token[edge[1::2]]
+        out = np.zeros(len(code), np.int8)
+        length = end - start
+        order = np.argsort(length, kind="stable")
         at = 0
         while at < len(order):
-            end = at + 1
-            while end < len(order) and (end - at + 1) * len(runs[order[end]]) <= BATCH_TOKENS:
-                end += 1
-            own = order[at:end]
-            lengths = np.array([len(runs[k]) for k in own])
-            emit = np.zeros((len(own), lengths.max(), len(LABELS)))
-            for i, k in enumerate(own):
-                for j, names in enumerate(features(runs[k])):
-                    emit[i, j] = self.weight[[self.number.get(f, -1) for f in names]].sum(0)
-            best = viterbi(emit, lengths, self.move)
-            for i, k in enumerate(own):
-                out[k] = best[i, :lengths[i]]
-            at = end
-        return out
+            stop = at + 1
+            while stop < len(order) and (stop - at + 1) * length[order[stop]] <= BATCH_TOKENS:
+                stop += 1
+            own = order[at:stop]
+            place = np.arange(length[own[-1]])
+            real = place < length[own][:, None]
+            where = np.where(real, start[own][:, None] + place, 0)
+            out[where[real]] = viterbi(emit[where], length[own], self.move)[real]
+            at = stop
+        return out[token], np.cumsum([0, *map(len, texts)])
+
+    def label(self, runs: list[list[str]]) -> list[np.ndarray]:
+        """Labels of each text's tokens."""
+        labels, at = self.decode(runs)
+        return [labels[a:b] for a, b in zip(at, at[1:])]
 
     def spans(self, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
         """Added spans of each text that touch no base span, by start."""
-        runs, where = [], []
-        for k, text in enumerate(texts):
-            for tokens in stretches(text) if text else ():
-                runs.append([text[a:b] for a, b in tokens])
-                where.append((k, tokens))
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        taken = [_merged(spans) for spans in base]
-        for (k, tokens), labels in zip(where, self.label(runs)):
-            j = 0
-            while j < len(labels):
-                e = j + 1
-                while e < len(labels) and labels[e] == labels[j]:
-                    e += 1
+        for k, labels in enumerate(self.label([(t or "").split() for t in texts])):
+            if not labels.any():
+                continue
+            text, (starts, ends) = texts[k], _merged(base[k])
+            tokens = [m.span() for m in _TOKEN.finditer(text)]
+            edge = np.flatnonzero(np.diff(labels, prepend=-1, append=-1)).tolist()
+            for j, e in zip(edge, edge[1:]):
                 if labels[j]:
                     a, b = tokens[j][0], tokens[e - 1][1]
-                    while a < b and texts[k][a] in _EDGE:
+                    while a < b and text[a] in _EDGE:
                         a += 1
-                    while b > a and texts[k][b - 1] in _EDGE:
+                    while b > a and text[b - 1] in _EDGE:
                         b -= 1
-                    starts, ends = taken[k]
                     first = bisect_right(ends, a)  # the first base span that ends behind a
-                    if _plausible(LABELS[labels[j]], texts[k][a:b]) and not (first < len(starts) and starts[first] < b):
+                    if _plausible(LABELS[labels[j]], text[a:b]) and not (first < len(starts) and starts[first] < b):
                         out[k].append((KINDS.index(LABELS[labels[j]]), a, b))
-                j = e
         return out
 
 

@@ -330,6 +330,21 @@ def test_shape_of_a_long_token_is_whole():
     assert pii.Field().spans([text], [pii.base_spans(text)]) == [[(0, 11, 81)]]
 
 
+def test_the_field_labels_every_token_of_a_text():
+    field = pii.Field()
+    text = "please write to jane (at) example.com if there is a need"  # no digit and no @
+    assert field.spans([text], [pii.base_spans(text)]) == [[(0, 16, 37)]]
+    rng = random.Random(5)
+    words = ["call", "me", "at", "555-123-4567", "(at)", "example.com", "mary_smith@localhost", "card", "4111.1111.1111.1111", "the", "é", "2024", "XX9"]
+    texts = [rng.choices(words, k=rng.randint(0, 60)) for _ in range(200)]
+    for text, labels in zip(texts, field.label(texts)):
+        emit = np.array([[field.weight[[field.number.get(f, -1) for f in names]].sum(0) for names in pii.features(text)]])
+        assert labels.tolist() == (pii.viterbi(emit, np.array([len(text)]), field.move)[0].tolist() if text else [])
+    some = field.label(texts)
+    field.kept = pii.KEPT_CHARS + 1  # words learned anew
+    assert all((a == b).all() for a, b in zip(some, field.label(texts))) and 0 < field.kept < pii.KEPT_CHARS
+
+
 def test_viterbi_equals_brute_force():
     from itertools import product
     rng = np.random.default_rng(0)
