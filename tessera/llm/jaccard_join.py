@@ -21,8 +21,12 @@ Two documents link when ``100 * |A & B| >= 75 * |A | B|``. The join is exact:
    the others are verified on the whole sets. Then the links' connected
    components are computed.
 5. What the stars left out (long lists, groups of several members) is
-   compared next, but only between sets that are not connected yet. So copies
-   in thousands cost a star, and no link is lost.
+   compared next, but only between sets that are not connected yet. There a
+   *parity* of each set decides first: whether the number of its shingles in
+   each of 1024 bins is odd. Two sets' parities differ in at most as many bins
+   as the sets differ in shingles, and links differ in at most a seventh of
+   both sizes' sum; near copies that don't link are mostly told apart inside
+   the join. So copies in thousands cost a star, and no link is lost.
 
 Empty and null texts have no set and link with nothing. Repeated rows and
 equal texts share a set. A null ``doc_id`` never is a component's id. Extra
@@ -46,6 +50,8 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 64
 LIST_PAIRS = 32
 HUBS = 16
+#: Words of 64 bits of a set's parity.
+PARITY = 16
 RANGE_ENTRIES = 1_000_000
 FLUSH_ENTRIES = 1_000_000
 #: Words are runs of anything but the ASCII white space.
@@ -132,7 +138,17 @@ def _digest(data: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-DOCS = ("rid long, doc_id long, t1 long, t2 long, n int, d1 long, d2 long, p1 long, p2 long, prefix binary")
+PARITIES = [f"s{k}" for k in range(PARITY)]
+DOCS = "rid long, doc_id long, t1 long, t2 long, n int, d1 long, d2 long, p1 long, p2 long, prefix binary, " + ", ".join(f"{c} long" for c in PARITIES)
+
+
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Bits (set x word) that tell in which bins each set has an odd number of ids."""
+    bins = 64 * PARITY
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    place = (mix(np.concatenate([np.zeros(0, np.uint64), *sets])) % np.uint64(bins)).astype(np.int64)
+    odd = np.bincount(owner * bins + place, minlength=len(sets) * bins) & 1
+    return np.packbits(odd.reshape(len(sets), bins).astype(np.uint8), axis=1).view(np.int64)
 
 
 def _prefix_task(shared):
@@ -141,15 +157,16 @@ def _prefix_task(shared):
         for batch in batches:
             for part in _batches(batch):
                 n, d1, d2, p1, p2, prefix = [], [], [], [], [], []
-                for s in _sets(scanner, classes, part.column("text")):
+                sets = list(_sets(scanner, classes, part.column("text")))
+                for s in sets:
                     head = s[:len(s) - (3 * len(s) + 3) // 4 + 1].tobytes() if len(s) else b""
                     a, b = _digest(s.tobytes())
                     c, d = _digest(head)
                     n.append(len(s)), d1.append(a), d2.append(b), p1.append(c), p2.append(d), prefix.append(head)
                 longs = [pa.array(x, pa.int64()) for x in (d1, d2, p1, p2)]
                 keep = [part.column(x) for x in ("rid", "doc_id", "t1", "t2")]
-                yield pa.RecordBatch.from_arrays([*keep, pa.array(n, pa.int32()), *longs, pa.array(prefix, pa.binary())],
-                                                 names=["rid", "doc_id", "t1", "t2", "n", "d1", "d2", "p1", "p2", "prefix"])
+                yield pa.RecordBatch.from_arrays([*keep, pa.array(n, pa.int32()), *longs, pa.array(prefix, pa.binary()), *map(pa.array, np.ascontiguousarray(_parities(sets).T))],
+                                                 names=["rid", "doc_id", "t1", "t2", "n", "d1", "d2", "p1", "p2", "prefix", *PARITIES])
     return run
 
 
@@ -397,14 +414,18 @@ def near_duplicates(documents: DataFrame, rows: bool = False) -> DataFrame:
     open_ = entry.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_ = materialize(open_.select("block"), "open_blocks")
     if open_.limit(1).count():
-        entry = entry.join(open_, "block")
-        roots = entry.groupBy("block", "root").agg(F.min("n").alias("n"), F.max("r").alias("r"), F.count("*").alias("k"))
-        one, two = (roots.select("block", *[F.col(c).alias(c + i) for c in ("root", "n", "r", "k")]) for i in "12")
-        # the smaller side of two roots of a block finds the larger side's members
-        apart = one.join(two, "block").where("(k1 < k2 or k1 = k2 and root1 < root2) and 7 * least(r1, r2) >= 3 * (n1 + n2)")
-        x, y = (entry.select("block", *[F.col(c).alias(c + i) for c in ("root", "sid", "n", "r", "before")]) for i in "12")
-        rest = apart.select("block", "root1", "root2").join(x, ["block", "root1"]).join(y, ["block", "root2"])
-        rest = rest.where("7 * least(r1, r2) >= 3 * (n1 + n2) and before1 != before2").select(F.col("sid1").alias("x"), F.col("sid2").alias("y"))
+        entry = materialize(entry.join(open_, "block"), "open_entries")
+        parity = docs.select(F.col("rid").alias("sid"), *PARITIES).join(broadcast_if_small(materialize(entry.select("sid").distinct(), "open_sets"), 64), "sid")
+        # a root's sets in a block; the smaller side of two roots finds the larger side's members
+        size = entry.groupBy("block", "root").agg(F.count("*").alias("k"))
+        most = size.groupBy("block").agg(F.max(F.struct("k", "root")).alias("most"))
+        entry = materialize(entry.join(parity, "sid").join(size, ["block", "root"]).join(most, "block"), "open_parities")
+        x, y = (entry.select("block", *[F.col(c).alias(c + i) for c in ("root", "k", "sid", "n", "r", "before", *PARITIES)], *more)
+                for i, more in (("1", ["most"]), ("2", [])))
+        apart = " + ".join(f"bit_count({c}1 ^ {c}2)" for c in PARITIES)
+        rest = x.where("struct(k1, root1) <> most").drop("most").join(broadcast_if_small(y, 400), "block").where(
+            "(k1 < k2 or k1 = k2 and root1 < root2) and 7 * least(r1, r2) >= 3 * (n1 + n2) and before1 <> before2"
+            f" and 7 * ({apart}) <= n1 + n2").select(F.col("sid1").alias("x"), F.col("sid2").alias("y"))
         rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         # mostly within groups of near copies, where outlines tell nothing
         more = verified(rest.join(first, ["a", "b"], "left_anti"), "rest", outline=False)

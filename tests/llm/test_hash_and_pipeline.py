@@ -45,6 +45,41 @@ def test_exchanged_words_do_not_link_documents(spark):
     assert got == {1: 1, 2: 2}
 
 
+def test_near_copies_that_do_not_link_are_not_paired(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base, texts = [f"b{k}" for k in range(100)], {}
+    for d in range(120):  # two words of each exchanged, far from each other: mostly 40 shingles apart, 27 are allowed
+        words = list(base)
+        words[rng.integers(5, 45)], words[rng.integers(55, 95)] = f"x{d}", f"y{d}"
+        texts[d] = words
+    sets = {d: {tuple(w[k:k + 5]) for k in range(96)} for d, w in texts.items()}
+    root = {d: d for d in texts}
+    links = [(a, b) for a in texts for b in range(a + 1, 120) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    for _ in texts:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    made, write = {}, jaccard_join.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    got = jaccard_join.near_duplicates(docs(spark, [(d, " ".join(w), "en") for d, w in texts.items()])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == root and 0 < len(links) < 2000
+    assert 0 < made["rest"] < 2 * len(links) + 200  # all pairs that postings allow: some 7000
+
+
+def test_parities_differ_at_most_as_much_as_sets():
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(0, 2000, rng.integers(0, 900)).astype(np.uint64) for _ in range(60)]
+    sets = [np.unique(s) for s in sets]
+    bits = np.unpackbits(jaccard_join._parities(sets).view(np.uint8).reshape(60, -1), axis=1)
+    apart = [(int((bits[a] != bits[b]).sum()), len(np.setxor1d(sets[a], sets[b]))) for a in range(60) for b in range(60)]
+    assert all(x <= d and (d - x) % 2 == 0 for x, d in apart) and any(x > 100 for x, _ in apart)
+    assert jaccard_join._parities([]).shape == (0, jaccard_join.PARITY)
+
+
 def test_exchanged_words_are_no_benchmark_hit(spark):
     one, other = exchanged(10)
     words = [f"w{k}" for k in range(10)]
