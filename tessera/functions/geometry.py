@@ -182,8 +182,7 @@ def vertices(g) -> Column:
 def bbox(g) -> Column:
     """struct(xmin, ymin, xmax, ymax) of all vertices; null for null geometry."""
     pts = vertices(g)
-    xs = F.transform(pts, lambda p: p["x"])
-    ys = F.transform(pts, lambda p: p["y"])
+    xs, ys = pts["x"], pts["y"]  # of all points at once, in generated code
     return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
                     F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
 

@@ -76,6 +76,7 @@ def resolve_geometry(df: DataFrame, path: str = "<dataframe>") -> DataFrame:
 
 
 BBOX = "bbox"
+PROFILED = "_profiled_box"
 BOX_TYPE = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
 CURVE_BITS = 16
 
@@ -128,8 +129,9 @@ def write_layer(df: DataFrame, path: str, geom_col: str = "geom", mode: str = "o
     seen = None
     if name is not None:
         seen = Observation()
-        box = G.bbox(geom_col)
-        df = df.observe(seen, *_profile_columns(box, F.col(geom_col).isNull()))
+        # the box once a row, not once for each of its four ends
+        boxed = df.withColumn(PROFILED, G.bbox(geom_col))
+        df = boxed.observe(seen, *_profile_columns(F.col(PROFILED), F.col(geom_col).isNull())).drop(PROFILED)
     if pruned:
         df = _along_curve(df.drop(BBOX).withColumn(BBOX, G.bbox(geom_col).cast(BOX_TYPE)))
     out = df.withColumn("geometry", wkb.to_wkb(geom_col))
