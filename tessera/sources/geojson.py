@@ -55,28 +55,42 @@ def parse_geojson(text: Column | str) -> Column:
 
     def members(x: Column) -> Column:
         return F.from_json(F.get_json_object(x, "$.geometries"), T.ArrayType(T.StringType()))
-    texts = members(t)
+
+    def typed(texts: Column) -> Column:
+        return F.transform(texts, lambda x: F.struct(F.get_json_object(x, "$.type").alias("kind"), x.alias("text")))
+
+    def flat(found: Column) -> Column:
+        """One level of collections less; what holds none stays as it is, without another look at its text."""
+        inner = F.flatten(F.transform(found, lambda m: F.when(m["kind"] == G.COLLECTION, typed(members(m["text"]))).otherwise(F.array(m))))
+        return F.when(F.exists(found, lambda m: F.coalesce(m["kind"] == G.COLLECTION, F.lit(False))), inner).otherwise(found)
+    found = typed(members(t))
     for _ in range(NESTED - 1):
-        texts = F.flatten(F.transform(texts, lambda x: F.when(is_collection(x), members(x)).otherwise(F.array(x))))
-    many = F.filter(F.transform(texts, _parse_one), lambda m: m.isNotNull())
-    return F.when(F.coalesce(is_collection(t), F.lit(False)), G.collect_members(many)).otherwise(_parse_one(t))
+        found = _let(found, flat)
+    many = F.filter(F.transform(found, lambda m: _parse_kind(m["text"], m["kind"])), lambda m: m.isNotNull())
+    return F.when(F.coalesce(is_collection(t), F.lit(False)), _let(many, G.collect_members)).otherwise(_parse_one(t))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _parse_one(t: Column) -> Column:
     """A geometry that is no collection."""
-    kind = F.get_json_object(t, "$.type")
+    return _let(F.get_json_object(t, "$.type"), lambda kind: _parse_kind(t, kind))
+
+
+def _parse_kind(t: Column, kind: Column) -> Column:
+    """A geometry of a known kind that is no collection; its coordinates are read once."""
     coords = F.get_json_object(t, "$.coordinates")
-    c1 = F.from_json(coords, _C1)
-    c2 = F.from_json(coords, _C2)
-    c3 = F.from_json(coords, _C3)
-    c4 = F.from_json(coords, _C4)
+    c1, c2, c3, c4 = (F.from_json(coords, c) for c in (_C1, _C2, _C3, _C4))
     null_rings = F.lit(None).cast("array<int>")
     empty = F.array().cast(T.ArrayType(T.ArrayType(G.POINT)))
 
     def geom(k: str, parts: Column, rings: Column = null_rings) -> Column:
         return F.struct(F.lit(k).alias("kind"), parts.alias("parts"), rings.alias("poly_rings"))
 
-    point_parts = F.when(F.size(c1) >= 2, F.array(F.array(_pt(c1)))).otherwise(empty)
+    point_parts = _let(c1, lambda c: F.when(F.size(c) >= 2, F.array(F.array(_pt(c)))).otherwise(empty))
     return (F.when(t.isNull() | kind.isNull(), F.lit(None).cast(G.GEOMETRY))
             .when(kind == "Point", geom("Point", point_parts))
             .when(kind == "LineString", geom("LineString", F.array(_run(c2))))
@@ -84,8 +98,8 @@ def _parse_one(t: Column) -> Column:
             .when(kind == "Polygon", geom("Polygon", F.transform(c3, _run)))
             .when(kind == "MultiLineString", geom("MultiLineString", F.transform(c3, _run)))
             .when(kind == "MultiPolygon",
-                  geom("MultiPolygon", F.flatten(F.transform(c4, lambda poly: F.transform(poly, _run))),
-                       F.transform(c4, lambda poly: F.size(poly))))
+                  _let(c4, lambda c: geom("MultiPolygon", F.flatten(F.transform(c, lambda poly: F.transform(poly, _run))),
+                                          F.transform(c, lambda poly: F.size(poly)))))
             .otherwise(F.raise_error(F.concat(F.lit("unsupported GeoJSON geometry type: "),
                                               F.coalesce(kind, F.lit("?"))))
                        .cast(G.GEOMETRY)))

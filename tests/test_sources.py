@@ -360,3 +360,29 @@ def test_collections_in_line_layers(spark):
     for areas in (False, True):
         with pytest.raises(Exception, match="holds areas"):
             sj.clip_lines_to_cells(idx, df, "geom", ["id"], areas=areas).count()
+
+
+def test_simple_kinds_are_written_side_by_side(monkeypatch):
+    rng = np.random.default_rng(12)
+    values = [g for g in (_random_geometry(rng) for _ in range(400)) if g["kind"] in ("LineString", "Polygon") or g["kind"] == "Point" and g["parts"]]
+    order = rng.random(len(values)) < 0.5
+    alone = [_encode(g, bool(le)) for g, le in zip(values, order)]
+    monkeypatch.setattr(wkb, "_bytes_of", None)  # what packs a geometry at a time
+    coded = wkb.encode_arrow(pa.array(values, GEOMETRY), order)
+    assert coded.to_pylist() == alone and wkb.decode_arrow(coded).to_pylist() == values
+
+
+def test_no_null_list_goes_to_the_wkb_writer(spark):
+    df = spark.createDataFrame([(1, {"kind": "Point", "parts": [[_pt(1.0, 2.0)]], "poly_rings": None}), (2, None), (3, {"kind": "LineString", "parts": None, "poly_rings": None}),
+                                (4, {"kind": "Polygon", "parts": [None, [_pt(0.0, 1.0)]], "poly_rings": None})],
+                               "id long, geom struct<kind:string,parts:array<array<struct<x:double,y:double>>>,poly_rings:array<int>>")
+    got = {r["id"]: r["g"] for r in df.select("id", wkb.from_wkb(wkb.to_wkb("geom")).alias("g")).collect()}
+    assert got[1]["parts"] == [[(1.0, 2.0)]] and got[2] is None and got[3] is None and got[4]["parts"] == [[], [(0.0, 1.0)]]
+    plan = df.select(wkb.to_wkb("geom").alias("w"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("coalesce") >= 5  # sizes, x, y, rings and the parts themselves
+
+
+def test_a_member_of_a_collection_is_looked_at_few_times(spark):
+    # what is parsed in a lambda is not shared by the engine: each look at the text costs a pass over it
+    plan = spark.createDataFrame([("{}",)], "gj string").select(geojson.parse_geojson("gj").alias("g"))._jdf.queryExecution().optimizedPlan()
+    assert plan.toJSON().count("catalyst.expressions.GetJsonObject") <= 150
