@@ -387,3 +387,45 @@ def test_scores_of_nothing_and_without_training_texts(spark):
     only = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 10 == 0)
     (row,) = scored(spark, [(only, "some words", "en")], steps=2)
     assert row[:5] == (only, True, 3, 0, 0) and row[5] == pytest.approx(0.0) and row[6] < 0
+
+
+def test_the_windows_of_the_pass_hold_every_place_once(model):
+    m, texts = model
+    texts = texts + [np.zeros(0, int), np.tile(texts[0], 40)]
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = Counter()
+    for x, y, place, real in m.all_windows(np.concatenate(texts), starts):
+        got.update(zip(*(a[real > 0].tolist() for a in (x, y, place))))
+    want = Counter()
+    for t in texts:
+        want.update(zip([0, *m.unit_of[t].tolist()], [*m.class_of[t].tolist(), 0], [*m.place[t].tolist(), -1]))
+    assert got == want
+
+
+def test_a_task_of_the_pass_learns_from_all_its_texts():
+    rng = np.random.default_rng(7)
+    m = attention_lm.Model(np.full(12, 50.0), 5, classes=4, inner=12)
+    texts = [(np.arange(300) + rng.integers(12)) % 12 for _ in range(200)]
+    batch = pa.record_batch([pa.array([t.astype("<u2").tobytes() for t in texts] + [None, b""], pa.binary())], ["ids"])
+    task = attention_lm._pass_task(Shared(m), "<u2", 1e-2)
+    before = {k: v.copy() for k, v in m.network.p.items()}
+    (out,) = task([batch] * 20)
+    assert out.column("seen").to_pylist() == [20 * (200 * 301 + 1)]
+    assert all((m.network.p[k] == before[k]).all() for k in before)  # the next task starts from the same weights
+    ids, starts = texts[0], np.array([0, 300])
+    first = m.score(ids, starts)[0]
+    seen, m.network.p = attention_lm.average([(2, out.column("parameters")[0].as_py())] * 2)
+    m.network.ready = {}
+    assert seen == 4 and m.score(ids, starts)[0] > 0.5 * first
+
+
+def test_weights_come_from_all_training_texts(spark, monkeypatch):
+    """Without any text to start from, the rounds over all texts alone fit the network."""
+    monkeypatch.setattr(attention_lm, "TRAIN_TEXTS", 0)
+    line = "red green blue yellow black white".split()
+    rows = [(k, " ".join(line[(k * 5 + j) % 6] for j in range(60)), "en") for k in range(300)]
+    held = {}
+    for rounds in (0, 12):
+        monkeypatch.setattr(attention_lm, "ROUNDS", rounds)
+        held[rounds] = sum(r[6] for r in scored(spark, rows) if r[1])
+    assert held[12] > held[0]
