@@ -50,7 +50,9 @@ has a proven bound. AQE's skew-join splitting stays on as a second line.
 from __future__ import annotations
 
 import math
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -134,8 +136,9 @@ class CellIndex:
         in the neighbouring tile (see :func:`segment_tiles`).
 
         A tile wholly inside a many-edged cell becomes a box: what is in the
-        tile is in the cell, and only the tiles that its border crosses carry
-        its edges and take the exact test.
+        tile is in the cell. In the other tiles such a cell keeps the edges
+        whose lines touch the tile: the whole tile is strictly on the inner
+        side of the others, so the few kept ones decide for all that is in it.
         """
         s = self.side()
         tx0 = F.floor(F.col("cxmin") / s)
@@ -145,8 +148,13 @@ class CellIndex:
         cover = self._over(tx0, tx1, ty0, ty1)
         if not self.fine:
             return cover
-        corners = [G.convex_contains_point(F.col("edges"), (F.col("tx") + i) * s, (F.col("ty") + j) * s) for i in (0, 1) for j in (0, 1)]
-        cover = cover.withColumn("_inside", F.when(_is_fine(), corners[0] & corners[1] & corners[2] & corners[3]).otherwise(False))
+        corners = [((F.col("tx") + i) * s, (F.col("ty") + j) * s) for i in (0, 1) for j in (0, 1)]
+
+        def cuts(e):
+            return ~reduce(operator.and_, [G.convex_contains_point(F.array(e), x, y) for x, y in corners])
+        cover = cover.withColumn("_near", F.when(_is_fine(), F.filter("edges", cuts)))
+        cover = cover.withColumn("_inside", F.coalesce(F.size("_near") == 0, F.lit(False)))
+        cover = cover.withColumn("edges", F.coalesce("_near", "edges")).drop("_near")
         return (cover.withColumn("is_box", F.col("is_box") | F.col("_inside")).withColumn("is_convex", F.col("is_convex") & ~F.col("_inside"))
                 .withColumn("edges", F.when(~F.col("_inside"), F.col("edges"))).drop("_inside"))
 

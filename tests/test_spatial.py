@@ -389,3 +389,32 @@ def test_tiles_inside_a_many_edged_cell_take_no_exact_test(spark):
         lengths.append({(r["grid_id"], r["id"]): r["seg_len"] for r in sj.pair_lengths(sj.clip_lines_to_cells(i, rows, "geom", ["id"]), ["id"]).collect()})
     assert found[0] == found[1] and len(found[0]) > 50
     assert lengths[0] == {k: pytest.approx(v) for k, v in lengths[1].items()} and len(lengths[0]) > 100
+
+
+def test_tiles_of_a_many_edged_cell_keep_the_edges_that_cut_them(spark):
+    """Lengths and points are those of the whole ring, of which every tile keeps less than half."""
+    import dataclasses
+    import random
+    ring = [(10 + 9.5 * math.cos(math.pi * k / 16), 10 + 9.5 * math.sin(math.pi * k / 16)) for k in range(32)]
+    cells = polygons(spark, [(1, [ring + ring[:1]]), (2, [[(x + 7, y + 3) for x, y in ring + ring[:1]]])])
+    idx = sj.index_cells(cells)
+    assert idx.fine
+    left = [r["n"] for r in idx.tiles().select(F.size("edges").alias("n")).where("edges is not null").collect()]
+    assert left and 0 < min(left) and max(left) < 16
+    plain = dataclasses.replace(idx, fine=False)
+    rng = random.Random(5)
+    rows = [(k, *(float(rng.randrange(-4, 60)) / 2 for _ in range(4))) for k in range(300)]
+    rows += [(1000 + k, *ring[k], *ring[(k + 1) % 32]) for k in range(32)]  # along the border
+    lines = spark.createDataFrame(rows, "k long, x1 double, y1 double, x2 double, y2 double").select(
+        "k", G.linestring(("x1", "y1"), ("x2", "y2")).alias("geom"))
+
+    def lengths(i, closed):
+        pieces = sj.clip_pieces(i, sj.explode_segments(lines, "geom", ["k"]), ["k"], closed=closed)
+        return {(r[0], r[1]): r[2] for r in sj.pair_lengths(pieces, ["k"]).collect() if r[2] > 1e-9}
+    for closed in (True, False):
+        got, want = lengths(idx, closed), lengths(plain, closed)
+        assert got.keys() == want.keys() and len(got) > 100
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    points = spark.createDataFrame([(k, x, y) for k, x, y, _, _ in rows], "k long, x double, y double").select("k", G.point("x", "y").alias("geom"))
+    inside = lambda i: sorted(tuple(r) for r in sj.points_in_cells(i, points).select("grid_id", "k").collect())
+    assert inside(idx) == inside(plain)
