@@ -45,6 +45,11 @@ salted: their items are spread round-robin over ``ceil(count / hot_tile_rows)``
 salt values and their few cells are replicated once per salt. The hot-tile
 list is at most ``total_items / hot_tile_rows`` rows, so broadcasting it
 has a proven bound. AQE's skew-join splitting stays on as a second line.
+
+Lengths in boxes take no join above the limit: boxes and segments are sorted
+by tile and measured in blocks (:mod:`tessera.operators.box_blocks`), and
+only sums leave a tile. Of the hot tiles those of very many pairs are cut into
+parts, their boxes one way and their segments the other.
 """
 
 from __future__ import annotations
@@ -57,8 +62,10 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import geometry as G
+from tessera.operators import box_blocks
 from tessera.session import persist_shared
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -72,6 +79,10 @@ EDGE_BYTES = 64
 # zero-length candidates).
 COVER_SLACK = 1e-9
 
+#: Boxes of a hot tile held at once, and pairs of its boxes and segments that one task measures.
+HOT_BOXES = 100_000
+HOT_PAIRS = 1 << 28
+
 #: Each level's tiles are so many times as wide as those of the level below.
 LEVEL_STEP = 4
 #: A cell is at the lowest level whose tiles are at least this part of its width and height.
@@ -583,6 +594,9 @@ def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str],
     tiled = segment_tiles(segs, idx)
     if not closed:
         tiled = tiled.where(F.col("border") == 0)
+    if closed and idx.boxes_only and idx.line_bytes > idx.broadcast_bytes and all(isinstance(tiled.schema[k].dataType, T.AtomicType) for k in keep):
+        out = _box_blocks(idx, tiled, keep)
+        return out.where(F.col("piece_len") > 0) if positive_only else out
     j = _tile_join(tiled, idx.line_tiles(), idx.line_bytes, idx)
     box = ["cymin"] if idx.whole is not None else []
     box = box if closed else ["cxmin", "cymin", "cxmax", "cymax"]
@@ -591,6 +605,53 @@ def clip_pieces(idx: CellIndex, segs: DataFrame, keep: list[str],
     return out.where(F.col("piece_len") > 0) if positive_only else out
 
 
+def _tile_part(idx: CellIndex):
+    """(t0, t1) of a segment's part in its tile; the copies on a border are not cut across that border."""
+    s = idx.side()
+    x1, y1, border = F.col("x1"), F.col("y1"), F.col("border")
+    inf, ninf = F.lit(G.INF), F.lit(-G.INF)
+    kx_lo, kx_hi = G.tile_axis_range(x1, F.col("x2") - x1, F.col("tx"), s)
+    ky_lo, ky_hi = G.tile_axis_range(y1, F.col("y2") - y1, F.col("ty"), s)
+    t0 = F.greatest(F.lit(0.0), F.when(border == 1, ninf).otherwise(kx_lo), F.when(border == 2, ninf).otherwise(ky_lo))
+    t1 = F.least(F.lit(1.0), F.when(border == 1, inf).otherwise(kx_hi), F.when(border == 2, inf).otherwise(ky_hi))
+    return t0, t1
+
+
+def _box_blocks(idx: CellIndex, tiled: DataFrame, keep: list[str]) -> DataFrame:
+    """``grid_id``, ``keep`` and lengths of tiled segments in boxes, summed in each tile (see :mod:`box_blocks`)."""
+    keys = idx.keys
+    cells = idx.line_tiles().select("grid_id", *keys, "cxmin", "cymin", "cxmax", "cymax")
+    # Per-tile counts, one row a tile after partial aggregation; only tiles to be cut are kept and broadcast,
+    # at most total_items / hot_tile_rows of them.
+    items, boxes = F.col("n_items"), F.col("n_boxes")
+    box_parts = F.ceil(boxes / HOT_BOXES)
+    item_parts = F.ceil(items / F.greatest(F.lit(float(idx.hot_tile_rows)), F.lit(float(HOT_PAIRS)) / F.least(boxes, F.lit(HOT_BOXES))))
+    hot = (tiled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items")).where(items > idx.hot_tile_rows)
+           .join(cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_boxes")).hint("merge"), keys)
+           .select(*keys, item_parts.cast("int").alias("n_i"), box_parts.cast("int").alias("n_b")).where("n_i > 1 or n_b > 1"))
+    hot = F.broadcast(persist_shared(hot))
+    n_i, n_b = (F.coalesce(k, F.lit(1)) for k in ("n_i", "n_b"))
+
+    def spread(rows: DataFrame, own, parts, others, place) -> DataFrame:
+        """Rows in one of ``parts``, chosen by a hash (a task that runs again chooses alike), and in each of the ``others``."""
+        rows = rows.join(hot, keys, "left").withColumn("_own", F.when(parts > 1, F.pmod(F.xxhash64(*own), parts)).otherwise(F.lit(0)).cast("int"))
+        return rows.withColumn("_other", F.explode(F.sequence(F.lit(0), others - 1))).withColumn("part", place)
+    a, b, c, d = box_blocks.SHAPE
+    t0, t1 = G.memo(("tile_part", idx.tile, idx.levels), lambda: _tile_part(idx))
+    cells = spread(cells, cells.columns, n_b, n_i, F.col("_other") * n_b + F.col("_own"))
+    segs = spread(tiled, tiled.columns, n_i, n_b, F.col("_own") * n_b + F.col("_other"))
+    nothing = [F.lit(None).cast(tiled.schema[k].dataType).alias(k) for k in keep]
+    no_id = F.lit(None).cast(idx.cells.schema["grid_id"].dataType).alias("grid_id")
+    cells = cells.select(*keys, "part", F.lit(False).alias("is_seg"), "grid_id", *nothing, F.col("cxmin").alias(a), F.col("cymin").alias(b),
+                         F.col("cxmax").alias(c), F.col("cymax").alias(d), F.lit(0.0).alias("t0"), F.lit(1.0).alias("t1"), F.lit(0).alias("border"))
+    segs = segs.select(*keys, "part", F.lit(True).alias("is_seg"), no_id, *keep, F.col("x1").alias(a), F.col("y1").alias(b),
+                       F.col("x2").alias(c), F.col("y2").alias(d), t0.alias("t0"), t1.alias("t1"), "border")
+    rows = cells.unionByName(segs).repartition(*keys, "part").sortWithinPartitions(*keys, "part", "is_seg")
+    types = [("grid_id", idx.cells.schema["grid_id"].dataType), *[(k, tiled.schema[k].dataType) for k in keep], ("piece_len", T.DoubleType())]
+    out = T.StructType([T.StructField(name, kind) for name, kind in types])
+    return rows.mapInArrow(box_blocks.box_lengths([*keys, "part"], keep, out.names), out)
+
+
 def cell_borders(idx: CellIndex) -> DataFrame:
     """One row per edge (grid_id, x1, y1, x2, y2) of every cell."""
     def edge(x1, y1, x2, y2):
@@ -622,7 +683,7 @@ def clip_lines_to_cells(idx: CellIndex, lines: DataFrame, geom_col: str = "geom"
                         areas: bool = False) -> DataFrame:
     """Pieces of every line, or outline pieces of every area, inside every cell it meets.
 
-    Rows are pieces, not pairs: sum ``piece_len`` per cell (and category) for
+    Rows are pieces or sums of them, not pairs: sum ``piece_len`` per cell (and category) for
     the clipped length ``ST_Length(ST_Intersection(cell, line))`` summed over
     lines, or per ``(cell, line id)`` for the length of one pair.
 

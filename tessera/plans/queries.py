@@ -180,7 +180,7 @@ def crash_count_large_grid(spark, sf_dir):
 
 
 def road_length_large_grid(spark, sf_dir):
-    """Road length per customer's cell and speed, by the shuffled join with salted hot tiles."""
+    """Road length per customer's cell and speed, by tiles shuffled and measured in blocks."""
     _, idx = _large(spark, sf_dir)
     return rounded(ft.road_speed_long(idx, fx.roads(spark, sf_dir), "speed"))
 

@@ -1,6 +1,7 @@
 """Border semantics and shapes of the tile-keyed spatial joins (hand-made cases)."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -418,3 +419,50 @@ def test_tiles_of_a_many_edged_cell_keep_the_edges_that_cut_them(spark):
     points = spark.createDataFrame([(k, x, y) for k, x, y, _, _ in rows], "k long, x double, y double").select("k", G.point("x", "y").alias("geom"))
     inside = lambda i: sorted(tuple(r) for r in sj.points_in_cells(i, points).select("grid_id", "k").collect())
     assert inside(idx) == inside(plain)
+
+
+def _many_boxes_and_segments():
+    """Small overlapping boxes, one twice, and lattice segments: on borders, along tiles, of no length, some twice."""
+    rng = random.Random(7)
+    grid = [(k % 150, x, y, x + 7.0, y + 5.0) for k, x, y in ((k, float(rng.randrange(40)), float(rng.randrange(40))) for k in range(160))]
+    grid += [(500, 7.0, 7.0, 14.0, 14.0), (501, -7.0, 0.0, 0.0, 7.0), grid[0]]
+    rows = []
+    for k in range(400):
+        a = (rng.randrange(50), rng.randrange(50))
+        b = (a[0] + rng.choice([0, 0, -12, 5, 9]), a[1] + rng.choice([0, 0, -8, 7, 13]))
+        rows.append((k % 390, [a, b], [None, "a", "b", "c"][k % 4]))
+    rows += [(900, [(7, 0), (7, 40)], "a"), (901, [(0, 14), (40, 14)], "b"), (902, [(14, 30), (14, -3), (20, 5)], "c")]
+    return grid, rows
+
+
+@pytest.mark.parametrize("keep", [[], ["kind"], ["id", "kind"]])
+@pytest.mark.parametrize("hot_boxes, hot_pairs, hot_rows", [(100_000, 1 << 28, 2_000_000), (5, 40, 3)])
+def test_blocks_of_boxes_measure_like_the_join(spark, monkeypatch, keep, hot_boxes, hot_pairs, hot_rows):
+    grid, rows = _many_boxes_and_segments()
+    monkeypatch.setattr(sj, "HOT_BOXES", hot_boxes)
+    monkeypatch.setattr(sj, "HOT_PAIRS", hot_pairs)
+    cells, roads = boxes(spark, grid), lines(spark, rows, "kind string").repartition(3)
+
+    def sums(**how):
+        pieces = sj.clip_lines_to_cells(sj.index_cells(cells, **how), roads, "geom", keep, positive_only=False)
+        return {tuple(r[:-1]): r[-1] for r in sj.pair_lengths(pieces, keep).collect()}
+    want, got = sums(), sums(broadcast_bytes=0, hot_tile_rows=hot_rows)
+    assert want and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+
+
+def test_only_sums_leave_a_tile_of_many_segments(spark):
+    cells = boxes(spark, [(k, 0.0, 0.0, 8.0, 8.0) for k in range(20)])
+    roads = lines(spark, [(k, [(1, 1 + k % 5), (5, 2)], "ab"[k % 2]) for k in range(600)], "kind string").repartition(2)
+    idx = sj.index_cells(cells, tile=8.0, broadcast_bytes=0, hot_tile_rows=50)
+    pieces = sj.clip_lines_to_cells(idx, roads, "geom", ["kind"])
+    assert pieces.count() == 20 * 2  # 12,000 pairs
+
+
+def test_blocks_skip_what_is_null_and_take_text_ids(spark):
+    cells = boxes(spark, [(1, 0.0, 0.0, 8.0, 8.0), (None, 0.0, 0.0, 4.0, 4.0)]).select(F.concat(F.lit("c"), "id").alias("id"), "geom")
+    roads = lines(spark, [(1, [(1, 1), (3, 1)], None), (2, [(1, 1), (6, 1)], "a")], "kind string")
+    none = roads.limit(1).withColumn("geom", F.lit(None).cast(roads.schema["geom"].dataType))
+    idx = sj.index_cells(cells, tile=8.0, broadcast_bytes=0)
+    got = sj.clip_lines_to_cells(idx, roads.unionByName(none), "geom", ["kind"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("c1", None, 2.0), ("c1", "a", 5.0), (None, None, 2.0), (None, "a", 3.0)], key=str)
