@@ -429,3 +429,57 @@ def test_weights_come_from_all_training_texts(spark, monkeypatch):
         monkeypatch.setattr(attention_lm, "ROUNDS", rounds)
         held[rounds] = sum(r[6] for r in scored(spark, rows) if r[1])
     assert held[12] > held[0]
+
+
+def test_tasks_leave_no_words_in_the_workers(spark):
+    """Workers live on through training and scoring: the words that reading has learned would stay beside them."""
+    rows = [(k, f"zebrafinch{'abcdefghij'[k % 10]} the of", "en") for k in range(60)]
+    assert len(scored(spark, rows, steps=2)) == 60
+
+    def held(batches):
+        from tessera.llm import packing
+        for _ in batches:
+            words_ = [w for e in packing._ENCODERS.values() for w in (*e.cache, *e.older) if "zebrafinch" in w]
+            yield pa.RecordBatch.from_arrays([pa.array([len(words_)], pa.int64())], ["n"])
+    assert [r["n"] for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()] == [0] * 8
+
+
+def test_ids_are_remembered_for_a_bounded_number_of_words(monkeypatch):
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        json = f.read()
+    monkeypatch.setattr(attention_lm, "CACHE_WORDS", 20)
+    e = attention_lm.encoder(json)
+    e.forget()
+    some = ["".join(random.Random(k).choices("abcdefgh", k=9)) for k in range(400)]
+    found = [attention_lm.subword_ids(some[k:k + 10], json)[0] for k in range(0, 400, 10)]
+    assert 0 < len(e.cache) + len(e.older) <= 2 * (20 + 10)
+    e.forget()
+    assert not e.cache and not e.older
+    assert np.concatenate(found).tolist() == attention_lm.subword_ids(some, json)[0].tolist()
+    e.forget()
+
+
+def test_a_look_up_returns_the_ids_of_its_words_alone():
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        json = f.read()
+    known = [f"word{k}ing" for k in range(500)]
+    table = attention_lm.Table(pa.array([w.encode() for w in known], pa.large_binary()), np.arange(500), json)
+    asked = ["word7ing", "neither", "word499ing", "nor", "word0ing"]
+    counts, ids, begin, end = table.look_up(pa.array([w.encode() for w in asked], pa.large_binary()), json)
+    want = [attention_lm.subword_ids([w], json)[0].tolist() for w in asked]
+    assert counts.tolist() == [7, -1, 499, -1, 0] and [ids[a:b].tolist() for a, b in zip(begin, end)] == want
+    assert len(ids) == sum(map(len, want))
+    assert [len(x) for x in table.look_up(pa.array([], pa.large_binary()), json)] == [0] * 4
+
+
+def test_counting_holds_the_distinct_words_of_a_slice(monkeypatch):
+    monkeypatch.setattr(attention_lm, "RUN_WORDS", 50)
+    batch = pa.record_batch([pa.array(["the of the The " * 40, "one", None]), pa.array([True, False, True])], ["text", "learn"])
+    out = list(attention_lm._count_words([batch] * 5))  # 15 words held, 805 read: one run
+    assert len(out) == 1
+    assert dict(zip(out[0].column("word").to_pylist(), out[0].column("count").to_pylist())) == {b"the": 600, b"of": 200, b"one": 0}
+    monkeypatch.setattr(attention_lm, "RUN_WORDS", 6)
+    got = Counter()
+    for b in attention_lm._count_words([batch] * 5):
+        got.update(dict(zip(b.column("word").to_pylist(), b.column("count").to_pylist())))
+    assert got == {b"the": 600, b"of": 200, b"one": 0}
