@@ -483,3 +483,75 @@ def test_counting_holds_the_distinct_words_of_a_slice(monkeypatch):
     for b in attention_lm._count_words([batch] * 5):
         got.update(dict(zip(b.column("word").to_pylist(), b.column("count").to_pylist())))
     assert got == {b"the": 600, b"of": 200, b"one": 0}
+
+
+def test_classes_share_their_passes(model, monkeypatch):
+    """Exponentials are taken of all classes' logits at once, not class by class, in training and in scoring."""
+    m, texts = model
+    ids, starts = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    batch = next(m.all_windows(ids, starts))
+    states = m.network.hidden(batch[0]).reshape(-1, m.network.size)
+    assert m.network.several.sum() > 4
+    calls, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or exp(*a, **k))
+    m.network.gradients(*batch)
+    assert len(calls) <= 4
+    calls.clear()
+    m.network.log_probabilities(states, batch[1].ravel(), batch[2].ravel())
+    assert len(calls) <= 2
+
+
+def test_states_are_made_for_the_scored_places_alone(model, monkeypatch):
+    m, texts = model
+    ids = np.tile(texts[0], 40)[:attention_lm.WIDTH - 1 + 9 * attention_lm.STRIDE]  # full windows only
+    x = m._places(ids, np.array([0, len(ids)]))[0][:3 * attention_lm.WIDTH].reshape(3, -1)
+    assert np.allclose(m.network.states(x, 4), m.network.hidden(x)[:, 4:], atol=1e-4)
+    made, states = [], attention_lm.Network.states
+    monkeypatch.setattr(attention_lm.Network, "states", lambda *a: made.append((got := states(*a)).shape) or got)
+    m.score(ids, np.array([0, len(ids)]))
+    assert sum(a * b for a, b, _ in made) == 10 * attention_lm.WIDTH  # the text's first window is in the batch, and cut from its start
+    monkeypatch.setattr(attention_lm, "SCORE_WINDOWS", 1)
+    made.clear()
+    m.score(ids, np.array([0, len(ids)]))
+    assert sum(a * b for a, b, _ in made) == len(ids) + 1
+
+
+@pytest.mark.parametrize("large", [1, 40])
+def test_gradients_in_single_precision_with_logits_too_large_for_it(large):
+    """Logits of classes and of numbers in them whose exponentials don't fit: as in double precision."""
+    rng = np.random.default_rng(3)
+    m = attention_lm.Model(np.array([9.0, 5, 4, 3, 3, 2, 2, 1, 1, 1, 1, 1]), 3, classes=4, inner=12, size=6)
+    net = m.network
+    for name in ("id", "out", "mix"):
+        net.p[name] = rng.standard_normal(net.p[name].shape).astype(np.float32)
+    net.p["id"] *= large
+    net.p["out"] *= large
+    batch = next(m.all_windows(rng.integers(0, 12, 300), np.array([0, 40, 40, 300])))
+    y, place = batch[1].ravel(), batch[2].ravel()
+    loss, g = net.gradients(*batch)
+    logs = net.log_probabilities(net.hidden(batch[0]).reshape(-1, 6), y, place)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    want_loss, want = net.gradients(*batch)
+    states = net.hidden(batch[0]).reshape(-1, 6)
+    assert (abs(states @ net.p["out"]).max() > 100) == (large > 1)
+    assert np.allclose(logs, net.log_probabilities(states, y, place), rtol=1e-3, atol=1e-3)
+    for k in g:
+        assert g[k].dtype == np.float32 and np.isfinite(g[k]).all()
+        if large == 1:
+            assert np.allclose(g[k], want[k], atol=1e-4 * max(1, abs(want[k]).max())), k
+    assert np.isfinite(loss) and (large > 1 or loss == pytest.approx(want_loss, rel=1e-4))
+
+
+def test_attention_logits_count_no_more_than_the_most(model):
+    m, texts = model
+    net = attention_lm.Network(9, np.array([0, 2, 8]), 8, size=6)
+    net.p["embed"] *= 12
+    x = np.random.default_rng(4).integers(0, 9, (3, 20))
+    h = net.p["embed"][x]
+    q, k, v = np.split(h @ net.p["qkv"], 3, axis=-1)
+    a = q @ k.transpose(0, 2, 1) / np.sqrt(6) + net._near(20)
+    assert a.max() > attention_lm.MOST_LOGIT
+    a = np.exp(np.minimum(a, attention_lm.MOST_LOGIT))
+    h1 = h + (a / a.sum(-1, keepdims=True)) @ v @ net.p["mix"]
+    want = h1 + np.maximum(h1 @ net.p["up"] + net.p["up0"], 0) @ net.p["down"]
+    assert np.allclose(net.hidden(x), want, rtol=1e-3, atol=1e-3)
