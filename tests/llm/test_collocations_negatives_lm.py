@@ -555,3 +555,27 @@ def test_attention_logits_count_no_more_than_the_most(model):
     h1 = h + (a / a.sum(-1, keepdims=True)) @ v @ net.p["mix"]
     want = h1 + np.maximum(h1 @ net.p["up"] + net.p["up0"], 0) @ net.p["down"]
     assert np.allclose(net.hidden(x), want, rtol=1e-3, atol=1e-3)
+
+
+def test_words_are_found_by_hash_and_compared_by_their_bytes(monkeypatch):
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        json = f.read()
+    rng = random.Random(5)
+    some = [bytes(rng.choices(b"abcd\xc3\xa9", k=rng.choice((1, 2, 3, 31, 32, 33, 70)))) for _ in range(3000)]
+    known = list(dict.fromkeys(some[:2000]))
+    column = pa.array([b"before", *known], pa.large_binary()).slice(1)
+    asked = list(dict.fromkeys([b"", *some]))
+    place = {w: k for k, w in enumerate(known)}
+    monkeypatch.setattr(attention_lm.pc, "index_in", None)  # it hashes the whole table again for every slice of a text
+    table = attention_lm.Table(column, np.arange(len(known)), json)
+    assert table.place(pa.array(asked, pa.large_binary())).tolist() == [place.get(w, -1) for w in asked]
+    # words of one hash: none is taken for another, and one that isn't found is looked up as a rare one
+    monkeypatch.setattr(attention_lm._SCANNER, "hashes", lambda offsets, data: np.diff(offsets).astype(np.uint64) // np.uint64(40))
+    table = attention_lm.Table(column, np.arange(len(known)), json)
+    got = table.place(pa.array(asked, pa.large_binary())).tolist()
+    assert all(p in (-1, place.get(w, -1)) for w, p in zip(asked, got)) and max(got) >= 0
+    counts, ids, begin, end = table.look_up(pa.array(asked[:200], pa.large_binary()), json)
+    want = [attention_lm.subword_ids(attention_lm._strings(pa.array([w], pa.large_binary())), json)[0].tolist() for w in asked[:200]]
+    assert [ids[a:b].tolist() for a, b in zip(begin, end)] == want
+    empty = attention_lm.Table(pa.array([], pa.large_binary()), np.zeros(0, np.int64), json)
+    assert empty.place(pa.array([b"x"], pa.large_binary())).tolist() == [-1]
