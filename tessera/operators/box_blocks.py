@@ -21,6 +21,8 @@ import pyarrow as pa
 BLOCK_PAIRS = 1 << 15
 #: Rows of a batch that leaves a task.
 OUT_ROWS = 20_000
+#: Rows measured together at least, whatever size the session gives its Arrow batches.
+IN_ROWS = 10_000
 
 #: The columns that boxes (xmin, ymin, xmax, ymax) and segments (x1, y1, x2, y2) share.
 SHAPE = ["a", "b", "c", "d"]
@@ -93,12 +95,25 @@ def _sums(boxes, segs, t0, t1, border, code) -> Iterator[tuple[np.ndarray, np.nd
             yield lo + box, code[starts[at]], got[box, at]
 
 
+def _at_least(batches, rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches, small ones joined to at least so many rows: sums are made for each."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield held[0] if len(held) == 1 else pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield held[0] if len(held) == 1 else pa.concat_batches(held)
+
+
 def box_lengths(keys: list[str], keep: list[str], names: list[str]):
     """For ``mapInArrow`` over rows sorted by ``keys`` and ``is_seg``: grid_id, ``keep`` and the lengths' sums."""
     def run(batches):
         tile, last = _Tile(), None
         held, rows = [], 0
-        for batch in batches:
+        for batch in _at_least(batches, IN_ROWS):
             if not batch.num_rows:
                 continue
             key = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]

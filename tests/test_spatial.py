@@ -459,6 +459,23 @@ def test_only_sums_leave_a_tile_of_many_segments(spark):
     assert pieces.count() == 20 * 2  # 12,000 pairs
 
 
+def test_sums_do_not_grow_with_the_number_of_batches(spark):
+    """Other operators leave the session with Arrow batches of 500 rows."""
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(conf)
+    cells = boxes(spark, [(k, 0.0, 0.0, 8.0, 8.0) for k in range(20)])
+    roads = lines(spark, [(k, [(1, 1 + k % 5), (5, 2)], "ab"[k % 2]) for k in range(600)], "kind string")
+    spark.conf.set(conf, "100")
+    try:
+        idx = sj.index_cells(cells, tile=8.0, broadcast_bytes=0)
+        got = sj.clip_lines_to_cells(idx, roads, "geom", ["kind"]).collect()
+    finally:
+        spark.conf.set(conf, old)
+    assert len(got) == 20 * 2
+    want = sum(math.hypot(4, 1 - k % 5) for k in range(600)) * 20
+    assert sum(r["piece_len"] for r in got) == pytest.approx(want, rel=1e-12)
+
+
 def test_blocks_skip_what_is_null_and_take_text_ids(spark):
     cells = boxes(spark, [(1, 0.0, 0.0, 8.0, 8.0), (None, 0.0, 0.0, 4.0, 4.0)]).select(F.concat(F.lit("c"), "id").alias("id"), "geom")
     roads = lines(spark, [(1, [(1, 1), (3, 1)], None), (2, [(1, 1), (6, 1)], "a")], "kind string")
